@@ -27,7 +27,7 @@ def weather_feed(current: DataFrame, today: str, source: str, source_url: str, d
     )
     local = F.from_utc_timestamp("observed_at", fixed.LOCAL_ZONE)
     return current.filter(F.to_date(local) == F.lit(today).cast("date")).select(
-        F.col("id").alias("trigger_id"),
+        F.col("id").cast("string").alias("trigger_id"),
         F.lit("weather").alias("source_type"),
         F.lit(source).alias("source"),
         message.alias("message"),

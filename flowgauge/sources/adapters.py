@@ -50,6 +50,10 @@ def order_time(hours: Column) -> Column:
 
 
 def calendar_events(spark: SparkSession, folder: str) -> DataFrame:
+    return calendar_events_of(table(spark, folder, "orders"))
+
+
+def calendar_events_of(orders: DataFrame) -> DataFrame:
     """Event calendar from orders."""
     key, cust = F.col("o_orderkey"), F.col("o_custkey")
     level = F.substring("o_orderpriority", 1, 1)
@@ -97,7 +101,7 @@ def calendar_events(spark: SparkSession, folder: str) -> DataFrame:
         ]
     )
     name = F.get(names, (key % 13).cast("int"))
-    return table(spark, folder, "orders").select(
+    return orders.select(
         F.concat(F.lit("CAL-"), key.cast("string")).alias("id"),
         station.alias("station"),
         F.col("o_orderdate").cast("date").alias("event_date"),
