@@ -13,10 +13,9 @@ RANGE_LABEL = "__:__-__:__"
 
 def lookup(key: Column, table: dict, default: Column | None = None) -> Column:
     """``key`` mapped through a literal table."""
-    out = None
-    for k, v in table.items():
-        out = F.when(key == F.lit(k), F.lit(v)) if out is None else out.when(key == F.lit(k), F.lit(v))
-    return out if default is None else out.otherwise(default)
+    pairs = F.create_map(*[F.lit(x) for pair in table.items() for x in pair])
+    found = F.try_element_at(pairs, key)
+    return found if default is None else F.coalesce(found, default)
 
 
 def hour_of(label: Column) -> Column:
@@ -74,31 +73,34 @@ def band_rank(label: Column) -> Column:
 
 
 def grain_of(label: Column) -> Column:
-    daily, monthly, peak = "DAILY_TOTAL", "MONTHLY_TOTAL", "PEAK_TOTAL"
-    stored = stored_total(label)
     return (
-        F.when(stored == daily, "day").when(stored == monthly, "month").when(stored == peak, "peak")
+        F.when(label.isin("Daily Total", "DAILY_TOTAL"), "day")
+        .when(label.isin("Monthly Total", "MONTHLY_TOTAL"), "month")
+        .when(label.isin("Peak Total", "PEAK_TOTAL"), "peak")
         .when(label.rlike(r"^\d\d:\d\d"), "hour").otherwise("band")
     )
 
 
+def hour_id(day: Column, label: Column) -> Column:
+    """``YR97-0105-07``."""
+    return F.concat(F.lit("YR"), F.date_format(day, "yy-MMdd-"), F.substring(label, 1, 2))
+
+
 def hourly_id(day: Column, label: Column) -> Column:
     """``YR97-0105-07``; totals ``YR97-0105-DT``, ``YR97-01-MT``, ``YR97-01-PT``."""
-    head = F.concat(F.lit("YR"), F.date_format(day, "yy"), F.lit("-"))
-    per_day = F.concat(head, F.date_format(day, "MMdd"), F.lit("-"))
-    per_month = F.concat(head, F.date_format(day, "MM"), F.lit("-"))
-    stored = stored_total(label)
+    per_month = F.concat(F.lit("YR"), F.date_format(day, "yy-MM-"))
     return (
-        F.when(stored == "DAILY_TOTAL", F.concat(per_day, F.lit("DT")))
-        .when(stored.isin("MONTHLY_TOTAL", "PEAK_TOTAL"), F.concat(per_month, lookup(stored, fixed.TOTAL_SUFFIXES)))
-        .otherwise(F.concat(per_day, F.substring(label, 1, 2)))
+        F.when(label.isin("Daily Total", "DAILY_TOTAL"), F.concat(F.lit("YR"), F.date_format(day, "yy-MMdd-"), F.lit("DT")))
+        .when(label.isin("Monthly Total", "MONTHLY_TOTAL"), F.concat(per_month, F.lit("MT")))
+        .when(label.isin("Peak Total", "PEAK_TOTAL"), F.concat(per_month, F.lit("PT")))
+        .otherwise(hour_id(day, label))
     )
 
 
 def allocated_id(day: Column, label: Column) -> Column:
     """``ST97-0105-07`` and ``ST97-0105-DT``."""
     tail = F.when(label == "DAILY_TOTAL", "DT").otherwise(F.substring(label, 1, 2))
-    return F.concat(F.lit("ST"), F.date_format(day, "yy"), F.lit("-"), F.date_format(day, "MMdd"), F.lit("-"), tail)
+    return F.concat(F.lit("ST"), F.date_format(day, "yy-MMdd-"), tail)
 
 
 def capacity_code(station: Column) -> Column:

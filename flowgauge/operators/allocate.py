@@ -28,28 +28,44 @@ def hour_shares(spark) -> DataFrame:
     )
 
 
-def steps_of(total: str, columns: list[str]) -> list[Column]:
+def steps_of(total: str, columns: list[str]) -> dict[str, str]:
     """Integers that add up to ``total``: steps between marks, the last takes the rest."""
-    marks = [f"_mark_{total}_{c}" for c in columns[:-1]]
-    steps = [F.col(marks[0]).alias(columns[0])]
-    steps += [(F.col(b) - F.col(a)).alias(c) for a, b, c in zip(marks, marks[1:], columns[1:])]
-    steps.append((F.col(total) - F.col(marks[-1])).alias(columns[-1]))
+    marked = [f"_mark_{total}_{c}" for c in columns[:-1]]
+    steps = {columns[0]: f"{marked[0]} AS {columns[0]}"}
+    for before, through, c in zip(marked, marked[1:], columns[1:]):
+        steps[c] = f"{through} - {before} AS {c}"
+    steps[columns[-1]] = f"{total} - {marked[-1]} AS {columns[-1]}"
     return steps
 
 
-def with_marks(df: DataFrame, total: str, columns: list[str]) -> DataFrame:
-    """Add the rounded running shares of ``total`` along ``columns``.
+def running_parts(flow: str, columns: list[str]) -> list[str]:
+    """Prefix sums of ``columns`` and their whole (null when not positive), as doubles."""
+    parts = [f"coalesce({c}, 0)" for c in columns]
+    runs = [f"CAST({' + '.join(parts[: i + 1])} AS DOUBLE) AS _run_{c}" for i, c in enumerate(columns[:-1])]
+    whole = " + ".join(parts)
+    return [*runs, f"CAST(CASE WHEN {whole} > 0 THEN {whole} END AS DOUBLE) AS _whole_{flow}"]
 
-    All marks are zero when the columns sum to zero, so the last column takes it all.
-    """
-    parts = [F.coalesce(F.col(c), F.lit(0)) for c in columns]
-    whole = sum(parts[1:], parts[0])
-    running, marks = None, []
-    for c, part in zip(columns[:-1], parts):
-        running = part if running is None else running + part
-        share = indices.half_even(F.col(total) * running.cast("double") / F.nullif(whole.cast("double"), F.lit(0.0)))
-        marks.append(F.coalesce(F.when(whole > 0, share), F.lit(0)).alias(f"_mark_{total}_{c}"))
-    return df.select("*", *marks)
+
+def marks(total: str, flow: str, columns: list[str]) -> list[str]:
+    """Rounded running shares of ``total``; all zero when the columns sum to zero."""
+    return [
+        f"coalesce(CAST(rint(CAST({total} AS DOUBLE) * _run_{c} / _whole_{flow}) AS BIGINT), 0) AS _mark_{total}_{c}"
+        for c in columns[:-1]
+    ]
+
+
+def spread_out(df: DataFrame, keep: list[str], totals: dict[str, str], columns: dict[str, list[str]]) -> DataFrame:
+    """Both flows' totals split over their stations, entry and exit columns interleaved."""
+    marked = df.selectExpr(
+        *keep, *totals.values(), *[m for f, total in totals.items() for m in marks(total, f, columns[f])]
+    )
+    steps = {f: steps_of(total, columns[f]) for f, total in totals.items()}
+    pairs = zip(columns["entry"], columns["exit"])
+    return marked.selectExpr(
+        *keep,
+        *[x for a, b in pairs for x in (steps["entry"][a], steps["exit"][b])],
+        *[f"{total} AS total_{f}" for f, total in totals.items()],
+    )
 
 
 def expand_bands(bands: DataFrame) -> DataFrame:
@@ -59,8 +75,7 @@ def expand_bands(bands: DataFrame) -> DataFrame:
     band row's proportions. Rows that were hourly already and total rows pass through.
     The 17-row share table is the only join side, so no row is shuffled.
     """
-    entry, exits = station_columns(bands, "entry"), station_columns(bands, "exit")
-    measures = [c for pair in zip(entry, exits) for c in pair]
+    columns = {flow: station_columns(bands, flow) for flow in fixed.FLOWS}
     label = F.col("time_period")
     shares = hour_shares(bands.sparkSession)
 
@@ -70,35 +85,35 @@ def expand_bands(bands: DataFrame) -> DataFrame:
         before = F.round(value * F.col("share_before"), 0)
         return F.coalesce((through - before).cast("long"), F.lit(0))
 
-    split = bands.join(F.broadcast(shares), label == F.col("band")).select(
+    # shares of a row are the same in all its hours, so they are summed before the join
+    shaped = bands.filter(label.isin(fixed.BANDS)).selectExpr(
         "date",
-        "hour_period",
-        *measures,
-        hour_total("total_entry").alias("hour_entry"),
-        hour_total("total_exit").alias("hour_exit"),
+        "time_period AS band",
+        "total_entry",
+        "total_exit",
+        *running_parts("entry", columns["entry"]),
+        *running_parts("exit", columns["exit"]),
+    )
+    split = (
+        shaped.join(F.broadcast(shares), "band")
+        .withColumns({"hour_entry": hour_total("total_entry"), "hour_exit": hour_total("total_exit")})
+        .withColumnRenamed("hour_period", "time_period")
     )
-    split = with_marks(with_marks(split, "hour_entry", entry), "hour_exit", exits)
-    spread = {
-        **dict(zip(entry, steps_of("hour_entry", entry))),
-        **dict(zip(exits, steps_of("hour_exit", exits))),
-    }
-    hourly = split.select(
-        labels.hourly_id(F.col("date"), F.col("hour_period")).alias("id"),
+    hourly = spread_out(split, ["date", "time_period"], {"entry": "hour_entry", "exit": "hour_exit"}, columns)
+    hourly = hourly.select(
+        labels.hour_id(F.col("date"), F.col("time_period")).alias("id"),
         "date",
-        F.col("hour_period").alias("time_period"),
+        "time_period",
         F.lit("hour").alias("grain"),
-        *[spread[c] for c in measures],
-        F.col("hour_entry").alias("total_entry"),
-        F.col("hour_exit").alias("total_exit"),
+        *hourly.columns[2:],
     )
     kept_label = F.when(label.like(labels.RANGE_LABEL), F.substring(label, 1, 5)).otherwise(labels.stored_total(label))
-    counts = [F.col(c).cast("long").alias(c) for c in (*measures, "total_entry", "total_exit")]
     passed = bands.filter(label.like(labels.RANGE_LABEL) | labels.is_total(label)).select(
         labels.hourly_id(F.col("date"), label).alias("id"),
         "date",
         kept_label.alias("time_period"),
         labels.grain_of(label).alias("grain"),
-        *counts,
+        *hourly.columns[4:],
     )
     return hourly.unionByName(passed)
 
@@ -138,18 +153,18 @@ def allocate_monthly(targets: DataFrame, template: DataFrame, start: str, end: s
     the running sum inside a day (at most 24 hours), so no task holds a month.
     """
     spark = template.sparkSession
-    entry, exits = station_columns(template, "entry"), station_columns(template, "exit")
-    measures = [c for pair in zip(entry, exits) for c in pair]
+    columns = {flow: station_columns(template, flow) for flow in fixed.FLOWS}
     days = spark.range(1).select(F.explode(labels.range_step(start, end)).alias("date"))
     matched = nearest_days(days, base_year)
     hours = template.filter(
         ~labels.is_total(F.col("time_period")) & (F.year("date") == base_year)
-    ).select(
-        F.col("date").alias("baseline_date"),
+    ).selectExpr(
+        "date AS baseline_date",
         "time_period",
-        *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in measures],
-        F.coalesce(F.col("total_entry"), F.lit(0)).alias("seen_entry"),
-        F.coalesce(F.col("total_exit"), F.lit(0)).alias("seen_exit"),
+        *running_parts("entry", columns["entry"]),
+        *running_parts("exit", columns["exit"]),
+        "coalesce(total_entry, 0) AS seen_entry",
+        "coalesce(total_exit, 0) AS seen_exit",
     )
     # the calendar has one row per requested day
     rows = hours.join(F.broadcast(matched), "baseline_date").withColumn("_year", F.year("date")).withColumn(
@@ -184,18 +199,7 @@ def allocate_monthly(targets: DataFrame, template: DataFrame, start: str, end: s
 
         return F.coalesce(mark(through) - mark(before), F.lit(0))
 
-    placed = located.withColumn("row_entry", row_total("entry")).withColumn("row_exit", row_total("exit"))
-    placed = with_marks(with_marks(placed, "row_entry", entry), "row_exit", exits)
-    spread = {
-        **dict(zip(entry, steps_of("row_entry", entry))),
-        **dict(zip(exits, steps_of("row_exit", exits))),
-    }
-    hourly = placed.select(
-        "date",
-        "time_period",
-        *[spread[c] for c in measures],
-        F.col("row_entry").alias("total_entry"),
-        F.col("row_exit").alias("total_exit"),
-    )
+    placed = located.withColumns({"row_entry": row_total("entry"), "row_exit": row_total("exit")})
+    hourly = spread_out(placed, ["date", "time_period"], {"entry": "row_entry", "exit": "row_exit"}, columns)
     both = hourly.unionByName(total_rows(hourly, "DAILY_TOTAL"))
     return both.select(labels.allocated_id(F.col("date"), F.col("time_period")).alias("id"), *hourly.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,31 +14,46 @@ from flowgauge.functions import indices, labels
 
 @dataclass(frozen=True)
 class Rule:
-    """First rule whose ``pattern`` occurs, and whose ``unless`` does not, decides."""
+    """First rule whose ``pattern`` occurs, and whose ``unless`` does not, decides.
+
+    ``needs`` lists lower-case literals of which every match holds at least one. They
+    are searched first, as plain substrings, so the pattern only runs on texts that
+    can match; with no ``needs`` it runs on all.
+    """
 
     category: str
     trigger: str
     affects: bool
     pattern: str
     unless: str | None = None
+    needs: tuple[str, ...] = ()
 
 
 # The rule order; rules below the two planning rules carry our own wording
 RULES = [
-    Rule("administrative", "Administrative", False, fixed.PLANNING_STRICT),
-    Rule("administrative", "Administrative", False, fixed.PLANNING_LOOSE, fixed.EXPLICIT_DISRUPTION),
+    Rule("administrative", "Administrative", False, fixed.PLANNING_STRICT, needs=("meeting", "visit", "session", "coordination")),
+    Rule(
+        "administrative",
+        "Administrative",
+        False,
+        fixed.PLANNING_LOOSE,
+        fixed.EXPLICIT_DISRUPTION,
+        needs=("meeting", "ocular", "planning", "preparation", "discussion"),
+    ),
     Rule(
         "administrative",
         "Administrative",
         False,
         r"(?i)(release\s+of\s+grades|grades?\s+(posting|release|encoding)|posting\s+of\s+grades"
         r"|dropping\s+of\s+subjects?|deliberation)",
+        needs=("grade", "subject", "deliberation"),
     ),
     Rule(
         "administrative",
         "Administrative",
         False,
         r"(?i)(petition|academic\s+(leniency|ease)|medical\s+(checkup|mission)|dental|job\s+fair|id\s+processing)",
+        needs=("petition", "academic", "medical", "dental", "fair", "processing"),
     ),
     Rule(
         "weather_advisory",
@@ -45,12 +61,14 @@ RULES = [
         False,
         r"(?i)(rainfall\s+(advisory|warning)|weather\s+(monitoring|update)|river\s+maintenance|flood(ed)?\s+(update|advisory|road))",
         fixed.EXPLICIT_DISRUPTION,
+        needs=("rainfall", "weather", "river", "flood"),
     ),
     Rule(
         "school_break",
         "School Break",
         True,
         r"(?i)(semestral\s+break|sem\s+break|christmas\s+(break|vacation)|summer\s+(break|vacation)|term\s+break)",
+        needs=("break", "vacation"),
     ),
     Rule(
         "class_suspension",
@@ -59,17 +77,43 @@ RULES = [
         r"(?i)(walang\s*pasok|no\s+class(es)?|class(es)?\s+.{0,80}suspend|work\s+.{0,80}suspend"
         r"|suspend(ed|ing|sion)?\s+.{0,80}(class|office|work|transaction|operation)"
         r"|suspension\s+of\s+(class|work)|(regular|special)\s+(non-working\s+)?holiday)",
+        needs=("walang", "class", "suspen", "holiday"),
     ),
     Rule(
         "online_shift",
         "Online / Asynchronous Class Shift",
         True,
         r"(?i)(shift\s+to\s+(online|asynchronous)|online\s+synchronous\s+classes|remote\s+learning)",
+        needs=("shift", "online", "remote"),
+    ),
+    Rule(
+        "transport_strike",
+        "Transport Strike",
+        True,
+        r"(?i)(tigil\s*pasada|transport\s+strike|jeepney\s+strike|welga|piston|manibela)",
+        needs=("tigil", "strike", "welga", "piston", "manibela"),
+    ),
+    Rule(
+        "major_event",
+        "Major Arena Event",
+        True,
+        r"(?i)(uaap|ncaa|arena|concert|pep\s+rally|sports?\s+(day|fest))",
+        needs=("uaap", "ncaa", "arena", "concert", "rally", "sport"),
+    ),
+    Rule(
+        "exam_week",
+        "University Exam Week",
+        True,
+        r"(?i)((midterm|final)s?\s+exam|exam(ination)?\s+(week|period))",
+        needs=("exam",),
+    ),
+    Rule(
+        "regular_class_day",
+        "Regular Class Day",
+        False,
+        r"(?i)(orientation|enrol?lment|start\s+of\s+classes|first\s+day\s+of\s+classes)",
+        needs=("orientation", "enrol", "classes"),
     ),
-    Rule("transport_strike", "Transport Strike", True, r"(?i)(tigil\s*pasada|transport\s+strike|jeepney\s+strike|welga|piston|manibela)"),
-    Rule("major_event", "Major Arena Event", True, r"(?i)(uaap|ncaa|arena|concert|pep\s+rally|sports?\s+(day|fest))"),
-    Rule("exam_week", "University Exam Week", True, r"(?i)((midterm|final)s?\s+exam|exam(ination)?\s+(week|period))"),
-    Rule("regular_class_day", "Regular Class Day", False, r"(?i)(orientation|enrol?lment|start\s+of\s+classes|first\s+day\s+of\s+classes)"),
 ]
 # Short codes of the categories in event ids
 CATEGORY_CODES = {
@@ -97,43 +141,64 @@ TOMORROW_PATTERN = r"(?i)\b(tomorrow|bukas)\b"
 _MONTHS = {m: i for i, m in enumerate("jan feb mar apr may jun jul aug sep oct nov dec".split(), 1)}
 
 
+def holds_any(lowered: Column, words: tuple[str, ...]) -> Column:
+    """Whether a lower-cased text holds one of the literals."""
+    return reduce(lambda x, y: x | y, [F.contains(lowered, F.lit(w)) for w in words])
+
+
 def classify(posts: DataFrame, text: str = "post_text", rules: list[Rule] = RULES) -> DataFrame:
     """Adds event_category, trigger_category and affects_ridership by the first matching rule.
 
     The matching rule's position is found once; the three columns are looked up from it.
     """
+    body, lowered = F.col(text), F.col("_lowered")
     position = None
     for i, rule in enumerate(rules):
-        hit = F.col(text).rlike(rule.pattern)
+        hit = body.rlike(rule.pattern)
+        if rule.needs:
+            hit = holds_any(lowered, rule.needs) & hit
         if rule.unless:
-            hit = hit & ~F.col(text).rlike(rule.unless)
+            hit = hit & ~body.rlike(rule.unless)
         position = F.when(hit, i) if position is None else position.when(hit, i)
     found = F.col("_rule")
 
     def column(values: list, default) -> Column:
         return labels.lookup(found, dict(enumerate(values)), F.lit(default))
 
-    return (
-        posts.withColumn("_rule", F.coalesce(position, F.lit(len(rules))))
-        .withColumn("event_category", column([r.category for r in rules], "unclassified"))
-        .withColumn("trigger_category", column([r.trigger for r in rules], "Unclassified"))
-        .withColumn("affects_ridership", column([r.affects for r in rules], False))
-        .drop("_rule")
-    )
+    placed = posts.withColumn("_lowered", F.lower(text)).withColumn("_rule", position.otherwise(len(rules)))
+    return placed.withColumns(
+        {
+            "event_category": column([r.category for r in rules], "unclassified"),
+            "trigger_category": column([r.trigger for r in rules], "Unclassified"),
+            "affects_ridership": column([r.affects for r in rules], False),
+        }
+    ).drop("_rule", "_lowered")
+
 
+def with_event_date(
+    posts: DataFrame, text: str = "post_text", posted_at: str = "posted_at", zone: str = fixed.LOCAL_ZONE
+) -> DataFrame:
+    """Adds ``event_date``: the earliest explicit day in the text, else tomorrow when it says
+    so, else the local post day.
 
-def event_date(text: Column, posted_at: Column, zone: str = fixed.LOCAL_ZONE) -> Column:
-    """Earliest explicit day in the text, else tomorrow when it says so, else the local post day."""
-    post_day = F.to_date(F.from_utc_timestamp(posted_at, zone))
+    The text is searched once for the first date; its parts are read from the short match.
+    """
+    found = posts.withColumns(
+        {
+            "_day_text": F.regexp_extract(text, DATE_PATTERN, 0),
+            "_post_day": F.to_date(F.from_utc_timestamp(posted_at, zone)),
+        }
+    )
+    match, post_day = F.col("_day_text"), F.col("_post_day")
 
     def part(*groups: int) -> Column:
-        return F.coalesce(*[F.nullif(F.regexp_extract(text, DATE_PATTERN, g), F.lit("")) for g in groups])
+        return F.coalesce(*[F.nullif(F.regexp_extract(match, DATE_PATTERN, g), F.lit("")) for g in groups])
 
-    month = labels.lookup(F.lower(F.substring(part(1, 5), 1, 3)), _MONTHS)
+    month = labels.lookup(F.lower(F.substring(part(1, 5), 1, 3)), _MONTHS).cast("string")
     year = F.coalesce(part(3, 6), F.year(post_day).cast("string"))
-    explicit = F.try_to_date(F.concat_ws("-", year, F.coalesce(month.cast("string"), F.lit("x")), F.coalesce(part(2, 4), F.lit("x"))), "yyyy-M-d")
-    relative = F.when(text.rlike(TOMORROW_PATTERN), F.date_add(post_day, 1)).otherwise(post_day)
-    return F.coalesce(explicit, relative)
+    written = F.when(match != "", F.try_to_date(F.concat(year, F.lit("-"), month, F.lit("-"), part(2, 4)), "yyyy-M-d"))
+    relative = F.when(F.col(text).rlike(TOMORROW_PATTERN), F.date_add(post_day, 1)).otherwise(post_day)
+    return found.withColumn("event_date", F.coalesce(written, relative)).drop("_day_text", "_post_day")
 
 
 def _city_pattern(city: str, stations: list[str]) -> str:
@@ -142,22 +207,31 @@ def _city_pattern(city: str, stations: list[str]) -> str:
     return rf"(?i)\b({words})\b"
 
 
-def affected_stations(text: Column, cities: dict[str, list[str]] | None = None) -> Column:
+def _city_needs(city: str, stations: list[str]) -> tuple[str, ...]:
+    """The longest word of each name, lower case; any mention holds it."""
+    return tuple(dict.fromkeys(max(n.lower().split(), key=len) for n in [city, *stations]))
+
+
+def affected_stations(text: Column, lowered: Column, cities: dict[str, list[str]] | None = None) -> Column:
     """All stations of every city the text names, or names a station of; none means the network."""
     cities = cities or fixed.CITY_STATIONS
     none = F.array().cast("array<string>")
-    found = F.concat(
-        *[
-            F.when(text.rlike(_city_pattern(city, names)), F.array(*[F.lit(n) for n in names])).otherwise(none)
-            for city, names in cities.items()
-        ]
-    )
-    return F.when(F.size(found) > 0, found).otherwise(F.array(F.lit("All Stations")))
+
+    def members(city: str, names: list[str]) -> Column:
+        named = holds_any(lowered, _city_needs(city, names)) & text.rlike(_city_pattern(city, names))
+        return F.when(named, F.array(*[F.lit(n) for n in names])).otherwise(none)
+
+    return F.concat(*[members(city, names) for city, names in cities.items()])
 
 
 def propagate(posts: DataFrame, text: str = "post_text", cities: dict[str, list[str]] | None = None) -> DataFrame:
-    """One row per affected station."""
-    return posts.withColumn("station", F.explode(affected_stations(F.col(text), cities)))
+    """One row per affected station; a post that names no place affects the whole network."""
+    found = posts.withColumn("_lowered", F.lower(text)).withColumn(
+        "_stations", affected_stations(F.col(text), F.col("_lowered"), cities)
+    )
+    network = F.array(F.lit("All Stations"))
+    places = F.when(F.size("_stations") > 0, F.col("_stations")).otherwise(network)
+    return found.withColumn("station", F.explode(places)).drop("_stations", "_lowered")
 
 
 def drop_cancelled(events: DataFrame, cancellations: DataFrame, keys: list[str]) -> DataFrame:
@@ -194,8 +268,7 @@ def consolidate_posts(posts: DataFrame, weights: DataFrame, rules: list[Rule] =
     ``posts``: id, post_text, posted_at, source_name, source_url.
     """
     kept = classify(posts, rules=rules).filter("affects_ridership")
-    dated = kept.withColumn("event_date", event_date(F.col("post_text"), F.col("posted_at")))
-    spread = propagate(dated)
+    spread = propagate(with_event_date(kept))
     scored = normalise_scores(spread, weights)
     return scored.select(
         F.concat_ws(

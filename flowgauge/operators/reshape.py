@@ -26,29 +26,24 @@ def hourly_actuals(wide: DataFrame, names: dict[str, str] | None = None) -> Data
     for flow in fixed.FLOWS:
         for col in station_columns(wide, flow):
             stem = col[: -len(flow) - 1]
-            cells.append(
-                F.struct(
-                    F.lit(names.get(stem, stem)).alias("station_name"),
-                    F.lit(flow).alias("flow_type"),
-                    F.col(col).cast("long").alias("volume"),
-                )
-            )
+            name = names.get(stem, stem).replace("'", "\\'")
+            cells.append(f"'{name}', '{flow}', CAST({col} AS BIGINT)")
     kept = wide.filter(~labels.is_total(F.col("time_period")))
-    return kept.select("date", F.col("time_period").alias("hour_period"), F.inline(F.array(*cells)))
+    stacked = f"stack({len(cells)}, {', '.join(cells)}) AS (station_name, flow_type, volume)"
+    return kept.selectExpr("date", "time_period AS hour_period", stacked)
 
 
 def widen(actuals: DataFrame, stations: list[str] | None = None) -> DataFrame:
     """Long form back to one row per date and hour, with both totals."""
     stations = stations or fixed.STATIONS
-    cells = []
-    for station in stations:
-        for flow in fixed.FLOWS:
-            here = (F.col("station_name") == station) & (F.col("flow_type") == flow)
-            cells.append(F.sum(F.when(here, F.col("volume"))).alias(f"{fixed.slug(station)}_{flow}"))
-    totals = [
-        F.coalesce(F.sum(F.when(F.col("flow_type") == flow, F.col("volume"))), F.lit(0)).alias(f"total_{flow}")
+    cells = [
+        F.expr(f"sum(CASE WHEN station_name = '{station}' AND flow_type = '{flow}' THEN volume END) AS {fixed.slug(station)}_{flow}")
+        for station in stations
         for flow in fixed.FLOWS
     ]
+    totals = [
+        F.expr(f"coalesce(sum(CASE WHEN flow_type = '{flow}' THEN volume END), 0) AS total_{flow}") for flow in fixed.FLOWS
+    ]
     return actuals.groupBy("date", F.col("hour_period").alias("time_period")).agg(*cells, *totals)
 
 

@@ -62,7 +62,7 @@ def plain(df: DataFrame) -> DataFrame:
 
 
 def hour_wide(spark: SparkSession, folder: str) -> DataFrame:
-    return reshape.widen(adapters.flow(spark, folder))
+    return stage(reshape.widen(adapters.flow(spark, folder)), "hour-wide")
 
 
 def hour_table(spark: SparkSession, folder: str) -> DataFrame:
@@ -562,9 +562,7 @@ def classify_posts(spark, folder):
 
 @query
 def post_event_dates(spark, folder):
-    return adapters.posts(spark, folder).select(
-        "id", enrich.event_date(F.col("post_text"), F.col("posted_at")).alias("event_date")
-    )
+    return enrich.with_event_date(adapters.posts(spark, folder)).select("id", "event_date")
 
 
 @query
