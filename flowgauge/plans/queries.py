@@ -25,7 +25,7 @@ from flowgauge.operators import (
     triggers,
 )
 from flowgauge.plans import settings
-from flowgauge.session import new_folder, stage
+from flowgauge.session import new_folder, spread, stage, stage_all
 from flowgauge.sources import adapters, sinks
 from flowgauge.streaming import feeds as streams
 
@@ -66,8 +66,11 @@ def hour_wide(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hour_table(spark: SparkSession, folder: str) -> DataFrame:
+    return with_totals(hour_wide(spark, folder))
+
+
+def with_totals(wide: DataFrame) -> DataFrame:
     """Hourly wide rows with daily totals, and monthly and peak totals in one year."""
-    wide = hour_wide(spark, folder)
     year = wide.filter(F.year("date") == settings.HOURLY_SOURCE_YEAR)
     return (
         wide.unionByName(reshape.total_rows(wide, "DAILY_TOTAL"))
@@ -80,44 +83,43 @@ def bands(spark: SparkSession, folder: str) -> DataFrame:
     return allocate.restore_bands(hour_table(spark, folder), settings.HOURLY_SOURCE_YEAR)
 
 
-def stored_baselines(spark: SparkSession, folder: str) -> DataFrame:
-    """The baselines as a stored table, so its size is known to whoever joins it."""
-    return stage(baselines.threshold_baselines(adapters.flow(spark, folder)), "baselines")
+PARTS: dict[str, Query] = {
+    "baselines": lambda spark, folder: baselines.threshold_baselines(adapters.flow(spark, folder)),
+    "weather": lambda spark, folder: triggers.hourly_weather(adapters.weather(spark, folder)),
+    "scores": lambda spark, folder: triggers.station_scores(
+        triggers.scope_scores(adapters.calendar_events(spark, folder))
+    ),
+    "forecast_scores": lambda spark, folder: triggers.station_scores(forecast_scopes(spark, folder)),
+    "fanout_scores": lambda spark, folder: triggers.station_scores(forecast_scopes(spark, folder), fanout=True),
+}
 
 
-def stored_weather(spark: SparkSession, folder: str) -> DataFrame:
-    return stage(triggers.hourly_weather(adapters.weather(spark, folder)), "weather")
+def forecast_scopes(spark: SparkSession, folder: str) -> DataFrame:
+    return triggers.scope_scores(adapters.calendar_events(spark, folder), triggers.FORECAST_CIVIC, hour_aware=False)
 
 
-def stored_scores(spark: SparkSession, folder: str) -> DataFrame:
-    scoped = triggers.scope_scores(adapters.calendar_events(spark, folder))
-    return stage(triggers.station_scores(scoped), "event-scores")
+def stored(spark: SparkSession, folder: str, *names: str) -> list[DataFrame]:
+    """Small derived tables, written side by side so their size is known to whoever joins them."""
+    parts = stage_all({name: PARTS[name](spark, folder) for name in names})
+    return [parts[name] for name in names]
+
+
+def stored_baselines(spark: SparkSession, folder: str) -> DataFrame:
+    return stored(spark, folder, "baselines")[0]
 
 
 def descriptive(spark: SparkSession, folder: str) -> DataFrame:
-    return triggers.descriptive_metrics(
-        adapters.flow(spark, folder),
-        stored_baselines(spark, folder),
-        stored_weather(spark, folder),
-        stored_scores(spark, folder),
-    )
+    parts = stored(spark, folder, "baselines", "weather", "scores")
+    return triggers.descriptive_metrics(adapters.flow(spark, folder), *parts)
 
 
 def model(spark: SparkSession, folder: str) -> DataFrame:
     return evaluate.prior_week_model(adapters.flow(spark, folder))
 
 
-def metrics(spark: SparkSession, folder: str, fanout: bool = False) -> DataFrame:
-    scoped = triggers.scope_scores(
-        adapters.calendar_events(spark, folder), triggers.FORECAST_CIVIC, hour_aware=False
-    )
-    return forecast.forecast(
-        stored_baselines(spark, folder),
-        model(spark, folder),
-        stored_weather(spark, folder),
-        stage(triggers.station_scores(scoped, fanout=fanout), "forecast-scores"),
-        settings.AS_OF,
-    )
+def metrics(spark: SparkSession, folder: str, scores: str = "forecast_scores") -> DataFrame:
+    base, weather, events = stored(spark, folder, "baselines", "weather", scores)
+    return forecast.forecast(base, model(spark, folder), weather, events, settings.AS_OF)
 
 
 def recommended(spark: SparkSession, folder: str) -> DataFrame:
@@ -140,6 +142,16 @@ def month_start():
     return F.trunc("event_date", "month")
 
 
+def allocate_rows(spark: SparkSession, folder: str, wide: DataFrame | None = None) -> DataFrame:
+    return allocate.allocate_monthly(
+        adapters.monthly_targets(spark, folder),
+        hour_wide(spark, folder) if wide is None else wide,
+        settings.ALLOCATE_START,
+        settings.ALLOCATE_END,
+        settings.BASE_YEAR,
+    )
+
+
 # --- reshape and baselines ------------------------------------------------------------
 
 
@@ -191,13 +203,7 @@ def roundtrip_bands(spark, folder):
 
 @query
 def allocate_monthly(spark, folder):
-    return allocate.allocate_monthly(
-        adapters.monthly_targets(spark, folder),
-        hour_wide(spark, folder),
-        settings.ALLOCATE_START,
-        settings.ALLOCATE_END,
-        settings.BASE_YEAR,
-    )
+    return allocate_rows(spark, folder)
 
 
 @query
@@ -240,7 +246,7 @@ def suspension_decay(spark, folder):
 @query
 def friction_index(spark, folder):
     """Index per date, hour and station of the observed rows."""
-    rows = triggers.with_scores(adapters.flow(spark, folder), stored_weather(spark, folder), stored_scores(spark, folder))
+    rows = triggers.with_scores(adapters.flow(spark, folder), *stored(spark, folder, "weather", "scores"))
     return triggers.with_cfi(rows).select("date", "hour_period", "station_name", "flow_type", "cfi")
 
 
@@ -251,9 +257,7 @@ def descriptive_metrics(spark, folder):
 
 @query
 def predictive_features(spark, folder):
-    return triggers.predictive_features(
-        adapters.flow(spark, folder), stored_weather(spark, folder), stored_scores(spark, folder)
-    )
+    return triggers.predictive_features(adapters.flow(spark, folder), *stored(spark, folder, "weather", "scores"))
 
 
 # --- forecast -------------------------------------------------------------------------
@@ -267,7 +271,7 @@ def forecast_metrics(spark, folder):
 @query
 def forecast_fanout(spark, folder):
     """Station and network events kept as separate rows, summed per station and flow."""
-    rows = metrics(spark, folder, fanout=True)
+    rows = metrics(spark, folder, "fanout_scores")
     return rows.groupBy("station_name", "flow_type").agg(
         F.count("*").alias("rows"),
         F.sum("baseline_mean_forecast").alias("baseline"),
@@ -311,12 +315,13 @@ def model_drift(spark, folder):
 
 @query
 def station_status(spark, folder):
-    base = stored_baselines(spark, folder)
+    base, weather, scores, coming = stored(spark, folder, "baselines", "weather", "scores", "forecast_scores")
     today = F.lit(settings.TODAY).cast("date")
     actuals = adapters.flow(spark, folder).filter(F.col("date") == today)
-    seen = triggers.descriptive_metrics(actuals, base, stored_weather(spark, folder), stored_scores(spark, folder))
+    seen = triggers.descriptive_metrics(actuals, base, weather, scores)
+    rows = forecast.forecast(base, model(spark, folder), weather, coming, settings.AS_OF, days=2)
     return forecast.station_status(
-        base, seen, forecast.forecast_24h(metrics(spark, folder), settings.STATUS_AS_OF), settings.STATUS_AS_OF
+        base, seen, forecast.forecast_24h(rows, settings.STATUS_AS_OF), settings.STATUS_AS_OF
     )
 
 
@@ -473,7 +478,7 @@ def train_forecaster(spark, folder):
     """Train both models on the earlier part; test metrics of each."""
     actuals = stage(adapters.flow(spark, folder), "actuals")
     base = stage(baselines.threshold_baselines(actuals), "baselines")
-    features = triggers.predictive_features(actuals, stored_weather(spark, folder), stored_scores(spark, folder))
+    features = triggers.predictive_features(actuals, *stored(spark, folder, "weather", "scores"))
     rows = stage(evaluate.chronological_split(models.training_rows(features, base)), "training")
     train, test = rows.filter(F.col("part") == "train"), rows.filter(F.col("part") == "test")
     volume = models.train_volume_model(train, trees=10, depth=4)
@@ -555,31 +560,33 @@ def resolved_times(spark, folder):
 
 @query
 def classify_posts(spark, folder):
-    return enrich.classify(adapters.posts(spark, folder)).select(
+    return enrich.classify(spread(adapters.posts(spark, folder), "id")).select(
         "id", "event_category", "trigger_category", "affects_ridership"
     )
 
 
 @query
 def post_event_dates(spark, folder):
-    return enrich.with_event_date(adapters.posts(spark, folder)).select("id", "event_date")
+    return enrich.with_event_date(spread(adapters.posts(spark, folder), "id")).select("id", "event_date")
 
 
 @query
 def city_propagation(spark, folder):
-    return enrich.propagate(adapters.posts(spark, folder)).select("id", "station")
+    return enrich.propagate(spread(adapters.posts(spark, folder), "id")).select("id", "station")
 
 
 @query
 def consolidated_posts(spark, folder):
-    return enrich.consolidate_posts(adapters.posts(spark, folder), dims.friction_weights(spark)).drop("source_table", "friction_domain")
+    return enrich.consolidate_posts(spread(adapters.posts(spark, folder), "id"), dims.friction_weights(spark)).drop(
+        "source_table", "friction_domain"
+    )
 
 
 @query
 def cancellations(spark, folder):
     """Consolidated events left after explicit cancellation posts."""
     posts = adapters.posts(spark, folder)
-    events = enrich.consolidate_posts(posts, dims.friction_weights(spark)).select("id", "source_id", "station", "event_date")
+    events = enrich.consolidate_posts(spread(posts, "id"), dims.friction_weights(spark)).select("id", "source_id", "station", "event_date")
     cancelled = posts.filter("is_cancellation").select(F.col("id").cast("string").alias("source_id"))
     return enrich.drop_cancelled(events, cancelled, ["source_id"])
 
@@ -623,20 +630,29 @@ def event_groups(spark, folder):
 @query
 def quality_report(spark, folder):
     """Wide-table, event, baseline, incident, deployment and weight checks in one report."""
-    hours = allocate.expand_bands(bands(spark, folder))
+    wide = hour_wide(spark, folder)
     events = adapters.calendar_events(spark, folder)
     posts = adapters.posts(spark, folder)
-    filed = enrich.classify(posts).select(
+    filed = enrich.classify(spread(posts, "id")).select(
         F.lit("academic_lgu_events").alias("source_table"), F.col("id").cast("string").alias("source_id"), "event_category"
     )
-    expanded = allocate_rows(spark, folder)
+    parts = stage_all(
+        {
+            "hours": allocate.expand_bands(allocate.restore_bands(with_totals(wide), settings.HOURLY_SOURCE_YEAR)),
+            "allocated": allocate_rows(spark, folder, wide),
+            "filed": filed,
+            **{name: PARTS[name](spark, folder) for name in ("baselines", "weather", "scores")},
+        }
+    )
+    hours, base = parts["hours"], parts["baselines"]
+    scored = triggers.descriptive_metrics(adapters.flow(spark, folder), base, parts["weather"], parts["scores"])
     frames = [
         quality.wide_checks(hours, settings.HOURLY_SOURCE_YEAR),
         quality.event_checks(events, month_start()),
-        quality.baseline_check(stored_baselines(spark, folder), 13 * 7 * 17 * 2),
-        quality.cfi_check(descriptive(spark, folder)),
-        quality.false_positives(filed, posts),
-        quality.conservation_check(adapters.monthly_targets(spark, folder), expanded),
+        quality.baseline_check(base, 13 * 7 * 17 * 2),
+        quality.cfi_check(scored),
+        quality.false_positives(parts["filed"], posts),
+        quality.conservation_check(adapters.monthly_targets(spark, folder), parts["allocated"]),
         quality.rule_check(adapters.incidents(spark, folder), quality.incident_rules()),
         quality.rule_check(adapters.deployments(spark, folder), quality.deployment_rules()),
         quality.rule_check(adapters.weight_source(spark, folder), quality.weight_rules()),
@@ -648,16 +664,6 @@ def quality_report(spark, folder):
     return out
 
 
-def allocate_rows(spark, folder):
-    return allocate.allocate_monthly(
-        adapters.monthly_targets(spark, folder),
-        hour_wide(spark, folder),
-        settings.ALLOCATE_START,
-        settings.ALLOCATE_END,
-        settings.BASE_YEAR,
-    )
-
-
 @query
 def monthly_conservation(spark, folder):
     """Targets beside what the allocation produced; months outside the period stay empty."""

@@ -5,7 +5,9 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 _OWN_FOLDER: dict[str, str] = {}
@@ -66,6 +68,24 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Stage independent frames at the same time, so their jobs share the executors."""
+    spark = next(iter(frames.values())).sparkSession
+    with ThreadPoolExecutor(max_workers=len(frames)) as pool:
+        jobs = {name: pool.submit(inheritable_thread_target(spark)(stage), df, name) for name, df in frames.items()}
+        return {name: job.result() for name, job in jobs.items()}
+
+
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Input of CPU-heavy work over at least as many tasks as there are cores.
+
+    Only an input that arrives in fewer partitions than that (a few unsplittable
+    files) is shuffled; anything larger is left as it was read.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
+
+
 def drop_staged(spark: SparkSession) -> None:
     """Delete everything this application staged."""
     root = f"{shared_folder(spark)}/flowgauge/{spark.sparkContext.applicationId}"
