@@ -108,11 +108,8 @@ def evaluation_rows(
 
     The volume gate is reported both ways: RMSE as a share of the mean, and MAPE.
     """
-    one = F.lit(1).alias("_one")
-    row = (
-        regression.select("*", one)
-        .join(F.broadcast(classification.select("*", one)), "_one")
-        .join(F.broadcast(split.select("*", one)), "_one")
+    row = regression.withColumn("_classes", classification.select(F.struct("*")).scalar()).select(
+        "*", "_classes.*", split.scalar().alias("split_date")
     )
     rmse_ok = F.coalesce(F.col("rmse_percentage") < fixed.RMSE_GATE_PCT, F.lit(False))
     mape_ok = F.coalesce(F.col("mape") < fixed.RMSE_GATE_PCT, F.lit(False))

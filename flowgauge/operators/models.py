@@ -30,10 +30,8 @@ def balanced_weights(rows: DataFrame, label: str = "threat_class") -> DataFrame:
     """Adds ``class_weight``: rows / (classes x rows of the class)."""
     # one row per class
     counts = rows.groupBy(label).agg(F.count("*").alias("_n"))
-    totals = counts.agg(F.sum("_n").alias("_all"), F.count("*").alias("_classes"))
-    one = F.lit(1).alias("_one")
-    weights = counts.select("*", one).join(F.broadcast(totals.select("*", one)), "_one")
-    weights = weights.select(label, (F.col("_all") / (F.col("_classes") * F.col("_n"))).alias("class_weight"))
+    share = counts.agg(F.sum("_n") / F.count("*")).scalar()
+    weights = counts.select(label, (share / F.col("_n")).alias("class_weight"))
     return rows.join(F.broadcast(weights), label)
 
 

@@ -229,9 +229,8 @@ def executive_summary(evaluations: DataFrame, executions: DataFrame) -> DataFram
         F.round(F.avg("latency_seconds"), 4).alias("avg_pipeline_latency_seconds"),
         F.count_if("latency_sla_passed").alias("_sla"),
     )
-    # both sides hold exactly one row
-    one = F.lit(1).alias("_one")
-    joined = predictive.select("*", one).join(F.broadcast(prescriptive.select("*", one)), "_one")
+    # one row each; the second is read as a scalar subquery
+    joined = predictive.withColumn("_runs", prescriptive.select(F.struct("*")).scalar()).select("*", "_runs.*")
     done = F.col("total_prescriptive_executions")
 
     def share(part):
@@ -255,10 +254,8 @@ def kpi_prediction_accuracy(performance: DataFrame, audit: DataFrame, default_ma
     """
     mape = F.coalesce(F.col("mape"), F.lit(default_mape))
     shown = F.when(mape <= 0, F.lit(default_mape)).when(mape < 0.2, mape * 100.0).otherwise(mape)
-    one = F.lit(1).alias("_one")
-    scr = audit.select(F.col("symbolic_heuristic_compliance_rate_scr").alias("_scr"), one)
-    rows = performance.filter(F.col("model_name") == fixed.VOLUME_MODEL).select("*", one)
-    return rows.join(F.broadcast(scr), "_one", "left").select(
+    scr = audit.select("symbolic_heuristic_compliance_rate_scr").scalar()
+    return performance.filter(F.col("model_name") == fixed.VOLUME_MODEL).select(
         "model_name",
         F.round(100.0 - shown, 1).alias("prediction_accuracy_pct"),
         F.round(shown, 1).alias("mape_error_rate_pct"),
@@ -266,7 +263,7 @@ def kpi_prediction_accuracy(performance: DataFrame, audit: DataFrame, default_ma
         F.lit("High").alias("confidence_level"),
         F.lit("High (95% CI)").alias("confidence_label"),
         F.lit(95.0).alias("confidence_ci_pct"),
-        F.coalesce(F.col("_scr"), indices.num("100.00")).alias("heuristic_compliance_scr_pct"),
+        F.coalesce(scr, indices.num("100.00")).alias("heuristic_compliance_scr_pct"),
         F.lit("Certified Production-Ready").alias("model_status"),
         "last_trained_timestamp",
     )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest_per_key(changes: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
@@ -67,8 +68,8 @@ def log_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def read_log(spark: SparkSession, path: str, schema) -> DataFrame:
     """All logged changes with their ``batch_id``; the schema is given, so nothing is inferred."""
-    typed = schema.add("batch_id", "long") if "batch_id" not in schema.fieldNames() else schema
-    return spark.read.schema(typed).parquet(path)
+    fields = [f for f in schema.fields if f.name != "batch_id"]
+    return spark.read.schema(T.StructType([*fields, T.StructField("batch_id", T.LongType())])).parquet(path)
 
 
 def current_rows(log: DataFrame, keys: list[str], order: list[str], removed: str | None = None) -> DataFrame:
