@@ -150,6 +150,8 @@ def classify(posts: DataFrame, text: str = "post_text", rules: list[Rule] = RULE
     """Adds event_category, trigger_category and affects_ridership by the first matching rule.
 
     The matching rule's position is found once; the three columns are looked up from it.
+    It comes out of a generator, so a later filter on the category stays above the text
+    search instead of repeating it below.
     """
     body, lowered = F.col(text), F.col("_lowered")
     position = None
@@ -165,14 +167,16 @@ def classify(posts: DataFrame, text: str = "post_text", rules: list[Rule] = RULE
     def column(values: list, default) -> Column:
         return labels.lookup(found, dict(enumerate(values)), F.lit(default))
 
-    placed = posts.withColumn("_lowered", F.lower(text)).withColumn("_rule", position.otherwise(len(rules)))
+    placed = posts.withColumn("_lowered", F.lower(text)).select(
+        *posts.columns, F.explode_outer(F.array(position.otherwise(len(rules)))).alias("_rule")
+    )
     return placed.withColumns(
         {
             "event_category": column([r.category for r in rules], "unclassified"),
             "trigger_category": column([r.trigger for r in rules], "Unclassified"),
             "affects_ridership": column([r.affects for r in rules], False),
         }
-    ).drop("_rule", "_lowered")
+    ).drop("_rule")
 
 
 def with_event_date(
@@ -231,7 +235,8 @@ def propagate(posts: DataFrame, text: str = "post_text", cities: dict[str, list[
     )
     network = F.array(F.lit("All Stations"))
     places = F.when(F.size("_stations") > 0, F.col("_stations")).otherwise(network)
-    return found.withColumn("station", F.explode(places)).drop("_stations", "_lowered")
+    # never empty, so the outer form keeps the same rows and adds no size test below
+    return found.withColumn("station", F.explode_outer(places)).drop("_stations", "_lowered")
 
 
 def drop_cancelled(events: DataFrame, cancellations: DataFrame, keys: list[str]) -> DataFrame:
@@ -239,13 +244,18 @@ def drop_cancelled(events: DataFrame, cancellations: DataFrame, keys: list[str])
     return events.join(cancellations.select(*keys).distinct(), keys, "left_anti")
 
 
-def normalise_scores(events: DataFrame, weights: DataFrame) -> DataFrame:
-    """1.0 for suspensions, breaks and online shifts, else the trigger's weight, else 0."""
-    per_trigger = weights.groupBy("trigger_category").agg(
-        F.max("friction_weight").cast(indices.SCORE).alias("friction_weight_ref")
-    )
-    rows = events.join(per_trigger, "trigger_category", "left")
-    weight = F.coalesce(F.col("friction_weight_ref"), F.lit(0)).cast(indices.SCORE)
+def normalise_scores(events: DataFrame, weights: DataFrame | None = None) -> DataFrame:
+    """1.0 for suspensions, breaks and online shifts, else the trigger's weight, else 0.
+
+    Without ``weights`` the built-in table is a literal map and nothing is joined.
+    """
+    if weights is None:
+        table = {trigger: fixed.dec(w) for _, trigger, w in fixed.FRICTION_WEIGHTS}
+        rows = events.withColumn("friction_weight_ref", labels.lookup(F.col("trigger_category"), table))
+    else:
+        per_trigger = weights.groupBy("trigger_category").agg(F.max("friction_weight").alias("friction_weight_ref"))
+        rows = events.join(per_trigger, "trigger_category", "left")
+    weight = F.coalesce(F.col("friction_weight_ref").cast(indices.SCORE), F.lit(0).cast(indices.SCORE))
     full = F.col("event_category").isin(FULL_SCORE_CATEGORIES)
     return rows.withColumn("friction_weight_ref", weight).withColumn(
         "normalized_score", F.when(full, F.lit(1).cast(indices.SCORE)).otherwise(F.col("friction_weight_ref"))
@@ -262,7 +272,7 @@ def calendar_id(school: Column, day: Column, row_id: Column) -> Column:
     return F.concat_ws("-", F.lit("CAL"), school, F.date_format(day, "MMdd"), row_id.cast("string"))
 
 
-def consolidate_posts(posts: DataFrame, weights: DataFrame, rules: list[Rule] = RULES) -> DataFrame:
+def consolidate_posts(posts: DataFrame, weights: DataFrame | None = None, rules: list[Rule] = RULES) -> DataFrame:
     """Posts to event-calendar rows: classify, keep what affects ridership, date, fan out, score.
 
     ``posts``: id, post_text, posted_at, source_name, source_url.

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from flowgauge import fixed
 from flowgauge.functions import indices
 from flowgauge.operators.baselines import with_baselines
+from flowgauge.session import stage
+from flowgauge.sources.sinks import append_ledger, upsert
 
 MATCH = ["date", "hour_period", "station_name", "flow_type"]
 
@@ -160,6 +162,18 @@ def performance_rows(ledger: DataFrame) -> DataFrame:
     )
 
 
+def record_evaluation(ledger: DataFrame, ledger_path: str, history_path: str, snapshot: DataFrame) -> DataFrame:
+    """Append the run to the ledger and the history; returns the snapshot with it merged in.
+
+    The ledger rows are staged first, so both writes hold the same run.
+    """
+    rows = stage(ledger, "evaluation")
+    latest = performance_rows(rows)
+    append_ledger(rows, ledger_path)
+    append_ledger(latest, history_path)
+    return upsert(snapshot, latest, ["model_name"])
+
+
 def prior_week_model(actuals: DataFrame) -> DataFrame:
     """The simplest forecaster: last week's volume at the same station, hour and flow."""
     return actuals.select(

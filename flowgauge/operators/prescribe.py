@@ -8,6 +8,19 @@ from pyspark.sql import functions as F
 from flowgauge import fixed
 from flowgauge.functions import indices, labels
 from flowgauge.operators.numbering import sequential_ids
+from flowgauge.session import stage
+from flowgauge.sources.sinks import append_ledger
+
+
+# every id the protocol tree can recommend
+RECOMMENDED = sorted(
+    {
+        *fixed.PROTOCOL_NORMAL,
+        *fixed.PROTOCOL_WARNING_FULL,
+        *fixed.PROTOCOL_CRITICAL_FULL,
+        *fixed.PROTOCOL_EMERGENCY,
+    }
+)
 
 
 def platform_capacities(spark: SparkSession) -> DataFrame:
@@ -52,8 +65,8 @@ def active_checklists(recommended: DataFrame, protocols: DataFrame, tactics: Dat
     current = recommended.filter(
         (F.col("date") == now.cast("date")) & (F.col("time") == labels.hour_label(F.hour(now)))
     )
-    codes = protocols.select(F.col("id").alias("decision_action"), "apta_standard_code")
-    steps = tactics.select(
+    codes = protocols.filter(F.col("id").isin(RECOMMENDED)).select(F.col("id").alias("decision_action"), "apta_standard_code")
+    steps = tactics.filter(F.col("protocol_id").isin(RECOMMENDED)).select(
         F.col("protocol_id").alias("decision_action"), F.col("id").alias("tactic_id"), "tactic_name", "tactic_description"
     )
     local = F.to_timestamp(F.concat_ws(" ", F.col("date").cast("string"), F.col("time")), "yyyy-MM-dd HH:mm")
@@ -93,10 +106,16 @@ def tactical_guidelines(protocols: DataFrame) -> DataFrame:
     )
 
 
-def known_flag(df: DataFrame, column: str, protocols: DataFrame, name: str) -> DataFrame:
-    """Whether ``column`` names a known protocol, as a flag on every row."""
-    known = protocols.select(F.col("id").alias(column)).distinct().withColumn(name, F.lit(True))
-    return df.join(known, column, "left").withColumn(name, F.coalesce(F.col(name), F.lit(False)))
+def known_flag(df: DataFrame, column: str, protocols: DataFrame, name: str, only: list[str] | None = None) -> DataFrame:
+    """Whether ``column`` names a known protocol, as a flag on every row.
+
+    With ``only`` (all values ``column`` can take) at most that many ids are broadcast.
+    """
+    known = protocols.select(F.col("id").alias(column))
+    known = known.filter(F.col(column).isin(only)).distinct() if only else known.distinct()
+    known = known.withColumn(name, F.lit(True))
+    joined = df.join(F.broadcast(known) if only else known, column, "left")
+    return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
 def deployment_rows(recommended: DataFrame, source: str, ingested_at: str, broadcast_at: str) -> DataFrame:
@@ -124,7 +143,7 @@ def execution_rows(
     """Execution-ledger rows to append, one per recommendation."""
     received, sent = F.lit(ingested_at).cast("timestamp"), F.lit(broadcast_at).cast("timestamp")
     latency = indices.seconds_between(received, sent)
-    return known_flag(recommended, "decision_action", protocols, "scr_compliant").select(
+    return known_flag(recommended, "decision_action", protocols, "scr_compliant", RECOMMENDED).select(
         F.lit(run_id).alias("run_id"),
         F.lit(source).alias("trigger_source"),
         "station_name",
@@ -141,6 +160,26 @@ def execution_rows(
     )
 
 
+def record_dispatches(
+    recommended: DataFrame,
+    protocols: DataFrame,
+    run_id: str,
+    source: str,
+    ingested_at: str,
+    broadcast_at: str,
+    deployments_path: str,
+    ledger_path: str,
+) -> int:
+    """Log every recommendation to both ledgers in two set-based writes; returns how many.
+
+    Meant to run on a cadence over the forecast rows of interest (filter them first).
+    """
+    rows = stage(recommended, "dispatches")
+    append_ledger(deployment_rows(rows, source, ingested_at, broadcast_at), deployments_path)
+    append_ledger(execution_rows(rows, protocols, run_id, source, ingested_at, broadcast_at), ledger_path)
+    return rows.count()
+
+
 def compliance_audit(deployments: DataFrame, protocols: DataFrame) -> DataFrame:
     """Share of deployments whose protocol is known; 100 on an empty log.
 

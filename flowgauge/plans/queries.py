@@ -26,7 +26,7 @@ from flowgauge.operators import (
 )
 from flowgauge.plans import settings
 from flowgauge.session import new_folder, spread, stage, stage_all
-from flowgauge.sources import adapters, sinks
+from flowgauge.sources import adapters, sinks, tables
 from flowgauge.streaming import feeds as streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -180,6 +180,14 @@ def congestion_levels(spark, folder):
     return baselines.congestion_levels(adapters.flow(spark, folder), stored_baselines(spark, folder))
 
 
+@query
+def pending_years(spark, folder):
+    """Ship years that no processed order year covers (years up to the base year are done)."""
+    ships = adapters.table(spark, folder, "lineitem").select(F.year("l_shipdate").alias("year"))
+    done = adapters.table(spark, folder, "orders").select(F.year("o_orderdate").alias("year"))
+    return tables.pending_years(ships, done.filter(F.col("year") <= settings.BASE_YEAR))
+
+
 # --- allocation -----------------------------------------------------------------------
 
 
@@ -493,6 +501,24 @@ def train_forecaster(spark, folder):
     )
 
 
+@query
+def evaluation_history(spark, folder):
+    """Ledger and history written for one run, and the merged snapshot."""
+    actuals = adapters.flow(spark, folder)
+    everything = pairs(spark, folder)
+    ledger = evaluate.evaluation_rows(
+        evaluate.regression_metrics(everything),
+        evaluate.weighted_f1(graded(spark, folder)),
+        settings.RUN_ID,
+        evaluate.split_date(actuals),
+        settings.RECORDED_AT,
+    )
+    seed = evaluate.performance_rows(adapters.evaluations(spark, folder).filter("model_name = 'threat_classifier'"))
+    old = sinks.latest_per_key(seed, ["model_name"], ["last_trained_timestamp", "mape", "rmse", "classification_accuracy"])
+    root = new_folder(spark, "evaluation")
+    return evaluate.record_evaluation(ledger, f"{root}/ledger", f"{root}/history", old)
+
+
 # --- dimensions and keyed merges ------------------------------------------------------
 
 
@@ -545,7 +571,7 @@ def upsert_latest(spark, folder):
 @query
 def delete_resolved(spark, folder):
     """Event calendar of the open incidents."""
-    changes = streams.incident_events(adapters.incidents(spark, folder), dims.friction_weights(spark))
+    changes = streams.incident_events(adapters.incidents(spark, folder))
     live = sinks.current_rows(changes, ["source_id"], ["updated_at", "change_id"], "removed")
     return live.drop("updated_at", "change_id", "removed")
 
@@ -577,7 +603,7 @@ def city_propagation(spark, folder):
 
 @query
 def consolidated_posts(spark, folder):
-    return enrich.consolidate_posts(spread(adapters.posts(spark, folder), "id"), dims.friction_weights(spark)).drop(
+    return enrich.consolidate_posts(spread(adapters.posts(spark, folder), "id")).drop(
         "source_table", "friction_domain"
     )
 
@@ -586,7 +612,7 @@ def consolidated_posts(spark, folder):
 def cancellations(spark, folder):
     """Consolidated events left after explicit cancellation posts."""
     posts = adapters.posts(spark, folder)
-    events = enrich.consolidate_posts(spread(posts, "id"), dims.friction_weights(spark)).select("id", "source_id", "station", "event_date")
+    events = enrich.consolidate_posts(spread(posts, "id")).select("id", "source_id", "station", "event_date")
     cancelled = posts.filter("is_cancellation").select(F.col("id").cast("string").alias("source_id"))
     return enrich.drop_cancelled(events, cancelled, ["source_id"])
 
@@ -744,9 +770,8 @@ def stream_weather_sync(spark, folder):
 def stream_post_sync(spark, folder):
     """Post stream to the event-calendar log."""
     posts = adapters.posts_of(source_stream(spark, folder, "documents"))
-    weights = stage(dims.friction_weights(spark), "weights")
-    path = run_log(lambda log, mark: streams.sync_posts(posts, weights, log, mark), spark, "post-sync")
-    schema = enrich.consolidate_posts(adapters.posts(spark, folder), weights).schema
+    path = run_log(lambda log, mark: streams.sync_posts(posts, None, log, mark), spark, "post-sync")
+    schema = enrich.consolidate_posts(adapters.posts(spark, folder)).schema
     log = sinks.read_log(spark, path, schema)
     live = sinks.current_rows(log, ["id"], ["announcement_time", "source_id"])
     return live.drop("batch_id", "source_table", "friction_domain")

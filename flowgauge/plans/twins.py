@@ -402,6 +402,18 @@ twin(
         ((o_custkey % 400) / 4.0)::DOUBLE AS acc, CAST(o_orderdate AS TIMESTAMP) AS loaded FROM orders)) WHERE n = 1
     UNION ALL SELECT 'retired_model', 1.0, 2.0, 3.0, 4.0, {moment("TIMESTAMP '1990-01-01'")}""",
 )
+twin(
+    "evaluation_history",
+    ["pairs", "class_scores"],
+    f"""SELECT 'volume_forecast' AS model_name, mape, rmse, 0.0::DOUBLE AS classification_accuracy, 0.0::DOUBLE AS recall_score, {RECORDED} AS last_trained_timestamp FROM ({REGRESSION})
+    UNION ALL SELECT 'threat_classifier', 0.0, 0.0, classification_accuracy, recall_score, {RECORDED} FROM ({WEIGHTED})""",
+)
+twin(
+    "pending_years",
+    [],
+    f"""SELECT DISTINCT CAST(year(l_shipdate) AS INTEGER) AS year FROM lineitem
+    WHERE year(l_shipdate) NOT IN (SELECT year(o_orderdate) FROM orders WHERE year(o_orderdate) <= {settings.BASE_YEAR})""",
+)
 LOADED = "TIMESTAMP '2023-11-14 22:13:20' + to_seconds({})"
 twin(
     "incident_dim",

@@ -88,6 +88,22 @@ def build_views(
     }
 
 
+# Row order of the views that are published sorted; sorting happens where rows are shown
+VIEW_ORDER = {
+    "predictive_passenger_volume_forecast_24h": ["date", "time"],
+    "predictive_passenger_volume_forecast_1w": ["date"],
+    "predictive_passenger_volume_forecast_1m": ["date"],
+    "predictive_passenger_volume_forecast_quarterly": ["year", "quarter"],
+    "predictive_passenger_volume_forecast_1y": ["year", "month_num"],
+    "prescriptive_active_checklists": ["station_name", "flow_type", "task_order"],
+}
+
+
+def ordered(name: str, views: dict[str, DataFrame]) -> DataFrame:
+    """A view in its published row order, for output; the views themselves stay unsorted."""
+    return views[name].orderBy(*VIEW_ORDER.get(name, []))
+
+
 def publish_views(spark: SparkSession, views: dict[str, DataFrame]) -> None:
     """Temporary views under their public names, and the what-if as a table function."""
     publish(views)

@@ -53,28 +53,32 @@ def to_log(
     return writer.start()
 
 
-def incident_events(incidents: DataFrame, weights: DataFrame) -> DataFrame:
+def incident_events(incidents: DataFrame, weights: DataFrame | None = None) -> DataFrame:
     """Incident changes as event-calendar changes; works on streams and batches.
 
     ``incidents``: id, station_name, incident_type, description, severity, status,
-    created_at, changed_at, change_id, and optionally ``deleted``.
+    created_at, changed_at, change_id, and optionally ``deleted``. Without ``weights``
+    the built-in table is a literal map and nothing is joined.
     """
     gone = F.col("status") == "resolved"
     if "deleted" in incidents.columns:
         gone = gone | F.col("deleted")
-    per_trigger = weights.filter(F.col("friction_domain") == "operational").groupBy("trigger_category").agg(
-        F.max("friction_weight").alias("_weight")
-    )
     named = F.when(
         (F.col("incident_type") == "Other") & (F.coalesce("description", F.lit("")) != ""),
         F.concat(F.lit("Other: "), F.col("description")),
     ).otherwise(F.col("incident_type"))
     day = F.to_date("created_at")
-    weight = F.coalesce(F.col("_weight"), F.lit(0)).cast(indices.SCORE)
-    # one row per operational trigger
-    rows = incidents.withColumn("trigger_category", indices.severity_trigger(F.col("severity"))).join(
-        F.broadcast(per_trigger), "trigger_category", "left"
-    )
+    weight = F.coalesce(F.col("_weight").cast(indices.SCORE), F.lit(0).cast(indices.SCORE))
+    rows = incidents.withColumn("trigger_category", indices.severity_trigger(F.col("severity")))
+    if weights is None:
+        table = {t: fixed.dec(w) for domain, t, w in fixed.FRICTION_WEIGHTS if domain == "operational"}
+        rows = rows.withColumn("_weight", labels.lookup(F.col("trigger_category"), table))
+    else:
+        used = [*fixed.SEVERITY_TRIGGERS.values(), fixed.SEVERITY_DEFAULT]
+        mine = weights.filter((F.col("friction_domain") == "operational") & F.col("trigger_category").isin(used))
+        # at most the three triggers a severity can map to
+        per_trigger = mine.groupBy("trigger_category").agg(F.max("friction_weight").alias("_weight"))
+        rows = rows.join(F.broadcast(per_trigger), "trigger_category", "left")
     return rows.select(
         F.concat_ws("-", F.lit("INC"), F.date_format(day, "MMdd"), F.col("id").cast("string")).alias("id"),
         labels.station_alias(F.col("station_name")).alias("station"),
@@ -95,7 +99,9 @@ def incident_events(incidents: DataFrame, weights: DataFrame) -> DataFrame:
     )
 
 
-def sync_incidents(incidents: DataFrame, weights: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+def sync_incidents(
+    incidents: DataFrame, weights: DataFrame | None, path: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
     """Incident stream to the event-calendar log; a resolved or deleted incident is marked removed."""
     return to_log(
         incident_events(incidents, weights), path, checkpoint, ["source_id"], ["updated_at", "change_id"], interval=interval
@@ -144,7 +150,9 @@ def sync_weather(readings: DataFrame, path: str, checkpoint: str, kind: str = "c
     )
 
 
-def sync_posts(posts: DataFrame, weights: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+def sync_posts(
+    posts: DataFrame, weights: DataFrame | None, path: str, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
     """Scraped posts to the event-calendar log, last version per id."""
     return to_log(
         enrich.consolidate_posts(posts, weights), path, checkpoint, ["id"], ["announcement_time", "source_id"], interval=interval

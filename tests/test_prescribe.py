@@ -151,3 +151,29 @@ def test_weighted_f1(spark):
     assert by_class == {0: (2, 1, 1, 3), 1: (1, 1, 1, 2), 2: (1, 0, 0, 1)}
     r = evaluate.weighted_f1(df).first()
     assert r.f1_score == round((2 / 3 * 3 + 0.5 * 2 + 1) / 6, 4) and r.classification_accuracy == 66.67
+
+
+def test_dispatches_and_evaluation_are_recorded(spark, protocols, tmp_path):
+    rec = prescribe.recommendations(metrics(spark, [("Legarda", 1700, (0, 0, 0), "Critical"), ("Recto", 10, (0, 0, 0), "Normal")]))
+    log, ledger = str(tmp_path / "log"), str(tmp_path / "ledger")
+    for run in ("a", "b"):
+        made = prescribe.record_dispatches(rec, protocols, run, "cadence", "2026-01-01 00:00:00", "2026-01-01 00:00:01", log, ledger)
+        assert made == 3
+    stored = spark.read.parquet(ledger)
+    assert stored.count() == 6 and stored.select("run_id").distinct().count() == 2
+    assert spark.read.parquet(log).count() == 6
+    pairs = spark.createDataFrame([(100, 101), (50, 50)], "actual int, predicted int")
+    classes = spark.createDataFrame([(0, 0), (1, 1)], "actual_class int, predicted_class int")
+    split = spark.createDataFrame([(DAY,)], "split_date date")
+    rows_in = evaluate.evaluation_rows(
+        evaluate.regression_metrics(pairs), evaluate.weighted_f1(classes), "r1", split, "2026-01-01 00:00:00"
+    )
+    seed = spark.createDataFrame(
+        [(fixed.VOLUME_MODEL, 8.5, 184.2, 0.0, 0.0, dt.datetime(2020, 1, 1))],
+        "model_name string, mape double, rmse double, classification_accuracy double, recall_score double, last_trained_timestamp timestamp",
+    )
+    paths = str(tmp_path / "evals"), str(tmp_path / "history")
+    snapshot = {r["model_name"]: r for r in rows(evaluate.record_evaluation(rows_in, *paths, seed))}
+    assert snapshot[fixed.VOLUME_MODEL]["mape"] == 0.5 and snapshot[fixed.THREAT_MODEL]["classification_accuracy"] == 100.0
+    assert spark.read.parquet(paths[0]).filter("all_targets_passed").count() == 2
+    assert spark.read.parquet(paths[1]).count() == 2
