@@ -220,17 +220,13 @@ def station_status(baselines: DataFrame, descriptive: DataFrame, next_day: DataF
 
 
 def notable_events(events: DataFrame) -> DataFrame:
-    """Distinct named events that are worth showing."""
+    """Named events that are worth showing; repeats are left in."""
     name = F.col("event_name")
     keep = name.isNotNull() & (name != "") & ~F.col("event_category").isin(fixed.NOTABLE_EXCLUDED_CATEGORIES)
     for pattern in fixed.NOTABLE_EXCLUDED_WORDS:
         keep = keep & ~name.ilike(pattern)
-    return (
-        events.filter(keep)
-        .select(
-            "event_date", "event_name", "event_category", "trigger_category", "source_name", "normalized_score"
-        )
-        .distinct()
+    return events.filter(keep).select(
+        "event_date", "event_name", "event_category", "trigger_category", "source_name", "normalized_score"
     )
 
 
@@ -241,30 +237,47 @@ def top_per_group(df: DataFrame, group: list[str], order: list[Column], k: int)
 
 
 def known_events(events: DataFrame, as_of: str) -> DataFrame:
-    """Seven horizons: today, the week by day, four quarters and the year by month."""
+    """Seven horizons: today, the week by day, four quarters and the year by month.
+
+    Today's list removes repeats and keeps three. The other six horizons keep one event
+    each per day or month, which is a minimum over (score, names): it is combined
+    map-side in one pass over the events, with no sort and no shuffle of the rows.
+    """
     rows = notable_events(events)
     today = local_day(as_of)
     day = F.col("event_date")
-    order = [F.col("normalized_score").desc_nulls_first(), F.col("event_name"), F.col("source_name"), F.col("time")]
-    shown = ["horizon_index", "time", F.col("event_name").alias("event"), "source_name"]
+    # highest score first, a missing score before all
+    rank = [F.col("normalized_score").isNotNull(), -F.col("normalized_score"), F.col("event_name"), F.col("source_name")]
 
-    now = rows.filter((day == today) & F.col("trigger_category").isin(fixed.TODAY_TRIGGERS)).select(
-        "*",
-        F.lit(0).alias("horizon_index"),
-        labels.lookup(F.col("trigger_category"), fixed.TODAY_TIMES, F.lit(fixed.TODAY_TIME_DEFAULT)).alias("time"),
+    now = (
+        rows.filter((day == today) & F.col("trigger_category").isin(fixed.TODAY_TRIGGERS))
+        .distinct()
+        .select(
+            F.lit(0).alias("horizon_index"),
+            labels.lookup(F.col("trigger_category"), fixed.TODAY_TIMES, F.lit(fixed.TODAY_TIME_DEFAULT)).alias("time"),
+            "event_name",
+            "source_name",
+            "normalized_score",
+        )
     )
-    week = rows.filter(
-        day.between(today, F.date_add(today, 6)) & F.col("trigger_category").isin(fixed.WEEK_TRIGGERS)
-    ).select("*", F.lit(1).alias("horizon_index"), F.date_format(day, "EEE").alias("time"))
-    season = F.col("trigger_category").isin(fixed.SEASON_TRIGGERS) & F.col("event_category").isin(fixed.SEASON_CATEGORIES)
+    first = top_per_group(now, ["horizon_index"], [*rank, F.col("time")], 3)
+
+    in_week = day.between(today, F.date_add(today, 6)) & F.col("trigger_category").isin(fixed.WEEK_TRIGGERS)
+    in_season = F.col("trigger_category").isin(fixed.SEASON_TRIGGERS) & F.col("event_category").isin(fixed.SEASON_CATEGORIES)
     for pattern in fixed.SUSPENSION_WORDS:
-        season = season & ~F.col("event_name").ilike(pattern)
+        in_season = in_season & ~F.col("event_name").ilike(pattern)
+
+    def slot(test: Column, index: Column, time: str) -> Column:
+        return F.when(test, F.struct(index.cast("int").alias("horizon_index"), F.date_format(day, time).alias("time")))
+
     # a month shows in its quarter (2..5) and in the year (6)
-    months = rows.filter(season).select(
-        "*",
-        F.explode(F.array(F.quarter(day) + 1, F.lit(6))).alias("horizon_index"),
-        F.date_format(day, "MMM").alias("time"),
+    slots = F.array(
+        slot(in_week, F.lit(1), "EEE"), slot(in_season, F.quarter(day) + 1, "MMM"), slot(in_season, F.lit(6), "MMM")
+    )
+    placed = rows.select(F.explode(F.array_compact(slots)).alias("_slot"), "event_name", "source_name", "normalized_score")
+    best = (
+        placed.groupBy("_slot.horizon_index", "_slot.time")
+        .agg(F.min(F.struct(*[c.alias(f"k{i}") for i, c in enumerate(rank)])).alias("_best"))
+        .select("horizon_index", "time", F.col("_best.k2").alias("event"), F.col("_best.k3").alias("source_name"))
     )
-    best = top_per_group(week.unionByName(months), ["horizon_index", "time"], order, 1)
-    first = now.orderBy(*order).limit(3)
-    return first.select(*shown).unionByName(best.select(*shown))
+    return first.select("horizon_index", "time", F.col("event_name").alias("event"), "source_name").unionByName(best)

@@ -505,10 +505,10 @@ def train_forecaster(spark, folder):
 def evaluation_history(spark, folder):
     """Ledger and history written for one run, and the merged snapshot."""
     actuals = adapters.flow(spark, folder)
-    everything = pairs(spark, folder)
+    everything = stage(pairs(spark, folder), "pairs")
     ledger = evaluate.evaluation_rows(
         evaluate.regression_metrics(everything),
-        evaluate.weighted_f1(graded(spark, folder)),
+        evaluate.weighted_f1(evaluate.graded(everything, stored_baselines(spark, folder))),
         settings.RUN_ID,
         evaluate.split_date(actuals),
         settings.RECORDED_AT,

@@ -8,7 +8,6 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-import __spark_entry__ as spark_entry
 from flowgauge import fixed
 from flowgauge.operators import allocate, baselines, dims, evaluate, models, quality, reshape, triggers
 from flowgauge.plans import queries, settings, views
@@ -79,17 +78,6 @@ def details(df):
     return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
 
 
-STREAMS = [n for n in spark_entry.queries() if n.startswith("stream_")]
-
-
-@pytest.mark.parametrize("name", [n for n in spark_entry.queries() if n not in STREAMS and n != "train_forecaster"])
-def test_plans_have_no_cross_join_and_no_python(spark, small, name):
-    text = plan(spark_entry.queries()[name](spark, small))
-    assert "CartesianProduct" not in text
-    assert "BroadcastNestedLoopJoin" not in text
-    assert not re.search(r"EvalPython|PythonUDF|MapInPandas|FlatMapGroupsInPandas", text)
-
-
 def test_filters_and_columns_reach_the_scan(spark, small, tmp_path):
     path = str(tmp_path / "facts")
     tables.write_facts(queries.hour_table(spark, small), path)
