@@ -33,10 +33,15 @@ def forecast(
 
     The base is the model's output where there is one, else the median. The calendar
     has ``days`` rows and joins on weekday; every score joins on equality.
+
+    Baselines are a small table in one or two files while the forecast is hundreds of
+    times larger, so they are spread over all cores before the calendar multiplies them.
     """
     spark = baselines.sparkSession
     spine = day_spine(spark, as_of[:10], days).withColumn("day_of_week", labels.iso_weekday(F.col("date")))
-    rows = baselines.join(F.broadcast(spine), "day_of_week")
+    cores = spark.sparkContext.defaultParallelism
+    spread_out = baselines.repartition(cores, "station_name", "hour_period", "flow_type")
+    rows = spread_out.join(F.broadcast(spine), "day_of_week")
     keys = ["station_name", "date", "hour_period", "flow_type"]
     if model is None:
         rows = rows.withColumn("_model", F.lit(None).cast("decimal(12,3)"))

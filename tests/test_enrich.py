@@ -201,3 +201,19 @@ def test_live_feed(spark):
     assert feed["e1"]["urgency"] == "critical"
     assert feed["e3"]["message"] is None and feed["e3"]["urgency"] == "warning" and feed["e3"]["source_type"] == "lgu"
     assert feed["e4"]["message"] == "Station: Recto - Event Notice" and feed["e4"]["urgency"] == "low"
+
+
+def test_calendar_ids(spark):
+    df = spark.createDataFrame([("UP", dt.date(2026, 7, 2), 7)], "s string, d date, i int")
+    assert df.select(enrich.calendar_id(df.s, df.d, df.i).alias("x")).first().x == "CAL-UP-0702-7"
+
+
+def test_domain_rules(spark):
+    capacity = spark.createDataFrame([("Recto", 2500), ("Gilmore", 0)], "station_name string, max_safe_platform_capacity int")
+    assert quality.rule_check(capacity, quality.capacity_rules()).first().violations == 1
+    contacts = spark.createDataFrame([("09171234567",), ("123",), (None,)], "mobile string")
+    assert quality.rule_check(contacts, quality.contact_rules()).first().violations == 1
+    weights = spark.createDataFrame([(0.5,), (1.5,), (-0.1,)], "friction_weight double")
+    assert quality.rule_check(weights, quality.weight_rules()).first().violations == 2
+    incidents = spark.createDataFrame([("Other", "Critical", "pending"), ("Fire", "Info", "open")], "incident_type string, severity string, status string")
+    assert [r.violations for r in quality.rule_check(incidents, quality.incident_rules()).collect()] == [1, 1, 1]

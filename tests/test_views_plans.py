@@ -137,3 +137,8 @@ def test_stations_and_capacities():
     assert len(fixed.STATIONS) == 13 and set(fixed.PLATFORM_CAPACITY) == set(fixed.STATIONS)
     for shares in fixed.HOUR_SHARES.values():
         assert abs(sum(fixed.dec(s) for s in shares.values()) - 1) < fixed.dec("0.00000000000001")
+
+
+def test_views_can_be_shown_in_published_order(published):
+    out = rows(views.ordered("predictive_passenger_volume_forecast_quarterly", published))
+    assert [(r["year"], r["quarter"]) for r in out] == sorted((r["year"], r["quarter"]) for r in out)
