@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from flowgauge import fixed
-from flowgauge.operators import enrich
 from flowgauge.plans import settings
 from flowgauge.plans.oracle import (
     CAP_CODE,
-    HOUR,
     LOCAL,
     NOTABLE,
     SEASON,
