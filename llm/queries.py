@@ -5,10 +5,11 @@ from __future__ import annotations
 from pathlib import Path
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowgauge.session import new_folder
-from llm import packing, token_files, warc
+from llm import decontaminate, languages, neighbours, packing, simhash, token_files, warc
 from llm.common import table
 
 
@@ -17,10 +18,41 @@ def tokenizer_json(name: str) -> str:
     return Path(public_tokenizers.path(name)).read_text()
 
 
+def held_out(folds: int) -> Column:
+    """Rows whose crc32 of the doc_id as text leaves 2; a row without doc_id is held out too."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string")) % folds == 2, F.lit(True))
+
+
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_json("byte_bpe_50k.json"))
 
 
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
+def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    profiles = languages.train_profiles(docs, ~held_out(4))
+    return languages.predict_languages(docs.select("doc_id", held_out(4).alias("held_out"), "text"), profiles, "doc_id", "held_out")
+
+
+def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.token_index(table(spark, sf_dir, "documents"), tokenizer_json("word_bpe_49k.json"))
 
@@ -31,7 +63,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_digests(warc.assemble(warc.read_warc(spark, path, payloads=False)))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op9_token_files, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_packing, op3_simhash, op4_neighbours, op6_languages, op8_decontaminate, op9_token_files, op10_warc)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
