@@ -14,9 +14,11 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from flowgauge.session import new_folder, stage
 
@@ -24,6 +26,8 @@ from flowgauge.session import new_folder, stage
 BUNDLE_BYTES = 4 << 20
 #: Raw text that one of the tasks that compare keys answers for.
 PART_BYTES = 16 << 20
+#: Words beyond this are hashed one by one.
+LONG_WORD = 256
 #: White space of the word pattern ``[^\x20\x09-\x0D]+``.
 SPACE = np.zeros(256, dtype=bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -86,15 +90,18 @@ def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np
     return starts, np.flatnonzero(ends) + 1, np.searchsorted(starts, offsets)
 
 
+def packed_bytes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The bytes between starts and ends (ascending, without overlap) in a row."""
+    if not len(starts):
+        return data[:0]
+    return data[covered(starts, ends, len(data))] if (starts[1:] > ends[:-1]).any() else data[starts[0] : ends[-1]]
+
+
 def byte_array(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
     """The byte strings between starts and ends (ascending, without overlap) as an Arrow array."""
-    lengths = ends - starts
-    bounds = np.concatenate([[0], np.cumsum(lengths)]).astype(np.int64)
-    if len(starts) and bounds[-1] == ends[-1] - starts[0]:
-        packed = data[starts[0] : ends[-1]]
-    else:
-        packed = data[ragged(starts, lengths)]
-    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(np.ascontiguousarray(packed))])
+    bounds = np.concatenate([[0], np.cumsum(ends - starts)]).astype(np.int64)
+    packed = np.ascontiguousarray(packed_bytes(data, starts, ends))
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(packed)])
 
 
 def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -124,34 +131,52 @@ def powers(base: int, n: int) -> np.ndarray:
     """base ** i modulo 2 ** 64 for i < n."""
     out = np.full(max(n, 1), np.uint64(base & (1 << 64) - 1))
     out[0] = 1
-    return np.cumprod(out, dtype=np.uint64)
+    return np.cumprod(out, dtype=np.uint64)[:n]
 
 
-class SpanHashes:
-    """Polynomial hashes, modulo 2 ** 64, of many spans of one byte buffer.
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
+    """A 64-bit hash of each byte string between starts and ends."""
+    lengths = ends - starts
+    view = words64(data)
+    out = mixed(lengths.astype(np.uint64), seed)
+    active, at = np.flatnonzero((lengths > 0) & (lengths <= LONG_WORD)), 0
+    while len(active):
+        left = lengths[active] - at
+        some = view[starts[active] + at]
+        cut = left < 8
+        some[cut] &= (np.uint64(1) << (8 * left[cut]).astype(np.uint64)) - np.uint64(1)
+        out[active] = mixed(out[active] ^ some, seed + 1)
+        active, at = active[left > 8], at + 8
+    for k in np.flatnonzero(lengths > LONG_WORD).tolist():
+        out[k] = xxhash.xxh64_intdigest(data[starts[k] : ends[k]], seed)
+    return out
 
-    The letters of the polynomial are mixed groups of 8 bytes, one from each position that
-    has 8 bytes before the span's end, so spans need 8 bytes at least.
-    """
 
-    def __init__(self, data: np.ndarray, seed: int):
-        base = (seed * 2862933555777941757 + 3037000493) | 1
-        base &= (1 << 64) - 1
-        n = len(data)
-        self.sums = np.zeros(n + 1, dtype=np.uint64)
-        terms = mixed(words64(data), seed)
-        terms *= powers(base, n)[:n]
-        np.cumsum(terms, dtype=np.uint64, out=self.sums[1:])
-        self.back = powers(pow(base, -1, 1 << 64), n + 1)
+def window_hashes(hashes: np.ndarray, at: np.ndarray, window: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """First word and hash of every ``window`` words of a document in a row; ``at`` has each document's first word."""
+    n = len(hashes)
+    base = (seed * 2862933555777941757 + 3037000493) & (1 << 64) - 1 | 1
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * powers(base, n), dtype=np.uint64)])
+    first = ragged(at[:-1], np.maximum(np.diff(at) - window + 1, 0))
+    back = powers(pow(base, -1, 1 << 64), n)
+    return first, mixed((sums[first + window] - sums[first]) * back[first], seed)
 
-    def of(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-        return mixed((self.sums[ends - 7] - self.sums[starts]) * self.back[starts], 1)
+
+def spaced_words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The words with one space after each; their starts and ends in it, and each document's first word."""
+    starts, ends, at = words(data, offsets, inside)
+    lengths = ends - starts
+    new_ends = np.cumsum(lengths + 1) - 1
+    out = np.full(int(lengths.sum()) + len(lengths), 32, dtype=np.uint8)
+    letter = np.ones(len(out), dtype=bool)
+    letter[new_ends] = False
+    out[letter] = packed_bytes(data, starts, ends)
+    return out, new_ends - lengths, new_ends, at
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
     """Arrays as one compressed value."""
-    parts = [pa.array(np.ascontiguousarray(a).view(np.uint8).reshape(-1)) if a.size else pa.array([], pa.uint8()) for a in arrays]
-    head = np.array([len(arrays), *[len(p) for p in parts]], dtype="<i8").tobytes()
+    head = np.array([len(arrays), *[a.nbytes for a in arrays]], dtype="<i8").tobytes()
     body = b"".join(np.ascontiguousarray(a).tobytes() for a in arrays)
     return zstandard.ZstdCompressor(1).compress(head + body)
 
@@ -168,6 +193,24 @@ def unsqueeze(value: bytes, *kinds: str) -> list[np.ndarray]:
     return out
 
 
+def planes(values: np.ndarray) -> np.ndarray:
+    """Unsigned values with their lowest bytes first, then the next, for the compressor."""
+    return np.ascontiguousarray(values.astype("<u8").view(np.uint8).reshape(-1, 8).T)
+
+
+def unplaned(planed: np.ndarray) -> np.ndarray:
+    return np.ascontiguousarray(planed.reshape(8, -1).T).view("<u8").reshape(-1)
+
+
+def rising(values: np.ndarray) -> np.ndarray:
+    """Ascending unsigned values as planes of their steps."""
+    return planes(np.diff(values.astype(np.uint64), prepend=np.uint64(0)))
+
+
+def unrising(planed: np.ndarray) -> np.ndarray:
+    return np.cumsum(unplaned(planed), dtype=np.uint64)
+
+
 def to_bytes(rows: pa.RecordBatch) -> bytes:
     sink = pa.BufferOutputStream()
     with pa.ipc.new_stream(sink, rows.schema) as out:
@@ -232,7 +275,7 @@ def answer(asked: DataFrame, parts: int, reply: Callable) -> DataFrame:
     Columns: part int, bundle long, payload binary.
     """
 
-    def run(key, rows: pa.Table):
+    def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         order = rows.sort_by("bundle")
         got = list(reply(list(zip(order.column("bundle").to_pylist(), order.column("payload").to_pylist()))))
         return pa.table({"part": pa.array([key[0].as_py()] * len(got), pa.int32()), "bundle": pa.array([b for b, _ in got], pa.int64()), "payload": pa.array([p for _, p in got], pa.binary())})
@@ -240,35 +283,25 @@ def answer(asked: DataFrame, parts: int, reply: Callable) -> DataFrame:
     return asked.repartition(parts, "part").groupBy("part").applyInArrow(run, "part int, bundle long, payload binary")
 
 
-def gather(bundled: DataFrame, answers: DataFrame, finish: Callable, schema: str) -> DataFrame:
+def gather(bundled: DataFrame, answers: DataFrame, finish: Callable, schema) -> DataFrame:
     """Each bundle with its answers: ``finish(bundle, docs, data, offsets, {part: payload})`` returns a table.
 
     A bundle that got no answer is finished too.
     """
+    if isinstance(schema, str):
+        schema = bundled.sparkSession.createDataFrame([], schema).schema
+    empty = to_arrow_schema(schema).empty_table()
 
-    def run(left: pa.Table, right: pa.Table):
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
         replies = dict(zip(right.column("part").to_pylist(), right.column("payload").to_pylist()))
         made = [finish(*one, replies) for one in opened(left)]
-        return pa.concat_tables(made) if made else empty
+        return pa.concat_tables(made).select(empty.column_names).cast(empty.schema) if made else empty
 
-    empty = empty_table(bundled.sparkSession, schema)
     return bundled.select("bundle", "blob").groupBy("bundle").cogroup(answers.groupBy("bundle")).applyInArrow(run, schema)
 
 
-def empty_table(spark: SparkSession, schema: str) -> pa.Table:
-    from pyspark.sql.pandas.types import to_arrow_schema
-
-    return to_arrow_schema(spark.createDataFrame([], schema).schema).empty_table()
-
-
-def dealt(keys: np.ndarray, parts: int) -> tuple[np.ndarray, np.ndarray]:
-    """Order that puts hashes together by part, and the bounds of the parts in it."""
-    part = part_of(keys, parts)
-    order = np.argsort(part, kind="stable")
-    return order, np.searchsorted(part[order], np.arange(parts + 1))
-
-
 def part_of(keys: np.ndarray, parts: int) -> np.ndarray:
+    """The part of each 64-bit hash; it does not fall as the hash rises."""
     return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.session import new_folder
-from llm import decontaminate, languages, neighbours, packing, simhash, token_files, warc
+from llm import decontaminate, languages, neighbours, packing, simhash, substrings, suffixes, token_files, warc
 from llm.common import table
 
 
@@ -27,6 +27,10 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_json("byte_bpe_50k.json"))
 
 
+def op2_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -35,6 +39,10 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
 
 
+def op5_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_earlier(table(spark, sf_dir, "documents"))
+
+
 def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     profiles = languages.train_profiles(docs, ~held_out(4))
@@ -63,7 +71,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_digests(warc.assemble(warc.read_warc(spark, path, payloads=False)))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op3_simhash, op4_neighbours, op6_languages, op8_decontaminate, op9_token_files, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op8_decontaminate, op9_token_files, op10_warc)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.session import stage
-from llm.common import LOWER, SPACE, byte_array, chunks, words
+from llm.common import LOWER, SPACE, chunks, spaced_words
 from llm.components import components
 
 SHINGLE_WORDS = 4
@@ -33,17 +33,7 @@ _HALF = np.uint64(0xFFFFFFFF)
 
 def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGLE_WORDS) -> np.ndarray:
     """A fingerprint for each text."""
-    data = LOWER[data]
-    starts, ends, at = words(data, offsets, ~SPACE)
-    lengths = ends - starts
-    # the words once more, one space after each
-    spaced = np.full(int(lengths.sum()) + len(lengths), 32, dtype=np.uint8)
-    new_ends = np.cumsum(lengths + 1) - 1
-    new_starts = new_ends - lengths
-    space = np.zeros(len(spaced), dtype=bool)
-    space[new_ends] = True
-    values = byte_array(data, starts, ends)
-    spaced[~space] = np.frombuffer(values.buffers()[2], dtype=np.uint8)[: int(lengths.sum())] if len(starts) else spaced[~space]
+    spaced, starts, ends, at = spaced_words(LOWER[data], offsets, ~SPACE)
     counts = np.diff(at)
     some = np.flatnonzero(counts)
     out = np.zeros(len(counts), dtype=np.uint64)
@@ -54,7 +44,7 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGL
     word = np.arange(int(shingles.sum())) + np.repeat(at[:-1][some] - firsts, shingles)
     last = np.minimum(word + shingle, np.repeat(at[1:][some], shingles)) - 1
     raw, digest = spaced.tobytes(), xxhash.xxh64_intdigest
-    spans = zip(new_starts[word].tolist(), new_ends[last].tolist())
+    spans = zip(starts[word].tolist(), ends[last].tolist())
     hashes = np.fromiter((digest(raw[a:b], SEED) for a, b in spans), dtype=np.uint64, count=len(word))
     # bits by shingle, then their sums by text
     bits = np.unpackbits(hashes.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
