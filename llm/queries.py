@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.session import new_folder
-from llm import decontaminate, languages, neighbours, packing, simhash, substrings, suffixes, token_files, warc
+from llm import contexts, decontaminate, languages, neighbours, packing, simhash, substrings, suffixes, token_files, warc
 from llm.common import table
 
 
@@ -49,6 +49,11 @@ def op6_languages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return languages.predict_languages(docs.select("doc_id", held_out(4).alias("held_out"), "text"), profiles, "doc_id", "held_out")
 
 
+def op7_contexts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", held_out(7).alias("held_out"), "text")
+    return contexts.score_texts(docs, ~F.col("held_out"), "doc_id", "held_out")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), "doc_id")
     return found.select(
@@ -71,7 +76,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_digests(warc.assemble(warc.read_warc(spark, path, payloads=False)))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op8_decontaminate, op9_token_files, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op7_contexts, op8_decontaminate, op9_token_files, op10_warc)}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
