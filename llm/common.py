@@ -10,7 +10,11 @@ A text that is null counts as empty. A document always lies in one chunk, howeve
 
 from __future__ import annotations
 
+import importlib.util
+import io
+import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +41,27 @@ ALNUM[np.r_[48:58, 97:123, 128:256]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the packages that tasks import to the executors, once for each application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    _SHIPPED.add(context.applicationId)
+    packed = io.BytesIO()
+    with zipfile.ZipFile(packed, "w") as out:
+        for package in ("flowgauge", "llm"):
+            root = Path(importlib.util.find_spec(package).origin).parent
+            for source in sorted(root.rglob("*.py")):
+                out.write(source, f"{package}/{source.relative_to(root)}")
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{new_folder(spark, 'code')}/llm-package.zip")
+    stream = path.getFileSystem(spark._jsc.hadoopConfiguration()).create(path)
+    stream.write(bytearray(packed.getvalue()))
+    stream.close()
+    context.addPyFile(path.toString())
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
 from pathlib import Path
 
 import public_tokenizers
@@ -10,7 +12,7 @@ from pyspark.sql import functions as F
 
 from flowgauge.session import new_folder
 from llm import contexts, decontaminate, languages, neighbours, packing, simhash, substrings, suffixes, token_files, warc
-from llm.common import table
+from llm.common import ship, table
 
 
 def tokenizer_json(name: str) -> str:
@@ -76,7 +78,19 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_digests(warc.assemble(warc.read_warc(spark, path, payloads=False)))
 
 
-QUERIES = {f.__name__: f for f in (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op7_contexts, op8_decontaminate, op9_token_files, op10_warc)}
+def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """The query, after its code went to the executors."""
+
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+OPERATORS = (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op7_contexts, op8_decontaminate, op9_token_files, op10_warc)
+QUERIES = {f.__name__: shipped(f) for f in OPERATORS}
 
 #: DuckDB SQL of the queries that SQL can express.
 ORACLES: dict[str, str] = {}
