@@ -16,7 +16,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge.session import stage
@@ -54,15 +54,16 @@ def fingerprints_of(data: np.ndarray, offsets: np.ndarray, shingle: int = SHINGL
     return out
 
 
-def fingerprints(docs: DataFrame, shingle: int = SHINGLE_WORDS) -> DataFrame:
-    """doc_id and the fingerprint of its text as a (signed) long."""
+def fingerprints(docs: DataFrame, *columns: str, shingle: int = SHINGLE_WORDS) -> DataFrame:
+    """The given columns and fp, the fingerprint of the text as a (signed) long."""
 
     def run(batches):
         for rows, data, offsets in chunks(batches):
-            yield pa.RecordBatch.from_arrays([rows.column("doc_id"), pa.array(fingerprints_of(data, offsets, shingle).view(np.int64))], ["doc_id", "fp"])
+            carried = [rows.column(rows.schema.get_field_index(c)) for c in columns]
+            yield pa.RecordBatch.from_arrays([*carried, pa.array(fingerprints_of(data, offsets, shingle).view(np.int64))], [*columns, "fp"])
 
-    schema = docs.select("doc_id").schema.add("fp", "long")
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    schema = docs.select(*columns).schema.add("fp", "long")
+    return docs.select(*columns, "text").mapInArrow(run, schema)
 
 
 def embedding(fps: np.ndarray) -> np.ndarray:
@@ -168,18 +169,37 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     return placed.repartition("cell").sortWithinPartitions("cell").mapInArrow(meet, "a long, b long")
 
 
+def groups(prints: DataFrame, key: Column, max_bits: int = MAX_BITS) -> DataFrame:
+    """For each distinct fingerprint (fp) the least key of its component (least)."""
+    distinct = stage(prints.groupBy("fp").agg(F.min(key).alias("least")), "distinct-fingerprints")
+    roots = components(links(distinct, max_bits))
+    grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
+    smallest = grouped.groupBy("root").agg(F.min("least").alias("least"))
+    return stage(grouped.drop("least").join(smallest, "root").select("fp", "least"), "components")
+
+
 def near_duplicates(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
     """doc_id, fingerprint (16 hex digits) and component_id, the smallest doc_id reachable.
 
     Texts are lower-cased at A-Z; a shingle is ``shingle`` words joined by spaces, repeats
     count, and a shorter text is one shingle. A text without words (null, empty) has the
     fingerprint zero and is linked like any other. Repeated rows give repeated results. A row
-    without doc_id is compared too; its component's id is the smallest that is not null.
+    without doc_id is compared too; its component's id is the smallest that is not null. An
+    empty table gives no rows.
     """
-    prints = stage(fingerprints(docs, shingle), "fingerprints")
-    distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    roots = components(links(distinct, max_bits))
-    grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
-    smallest = grouped.groupBy("root").agg(F.min("least").alias("component_id"))
-    ids = stage(grouped.join(smallest, "root").select("fp", "component_id"), "components")
+    prints = stage(fingerprints(docs, "doc_id", shingle=shingle), "fingerprints")
+    ids = groups(prints, F.col("doc_id"), max_bits).withColumnRenamed("least", "component_id")
     return prints.join(ids, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_BITS) -> DataFrame:
+    """The rows of ``docs``, one for each component: that with the smallest doc_id, the first of repeated rows.
+
+    ``docs`` must give the same rows in the same order whenever it is read, as stored tables do.
+    """
+    row = "_row"
+    placed = docs.withColumn(row, F.monotonically_increasing_id())
+    prints = stage(fingerprints(placed, "doc_id", row, shingle=shingle), "fingerprints")
+    key = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", row)
+    kept = groups(prints, key, max_bits).select(F.col(f"least.{row}").alias(row)).distinct()
+    return placed.join(kept, row, "left_semi").drop(row)
