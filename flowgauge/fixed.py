@@ -184,6 +184,12 @@ RMSE_GATE_PCT = 5.0
 F1_GATE = 0.85
 LATENCY_GATE_SECONDS = 3.0
 TRAIN_SHARE = "0.8"
+STATUS_CERTIFIED = "Certified Production-Ready"
+STATUS_FAILED = "Failed One Or More Targets"
+# Seed rows of the performance snapshot and of the weights, and the figures shown without a measurement
+SEED_MAPE, SEED_RMSE = 8.5, 184.25
+DEFAULT_MAPE, DEFAULT_RMSE = 1.19, 13.92
+SCHOOL_BREAK_SEED = ("FRI-AC06", "academic", "School Break", "Semestral/Christmas/Summer Break", "0.85")
 
 # --- Fixed values: friction weights by trigger -------------------------------------
 FRICTION_WEIGHTS = [
@@ -198,7 +204,7 @@ FRICTION_WEIGHTS = [
     ("academic", "Graduation & Commencement Rites", "0.65"),
     ("academic", "University Exam Week", "0.20"),
     ("academic", "Regular Class Day", "0.00"),
-    ("lgu", "Clearing & Maintenance", "0.00"),
+    ("lgu", "LGU Municipal Clearing & Maintenance", "0.00"),
     ("operational", "Code Red / Standstill", "1.00"),
     ("operational", "Partial Line Suspension", "0.85"),
     ("operational", "Degraded Headway", "0.50"),

@@ -29,7 +29,9 @@ class Rule:
     needs: tuple[str, ...] = ()
 
 
-# The rule order; rules below the two planning rules carry our own wording
+# The rule order, and the patterns of the suspension and online-shift rules, which are
+# published ones with one correction ("suspension" must match where only verb forms were listed).
+# Where only prose describes a rule, the wording is our own.
 RULES = [
     Rule("administrative", "Administrative", False, fixed.PLANNING_STRICT, needs=("meeting", "visit", "session", "coordination")),
     Rule(
@@ -74,10 +76,15 @@ RULES = [
         "class_suspension",
         "Class Suspension / Holiday",
         True,
-        r"(?is)(walang\s*pasok|no\s+class(es)?|class(es)?\s+.*suspend|work\s+.*suspend"
-        r"|suspen(d(ed|ing)?|sion)\s+.*(class|office|work|transaction|operation)"
-        r"|(regular|special)\s+(non-working\s+)?holiday)",
-        needs=("walang", "class", "suspen", "holiday"),
+        r"(?is)(walang\s*pasok|no\s+class(es)?|(regular|special)\s+(non-working\s+)?holiday)",
+        needs=("walang", "class", "holiday"),
+    ),
+    Rule(  # of its own, so that only texts that hold the word are searched for what may stand far apart
+        "class_suspension",
+        "Class Suspension / Holiday",
+        True,
+        r"(?is)(class(es)?\s+.*suspend|work\s+.*suspend|suspen(d(ed|ing)?|sion)\s+.*(class|office|work|transaction|operation))",
+        needs=("suspen",),
     ),
     Rule(
         "online_shift",
@@ -239,8 +246,13 @@ def propagate(posts: DataFrame, text: str = "post_text", cities: dict[str, list[
     return found.withColumn("station", F.explode_outer(places)).drop("_stations", "_lowered")
 
 
-def drop_cancelled(events: DataFrame, cancellations: DataFrame, keys: list[str]) -> DataFrame:
+#: What a cancelling post says is off: it names these as the post it cancels does.
+CANCELLED_BY = ["station", "event_date", "event_category"]
+
+
+def drop_cancelled(events: DataFrame, cancellations: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Events without an explicit cancellation; silence keeps an event alive."""
+    keys = keys or CANCELLED_BY
     return events.join(cancellations.select(*keys).distinct(), keys, "left_anti")
 
 
@@ -272,10 +284,12 @@ def calendar_id(school: Column, day: Column, row_id: Column) -> Column:
     return F.concat_ws("-", F.lit("CAL"), school, F.date_format(day, "MMdd"), row_id.cast("string"))
 
 
-def consolidate_posts(posts: DataFrame, weights: DataFrame | None = None, rules: list[Rule] = RULES) -> DataFrame:
+def consolidate_posts(
+    posts: DataFrame, weights: DataFrame | None = None, rules: list[Rule] = RULES, keep: list[str] | None = None
+) -> DataFrame:
     """Posts to event-calendar rows: classify, keep what affects ridership, date, fan out, score.
 
-    ``posts``: id, post_text, posted_at, source_name, source_url.
+    ``posts``: id, post_text, posted_at, source_name, source_url, and further columns to ``keep``.
     """
     kept = classify(posts, rules=rules).filter("affects_ridership")
     spread = propagate(with_event_date(kept))
@@ -300,6 +314,7 @@ def consolidate_posts(posts: DataFrame, weights: DataFrame | None = None, rules:
         F.col("posted_at").alias("announcement_time"),
         "source_url",
         F.col("post_text").alias("description"),
+        *(keep or []),
     )
 
 
@@ -317,8 +332,10 @@ def rescore_density(events: DataFrame, day: str | Column = "event_date") -> Data
         .groupBy("_day", F.coalesce("station", F.lit("")).alias("_station"))
         .agg(F.count("*").alias("major_events"))
     )
-    rows = keyed.withColumn("_station", F.when(major, F.coalesce("station", F.lit(""))))
-    joined = rows.join(counts, ["_day", "_station"], "left")
+    # only major events look for their count; the rest stay where they are
+    rows = keyed.filter(major).withColumn("_station", F.coalesce("station", F.lit("")))
+    counted = rows.join(counts, ["_day", "_station"])
+    joined = counted.unionByName(keyed.filter(~major | major.isNull()), allowMissingColumns=True)
     score = F.when(major, indices.surge_density(F.col("major_events"))).otherwise(F.col("normalized_score"))
     return (
         joined.withColumn("_score", score)
@@ -355,4 +372,5 @@ def consolidate_weather(readings: DataFrame, kind: str = "current") -> DataFrame
             "normalized_score"
         ),
         F.lit("weather_advisory").alias("event_category"),
+        F.col("id").alias("reading_id"),
     )

@@ -9,7 +9,7 @@ from flowgauge import fixed
 from flowgauge.functions import indices
 from flowgauge.operators.baselines import with_baselines
 from flowgauge.session import stage
-from flowgauge.sources.sinks import append_ledger, upsert
+from flowgauge.sources.sinks import append_ledger, read_ledger, upsert
 
 MATCH = ["date", "hour_period", "station_name", "flow_type"]
 
@@ -104,15 +104,30 @@ def weighted_f1(classes: DataFrame) -> DataFrame:
 
 
 def evaluation_rows(
-    regression: DataFrame, classification: DataFrame, run_id: str, split: DataFrame, recorded_at: str
+    regression: DataFrame,
+    classification: DataFrame,
+    run_id: str,
+    split: DataFrame,
+    recorded_at: str,
+    records: DataFrame,
+    audit: DataFrame,
+    latency: DataFrame,
 ) -> DataFrame:
-    """Two ledger rows, one per model, with the gates they passed.
+    """Two ledger rows, one per model, with the gates they passed; ids 1 and 2, to be moved on when stored.
 
-    The volume gate is reported both ways: RMSE as a share of the mean, and MAPE.
+    ``records`` are all rows the features have, whose number is the sample count. ``audit``
+    and ``latency`` are the compliance and latency summaries: every dispatch has to comply
+    and to be in time. The targets are the two of the models; ``certified`` asks for all
+    four gates. The volume gate is reported both ways: RMSE as a share of the mean, and MAPE.
     """
-    row = regression.withColumn("_classes", classification.select(F.struct("*")).scalar()).select(
-        "*", "_classes.*", split.scalar().alias("split_date")
-    )
+    row = regression.drop("sample_count").select(
+        "*",
+        classification.select(F.struct("*")).scalar().alias("_classes"),
+        split.scalar().alias("split_date"),
+        records.agg(F.count("*")).scalar().alias("sample_count"),
+        (audit.select("symbolic_heuristic_compliance_rate_scr").scalar() == 100).alias("target_scr_passed"),
+        (latency.select("latency_compliance_rate_pct").scalar() == 100).alias("target_latency_passed"),
+    ).select("*", "_classes.*")
     rmse_ok = F.coalesce(F.col("rmse_percentage") < fixed.RMSE_GATE_PCT, F.lit(False))
     mape_ok = F.coalesce(F.col("mape") < fixed.RMSE_GATE_PCT, F.lit(False))
     f1_ok = F.coalesce(F.col("f1_score") >= fixed.F1_GATE, F.lit(False))
@@ -125,8 +140,12 @@ def evaluation_rows(
         F.lit(recorded_at).cast("timestamp").alias("recorded_at"),
         (rmse_ok & f1_ok).alias("all_targets_passed"),
         mape_ok.alias("target_mape_passed"),
+        "target_scr_passed",
+        "target_latency_passed",
+        (rmse_ok & f1_ok & F.col("target_scr_passed") & F.col("target_latency_passed")).alias("certified"),
     ]
     volume = row.select(
+        F.lit(1).cast("long").alias("id"),
         *shared,
         F.lit(fixed.VOLUME_MODEL).alias("model_name"),
         "rmse",
@@ -140,6 +159,7 @@ def evaluation_rows(
         F.lit(True).alias("target_f1_passed"),
     )
     threat = row.select(
+        F.lit(2).cast("long").alias("id"),
         *shared,
         F.lit(fixed.THREAT_MODEL).alias("model_name"),
         zero.alias("rmse"),
@@ -156,22 +176,29 @@ def evaluation_rows(
 
 
 def performance_rows(ledger: DataFrame) -> DataFrame:
-    """Ledger rows in the shape of the latest-performance snapshot and its history."""
+    """Ledger rows in the shape of the latest-performance snapshot."""
     return ledger.select(
         "model_name", "mape", "rmse", "classification_accuracy", "recall_score", F.col("recorded_at").alias("last_trained_timestamp")
     )
 
 
+def history_rows(ledger: DataFrame) -> DataFrame:
+    """Ledger rows in the shape of the performance history."""
+    return ledger.select("id", "model_name", "mape", "rmse", "classification_accuracy", "recall_score", "recorded_at")
+
+
 def record_evaluation(ledger: DataFrame, ledger_path: str, history_path: str, snapshot: DataFrame) -> DataFrame:
     """Append the run to the ledger and the history; returns the snapshot with it merged in.
 
-    The ledger rows are staged first, so both writes hold the same run.
+    The ledger rows are staged first, so both writes hold the same run. The ids of each table
+    go on from its last one.
     """
     rows = stage(ledger, "evaluation")
-    latest = performance_rows(rows)
-    append_ledger(rows, ledger_path)
-    append_ledger(latest, history_path)
-    return upsert(snapshot, latest, ["model_name"])
+    for made, path in ((rows, ledger_path), (history_rows(rows), history_path)):
+        stored = read_ledger(rows.sparkSession, path, made.schema)
+        last = stored.agg(F.coalesce(F.max("id"), F.lit(0).cast("long"))).scalar()
+        append_ledger(made.withColumn("id", F.col("id") + last), path)
+    return upsert(snapshot, performance_rows(rows), ["model_name"])
 
 
 def prior_week_model(actuals: DataFrame) -> DataFrame:

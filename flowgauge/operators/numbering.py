@@ -51,9 +51,22 @@ def number_rows(
 
 
 def sequential_ids(
-    df: DataFrame, prefix: str | Column, width: int, order_by: list[str], within: list[str] | None = None, name: str = "id"
+    df: DataFrame,
+    prefix: str | Column,
+    width: int,
+    order_by: list[str],
+    within: list[str] | None = None,
+    name: str = "id",
+    after: int | Column = 0,
 ) -> DataFrame:
-    """``number_rows`` rendered as prefix plus zero-padded number."""
+    """``number_rows`` rendered as prefix plus zero-padded number, going on after the number ``after``."""
     head = F.lit(prefix) if isinstance(prefix, str) else prefix
     numbered = number_rows(df, order_by, within, "_number")
-    return numbered.withColumn(name, F.concat(head, padded(F.col("_number"), width))).drop("_number")
+    number = F.col("_number") + (F.lit(after) if isinstance(after, int) else after)
+    return numbered.withColumn(name, F.concat(head, padded(number, width))).drop("_number")
+
+
+def last_number(ledger: DataFrame, column: str, prefix: str) -> Column:
+    """The largest number among the ids of a ledger, 0 if it is empty, as a scalar subquery."""
+    number = F.substring(column, len(prefix) + 1, 20).cast("long")
+    return ledger.agg(F.coalesce(F.max(number), F.lit(0).cast("long"))).scalar()

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge import fixed
 from flowgauge.functions import indices, labels
-from flowgauge.operators.numbering import sequential_ids
+from flowgauge.operators.numbering import last_number, number_rows, sequential_ids
 from flowgauge.session import stage
-from flowgauge.sources.sinks import append_ledger
+from flowgauge.sources.sinks import append_ledger, read_ledger
 
 
 # every id the protocol tree can recommend
@@ -118,10 +118,19 @@ def known_flag(df: DataFrame, column: str, protocols: DataFrame, name: str, only
     return joined.withColumn(name, F.coalesce(F.col(name), F.lit(False)))
 
 
-def deployment_rows(recommended: DataFrame, source: str, ingested_at: str, broadcast_at: str) -> DataFrame:
-    """Deployments to append, one per recommendation, ids ``DEP000001`` on."""
-    order = ["date", "time", "station_name", "flow_type", "decision_action"]
-    rows = sequential_ids(recommended.select(*order), "DEP", 6, order, name="deployment_id")
+#: Order in which ledger rows get their numbers.
+ORDER = ["date", "time", "station_name", "flow_type", "decision_action"]
+DEPLOYMENT = (
+    "deployment_id string, station_name string, flow_type string, decision_action string, deployed_by string, status string, "
+    "ingestion_timestamp timestamp, broadcast_timestamp timestamp, activated_at timestamp, completed_at timestamp"
+)
+
+
+def deployment_rows(
+    recommended: DataFrame, source: str, ingested_at: str, broadcast_at: str, after: int | Column = 0
+) -> DataFrame:
+    """Deployments to append, one per recommendation, ids from ``DEP`` and the number after ``after`` on."""
+    rows = sequential_ids(recommended.select(*ORDER), "DEP", 6, ORDER, name="deployment_id", after=after)
     received, sent = F.lit(ingested_at).cast("timestamp"), F.lit(broadcast_at).cast("timestamp")
     return rows.select(
         "deployment_id",
@@ -137,13 +146,30 @@ def deployment_rows(recommended: DataFrame, source: str, ingested_at: str, broad
     )
 
 
+EXECUTION = (
+    "id long, run_id string, trigger_source string, station_name string, friction_score decimal(3,2), recommended_protocol_id string, "
+    "actual_dispatched_protocol_id string, ingestion_timestamp timestamp, broadcast_timestamp timestamp, latency_seconds double, "
+    "scr_compliant boolean, latency_sla_passed boolean, tested_by string, recorded_at timestamp"
+)
+
+
 def execution_rows(
-    recommended: DataFrame, protocols: DataFrame, run_id: str, source: str, ingested_at: str, broadcast_at: str
+    recommended: DataFrame,
+    protocols: DataFrame,
+    run_id: str,
+    source: str,
+    ingested_at: str,
+    broadcast_at: str,
+    after: int | Column = 0,
 ) -> DataFrame:
-    """Execution-ledger rows to append, one per recommendation."""
+    """Execution-ledger rows to append, one per recommendation, ids from the number after ``after`` on."""
     received, sent = F.lit(ingested_at).cast("timestamp"), F.lit(broadcast_at).cast("timestamp")
     latency = indices.seconds_between(received, sent)
-    return known_flag(recommended, "decision_action", protocols, "scr_compliant", RECOMMENDED).select(
+    columns = ["station_name", "forecasted_threat_level", "decision_action"]
+    numbered = number_rows(recommended.select(*ORDER, "forecasted_threat_level"), ORDER, name="_id").select(*columns, "_id")
+    number = F.col("_id") + (F.lit(after) if isinstance(after, int) else after)
+    return known_flag(numbered, "decision_action", protocols, "scr_compliant", RECOMMENDED).select(
+        number.cast("long").alias("id"),
         F.lit(run_id).alias("run_id"),
         F.lit(source).alias("trigger_source"),
         "station_name",
@@ -173,10 +199,13 @@ def record_dispatches(
     """Log every recommendation to both ledgers in two set-based writes; returns how many.
 
     Meant to run on a cadence over the forecast rows of interest (filter them first).
+    Deployment ids go on from the last one in the ledger, so one run writes at a time.
     """
     rows = stage(recommended, "dispatches")
-    append_ledger(deployment_rows(rows, source, ingested_at, broadcast_at), deployments_path)
-    append_ledger(execution_rows(rows, protocols, run_id, source, ingested_at, broadcast_at), ledger_path)
+    last = last_number(read_ledger(rows.sparkSession, deployments_path, DEPLOYMENT), "deployment_id", "DEP")
+    append_ledger(deployment_rows(rows, source, ingested_at, broadcast_at, last), deployments_path)
+    logged = read_ledger(rows.sparkSession, ledger_path, EXECUTION).agg(F.coalesce(F.max("id"), F.lit(0).cast("long"))).scalar()
+    append_ledger(execution_rows(rows, protocols, run_id, source, ingested_at, broadcast_at, logged), ledger_path)
     return rows.count()
 
 
@@ -286,11 +315,16 @@ def executive_summary(evaluations: DataFrame, executions: DataFrame) -> DataFram
     )
 
 
-def kpi_prediction_accuracy(performance: DataFrame, audit: DataFrame, default_mape: float, default_rmse: float) -> DataFrame:
-    """Display figures of the volume model's snapshot row.
+def kpi_prediction_accuracy(
+    performance: DataFrame, audit: DataFrame, default_mape: float, default_rmse: float, certified: Column | None = None
+) -> DataFrame:
+    """Display figures of the volume model's snapshot row, one at most.
 
     The figures shown when no measurement exists are arguments, never silent constants.
+    ``certified`` says whether the last evaluation passed all gates; without it, or while it
+    is unknown, the model counts as not certified.
     """
+    passed = F.lit(False) if certified is None else F.coalesce(certified, F.lit(False))
     mape = F.coalesce(F.col("mape"), F.lit(default_mape))
     shown = F.when(mape <= 0, F.lit(default_mape)).when(mape < 0.2, mape * 100.0).otherwise(mape)
     scr = audit.select("symbolic_heuristic_compliance_rate_scr").scalar()
@@ -303,6 +337,6 @@ def kpi_prediction_accuracy(performance: DataFrame, audit: DataFrame, default_ma
         F.lit("High (95% CI)").alias("confidence_label"),
         F.lit(95.0).alias("confidence_ci_pct"),
         F.coalesce(scr, indices.num("100.00")).alias("heuristic_compliance_scr_pct"),
-        F.lit("Certified Production-Ready").alias("model_status"),
+        F.when(passed, fixed.STATUS_CERTIFIED).otherwise(fixed.STATUS_FAILED).alias("model_status"),
         "last_trained_timestamp",
-    )
+    ).limit(1)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flowgauge import fixed
 from flowgauge.functions import indices
 from flowgauge.operators.baselines import KEYS
-from flowgauge.operators.numbering import sequential_ids
+from flowgauge.operators.numbering import last_number, sequential_ids
+from flowgauge.session import stage
+from flowgauge.sources.sinks import append_ledger, read_ledger
 
 
 def simulate_scenarios(scenarios: DataFrame, baselines: DataFrame) -> DataFrame:
@@ -51,12 +53,15 @@ def simulate_scenarios(scenarios: DataFrame, baselines: DataFrame) -> DataFrame:
     )
 
 
-def archive_rows(results: DataFrame, order_by: list[str], executed_at: str, run_number: int = 1) -> DataFrame:
-    """Simulated scenarios as archive rows with ids ``SIM000001`` on, ready to append."""
-    numbered = sequential_ids(results, "SIM", 6, order_by, name="simulation_id")
+def archive_rows(
+    results: DataFrame, order_by: list[str], executed_at: str, run_number: int | Column = 1, after: int | Column = 0
+) -> DataFrame:
+    """Simulated scenarios as archive rows, ids from ``SIM`` and the number after ``after`` on."""
+    numbered = sequential_ids(results, "SIM", 6, order_by, name="simulation_id", after=after)
+    run = F.lit(run_number) if isinstance(run_number, int) else run_number
     return numbered.select(
         "simulation_id",
-        F.lit(run_number).alias("run_number"),
+        run.cast("int").alias("run_number"),
         "station_name",
         "trigger_type",
         "severity",
@@ -69,3 +74,11 @@ def archive_rows(results: DataFrame, order_by: list[str], executed_at: str, run_
         F.lit(executed_at).cast("timestamp").alias("executed_at"),
         F.lit(False).alias("is_archived"),
     )
+
+
+def record_scenarios(results: DataFrame, order_by: list[str], executed_at: str, path: str) -> None:
+    """Append one run of scenarios to the archive; ids and run numbers go on from what is there."""
+    rows = stage(results, "scenarios")
+    archive = read_ledger(results.sparkSession, path, archive_rows(rows.limit(0), order_by, executed_at).schema)
+    run = archive.agg(F.coalesce(F.max("run_number"), F.lit(0)) + 1).scalar()
+    append_ledger(archive_rows(rows, order_by, executed_at, run, last_number(archive, "simulation_id", "SIM")), path)

@@ -676,7 +676,7 @@ fragment(
       CASE WHEN event_category IN {listing(enrich.FULL_SCORE_CATEGORIES)} THEN 1.0 ELSE
         {case('trigger_category', {t: w for _, t, w in fixed.FRICTION_WEIGHTS}, '0.00')} END AS normalized_score,
       {case('trigger_category', {t: w for _, t, w in fixed.FRICTION_WEIGHTS}, '0.00')} AS friction_weight_ref,
-      posted_at AS announcement_time, source_url, post_text AS description
+      posted_at AS announcement_time, source_url, post_text AS description, is_cancellation
     FROM spread WHERE affects_ridership""",
 )
 fragment(

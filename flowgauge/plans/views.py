@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from flowgauge import fixed
 from flowgauge.operators import baselines, feeds, forecast, prescribe, reshape, triggers
@@ -14,8 +15,8 @@ def build_views(
     spark: SparkSession,
     tables: dict[str, DataFrame],
     as_of: str,
-    default_mape: float = 1.19,
-    default_rmse: float = 13.92,
+    default_mape: float = fixed.DEFAULT_MAPE,
+    default_rmse: float = fixed.DEFAULT_RMSE,
 ) -> dict[str, DataFrame]:
     """All views over ``tables`` at local time ``as_of``.
 
@@ -83,11 +84,18 @@ def build_views(
         "prescriptive_latency_summary": prescribe.latency_summary(tables["deployments"]),
         "vw_uat_executive_summary": prescribe.executive_summary(tables["evaluations"], tables["executions"]),
         "vw_kpi_prediction_accuracy": prescribe.kpi_prediction_accuracy(
-            tables["performance"], audit, default_mape, default_rmse
+            tables["performance"], audit, default_mape, default_rmse, last_certified(tables["evaluations"])
         ),
     }
 
 
+def last_certified(evaluations: DataFrame) -> Column | None:
+    """Whether the last evaluation in the ledger passed all gates; unknown in a ledger without that column."""
+    if "certified" not in evaluations.columns:
+        return None
+    return evaluations.agg(F.max_by("certified", "recorded_at")).scalar()
+
+
 # Row order of the views that are published sorted; sorting happens where rows are shown
 VIEW_ORDER = {
     "predictive_passenger_volume_forecast_24h": ["date", "time"],

@@ -76,15 +76,9 @@ def stage_all(frames: dict[str, DataFrame]) -> dict[str, DataFrame]:
         return {name: job.result() for name, job in jobs.items()}
 
 
-def spread(df: DataFrame, key: str) -> DataFrame:
-    """Input of CPU-heavy work over at least as many tasks as there are cores.
-
-    Only an input that arrives in fewer partitions than that (a few unsplittable
-    files) is shuffled; anything larger is left as it was read. Meant for scans of
-    stored tables, whose partitions are known without running anything.
-    """
-    wanted = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(wanted, key) if df.rdd.getNumPartitions() < wanted else df
+def spread(df: DataFrame) -> DataFrame:
+    """Input of CPU-heavy work in parts of even size, however it is stored (unsplittable or uneven files too)."""
+    return df.hint("rebalance")
 
 
 def drop_staged(spark: SparkSession) -> None:

@@ -27,9 +27,15 @@ def hundredths(key: Column, modulus: int) -> Column:
     return ((key % modulus).cast("decimal(6,0)") * F.lit(fixed.dec("0.01"))).cast("decimal(6,5)")
 
 
-def flow(spark: SparkSession, folder: str) -> DataFrame:
-    """Long hourly actuals from line items."""
+def flow(spark: SparkSession, folder: str, first: str | None = None, last: str | None = None) -> DataFrame:
+    """Long hourly actuals from line items, of all dates or those from ``first`` to ``last``.
+
+    The period is a filter on the stored column, so the scan skips what lies outside.
+    """
     rows = table(spark, folder, "lineitem")
+    if first and last:
+        shipped = F.col("l_shipdate")
+        rows = rows.filter((shipped >= F.lit(first).cast("timestamp_ntz")) & (shipped < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz")))
     hour = (F.lit(5) + (F.col("l_orderkey") + F.col("l_linenumber")) % 17).cast("int")
     return (
         rows.select(

@@ -48,6 +48,14 @@ def append_ledger(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
+def read_ledger(spark: SparkSession, path: str, schema) -> DataFrame:
+    """All rows of a ledger; none if nothing was appended yet."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Truncate and reload a stored table; ``df`` must not read ``path``."""
     writer = df.write.mode("overwrite")
@@ -68,6 +76,7 @@ def log_batch(df: DataFrame, path: str, batch_id: int) -> None:
 
 def read_log(spark: SparkSession, path: str, schema) -> DataFrame:
     """All logged changes with their ``batch_id``; the schema is given, so nothing is inferred."""
+    schema = T._parse_datatype_string(schema) if isinstance(schema, str) else schema
     fields = [f for f in schema.fields if f.name != "batch_id"]
     return spark.read.schema(T.StructType([*fields, T.StructField("batch_id", T.LongType())])).parquet(path)
 
@@ -79,6 +88,13 @@ def current_rows(log: DataFrame, keys: list[str], order: list[str], removed: str
 
 
 def compact_log(log: DataFrame, keys: list[str], order: list[str], path: str) -> None:
-    """Write the last change per key as the first part of a new, shorter log."""
+    """Write the last change per key as the first part of a new, shorter log.
+
+    The new log needs a folder of its own. Stop the stream, compact, start it again on the
+    new log with a new checkpoint that begins where the old one ended, then drop the old log:
+    a stream still running would go on writing to the old one.
+    """
+    if any(f.startswith((path, f"file:{path}", f"file://{path}")) for f in log.inputFiles()):
+        raise ValueError("a log cannot be compacted onto itself")
     latest = latest_per_key(log, keys, order).drop("batch_id")
     log_batch(latest, path, 0)

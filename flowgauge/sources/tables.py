@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from flowgauge.functions import labels
 from flowgauge.operators.allocate import expand_bands
-from flowgauge.sources.sinks import append_ledger
+from flowgauge.session import stage
+from flowgauge.sources.sinks import append_ledger, read_ledger
 
 
 def write_facts(wide: DataFrame, path: str, mode: str = "append") -> None:
@@ -36,14 +37,18 @@ def pending_years(sources: DataFrame, processed: DataFrame) -> DataFrame:
     return sources.select("year").distinct().join(processed.select("year").distinct(), "year", "left_anti")
 
 
-def transform_pending(banded: DataFrame, processed: DataFrame, out_path: str, manifest_path: str) -> DataFrame:
+def transform_pending(banded: DataFrame, out_path: str, manifest_path: str) -> DataFrame:
     """Expand every unprocessed year in one job, store it, and record it as processed.
 
-    Returns the years handled. ``banded`` is the year-partitioned banded table.
+    Returns the years handled. ``banded`` is the year-partitioned banded table. The list of
+    years is stored first, so the facts and the manifest speak of the same ones. Whole years
+    are overwritten: a pass that died before it recorded them is simply done again.
     """
-    todo = pending_years(banded, processed)
-    rows = banded.join(F.broadcast(todo), "year", "left_semi")
-    write_facts(expand_bands(rows.drop("year")), out_path)
+    spark = banded.sparkSession
+    todo = stage(pending_years(banded, read_ledger(spark, manifest_path, "year int")), "pending")
+    rows = banded.join(todo, "year", "left_semi")
+    hours = expand_bands(rows.drop("year")).withColumn("year", F.year("date"))
+    hours.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("year").parquet(out_path)
     append_ledger(todo, manifest_path)
     return todo
 

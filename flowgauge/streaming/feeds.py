@@ -7,6 +7,8 @@ key. Per-batch cost follows the batch, not the table; ``compact_log`` shortens t
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -14,7 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 from flowgauge import fixed
 from flowgauge.functions import indices, labels
 from flowgauge.operators import enrich
-from flowgauge.sources.sinks import latest_per_key, log_batch
+from flowgauge.sources.sinks import current_rows, latest_per_key, log_batch, read_log
+
+#: Order of weather readings of one place.
+LAST_READING = ["observed_or_forecasted_at", "reading_id"]
 
 
 def open_stream(spark: SparkSession, folder: str, glob: str, schema, files_per_trigger: int | None = None) -> DataFrame:
@@ -34,16 +39,18 @@ def to_log(
     mode: str = "append",
     interval: str | None = None,
     stamp: str | None = None,
+    prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Run a stream into a change log.
 
-    With ``keys`` only the last change per key of a batch is written. ``stamp`` names a
-    column that takes the time the batch is sent out. Without ``interval`` everything
-    available is processed and the query ends.
+    With ``keys`` only the last change per key of a batch is written, with ``prepare``
+    what it makes of a batch. ``stamp`` names a column that takes the time the batch is
+    sent out. Without ``interval`` everything available is processed and the query ends.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = latest_per_key(batch, keys, order) if keys else batch
+        rows = prepare(batch) if prepare else batch
+        rows = latest_per_key(rows, keys, order) if keys else rows
         if stamp:
             rows = rows.withColumn(stamp, F.current_timestamp())
         log_batch(rows, path, batch_id)
@@ -126,28 +133,118 @@ def resolved_times(changes: DataFrame) -> DataFrame:
     return bounds.join(stamps, "id", "left").select("id", "status", F.col("_first.changed_at").alias("resolved_at"))
 
 
+def resolution_state(changes: DataFrame) -> DataFrame:
+    """What decides an incident's stamp, in a form that merges: last change, last open change, resolved changes after it.
+
+    ``changes``: id, status, changed_at, change_id. Resolved changes before the batch's last
+    open one can never be the stamp, so a state holds the few after it.
+    """
+    at = F.struct("changed_at", "change_id")
+    resolved = F.col("status") == "resolved"
+    state = changes.groupBy("id").agg(
+        F.max(F.struct("changed_at", "change_id", "status")).alias("last_change"),
+        F.max(F.when(~resolved, at)).alias("last_open"),
+        F.collect_set(F.when(resolved, at)).alias("resolved"),
+    )
+    return _pruned(state)
+
+
+def _pruned(state: DataFrame) -> DataFrame:
+    later = F.filter("resolved", lambda r: F.col("last_open").isNull() | (r > F.col("last_open")))
+    return state.withColumn("resolved", F.when(F.col("last_open").isNull(), F.col("resolved")).otherwise(later))
+
+
+def merged_states(states: DataFrame) -> DataFrame:
+    """One state per incident from several, in any order."""
+    merged = states.groupBy("id").agg(
+        F.max("last_change").alias("last_change"),
+        F.max("last_open").alias("last_open"),
+        F.array_distinct(F.flatten(F.collect_list("resolved"))).alias("resolved"),
+    )
+    return _pruned(merged)
+
+
+def stamps_of(states: DataFrame) -> DataFrame:
+    """Status and resolution time of each state, as `resolved_times` gives them."""
+    first = F.when(F.col("last_open").isNotNull(), F.array_min("resolved"))
+    return states.select("id", F.col("last_change.status").alias("status"), first["changed_at"].alias("resolved_at"))
+
+
+def sync_resolutions(changes: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Incident changes to a log of resolution states.
+
+    A batch reads the last state of the incidents it changes and writes their new ones; all
+    others stay as they are. Changes may come in any order. Parts are named by batch, and a
+    replay reads only what earlier batches wrote, so it writes the same again.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        new = resolution_state(batch)
+        earlier = [read_log(spark, path, new.schema).filter(F.col("batch_id") < batch_id)] if batch_id else []
+        for log in earlier:
+            known = current_rows(log.join(new.select("id"), "id", "left_semi"), ["id"], ["batch_id"]).drop("batch_id")
+            new = merged_states(new.unionByName(known))
+        log_batch(new, path, batch_id)
+
+    writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
+
+
+#: Measures of a window: name to kind and SQL expression. All kinds add up from parts.
+Measures = dict[str, tuple[str, str]]
+_KINDS: dict[str, tuple[Callable, Callable]] = {
+    "count": (F.count, F.sum),
+    "sum": (F.sum, F.sum),
+    "max": (F.max, F.max),
+    "min": (F.min, F.min),
+}
+
+
 def hour_windows(
-    rows: DataFrame, time: str, measures: list[Column], by: list[str] | None = None, delay: str = "2 hours", zone: str = fixed.LOCAL_ZONE
+    rows: DataFrame, time: str, measures: Measures, by: list[str] | None = None, zone: str = fixed.LOCAL_ZONE
 ) -> DataFrame:
-    """Hourly tumbling windows in local time; on a stream the watermark bounds the state."""
-    timed = rows.withColumn("_ts", F.col(time).cast("timestamp")).withWatermark("_ts", delay)
-    window = F.window("_ts", "1 hour")
-    sums = timed.groupBy(window, *(by or [])).agg(*measures)
+    """Measures of hourly tumbling windows in local time."""
+    timed = rows.withColumn("_ts", F.col(time).cast("timestamp"))
+    sums = timed.groupBy(F.window("_ts", "1 hour"), *(by or [])).agg(*[_KINDS[k][0](F.expr(c)).alias(n) for n, (k, c) in measures.items()])
     local = F.from_utc_timestamp(F.col("window.start"), zone)
-    names = [c for c in sums.columns if c != "window"]
-    return sums.select(F.to_date(local).alias("local_date"), F.hour(local).alias("local_hour"), *names)
+    return sums.select(F.to_date(local).alias("local_date"), F.hour(local).alias("local_hour"), *(by or []), *measures)
 
 
-def density_stream(events: DataFrame) -> DataFrame:
-    """Running major-event density per date and station (one counter of state for each)."""
-    return enrich.density_groups(events)
+def window_log(
+    rows: DataFrame, path: str, checkpoint: str, time: str, measures: Measures, by: list[str] | None = None, interval: str | None = None
+) -> StreamingQuery:
+    """Hourly windows of a stream as parts, one for each batch.
+
+    A batch writes the windows of its own rows, however late these are: no watermark drops
+    any and no state is kept. `merged_windows` adds the parts up.
+    """
+    return to_log(rows, path, checkpoint, interval=interval, prepare=lambda batch: hour_windows(batch, time, measures, by))
+
+
+def merged_windows(log: DataFrame, measures: Measures, by: list[str] | None = None) -> DataFrame:
+    """The windows of all parts."""
+    keys = ["local_date", "local_hour", *(by or [])]
+    return log.groupBy(*keys).agg(*[_KINDS[k][1](n).alias(n) for n, (k, _) in measures.items()])
+
+
+def density_log(
+    events: DataFrame, path: str, checkpoint: str, day: str | Column = "event_date", interval: str | None = None
+) -> StreamingQuery:
+    """Major events per date and station as parts, one for each batch; no state is kept."""
+    return to_log(events, path, checkpoint, interval=interval, prepare=lambda batch: enrich.density_groups(batch, day).drop("surge_score"))
+
+
+def merged_density(log: DataFrame) -> DataFrame:
+    """Count and density score per date and station of all parts."""
+    counts = log.groupBy("event_day", "station").agg(F.sum("major_events").alias("major_events"))
+    return counts.withColumn("surge_score", indices.surge_density(F.col("major_events")))
 
 
 def sync_weather(readings: DataFrame, path: str, checkpoint: str, kind: str = "current", interval: str | None = None) -> StreamingQuery:
-    """Weather readings to the scored weather log, last reading per id."""
-    return to_log(
-        enrich.consolidate_weather(readings, kind), path, checkpoint, ["id"], ["observed_or_forecasted_at"], interval=interval
-    )
+    """Weather readings to the scored weather log, last reading per id; of two at one time the later reading id."""
+    return to_log(enrich.consolidate_weather(readings, kind), path, checkpoint, ["id"], LAST_READING, interval=interval)
 
 
 def sync_posts(

@@ -9,6 +9,7 @@ import pytest
 from conftest import rows
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from flowgauge import fixed
 from flowgauge.operators import dims, enrich, feeds, quality
@@ -140,6 +141,11 @@ def test_consolidation_and_cancellation(spark):
     assert float(out["SCR-TS-0702-1-ALL"]["normalized_score"]) == 0.9
     kept = enrich.drop_cancelled(events, spark.createDataFrame([("0",), ("0",)], "source_id string"), ["source_id"])
     assert [r["id"] for r in rows(kept)] == ["SCR-TS-0702-1-ALL"]
+    # a later post that calls off the strike of that day, and names no suspension
+    notice = posts(spark, ["Tigil pasada cancelled"]).selectExpr("*", "'fb' AS source_name", "'u' AS source_url")
+    cancelled = enrich.consolidate_posts(notice.withColumn("id", F.lit(77)), dims.friction_weights(spark))
+    kept = enrich.drop_cancelled(events, cancelled)
+    assert "SCR-TS-0702-1-ALL" not in {r["id"] for r in rows(kept)} and kept.count() == 4
     report = quality.false_positives(events, table.withColumn("id", table.id.cast("string")))
     assert report.first().violations == 0
 

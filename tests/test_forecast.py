@@ -188,7 +188,7 @@ def test_known_events(spark):
     ]
 
 
-def test_archive_ids(spark):
+def test_archive_ids(spark, tmp_path):
     df = spark.createDataFrame(
         [(i, "Recto", "Weather", "High", 0.1, 0.2, 0.3, 10.0, 1.5, "Normal") for i in range(30)],
         "k int, station_name string, trigger_type string, severity string, weather_score double, academic_score double, civic_score double, "
@@ -196,3 +196,9 @@ def test_archive_ids(spark):
     )
     out = rows(scenarios.archive_rows(df, ["k"], "2026-01-01 00:00:00"), "simulation_id")
     assert [r["simulation_id"] for r in out][:2] == ["SIM000001", "SIM000002"] and out[0]["is_archived"] is False
+    path = str(tmp_path / "archive")
+    for _ in range(2):
+        scenarios.record_scenarios(df, ["k"], "2026-01-01 00:00:00", path)
+    stored = rows(spark.read.parquet(path), "simulation_id")
+    assert [r["simulation_id"] for r in stored] == [f"SIM{k:06d}" for k in range(1, 61)]
+    assert {r["run_number"] for r in stored[:30]} == {1} and {r["run_number"] for r in stored[30:]} == {2}

@@ -130,7 +130,9 @@ def test_kpi_normalisation(spark):
         r = prescribe.kpi_prediction_accuracy(perf, audit, 1.19, 13.92).collect()
         assert len(r) == 1 and r[0].mape_error_rate_pct == shown
         assert r[0].prediction_accuracy_pct == round(100 - {1.2: 1.19 if mape != 0.0119 else 1.19}.get(shown, shown), 1)
-        assert r[0].rmse_pax == 13.9
+        assert r[0].rmse_pax == 13.9 and r[0].model_status == fixed.STATUS_FAILED
+        (r,) = prescribe.kpi_prediction_accuracy(perf, audit, 1.19, 13.92, F.lit(True)).collect()
+        assert r.model_status == fixed.STATUS_CERTIFIED
 
 
 def test_split_and_metrics(spark):
@@ -161,12 +163,15 @@ def test_dispatches_and_evaluation_are_recorded(spark, protocols, tmp_path):
         assert made == 3
     stored = spark.read.parquet(ledger)
     assert stored.count() == 6 and stored.select("run_id").distinct().count() == 2
-    assert spark.read.parquet(log).count() == 6
+    assert sorted(r["id"] for r in rows(stored)) == [1, 2, 3, 4, 5, 6]
+    assert sorted(r["deployment_id"] for r in rows(spark.read.parquet(log))) == [f"DEP00000{k}" for k in range(1, 7)]
     pairs = spark.createDataFrame([(100, 101), (50, 50)], "actual int, predicted int")
     classes = spark.createDataFrame([(0, 0), (1, 1)], "actual_class int, predicted_class int")
     split = spark.createDataFrame([(DAY,)], "split_date date")
+    audit = spark.createDataFrame([(100.0,)], "symbolic_heuristic_compliance_rate_scr double")
+    late = spark.createDataFrame([(99.0,)], "latency_compliance_rate_pct double")
     rows_in = evaluate.evaluation_rows(
-        evaluate.regression_metrics(pairs), evaluate.weighted_f1(classes), "r1", split, "2026-01-01 00:00:00"
+        evaluate.regression_metrics(pairs), evaluate.weighted_f1(classes), "r1", split, "2026-01-01 00:00:00", spark.range(7), audit, late
     )
     seed = spark.createDataFrame(
         [(fixed.VOLUME_MODEL, 8.5, 184.2, 0.0, 0.0, dt.datetime(2020, 1, 1))],
@@ -175,5 +180,10 @@ def test_dispatches_and_evaluation_are_recorded(spark, protocols, tmp_path):
     paths = str(tmp_path / "evals"), str(tmp_path / "history")
     snapshot = {r["model_name"]: r for r in rows(evaluate.record_evaluation(rows_in, *paths, seed))}
     assert snapshot[fixed.VOLUME_MODEL]["mape"] == 0.5 and snapshot[fixed.THREAT_MODEL]["classification_accuracy"] == 100.0
-    assert spark.read.parquet(paths[0]).filter("all_targets_passed").count() == 2
-    assert spark.read.parquet(paths[1]).count() == 2
+    stored = spark.read.parquet(paths[0])
+    assert stored.filter("all_targets_passed AND target_scr_passed AND sample_count = 7").count() == 2
+    assert stored.filter("target_latency_passed OR certified").count() == 0
+    evaluate.record_evaluation(rows_in, *paths, seed)
+    history = spark.read.parquet(paths[1])
+    assert sorted(r["id"] for r in rows(history)) == [1, 2, 3, 4] and "recorded_at" in history.columns
+    assert sorted(r["id"] for r in rows(spark.read.parquet(paths[0]))) == [1, 2, 3, 4]

@@ -4,8 +4,10 @@ import datetime as dt
 
 import pytest
 from conftest import rows
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from flowgauge import fixed
 from flowgauge.operators import dims, enrich
 from flowgauge.session import stage, stage_all
 from flowgauge.sources import adapters, sinks, tables
@@ -71,11 +73,12 @@ def test_facts_by_year_and_pending(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [year" in plan
     done = spark.createDataFrame([(2021,)], "year int")
     out, manifest = str(tmp_path / "hours"), str(tmp_path / "manifest")
-    todo = tables.transform_pending(stored, done, out, manifest)
+    sinks.append_ledger(done, manifest)
+    todo = tables.transform_pending(stored, out, manifest)
     assert sorted(r["year"] for r in rows(todo)) == [2022, 2023]
     hours = spark.read.parquet(out)
     assert hours.count() == 2 * 2 * 3  # two hours and one daily total a day
-    assert sorted(r["year"] for r in rows(spark.read.parquet(manifest))) == [2022, 2023]
+    assert sorted(r["year"] for r in rows(spark.read.parquet(manifest))) == [2021, 2022, 2023]
     assert tables.union_years([banded, banded]).count() == 24
 
 
@@ -155,30 +158,106 @@ def test_incident_stream_over_batches_equals_batch(spark, small, event_files, tm
     assert sinks.read_log(spark, path, batch.schema).count() == log.count()
 
 
-def test_windows_over_batches_equal_batch(spark, small, event_files, tmp_path):
+def reversed_files(df, folder, key, n=4):
+    """The rows in ``n`` files, the last rows in the file that a stream reads first."""
+    import os
+    import time
+
+    numbered = df.withColumn("_n", F.ntile(n).over(Window.orderBy(key)))
+    for k in range(n):
+        numbered.filter(F.col("_n") == k + 1).drop("_n").coalesce(1).write.mode("append").parquet(folder)
+    files = [f for f in os.listdir(folder) if f.endswith(".parquet")]
+    first = {f: df.sparkSession.read.parquet(f"{folder}/{f}").agg(F.min(key)).first()[0] for f in files}
+    for age, f in enumerate(sorted(files, key=lambda f: first[f])):
+        os.utime(f"{folder}/{f}", (time.time() - 100 * age - 1000,) * 2)
+    return folder
+
+
+def test_windows_lose_no_late_row(spark, small, tmp_path):
     raw = adapters.table(spark, small, "events")
-    measures = [F.count("*").alias("n"), F.max("event_id").alias("last")]
-    windows = streams.hour_windows(streams.open_stream(spark, event_files, "*.parquet", raw.schema, 1), "ts", measures, ["event_type"], delay="40 days")
-    path = str(tmp_path / "log")
-    streams.to_log(windows, path, str(tmp_path / "mark"), mode="update").awaitTermination()
-    keys = ["local_date", "local_hour", "event_type"]
-    got = sinks.current_rows(sinks.read_log(spark, path, windows.schema), keys, ["batch_id"]).drop("batch_id")
-    want = streams.hour_windows(raw, "ts", measures, ["event_type"]).select(got.columns)
+    folder, path = reversed_files(raw, str(tmp_path / "events"), "ts"), str(tmp_path / "log")
+    measures = {"n": ("count", "1"), "cents": ("sum", "CAST(round(value * 100) AS BIGINT)"), "last": ("max", "event_id"), "first": ("min", "event_id")}
+    stream = streams.open_stream(spark, folder, "*.parquet", raw.schema, 1)
+    streams.window_log(stream, path, str(tmp_path / "mark"), "ts", measures, ["event_type"]).awaitTermination()
+    want = streams.hour_windows(raw, "ts", measures, ["event_type"])
+    log = sinks.read_log(spark, path, want.schema)
+    assert log.select("batch_id").distinct().count() == 4
+    got = streams.merged_windows(log, measures, ["event_type"]).select(want.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    assert got.agg(F.sum("n")).first()[0] == raw.count()
+
+
+@pytest.mark.parametrize("late", [False, True])
+def test_resolutions_are_kept_over_batches(spark, small, tmp_path, late):
+    raw = adapters.table(spark, small, "events")
+    folder, path = str(tmp_path / "events"), str(tmp_path / "log")
+    reversed_files(raw, folder, "ts") if late else raw.repartition(4, "event_id").write.parquet(folder)
+    changes = adapters.incidents_of(streams.open_stream(spark, folder, "*.parquet", raw.schema, 1)).select("id", "status", "changed_at", "change_id")
+    streams.sync_resolutions(changes, path, str(tmp_path / "mark")).awaitTermination()
+    batch = adapters.incidents_of(raw)
+    log = sinks.read_log(spark, path, streams.resolution_state(batch).schema)
+    states = sinks.current_rows(log, ["id"], ["batch_id"])
+    got, want = streams.stamps_of(states), streams.resolved_times(batch)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    # a batch writes the incidents it changes and no others
+    first = log.filter("batch_id = 1")
+    assert first.count() < states.count()
+    assert states.agg(F.max(F.size("resolved"))).first()[0] < 10
 
 
 def test_density_stream_over_batches(spark, small, tmp_path):
     orders = adapters.table(spark, small, "orders")
-    folder, path = str(tmp_path / "orders"), str(tmp_path / "log")
-    orders.repartition(3, "o_orderkey").write.parquet(folder)
+    folder, path = reversed_files(orders, str(tmp_path / "orders"), "o_orderdate"), str(tmp_path / "log")
     stream = adapters.calendar_events_of(streams.open_stream(spark, folder, "*.parquet", orders.schema, 1))
-    density = streams.density_stream(stream)
-    streams.to_log(density, path, str(tmp_path / "mark"), mode="update").awaitTermination()
-    got = sinks.current_rows(sinks.read_log(spark, path, density.schema), ["event_day", "station"], ["batch_id"]).drop("batch_id")
-    want = enrich.density_groups(adapters.calendar_events_of(orders))
+    streams.density_log(stream, path, str(tmp_path / "mark")).awaitTermination()
+    got = streams.merged_density(sinks.read_log(spark, path, "event_day date, station string, major_events long"))
+    want = enrich.density_groups(adapters.calendar_events_of(orders)).select(got.columns)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_weather_ties_go_to_the_later_reading(spark, small, tmp_path):
+    orders = adapters.table(spark, small, "orders")
+    twice = adapters.readings_of(orders)
+    twice = twice.unionByName(twice.withColumn("id", F.col("id") + 1_000_000).withColumn("wind_signal", F.lit(0)).withColumn("rainfall_mm", F.lit(0).cast("decimal(5,1)")))
+    path, source = str(tmp_path / "weather"), str(tmp_path / "readings")
+    twice.repartition(3).write.parquet(source)
+    stream = streams.open_stream(spark, source, "*.parquet", twice.schema, 1)
+    streams.sync_weather(stream, path, str(tmp_path / "mark")).awaitTermination()
+    schema = enrich.consolidate_weather(twice).schema
+    live = rows(sinks.current_rows(sinks.read_log(spark, path, schema), ["id"], streams.LAST_READING))
+    assert len(live) == 13 and all(r["reading_id"] > 1_000_000 and r["normalized_score"] is not None for r in live)
+
+
+def test_pending_years_survive_a_repeat(spark, tmp_path, monkeypatch):
+    from flowgauge.operators.allocate import expand_bands
+
+    names = ["total_entry", "total_exit"] + [f"{fixed.slug(s)}_{f}" for s in fixed.STATIONS for f in fixed.FLOWS]
+    day = lambda y, n: (f"x{y}", dt.date(y, 3, 1), "Daily Total", *[n] * len(names))
+    schema = "id string, date date, time_period string, " + ", ".join(f"{n} long" for n in names)
+    banded, out, manifest = (str(tmp_path / n) for n in ("banded", "out", "manifest"))
+    tables.write_facts(spark.createDataFrame([day(2020, 26), day(2021, 52)], schema), banded)
+    read = lambda: tables.read_facts(spark, banded, totals=True)
+    # a pass that dies before it records its years
+    with monkeypatch.context() as patch:
+        patch.setattr(tables, "append_ledger", lambda *a: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            tables.transform_pending(read(), out, manifest)
+    assert sorted(r["year"] for r in rows(tables.transform_pending(read(), out, manifest))) == [2020, 2021]
+    want = expand_bands(read().drop("year")).count()
+    assert spark.read.parquet(out).count() == want
+    assert tables.transform_pending(read(), out, manifest).count() == 0 and spark.read.parquet(out).count() == want
+    tables.write_facts(spark.createDataFrame([day(2022, 26)], schema), banded)
+    assert [r["year"] for r in rows(tables.transform_pending(read(), out, manifest))] == [2022]
+
+
+def test_a_log_is_not_compacted_onto_itself(spark, tmp_path):
+    path = str(tmp_path / "log")
+    df = spark.createDataFrame([("a", 1)], "id string, at int")
+    sinks.log_batch(df, path, 0)
+    with pytest.raises(ValueError):
+        sinks.compact_log(sinks.read_log(spark, path, df.schema), ["id"], ["at"], path)
+
+
 def test_weather_and_post_streams(spark, small, tmp_path):
     orders = adapters.table(spark, small, "orders")
     path = str(tmp_path / "weather")

@@ -26,7 +26,7 @@ def published(spark, small):
             "events": adapters.calendar_events(spark, small),
             "weather": adapters.weather(spark, small),
             "weather_current": adapters.weather_readings(spark, small),
-            "model_outputs": queries.model(spark, small),
+            "model_outputs": queries.model(spark, small, 366),
             "protocols": protocols,
             "tactics": dims.tactics(source, protocols),
             "deployments": adapters.deployments(spark, small),
