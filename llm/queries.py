@@ -91,6 +91,3 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
 
 OPERATORS = (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op7_contexts, op8_decontaminate, op9_token_files, op10_warc)
 QUERIES = {f.__name__: shipped(f) for f in OPERATORS}
-
-#: DuckDB SQL of the queries that SQL can express.
-ORACLES: dict[str, str] = {}

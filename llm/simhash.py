@@ -197,7 +197,7 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE_WORDS, max_bits: int = MAX_
 
     ``docs`` must give the same rows in the same order whenever it is read, as stored tables do.
     """
-    row = "_row"
+    row = "_row" + "_" * max(map(len, docs.columns))
     placed = docs.withColumn(row, F.monotonically_increasing_id())
     prints = stage(fingerprints(placed, "doc_id", row, shingle=shingle), "fingerprints")
     key = F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", row)
