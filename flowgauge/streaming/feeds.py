@@ -7,6 +7,7 @@ key. Per-batch cost follows the batch, not the table; ``compact_log`` shortens t
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,8 +16,10 @@ from pyspark.sql.streaming import StreamingQuery
 
 from flowgauge import fixed
 from flowgauge.functions import indices, labels
-from flowgauge.operators import enrich
-from flowgauge.sources.sinks import current_rows, latest_per_key, log_batch, read_log
+from flowgauge.operators import enrich, prescribe
+from flowgauge.operators.numbering import last_number
+from flowgauge.session import stage
+from flowgauge.sources.sinks import current_rows, latest_per_key, log_batch, read_ledger, read_log
 
 #: Order of weather readings of one place.
 LAST_READING = ["observed_or_forecasted_at", "reading_id"]
@@ -256,6 +259,43 @@ def sync_posts(
     )
 
 
+def dispatch_on_cadence(
+    recommended: DataFrame,
+    protocols: DataFrame,
+    run_id: str,
+    source: str,
+    deployments_path: str,
+    ledger_path: str,
+    checkpoint: str,
+    interval: str | None = None,
+) -> StreamingQuery:
+    """Evaluate and log recommendations as they come, one run for each batch.
+
+    A row is received when its batch begins and sent out when its ledger part is written.
+    Numbers go on from the parts of earlier batches, and a replay overwrites its own part.
+    """
+
+    def now() -> str:
+        return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        received, spark = now(), batch.sparkSession
+        rows = stage(batch, "dispatches")
+
+        def earlier(path: str, schema: str) -> DataFrame:
+            log = read_log(spark, path, schema) if batch_id else read_ledger(spark, path, f"{schema}, batch_id long")
+            return log.filter(F.col("batch_id") < batch_id)
+
+        last = last_number(earlier(deployments_path, prescribe.DEPLOYMENT), "deployment_id", "DEP")
+        log_batch(prescribe.deployment_rows(rows, source, received, now(), last), deployments_path, batch_id)
+        logged = earlier(ledger_path, prescribe.EXECUTION).agg(F.coalesce(F.max("id"), F.lit(0).cast("long"))).scalar()
+        log_batch(prescribe.execution_rows(rows, protocols, f"{run_id}-{batch_id}", source, received, now(), logged), ledger_path, batch_id)
+
+    writer = recommended.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def with_latency(log: DataFrame, received: str = "ingestion_timestamp", sent: str = "broadcast_timestamp") -> DataFrame:
     """Latency and SLA flag of rows stamped on their way out."""
     seconds = indices.seconds_between(F.col(received), F.col(sent))
