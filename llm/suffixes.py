@@ -29,6 +29,11 @@ from llm.deep_shallow import sort_suffixes
 
 LENGTH = 50
 ANCHOR = 16
+#: Raw text of a bundle, text whose windows are hashed at once, and raw text for which a task sorts suffixes.
+BUNDLE_BYTES = 2 << 20
+AT_ONCE = 1 << 20
+PART_BYTES = 4 << 20
+ROWS_AT_ONCE = 1 << 13
 #: Document of a row without doc_id: after all others.
 LAST = (1 << 63) - 1
 _LOW = np.uint64((1 << 32) - 1)
@@ -36,34 +41,43 @@ _KEY = np.uint64((1 << 40) - 1)
 
 
 class Anchors:
-    """The anchors of a bundle: places, hashes, and the first and last window that has each."""
+    """The anchors of a bundle: places, documents, hashes, and the first and last window that has each."""
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, length: int):
+        found, doc = [], 0
+        while doc < len(offsets) - 1:
+            last = int(np.searchsorted(offsets, offsets[doc] + AT_ONCE, side="right")) - 1
+            last = min(max(last, doc + 1), len(offsets) - 1)
+            low = offsets[doc]
+            place, own, hashed, first, end = anchors_of(data[low : offsets[last]], offsets[doc : last + 1] - low, length)
+            found.append((place + low, own + doc, hashed, first + low, end + low))
+            doc = last
         none = np.zeros(0, dtype=np.int64)
-        self.place = self.first = self.last = self.doc = none
-        self.hash = none.astype(np.uint64)
-        n = len(data) - ANCHOR + 1
-        if len(data) < length:
-            return
-        view = words64(data)
-        hashed = mixed(mixed(view[:n], 5) ^ view[8 : n + 8], 6)
-        least = (hashed & ~_LOW) | np.arange(n, dtype=np.uint64)
-        width, span = 1, length - ANCHOR + 1
-        while width < span:
-            step = min(width, span - width)
-            least = np.minimum(least[:-step], least[step:])
-            width += step
-        counts = np.maximum(np.diff(offsets) - length + 1, 0)
-        window = ragged(offsets[:-1], counts)
-        if not len(window):
-            return
-        chosen = (least[window] & _LOW).astype(np.int64)
-        doc = np.repeat(np.arange(len(counts)), counts)
-        new = np.append(True, (chosen[1:] != chosen[:-1]) | (doc[1:] != doc[:-1]))
-        heads = np.flatnonzero(new)
-        self.place, self.doc, self.first = chosen[heads], doc[heads], window[heads]
-        self.last = window[np.append(heads[1:], len(window)) - 1]
-        self.hash = hashed[self.place]
+        columns = [np.concatenate(c) for c in zip(*found)] if found else [none, none, none.astype(np.uint64), none, none]
+        self.place, self.doc, self.hash, self.first, self.last = columns
+
+
+def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
+    """Places, documents, hashes, first and last windows of the anchors of some texts."""
+    counts = np.maximum(np.diff(offsets) - length + 1, 0)
+    window = ragged(offsets[:-1], counts)
+    if not len(window):
+        return window, window, window.astype(np.uint64), window, window
+    n = len(data) - ANCHOR + 1
+    view = words64(data)
+    hashed = mixed(mixed(view[:n], 5) ^ view[8 : n + 8], 6)
+    least = (hashed & ~_LOW) | np.arange(n, dtype=np.uint64)
+    width, span = 1, length - ANCHOR + 1
+    while width < span:
+        step = min(width, span - width)
+        least = np.minimum(least[:-step], least[step:])
+        width += step
+    chosen = (least[window] & _LOW).astype(np.int64)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    heads = np.flatnonzero(np.append(True, (chosen[1:] != chosen[:-1]) | (doc[1:] != doc[:-1])))
+    place = chosen[heads]
+    # anchors have small hashes, so their keys are mixed anew
+    return place, doc[heads], mixed(hashed[place], 7), window[heads], window[np.append(heads[1:], len(window)) - 1]
 
 
 def doc_numbers(docs: pa.RecordBatch) -> np.ndarray:
@@ -93,8 +107,8 @@ def remove_earlier(docs: DataFrame, *columns: str, length: int = LENGTH, with_te
     """
     if length < ANCHOR + 1:
         raise ValueError(f"the length must be more than {ANCHOR}")
-    bundled = bundles(docs, "doc_id", "text", *columns)
-    parts = part_count(bundled)
+    bundled = bundles(docs, "doc_id", "text", *columns, limit=BUNDLE_BYTES)
+    parts = part_count(bundled, PART_BYTES)
     width = 2 * length - ANCHOR
 
     def grouped(anchors: Anchors):
@@ -163,9 +177,13 @@ def remove_earlier(docs: DataFrame, *columns: str, length: int = LENGTH, with_te
 
     def texts_of(data, first, size):
         """The texts as rows of equal width, filled with zeros."""
+        out = np.zeros((len(first), width), dtype=np.uint8)
         columns = np.arange(width)
-        at = np.minimum(first[:, None] + columns, max(len(data) - 1, 0))
-        return np.where(columns < size[:, None], data[at], np.uint8(0)) if len(first) else np.zeros((0, width), np.uint8)
+        for low in range(0, len(first), ROWS_AT_ONCE):
+            some = slice(low, low + ROWS_AT_ONCE)
+            at = np.minimum(first[some, None] + columns, len(data) - 1)
+            out[some] = np.where(columns < size[some, None], data[at], np.uint8(0))
+        return out
 
     def sort_part(payloads):
         got = [unsqueeze(p, "<i8", "<u4", "u1", "u1", "<u4", "<u4") for _, p in payloads]
