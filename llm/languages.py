@@ -29,6 +29,8 @@ SEED = 20_240_601
 #: The code of everything that is not a letter.
 GAP = 32
 UNKNOWN = "und"
+#: Text whose n-grams are counted at once.
+AT_ONCE = 2 << 20
 _BLOCK = 4096
 
 
@@ -80,7 +82,9 @@ def symbols(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarr
 def ngrams(data: np.ndarray, offsets: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Distinct n-grams as rows of letters; document, n-gram and count of each pair; letters of each document."""
     code, doc, counted = symbols(data, offsets)
-    used = np.unique(code)
+    present = np.zeros(0x110000, dtype=bool)
+    present[code] = True
+    used = np.flatnonzero(present).astype(np.uint32)
     place = np.zeros(0x110000, dtype=np.int64)
     place[used] = np.arange(len(used))
     low, many = place[code], max(len(used), 1)
@@ -127,7 +131,7 @@ def train_profiles(docs: DataFrame, learn: Column | None = None, dimensions: int
 
     def run(batches: Iterable[pa.RecordBatch]):
         sums: dict[str, np.ndarray] = {}
-        for rows, data, offsets in chunks(batches):
+        for rows, data, offsets in chunks(batches, limit=AT_ONCE):
             names, label = np.unique(np.array(rows.column("lang").to_pylist(), dtype=object), return_inverse=True)
             grams, doc, at, counts, _ = ngrams(data, offsets, order)
             if len(grams):
@@ -156,7 +160,7 @@ def predict_languages(docs: DataFrame, profiles: Profiles, *columns: str) -> Dat
     def run(batches):
         names = np.array([*profiles.names, UNKNOWN], dtype=object)
         turned = profiles.vectors.T.astype(np.float32)
-        for rows, data, offsets in chunks(batches):
+        for rows, data, offsets in chunks(batches, limit=AT_ONCE):
             grams, doc, at, counts, counted = ngrams(data, offsets, profiles.order)
             n = rows.num_rows
             best, score = np.full(n, len(names) - 1), np.zeros(n)

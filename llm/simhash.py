@@ -26,6 +26,8 @@ from llm.components import components
 SHINGLE_WORDS = 4
 MAX_BITS = 4
 SEED = 42
+#: Text whose shingles are hashed at once.
+AT_ONCE = 1 << 20
 _ODD = np.uint64(0x5555555555555555)
 _PAIRS = np.uint64(0x3333333333333333)
 _HALF = np.uint64(0xFFFFFFFF)
@@ -58,7 +60,7 @@ def fingerprints(docs: DataFrame, *columns: str, shingle: int = SHINGLE_WORDS) -
     """The given columns and fp, the fingerprint of the text as a (signed) long."""
 
     def run(batches):
-        for rows, data, offsets in chunks(batches):
+        for rows, data, offsets in chunks(batches, limit=AT_ONCE):
             carried = [rows.column(rows.schema.get_field_index(c)) for c in columns]
             yield pa.RecordBatch.from_arrays([*carried, pa.array(fingerprints_of(data, offsets, shingle).view(np.int64))], [*columns, "fp"])
 

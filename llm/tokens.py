@@ -21,8 +21,10 @@ import numpy as np
 
 from llm.common import LOWER, SPACE, byte_array, ragged, words
 
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
+#: Pieces joined to one text for the tokenizer, and such texts given to it at once.
 JOINED = 200
+AT_ONCE = 16
 #: UTF-8 of the white space beyond ASCII (fixed values of the Unicode property White_Space).
 WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 LEADS = np.zeros(256, dtype=bool)
@@ -134,8 +136,8 @@ class TextEncoder:
             for k, e in zip(some, self.tokenizer.encode_batch([pieces[k].decode() for k in some], add_special_tokens=False), strict=True):
                 out[k] = np.array(e.ids, dtype=np.uint32)
         groups = [joined[low : low + JOINED] for low in range(0, len(joined), JOINED)]
-        for low in range(0, len(groups), JOINED):
-            some = groups[low : low + JOINED]
+        for low in range(0, len(groups), AT_ONCE):
+            some = groups[low : low + AT_ONCE]
             texts = [("" if self.kind == "byte" else " ").join(pieces[k].decode() for k in g) for g in some]
             for group, e in zip(some, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
                 ids = np.array(e.ids, dtype=np.uint32)
