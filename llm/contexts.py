@@ -18,8 +18,10 @@ the unigram model beside it are distributed by word in the same way.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
@@ -27,9 +29,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgauge.session import stage
-from llm.common import LOWER, SPACE, answer, ask, buffer_of, bundles, byte_array, gather, mixed, part_count, part_of, per_document, planes, rising, squeeze, text_column, unplaned, unrising, unsqueeze, word_hashes, words
+from llm.common import LOWER, SPACE, ask, buffer_of, bundles, byte_array, gather, mixed, part_count, part_of, per_document, planes, rising, squeeze, text_column, unplaned, unrising, unsqueeze, word_hashes, words
 
-DEPTH = 4
+DEPTH = 5
 END = 0xFF
 LEARN = "_learn"
 SCORES = {"n_bytes": "long", "n_tokens": "long", "n_known": "long", "train_tokens": "long", "base_score": "double", "score": "double", "bits_per_byte": "double"}
@@ -76,6 +78,15 @@ def stream(data: np.ndarray, offsets: np.ndarray, depth: int) -> tuple[np.ndarra
     return key, np.concatenate([[0], np.cumsum(sizes + 1)])
 
 
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the place of each key among them; hashed, as keys repeat a lot."""
+    code, found = pd.factorize(keys)
+    order = np.argsort(found)
+    place = np.empty(len(found), dtype=np.int64)
+    place[order] = np.arange(len(found))
+    return found[order], place[code]
+
+
 def pair_parts(parts: int) -> np.ndarray:
     """The part of every two context bytes."""
     return part_of(mixed(np.arange(1 << 16, dtype=np.uint64), 3), parts).astype(np.uint64)
@@ -164,7 +175,21 @@ def train(bundled: DataFrame, parts: int, depth: int = DEPTH) -> Model:
 
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     """Logarithm of the Krichevsky-Trofimov probability of so many zeros and ones."""
-    return log_gamma(zeros + 0.5) + log_gamma(ones + 0.5) - np.log(np.pi) - log_gamma(zeros + ones + 1.0)
+    return log_gamma_of_count(zeros, 0.5) + log_gamma_of_count(ones, 0.5) - np.log(np.pi) - log_gamma_of_count(zeros + ones, 1.0)
+
+
+@cache
+def small_log_gammas(shift: float) -> np.ndarray:
+    return log_gamma(np.arange(1 << 12) + shift)
+
+
+def log_gamma_of_count(count: np.ndarray, shift: float) -> np.ndarray:
+    """log_gamma(count + shift); most counts are small and looked up."""
+    table = small_log_gammas(shift)
+    out = table[np.minimum(count, len(table) - 1).astype(np.int64)]
+    large = count >= len(table)
+    out[large] = log_gamma(count[large] + shift)
+    return out
 
 
 def log_gamma(x: np.ndarray) -> np.ndarray:
@@ -300,7 +325,8 @@ def score(bundled: DataFrame, model: Model, carried: T.StructType) -> DataFrame:
     shallow, tokens, kinds_known, texts = model.shallow, model.tokens, model.kinds, model.texts
 
     def keys(bundle, docs, data, offsets):
-        key = np.unique(dealt_keys(stream(data, offsets, depth)[0], parts, depth))
+        key = np.sort(dealt_keys(stream(data, offsets, depth)[0], parts, depth))
+        key = key[np.append(True, key[1:] != key[:-1])[: len(key)]]
         bounds = np.searchsorted(key >> width, np.arange(parts + 1))
         for part, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             if low < high:
@@ -318,7 +344,7 @@ def score(bundled: DataFrame, model: Model, carried: T.StructType) -> DataFrame:
         if payloads and asked.column("part")[0].as_py() < parts:
             key, count = part_counts(have, depth) if have else (np.zeros(0, np.uint64), np.zeros(0))
             wanted = [unrising(unsqueeze(p, "u1")[0]) & low_bits for p in payloads]
-            every, at = np.unique(np.concatenate(wanted), return_inverse=True)
+            every, at = distinct(np.concatenate(wanted))
             value = log_chances(every, key, count, shallow, depth).astype("<f4")[at]
             out = [squeeze(v) for v in np.split(value, np.cumsum([len(w) for w in wanted])[:-1])]
         elif payloads:
@@ -331,7 +357,7 @@ def score(bundled: DataFrame, model: Model, carried: T.StructType) -> DataFrame:
 
     def finish(bundle, docs, data, offsets, replies):
         key, places = stream(data, offsets, depth)
-        every, at = np.unique(dealt_keys(key, parts, depth), return_inverse=True)
+        every, at = distinct(dealt_keys(key, parts, depth))
         value = np.concatenate([np.zeros(0, "<f4"), *[unsqueeze(replies[p], "<f4")[0] for p in sorted(replies) if p < parts]]).astype(np.float64)
         total = per_document(value[at], places)
         kinds, number, first = text_words(data, offsets)
