@@ -10,8 +10,10 @@ A text that is null counts as empty. A document always lies in one chunk, howeve
 
 from __future__ import annotations
 
+import ctypes
 import importlib.util
 import io
+import sys
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
 from pathlib import Path
@@ -42,6 +44,8 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
 
 _SHIPPED: set[str] = set()
+#: Where the C library has it.
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None) if sys.platform == "linux" else None
 
 
 def ship(spark: SparkSession) -> None:
@@ -67,6 +71,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def give_back() -> None:
+    """Return freed memory to the system at the end of a task: workers go on to other tasks."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def text_column(batch: pa.RecordBatch, column: str = "text") -> pa.Array:
     """The column as large binary without nulls."""
     values = batch.column(batch.schema.get_field_index(column))
@@ -96,6 +107,7 @@ def chunks(batches: Iterable[pa.RecordBatch], column: str = "text", limit: int =
             last = min(max(last, first + 1), batch.num_rows)
             yield batch.slice(first, last - first), data[offsets[first] : offsets[last]], offsets[first : last + 1] - offsets[first]
             first = last
+    give_back()
 
 
 def words(data: np.ndarray, offsets: np.ndarray, inside: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
