@@ -21,10 +21,10 @@ import numpy as np
 
 from llm.common import LOWER, SPACE, byte_array, ragged, words
 
-REMEMBERED = 500_000
+REMEMBERED = 750_000
 #: Pieces joined to one text for the tokenizer, and such texts given to it at once.
 JOINED = 200
-AT_ONCE = 16
+AT_ONCE = 32
 #: UTF-8 of the white space beyond ASCII (fixed values of the Unicode property White_Space).
 WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
 LEADS = np.zeros(256, dtype=bool)
