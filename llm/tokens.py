@@ -8,7 +8,10 @@ other, so a text's ids are the ids of its pieces in a row:
 * vocabularies that drop white space: a piece is a word, with A-Z lower-cased where the
   tokenizer does so itself.
 
-Any other tokenizer gets whole texts. A worker remembers the ids of up to ``REMEMBERED``
+Any other tokenizer gets whole texts. Strings of added tokens in a text are these tokens, as
+the library has it by default; a piece that holds one goes to the tokenizer alone, and its
+letters keep their case, as these strings are looked for before anything is lower-cased.
+A worker remembers the ids of up to ``REMEMBERED``
 short pieces between tasks; this saves time only.
 """
 
@@ -47,10 +50,15 @@ class TextEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.tokenizer.encode_special_tokens = True
         about = json.loads(definition)
+        added = about.get("added_tokens") or []
+        contents = sorted({t["content"].encode() for t in added}, key=len, reverse=True)
+        self.added = re.compile(b"|".join(map(re.escape, contents))) if contents else None
+        self.any_case = re.compile(b"|".join(re.escape(c.lower()) for c in contents)) if contents else None
         before, suffix = about.get("pre_tokenizer") or {}, about.get("model", {}).get("end_of_word_suffix")
         plain = about.get("model", {}).get("type") == "BPE" and not about["model"].get("dropout")
+        # an added token that reaches beyond its piece needs the whole text
+        plain = plain and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") or re.search(r"\s", t["content"]) for t in added)
         self.kind = "text"
         if plain and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not about.get("normalizer"):
             self.kind = "byte"
@@ -71,8 +79,11 @@ class TextEncoder:
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the documents in a row, and how many each has."""
         if self.kind == "word":
-            data = LOWER[data]
+            raw, data = data, LOWER[data]
             starts, ends, at = words(data, offsets, ~SPACE)
+            for m in self.any_case.finditer(data.tobytes()) if self.any_case else ():
+                k = int(np.searchsorted(starts, m.start(), side="right")) - 1
+                data[starts[k] : ends[k]] = raw[starts[k] : ends[k]]
         elif self.kind == "byte":
             starts, ends, at = self.spaced(data, offsets)
         else:
@@ -130,6 +141,7 @@ class TextEncoder:
                 apart = len(piece) > 64 or not SPACE[piece[0]] or SPACE[piece[-1]] or (not piece.isascii() and WIDE_SPACE.search(piece))
             else:
                 apart = self.kind == "text" or len(piece) > 64 or max(piece) > 0xC9
+            apart = apart or (self.added and self.added.search(piece))
             (alone if apart else joined).append(k)
         for low in range(0, len(alone), JOINED):
             some = alone[low : low + JOINED]

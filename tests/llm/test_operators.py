@@ -7,10 +7,12 @@ import hashlib
 from collections import defaultdict
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from tokenizers import Tokenizer
 
 import __spark_entry__ as spark_entry
 from flowgauge.session import new_folder
@@ -113,6 +115,17 @@ def test_pieces_have_the_ids_of_whole_texts(file, documents):
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_added_tokens_in_a_text_are_these_tokens(file):
+    texts = ["<|endoftext|>", "a  <|endoftext|>b c", "one<|endoftext|><|startoftext|>two <|endoftext|> \n x", "<|ENDOFTEXT|> A<|EndOfText|>B", "Ab<|startoftext|>É <|endoftext|", "A<|ENDOFTEXT|>B<|endoftext|>C", "x\u3000 <|endoftext|>  y", "<|endof text|> é<|endoftext|>" + "y" * 70]
+    plain = Tokenizer.from_file(public_tokenizers.path(file))
+    want = [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [50256 if file.startswith("byte") else 49407]
+    for _, data, offsets in chunks([pa.RecordBatch.from_pydict({"text": texts})]):
+        ids, counts = tokens.TextEncoder(tokenizer_json(file)).encode(data, offsets)
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+
+
 # --- 2 substrings ---------------------------------------------------------------------
 
 
