@@ -136,35 +136,40 @@ def resolved_times(changes: DataFrame) -> DataFrame:
     return bounds.join(stamps, "id", "left").select("id", "status", F.col("_first.changed_at").alias("resolved_at"))
 
 
-def resolution_state(changes: DataFrame) -> DataFrame:
-    """What decides an incident's stamp, in a form that merges: last change, last open change, resolved changes after it.
+def _at() -> Column:
+    return F.struct("changed_at", "change_id")
 
-    ``changes``: id, status, changed_at, change_id. Resolved changes before the batch's last
-    open one can never be the stamp, so a state holds the few after it.
-    """
-    at = F.struct("changed_at", "change_id")
-    resolved = F.col("status") == "resolved"
-    state = changes.groupBy("id").agg(
+
+def _bounds(changes: DataFrame) -> DataFrame:
+    """Last change and last open change per incident; both merge by their maximum."""
+    return changes.groupBy("id").agg(
         F.max(F.struct("changed_at", "change_id", "status")).alias("last_change"),
-        F.max(F.when(~resolved, at)).alias("last_open"),
-        F.collect_set(F.when(resolved, at)).alias("resolved"),
+        F.max(F.when(F.col("status") != "resolved", _at())).alias("last_open"),
     )
-    return _pruned(state)
 
 
-def _pruned(state: DataFrame) -> DataFrame:
-    later = F.filter("resolved", lambda r: F.col("last_open").isNull() | (r > F.col("last_open")))
-    return state.withColumn("resolved", F.when(F.col("last_open").isNull(), F.col("resolved")).otherwise(later))
+def _resolved(changes: DataFrame) -> DataFrame:
+    return changes.filter(F.col("status") == "resolved").select("id", "changed_at", "change_id")
 
 
-def merged_states(states: DataFrame) -> DataFrame:
-    """One state per incident from several, in any order."""
-    merged = states.groupBy("id").agg(
-        F.max("last_change").alias("last_change"),
-        F.max("last_open").alias("last_open"),
-        F.array_distinct(F.flatten(F.collect_list("resolved"))).alias("resolved"),
-    )
-    return _pruned(merged)
+def _with_first(bounds: DataFrame, resolved: DataFrame) -> DataFrame:
+    """Bounds with the first of the resolved changes after the last open one: an array of one or none.
+
+    An incident that was never open has no stamp, so none of its rows are looked at.
+    """
+    opened = bounds.filter(F.col("last_open").isNotNull()).select("id", "last_open")
+    after = resolved.join(opened, "id").filter(_at() > F.col("last_open"))
+    first = after.groupBy("id").agg(F.min(_at()).alias("_first"))
+    return bounds.join(first, "id", "left").select("id", "last_change", "last_open", F.array_compact(F.array("_first")).alias("resolved"))
+
+
+def resolution_state(changes: DataFrame) -> DataFrame:
+    """What decides an incident's stamp: last change, last open change, first resolved change after it.
+
+    ``changes``: id, status, changed_at, change_id. Aggregates combined map-side; no row holds
+    more than one resolved change.
+    """
+    return _with_first(_bounds(changes), _resolved(changes))
 
 
 def stamps_of(states: DataFrame) -> DataFrame:
@@ -177,17 +182,25 @@ def sync_resolutions(changes: DataFrame, path: str, checkpoint: str, interval: s
     """Incident changes to a log of resolution states.
 
     A batch reads the last state of the incidents it changes and writes their new ones; all
-    others stay as they are. Changes may come in any order. Parts are named by batch, and a
-    replay reads only what earlier batches wrote, so it writes the same again.
+    others stay as they are. Changes may come in any order: a late open change can make any
+    resolved one after it the first, so these are kept as rows, each written once, in a log
+    beside the states (``path`` and ``-resolved``), which belongs to them when a log is moved
+    or compacted. Parts are named by batch, and a replay reads only what earlier batches
+    wrote, so it writes the same again.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        new = resolution_state(batch)
-        earlier = [read_log(spark, path, new.schema).filter(F.col("batch_id") < batch_id)] if batch_id else []
-        for log in earlier:
-            known = current_rows(log.join(new.select("id"), "id", "left_semi"), ["id"], ["batch_id"]).drop("batch_id")
-            new = merged_states(new.unionByName(known))
+        fresh = _resolved(batch)
+        log_batch(fresh, f"{path}-resolved", batch_id)
+        bounds = _bounds(batch)
+        if batch_id:
+            log = read_log(spark, path, resolution_state(batch).schema).filter(F.col("batch_id") < batch_id)
+            known = log.join(bounds.select("id"), "id", "left_semi").select("id", "last_change", "last_open")
+            merged = bounds.unionByName(known).groupBy("id")
+            bounds = merged.agg(F.max("last_change").alias("last_change"), F.max("last_open").alias("last_open"))
+        resolved = read_log(spark, f"{path}-resolved", fresh.schema).filter(F.col("batch_id") <= batch_id).drop("batch_id")
+        new = _with_first(bounds, resolved)
         log_batch(new, path, batch_id)
 
     writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
