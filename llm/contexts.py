@@ -10,13 +10,17 @@ mixture ends above it. A text ends with the byte FF, which UTF-8 does not have,
 after such bytes.
 
 The counts are exact and stay distributed: every context lies in the part of its last two
-bytes. A bundle asks each part once for its distinct contexts with their next byte. Only the
-sums for contexts of one byte or none, 256 x 256 numbers, meet on the driver. Word counts of
-the unigram model beside it are distributed by word in the same way.
+bytes, or, where a sample of bundles shows that too many keys end in these (``SPLIT_KEYS``), of
+its last three, four or five. A bundle asks each part once for its distinct contexts with their
+next byte. Only the sums for contexts of one byte or none, 256 x 256 numbers, and for the split
+contexts, at most 255 for each of some 3 x 1024, meet on the driver. The sample decides where a
+key is counted and nothing else. Word counts of the unigram model beside it are distributed by
+word in the same way.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -29,22 +33,64 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgauge.session import stage
-from llm.common import LOWER, SPACE, ask, buffer_of, bundles, byte_array, gather, mixed, part_count, part_of, per_document, planes, rising, squeeze, text_column, unplaned, unrising, unsqueeze, word_hashes, words
+from llm.common import LOWER, SPACE, ask, buffer_of, bundles, byte_array, gather, mixed, opened, part_count, part_of, per_document, planes, rising, squeeze, text_column, unplaned, unrising, unsqueeze, word_hashes, words
 
 DEPTH = 5
 END = 0xFF
 LEARN = "_learn"
 SCORES = {"n_bytes": "long", "n_tokens": "long", "n_known": "long", "train_tokens": "long", "base_score": "double", "score": "double", "bits_per_byte": "double"}
+#: Keys, one for each bundle that has it, from which a context is split by its next byte back.
+SPLIT_KEYS = 2_000_000
+#: A context is split only with more than this share of all keys, so that the split ones stay few.
+SPLIT_SHARE = 1024
+#: Bundles sampled for it: one of so many, between these bounds.
+SAMPLED, SAMPLE_LEAST, SAMPLE_MOST = 32, 4, 16
+#: Keys merged or answered at once by a part.
+KEYS_AT_ONCE = 4_000_000
 _LN_HALF = np.log(0.5)
 
 
+@dataclass(frozen=True)
+class Dealing:
+    """Where keys lie: the number of parts, and by depth (2 and up) the contexts that are split, ascending."""
+
+    parts: int
+    depth: int
+    split: tuple[np.ndarray, ...] = ()
+
+    def owners(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How many context bytes decide the part of each key, and the part."""
+        part = pair_parts(self.parts)[(key >> np.uint64(8 * (self.depth - 1))).astype(np.int64)]
+        owner = np.full(len(key), 2, dtype=np.int8)
+        rows = None
+        for d, split in enumerate(self.split, 2):
+            if not len(split):
+                break
+            some = key if rows is None else key[rows]
+            prefix = some >> np.uint64(8 * (self.depth - d) + 8)
+            if d == 2:
+                hot = np.zeros(1 << 16, dtype=bool)
+                hot[split.astype(np.int64)] = True
+                rows = np.flatnonzero(hot[prefix.astype(np.int64)])
+            else:
+                rows = rows[is_in(prefix, split)]
+            longer = key[rows] >> np.uint64(8 * (self.depth - d - 1) + 8)
+            part[rows] = part_of(mixed(longer, d + 2), self.parts).astype(np.uint64)
+            owner[rows] = d + 1
+        return owner, part
+
+
 @dataclass(frozen=True)
 class Shallow:
-    """Nodes of contexts of no byte (row 256) and one byte, by decision: the chance of a one, the log weight of the own estimate, visited or not."""
+    """Nodes of contexts of no byte (row 256) and one byte, by decision: the chance of a one, the log weight of the own estimate, visited or not.
+
+    ``split`` has those of the split contexts by depth: numbers (context and decision), ascending, chances and weights.
+    """
 
     one: np.ndarray
     weight: np.ndarray
     visited: np.ndarray
+    split: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]]
 
 
 @dataclass(frozen=True)
@@ -53,8 +99,7 @@ class Model:
 
     counts: DataFrame
     shallow: Shallow
-    parts: int
-    depth: int
+    dealing: Dealing
     tokens: int
     kinds: int
     texts: int
@@ -92,9 +137,76 @@ def pair_parts(parts: int) -> np.ndarray:
     return part_of(mixed(np.arange(1 << 16, dtype=np.uint64), 3), parts).astype(np.uint64)
 
 
-def dealt_keys(key: np.ndarray, parts: int, depth: int) -> np.ndarray:
+def is_in(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the known, ascending ones."""
+    at = np.minimum(np.searchsorted(known, values), max(len(known) - 1, 0))
+    return known[at] == values if len(known) else np.zeros(len(values), dtype=bool)
+
+
+def dealt_keys(key: np.ndarray, dealing: Dealing) -> np.ndarray:
     """Keys with their part before them."""
-    return pair_parts(parts)[(key >> np.uint64(8 * (depth - 1))).astype(np.int64)] << np.uint64(8 * depth + 8) | key
+    return dealing.owners(key)[1] << np.uint64(8 * dealing.depth + 8) | key
+
+
+def dealing_of(bundled: DataFrame, parts: int, depth: int) -> Dealing:
+    """Split contexts by the keys that a sample of the bundles sends."""
+    size, n = bundled.agg(F.sum("n_bytes"), F.count("bundle")).first()
+    if (size or 0) <= SPLIT_KEYS:
+        return Dealing(parts, depth)
+    n_sampled = min(n, max(SAMPLE_LEAST, min(SAMPLE_MOST, n // SAMPLED)))
+    chosen = [r.bundle for r in bundled.select("bundle").orderBy(F.xxhash64("bundle"), "bundle").limit(n_sampled).collect()]
+    least = max(1, SPLIT_KEYS // n // 4)
+
+    def run(batches):
+        for batch in batches:
+            for _, _, data, offsets in opened(batch):
+                key = np.unique(stream(data, offsets, depth)[0])
+                levels, prefixes, counts = [np.zeros(1, np.int32)], [np.zeros(1, np.int64)], [np.array([len(key)])]
+                for d in range(2, depth):
+                    prefix, count = np.unique(key >> np.uint64(8 * (depth - d) + 8), return_counts=True)
+                    some = count >= least
+                    levels.append(np.full(int(some.sum()), d, dtype=np.int32))
+                    prefixes.append(prefix[some].astype(np.int64))
+                    counts.append(count[some])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (levels, prefixes, counts)], ["level", "prefix", "n"])
+
+    sample = bundled.where(F.col("bundle").isin(chosen)).select("bundle", "blob").repartition(n_sampled)
+    found = sample.mapInArrow(run, "level int, prefix long, n long").groupBy("level", "prefix").agg((F.sum("n") * n / n_sampled).alias("n"))
+    rows = found.where((F.col("level") == 0) | (F.col("n") > SPLIT_KEYS)).collect()
+    enough = max(SPLIT_KEYS, sum(r.n for r in rows if r.level == 0) / SPLIT_SHARE)
+    split: list[np.ndarray] = []
+    for d in range(2, depth):
+        own = np.sort(np.array([r.prefix for r in rows if r.level == d and r.n > enough], dtype=np.uint64))
+        split.append(own[is_in(own >> np.uint64(8), split[-1])] if split else own)
+    return Dealing(parts, depth, tuple(split))
+
+
+def merged_keys(parts: Iterator[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys, ascending, and the sums of their counts, with a bounded number of keys waiting."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
+    waiting = 0
+
+    def merge() -> tuple[np.ndarray, np.ndarray]:
+        key, at = np.unique(np.concatenate([k for k, _ in held]), return_inverse=True)
+        return key, np.bincount(at, np.concatenate([c for _, c in held]).astype(float), minlength=len(key)).astype(np.uint64)
+
+    for key, count in parts:
+        if held and waiting + len(key) > max(KEYS_AT_ONCE, len(held[0][0])):
+            held, waiting = [merge()], 0
+        held.append((key, count))
+        waiting += len(key)
+    return merge()
+
+
+def together(keys: Iterator[np.ndarray]) -> Iterator[list[np.ndarray]]:
+    """The arrays in a row, in groups of about ``KEYS_AT_ONCE`` keys."""
+    group: list[np.ndarray] = []
+    for some in keys:
+        if group and sum(map(len, group)) + len(some) > KEYS_AT_ONCE:
+            yield group
+            group = []
+        group.append(some)
+    yield group
 
 
 def text_words(data: np.ndarray, offsets: np.ndarray) -> tuple[pa.Array, np.ndarray, np.ndarray]:
@@ -126,6 +238,7 @@ def train(bundled: DataFrame, parts: int, depth: int = DEPTH) -> Model:
     """Count the texts of the rows of the bundles whose column ``LEARN`` is true."""
     if not 2 <= depth <= 5:
         raise ValueError("the depth must be 2 to 5 bytes")
+    dealing = dealing_of(bundled, parts, depth)
     width = np.uint64(8 * depth + 8)
 
     def keys(bundle, docs, data, offsets):
@@ -133,7 +246,7 @@ def train(bundled: DataFrame, parts: int, depth: int = DEPTH) -> Model:
         if not learnt.num_rows:
             return
         data, offsets = buffer_of(text_column(learnt))
-        key, count = np.unique(dealt_keys(stream(data, offsets, depth)[0], parts, depth), return_counts=True)
+        key, count = np.unique(dealt_keys(stream(data, offsets, depth)[0], dealing), return_counts=True)
         bounds = np.searchsorted(key >> width, np.arange(parts + 1))
         for part, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             if low < high:
@@ -152,9 +265,8 @@ def train(bundled: DataFrame, parts: int, depth: int = DEPTH) -> Model:
         payloads = rows.column("payload").to_pylist()
         tokens, kinds = 0, 0
         if part < parts:
-            got = [unsqueeze(p, "u1", "u1") for p in payloads]
-            key, at = np.unique(np.concatenate([unrising(g[0]) for g in got]), return_inverse=True)
-            count = np.bincount(at, np.concatenate([unplaned(g[1]) for g in got]).astype(float)).astype(np.uint64)
+            got = (unsqueeze(p, "u1", "u1") for p in payloads)
+            key, count = merged_keys((unrising(g[0]), unplaned(g[1])) for g in got)
             payload = squeeze(rising(key), planes(count))
         elif part < 2 * parts:
             got = [unsqueeze(p, "u1", "u1") for p in payloads]
@@ -170,7 +282,7 @@ def train(bundled: DataFrame, parts: int, depth: int = DEPTH) -> Model:
     asked = ask(bundled, keys).select("part", "payload")
     counts = stage(asked.repartition(2 * parts + 1, "part").groupBy("part").applyInArrow(run, "part int, tokens long, kinds long, payload binary"), "context-counts")
     sizes = counts.agg(F.sum("tokens"), F.sum("kinds"), F.sum(F.when(F.col("part") == 2 * parts, F.col("tokens")))).first()
-    return Model(counts, shallow_nodes(counts, parts, depth), parts, depth, int(sizes[0] or 0), int(sizes[1] or 0), int(sizes[2] or 0))
+    return Model(counts, shallow_nodes(counts, dealing), dealing, int(sizes[0] or 0), int(sizes[1] or 0), int(sizes[2] or 0))
 
 
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -243,31 +355,58 @@ def part_counts(payload: bytes, depth: int) -> tuple[np.ndarray, np.ndarray]:
     return unrising(steps) & np.uint64((1 << 8 * depth + 8) - 1), unplaned(planed).astype(np.float64)
 
 
-def shallow_nodes(counts: DataFrame, parts: int, depth: int) -> Shallow:
-    """Sum up the nodes of two bytes for those of one byte and none."""
+def parents(number: np.ndarray, bit: int) -> np.ndarray:
+    """Context one byte shorter and decision of nodes of one bit."""
+    return number >> np.uint64(bit + 8) << np.uint64(8) | np.uint64(1 << bit) | number & np.uint64((1 << bit) - 1)
+
+
+def shallow_nodes(counts: DataFrame, dealing: Dealing) -> Shallow:
+    """Sum up the nodes that parts hold whole for the contexts one byte shorter, down to none."""
+    parts, depth = dealing.parts, dealing.depth
+    split = [d for d, s in enumerate(dealing.split, 2) if len(s)]
+    level = np.uint64(40)
 
     def run(batches):
         for batch in batches:
             for payload in batch.column("payload"):
                 key, count = part_counts(payload.as_py(), depth)
-                for bit in range(8):
-                    two = nodes_of(key, count, bit, depth, 2)[-1]
-                    one = two.number >> np.uint64(bit + 8) << np.uint64(8) | np.uint64(1 << bit) | two.number & np.uint64((1 << bit) - 1)
-                    node, at = np.unique(one, return_inverse=True)
-                    sums = [np.bincount(at, x, minlength=len(node)) for x in (two.zeros, two.ones, two.weighted)]
-                    yield pa.RecordBatch.from_arrays([pa.array(node.astype(np.int64)), *map(pa.array, sums)], ["node", "zeros", "ones", "below"])
+                owner = dealing.owners(key)[0]
+                for d in range(2, 3 + len(split)):
+                    own = owner == d
+                    if not own.any():
+                        continue
+                    for bit in range(8):
+                        top = nodes_of(key[own], count[own], bit, depth, d)[-1]
+                        node, at = np.unique(parents(top.number, bit) | np.uint64(d - 1) << level, return_inverse=True)
+                        sums = [np.bincount(at, x, minlength=len(node)) for x in (top.zeros, top.ones, top.weighted)]
+                        yield pa.RecordBatch.from_arrays([pa.array(node.astype(np.int64)), *map(pa.array, sums)], ["node", "zeros", "ones", "below"])
 
     grams = counts.where(F.col("part") < parts).select("payload")
     sums = grams.mapInArrow(run, "node long, zeros double, ones double, below double").groupBy("node").agg(F.sum("zeros"), F.sum("ones"), F.sum("below"))
+    table = sums.toArrow()
+    node, *found = (table.column(k).to_numpy() for k in range(4))
+    node = node.astype(np.uint64)
+    central: dict[int, tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
     zeros, ones, below = (np.zeros((257, 256)) for _ in range(3))
-    for node, *values in sums.collect():
-        zeros[divmod(node, 256)], ones[divmod(node, 256)], below[divmod(node, 256)] = values
+    rest = (np.zeros(0, np.uint64), *(np.zeros(0),) * 3)
+    for d in [*split[::-1], 1]:
+        # sums from the parts, and from the split contexts one byte longer
+        here = node >> level == np.uint64(d)
+        number, at = np.unique(np.concatenate([node[here] & np.uint64((1 << 40) - 1), rest[0]]), return_inverse=True)
+        z, o, w = (np.bincount(at, np.concatenate([x[here], y]), minlength=len(number)) for x, y in zip(found, rest[1:]))
+        if d == 1:
+            for into, values in zip((zeros, ones, below), (z, o, w)):
+                into.reshape(-1)[number.astype(np.int64)] = values
+            break
+        own = log_estimate(z, o)
+        central[d] = (number, (o + 0.5) / (z + o + 1), own - w)
+        rest = (number >> np.uint64(16) << np.uint64(8) | number & np.uint64(255), z, o, _LN_HALF + np.logaddexp(own, w))
     own = log_estimate(zeros, ones)
     visited = zeros + ones > 0
     weighted = np.where(visited, _LN_HALF + np.logaddexp(own, below), 0)
     zeros[256], ones[256], below[256] = zeros[:256].sum(axis=0), ones[:256].sum(axis=0), weighted[:256].sum(axis=0)
     own = log_estimate(zeros, ones)
-    return Shallow((ones + 0.5) / (zeros + ones + 1), own - below, zeros + ones > 0)
+    return Shallow((ones + 0.5) / (zeros + ones + 1), own - below, zeros + ones > 0, central)
 
 
 def mixture(p: np.ndarray, known: np.ndarray, one: np.ndarray, weight: np.ndarray, visited: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -277,8 +416,8 @@ def mixture(p: np.ndarray, known: np.ndarray, one: np.ndarray, weight: np.ndarra
     return np.where(visited, mixed_p, p), known | visited
 
 
-def log_chances(asked: np.ndarray, key: np.ndarray, count: np.ndarray, shallow: Shallow, depth: int) -> np.ndarray:
-    """log10 of the probability of the next byte in its context, for each key asked."""
+def log_chances(asked: np.ndarray, key: np.ndarray, count: np.ndarray, owner: np.ndarray, shallow: Shallow, depth: int) -> np.ndarray:
+    """log10 of the probability of the next byte in its context, for each key asked; ``owner`` has how many bytes decide its part."""
     total = np.zeros(len(asked))
     byte = asked & np.uint64(255)
     nearest = (asked >> np.uint64(8 * depth)).astype(np.int64)
@@ -286,11 +425,23 @@ def log_chances(asked: np.ndarray, key: np.ndarray, count: np.ndarray, shallow:
         p, known = np.full(len(asked), 0.5), np.zeros(len(asked), dtype=bool)
         top = byte >> np.uint64(8 - bit)
         for d, nodes in zip(range(depth, 1, -1), nodes_of(key, count, bit, depth, 2)):
-            number = asked >> np.uint64(8 * (depth - d) + 8) << np.uint64(bit) | top
+            context = asked >> np.uint64(8 * (depth - d) + 8)
+            number = context << np.uint64(bit) | top
             at = np.minimum(np.searchsorted(nodes.number, number), max(len(nodes.number) - 1, 0))
+            one, weight, found = (np.zeros(len(asked), dtype=k) for k in (float, float, bool))
             if len(nodes.number):
-                one = (nodes.ones + 0.5) / (nodes.zeros + nodes.ones + 1)
-                p, known = mixture(p, known, one[at], nodes.weight[at], nodes.number[at] == number)
+                one = ((nodes.ones + 0.5) / (nodes.zeros + nodes.ones + 1))[at]
+                weight, found = nodes.weight[at], nodes.number[at] == number
+            # a part has only some of the contexts under a split one
+            apart = np.flatnonzero(owner > d) if d in shallow.split else ()
+            if len(apart):
+                numbers, ones, weights = shallow.split[d]
+                number = context[apart] << np.uint64(8) | np.uint64(1 << bit) | top[apart]
+                at = np.minimum(np.searchsorted(numbers, number), max(len(numbers) - 1, 0))
+                found[apart] = is_in(number, numbers)
+                if len(numbers):
+                    one[apart], weight[apart] = ones[at], weights[at]
+            p, known = mixture(p, known, one, weight, found)
         decision = (np.uint64(1 << bit) | top).astype(np.int64)
         for row in (nearest, np.full(len(asked), 256)):
             p, known = mixture(p, known, shallow.one[row, decision], shallow.weight[row, decision], shallow.visited[row, decision])
@@ -319,13 +470,14 @@ def score_texts(docs: DataFrame, learn: Column, *columns: str, depth: int = DEPT
 
 def score(bundled: DataFrame, model: Model, carried: T.StructType) -> DataFrame:
     """Scores of the texts of bundles, with the columns they carry."""
-    parts, depth = model.parts, model.depth
+    dealing = model.dealing
+    parts, depth = dealing.parts, dealing.depth
     width = np.uint64(8 * depth + 8)
     low_bits = np.uint64((1 << 8 * depth + 8) - 1)
     shallow, tokens, kinds_known, texts = model.shallow, model.tokens, model.kinds, model.texts
 
     def keys(bundle, docs, data, offsets):
-        key = np.sort(dealt_keys(stream(data, offsets, depth)[0], parts, depth))
+        key = np.sort(dealt_keys(stream(data, offsets, depth)[0], dealing))
         key = key[np.append(True, key[1:] != key[:-1])[: len(key)]]
         bounds = np.searchsorted(key >> width, np.arange(parts + 1))
         for part, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
@@ -343,10 +495,10 @@ def score(bundled: DataFrame, model: Model, carried: T.StructType) -> DataFrame:
         out = []
         if payloads and asked.column("part")[0].as_py() < parts:
             key, count = part_counts(have, depth) if have else (np.zeros(0, np.uint64), np.zeros(0))
-            wanted = [unrising(unsqueeze(p, "u1")[0]) & low_bits for p in payloads]
-            every, at = distinct(np.concatenate(wanted))
-            value = log_chances(every, key, count, shallow, depth).astype("<f4")[at]
-            out = [squeeze(v) for v in np.split(value, np.cumsum([len(w) for w in wanted])[:-1])]
+            for wanted in together(unrising(unsqueeze(p, "u1")[0]) & low_bits for p in payloads):
+                every, at = distinct(np.concatenate(wanted))
+                value = log_chances(every, key, count, dealing.owners(every)[0], shallow, depth).astype("<f4")[at]
+                out += [squeeze(v) for v in np.split(value, np.cumsum([len(w) for w in wanted])[:-1])]
         elif payloads:
             held, planed = unsqueeze(have, "u1", "u1") if have else (np.zeros(0, np.uint8),) * 2
             lookup, count = split(held), np.append(unplaned(planed), np.uint64(0))
@@ -357,7 +509,7 @@ def score(bundled: DataFrame, model: Model, carried: T.StructType) -> DataFrame:
 
     def finish(bundle, docs, data, offsets, replies):
         key, places = stream(data, offsets, depth)
-        every, at = distinct(dealt_keys(key, parts, depth))
+        every, at = distinct(dealt_keys(key, dealing))
         value = np.concatenate([np.zeros(0, "<f4"), *[unsqueeze(replies[p], "<f4")[0] for p in sorted(replies) if p < parts]]).astype(np.float64)
         total = per_document(value[at], places)
         kinds, number, first = text_words(data, offsets)

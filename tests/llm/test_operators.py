@@ -360,6 +360,41 @@ def test_scores_odd(spark, odd, none):
     assert contexts.score_texts(none, F.lit(True), "doc_id").count() == 0
 
 
+def test_scores_do_not_depend_on_split_contexts(spark, odd, monkeypatch):
+    named = odd.select("doc_id", "text", F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 7 == 2, F.lit(True)).alias("held_out"))
+    monkeypatch.setattr(contexts, "SPLIT_KEYS", 20)
+    monkeypatch.setattr(contexts, "SPLIT_SHARE", 1000)
+    bundled = contexts.bundles(named.withColumn(contexts.LEARN, ~F.col("held_out")), "doc_id", "text", contexts.LEARN)
+    dealing = contexts.dealing_of(bundled, 8, contexts.DEPTH)
+    assert len(dealing.split) == 3 and all(map(len, dealing.split))
+    assert set(contexts.train(bundled, 8).shallow.split) == {2, 3, 4}
+    rows = contexts.score_texts(named, ~F.col("held_out"), "doc_id", "held_out").collect()
+    check_scores(ODD, rows, range(len(ODD)))
+
+
+def test_a_hot_pair_of_bytes_is_split(spark, monkeypatch):
+    """Most contexts of these texts end in one pair of bytes; their keys lie in many parts."""
+    rng = np.random.default_rng(5)
+    texts = ["".join(f"{a}{b}e " for a, b in zip(rng.choice(list("abcdfghijk"), 4000), rng.choice(list("lmnopqrstu"), 4000))) for _ in range(4)]
+    monkeypatch.setattr(contexts, "SPLIT_KEYS", 50)
+    docs = spark.createDataFrame([(k, t, True) for k, t in enumerate(texts)], f"doc_id long, text string, {contexts.LEARN} boolean").repartition(4)
+    dealing = contexts.dealing_of(contexts.bundles(docs, "text", contexts.LEARN), 16, contexts.DEPTH)
+    data = np.frombuffer(texts[0].encode(), dtype=np.uint8)
+    key = np.unique(contexts.stream(data, np.array([0, len(data)]), contexts.DEPTH)[0])
+    hot = key[key >> np.uint64(8 * (contexts.DEPTH - 1)) == np.uint64(ord(" ") << 8 | ord("e"))]
+    part = contexts.dealt_keys(hot, dealing) >> np.uint64(8 * contexts.DEPTH + 8)
+    assert len(hot) > 500 and np.bincount(part.astype(np.int64)).max() < len(hot) / 3
+
+
+def test_keys_are_merged_in_bounded_groups(monkeypatch):
+    monkeypatch.setattr(contexts, "KEYS_AT_ONCE", 5)
+    arrays = [np.arange(k, k + 3, dtype=np.uint64) for k in range(20)]
+    key, count = contexts.merged_keys((a, np.full(3, 2, dtype=np.uint64)) for a in arrays)
+    want = np.unique(np.concatenate(arrays), return_counts=True)
+    assert (key == want[0]).all() and (count == 2 * want[1]).all()
+    assert [len(g) for g in contexts.together(iter(arrays[:4]))] == [1, 1, 1, 1]
+
+
 def test_log_gamma():
     from math import lgamma
 
