@@ -12,8 +12,10 @@ of ``length`` bytes the 16 bytes with the least hash. Equal windows have equal a
 
 Hashes only choose candidates; suffixes are compared byte by byte. Within a bundle the same
 text in several documents is sent for the first document only: the others have a smaller one
-at hand. So a passage in a third of all documents costs a suffix per bundle. Anchors that
-differ and meet in their 40 bits only add candidates.
+at hand. So the inside of a passage in a third of all documents costs a suffix per bundle. Around
+its first and last anchors texts differ from document to document: where an anchor occurs more
+than ``HOT_ANCHOR`` times, its windows go one by one to the tasks of a hash of all their bytes,
+where equal ones still meet. Anchors that differ and meet in their 40 bits only add candidates.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from llm.common import answer, ask, bundles, covered, gather, mixed, part_count, part_of, per_document, planes, ragged, squeeze, unplaned, unsqueeze, words64
+from llm.common import answer, ask, bundles, covered, gather, mixed, part_count, part_of, per_document, planes, ragged, squeeze, unplaned, unsqueeze, word_hashes, words64
 from llm.deep_shallow import sort_suffixes
 
 LENGTH = 50
@@ -34,6 +36,8 @@ BUNDLE_BYTES = 2 << 20
 AT_ONCE = 1 << 20
 PART_BYTES = 4 << 20
 ROWS_AT_ONCE = 1 << 13
+#: Occurrences of an anchor from which its windows are dealt one by one.
+HOT_ANCHOR = 1 << 16
 #: Document of a row without doc_id: after all others.
 LAST = (1 << 63) - 1
 _LOW = np.uint64((1 << 32) - 1)
@@ -110,6 +114,7 @@ def remove_earlier(docs: DataFrame, *columns: str, length: int = LENGTH, with_te
     bundled = bundles(docs, "doc_id", "text", *columns, limit=BUNDLE_BYTES)
     parts = part_count(bundled, PART_BYTES)
     width = 2 * length - ANCHOR
+    hot_anchor = HOT_ANCHOR
 
     def grouped(anchors: Anchors):
         """Anchors in order of part and key, where each distinct key begins, and the parts' bounds of the keys."""
@@ -123,46 +128,54 @@ def remove_earlier(docs: DataFrame, *columns: str, length: int = LENGTH, with_te
 
     def ask_keys(bundle, docs, data, offsets):
         order, begins, keys, bounds = grouped(Anchors(data, offsets, length))
-        many = np.diff(begins, append=len(order)) > 1
+        many = np.minimum(np.diff(begins, append=len(order)), 0xFFFF).astype("<u2")
         for part, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             if low < high:
                 steps = np.diff(keys[low:high], prepend=np.uint64(0))
-                yield part, squeeze(planes(steps)[:5], np.packbits(many[low:high]))
+                yield part, squeeze(planes(steps)[:5], many[low:high])
 
     def tell_repeated(payloads):
         keys, many = [], []
         for _, payload in payloads:
-            steps, bits = unsqueeze(payload, "u1", "u1")
+            steps, counted = unsqueeze(payload, "u1", "<u2")
             steps = np.concatenate([steps, np.zeros(len(steps) // 5 * 3, np.uint8)])
             keys.append(np.cumsum(unplaned(steps), dtype=np.uint64))
-            many.append(np.unpackbits(bits, count=len(keys[-1])))
+            many.append(counted)
         sizes = [len(k) for k in keys]
         every = np.concatenate(keys)
         order = np.argsort(every)
         value = every[order]
         begins = np.flatnonzero(np.append(True, value[1:] != value[:-1]))
         counts = np.diff(begins, append=len(value))
-        repeated = (counts > 1) | np.logical_or.reduceat(np.concatenate(many).astype(bool)[order], begins)
-        back = np.empty(len(order), dtype=bool)
-        back[order] = np.repeat(repeated, counts)
-        for (bundle, _), bits in zip(payloads, np.split(back, np.cumsum(sizes)[:-1])):
-            yield bundle, squeeze(np.packbits(bits))
+        occurrences = np.add.reduceat(np.concatenate(many)[order], begins, dtype=np.int64)
+        back = np.empty(len(order), dtype=np.int8)
+        back[order] = np.repeat((occurrences > 1).astype(np.int8) + (occurrences > hot_anchor), counts)
+        for (bundle, _), told in zip(payloads, np.split(back, np.cumsum(sizes)[:-1])):
+            yield bundle, squeeze(np.packbits(told > 0), np.packbits(told > 1))
 
     def send_text(bundle, docs, data, offsets, replies):
         anchors = Anchors(data, offsets, length)
         order, begins, keys, bounds = grouped(anchors)
-        bits = [np.unpackbits(unsqueeze(replies[p], "u1")[0], count=b - a) for p, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())) if a < b]
-        repeated = np.repeat(np.concatenate(bits).astype(bool), np.diff(begins, append=len(order))) if bits else np.zeros(0, bool)
-        some = order[repeated]
+        told = [[np.unpackbits(x, count=b - a) for x in unsqueeze(replies[p], "u1", "u1")] for p, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())) if a < b]
+        repeated, hot = (np.repeat(np.concatenate([np.zeros(0, np.uint8), *[t[k] for t in told]]).astype(bool), np.diff(begins, append=len(order))) for k in (0, 1))
+        some, hot = order[repeated], hot[repeated]
         first, last, number = anchors.first[some], anchors.last[some], doc_numbers(docs)[anchors.doc[some]]
+        part = part_of(anchors.hash[some], parts)
+        if hot.any():
+            # every window of a hot anchor for itself
+            windows = (last - first + 1)[hot]
+            single = ragged(first[hot], windows)
+            apart = part_of(mixed(word_hashes(data, single, single + length, 11), 8), parts)
+            number = np.concatenate([number[~hot], np.repeat(number[hot], windows)])
+            part = np.concatenate([part[~hot], apart])
+            first, last = np.concatenate([first[~hot], single]), np.concatenate([last[~hot], single])
         size = last - first + length
         text = texts_of(data, first, size)
         # the same text in this bundle: later documents have an earlier one at hand
-        kind = np.unique(np.concatenate([text, size[:, None].astype(np.uint8)], axis=1).view(f"V{width + 1}").reshape(-1), return_inverse=True)[1] if len(some) else some
+        kind = np.unique(np.concatenate([text, size[:, None].astype(np.uint8)], axis=1).view(f"V{width + 1}").reshape(-1), return_inverse=True)[1] if len(first) else first
         earliest = np.full(int(kind.max(initial=-1)) + 1, LAST)
         np.minimum.at(earliest, kind, number)
         later = number > earliest[kind]
-        part = part_of(anchors.hash[some], parts)
         here = bundle % parts
         out = []
         sent = np.flatnonzero(~later)

@@ -273,6 +273,23 @@ def test_earlier_in_few_letters(spark, length):
     assert digests(rows, "n_bytes", "n_removed", "n_spans", "kept_sha256") == multiset((i, *x) for (i, _), x in zip(docs, brute.earlier(docs, length)))
 
 
+def test_windows_of_a_hot_anchor_are_dealt_apart(spark, monkeypatch):
+    """A passage in every document, between texts that differ: no task sorts most of the windows at its edges."""
+    rng = np.random.default_rng(3)
+    own = ["".join(rng.choice(list("abcdefghijklmnop"), 80)) for _ in range(400)]
+    docs = [(k, f"{own[2 * k]} The same passage of sixty bytes or so is in each of them. {own[2 * k + 1]}") for k in range(200)]
+    docs += [(300, docs[7][1]), (301, docs[9][1][20:])]
+    monkeypatch.setattr(suffixes, "HOT_ANCHOR", 100, raising=False)
+    asked, answer = [], suffixes.answer
+    monkeypatch.setattr(suffixes, "answer", lambda *given: asked.append(given[0]) or answer(*given))
+    rows = suffixes.remove_earlier(spark.createDataFrame(docs, DOCUMENT).repartition(4)).collect()
+    assert digests(rows, "n_bytes", "n_removed", "n_spans", "kept_sha256") == multiset((i, *x) for (i, _), x in zip(docs, brute.earlier(docs)))
+    windows = defaultdict(int)
+    for r in asked[1].collect():
+        windows[r.part] += int((suffixes.unsqueeze(r.payload, "<i8", "<u4", "u1", "u1", "<u4", "<u4")[2].astype(int) - suffixes.LENGTH + 1).sum())
+    assert max(windows.values()) < sum(windows.values()) / 3
+
+
 def test_earlier_query(spark, small, documents):
     rows = QUERIES["op5_suffixes"](spark, small).collect()
     assert digests(rows, "n_bytes", "n_removed", "n_spans", "kept_sha256") == multiset((i, *x) for (i, _), x in zip(documents, brute.earlier(documents)))
