@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.session import new_folder
-from llm import contexts, decontaminate, languages, neighbours, packing, simhash, substrings, suffixes, token_files, warc
+from llm import contexts, decontaminate, languages, merkle, neighbours, packing, simhash, substrings, suffixes, token_files, warc
 from llm.common import ship, table
 
 
@@ -78,6 +78,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.capture_digests(warc.assemble(warc.read_warc(spark, path, payloads=False)))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    doc_id = F.col("doc_id").cast("string")
+    altered = F.when(F.crc32(doc_id) % 3 == 0, merkle.leaf_digest(text=merkle.lowered(F.col("text"))))
+    manifest = merkle.build(table(spark, sf_dir, "documents"), altered=altered)
+    proofs = merkle.verify(manifest, F.coalesce("altered", "leaf"), "doc_id")
+    return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query, after its code went to the executors."""
 
@@ -89,5 +97,5 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
     return run
 
 
-OPERATORS = (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op7_contexts, op8_decontaminate, op9_token_files, op10_warc)
+OPERATORS = (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op7_contexts, op8_decontaminate, op9_token_files, op10_warc, op11_merkle)
 QUERIES = {f.__name__: shipped(f) for f in OPERATORS}

@@ -23,7 +23,6 @@ def lower(text):
 
 def token_ids(texts, file):
     tokenizer = Tokenizer.from_file(public_tokenizers.path(file))
-    tokenizer.encode_special_tokens = True
     found = tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)
     return [np.array([*e.ids, 1], dtype="<u4") for e in found]
 
@@ -181,3 +180,45 @@ def context_scores(docs, folds=7, depth=4, which=range(40)):
                 total += math.log10(p if bit else 1 - p)
         out.append(total)
     return out
+
+
+def digest(*parts):
+    return hashlib.sha256("".join(parts).encode()).hexdigest()
+
+
+def merkle(rows, arity=8):
+    """(leaf, subroot, root, proof digest, folded root, verified) of each (doc_id, source, lang, n_chars, text), after the doc_id."""
+
+    def leaf(row):
+        return digest(*("-" if v is None else f"{len(str(v).encode())}:{v}" for v in row))
+
+    def tampered(row):
+        touched = row[0] is not None and zlib.crc32(str(row[0]).encode()) % 3 == 0 and row[4] is not None
+        return (*row[:4], lower(row[4])) if touched else row
+
+    def levels(nodes):
+        out = [nodes]
+        while len(out[-1]) > 1:
+            out.append([digest(*out[-1][k : k + arity]) for k in range(0, len(out[-1]), arity)])
+        return out
+
+    def path(tree, k):
+        for level in tree[:-1]:
+            low = k // arity * arity
+            yield level[low:k], level[k + 1 : low + arity]
+            k //= arity
+
+    langs = sorted({r[2] for r in rows}, key=lambda x: (x is not None, (x or "").encode()))
+    own = {x: sorted((r for r in rows if r[2] == x), key=lambda r: (r[0] is not None, r[0] or 0, leaf(r))) for x in langs}
+    trees = {x: levels([leaf(r) for r in own[x]]) for x in langs}
+    top = levels([trees[x][-1][0] for x in langs])
+    out = []
+    for n, x in enumerate(langs):
+        for k, r in enumerate(own[x]):
+            sides = [*path(trees[x], k), *path(top, n)]
+            at = leaf(tampered(r))
+            for left, right in sides:
+                at = digest(*left, at, *right)
+            proof = digest(*(d for left, right in sides for d in left + right))
+            out.append((r[0], leaf(r), trees[x][-1][0], top[-1][0], proof, at, at == top[-1][0]))
+    return out
