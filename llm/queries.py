@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge.session import new_folder
-from llm import contexts, decontaminate, languages, merkle, neighbours, packing, simhash, substrings, suffixes, token_files, warc
+from llm import alignment, contexts, decontaminate, languages, merkle, near_vectors, neighbours, packing, simhash, substrings, suffixes, token_files, warc
 from llm.common import ship, table
 
 
@@ -86,6 +86,15 @@ def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return proofs.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified")
 
 
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = Path(public_tokenizers.path("piece_bpe_32k.model")).read_bytes()
+    return alignment.align(table(spark, sf_dir, "documents"), tokenizer_json("byte_bpe_50k.json"), model, "doc_id")
+
+
+def op13_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors.near_copies(table(spark, sf_dir, "embeddings"))
+
+
 def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     """The query, after its code went to the executors."""
 
@@ -97,5 +106,5 @@ def shipped(query: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkS
     return run
 
 
-OPERATORS = (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op7_contexts, op8_decontaminate, op9_token_files, op10_warc, op11_merkle)
+OPERATORS = (op1_packing, op2_substrings, op3_simhash, op4_neighbours, op5_suffixes, op6_languages, op7_contexts, op8_decontaminate, op9_token_files, op10_warc, op11_merkle, op12_alignment, op13_near_vectors)
 QUERIES = {f.__name__: shipped(f) for f in OPERATORS}

@@ -222,3 +222,92 @@ def merkle(rows, arity=8):
             proof = digest(*(d for left, right in sides for d in left + right))
             out.append((r[0], leaf(r), trees[x][-1][0], top[-1][0], proof, at, at == top[-1][0]))
     return out
+
+
+def cosine_links(rows, threshold=0.9):
+    """(vec_id, n_links, component_id, kept) of each (vec_id, vector or None)."""
+    sizes = Counter(len(v) for i, v in rows if usable(i, v))
+    size = max(sizes, key=lambda n: (sizes[n], n), default=0)
+    fit = [k for k, (i, v) in enumerate(rows) if usable(i, v) and len(v) == size]
+    root, links = list(range(len(rows))), [0] * len(rows)
+
+    def find(k):
+        while root[k] != k:
+            k = root[k]
+        return k
+
+    if fit:
+        x = np.array([rows[k][1] for k in fit], dtype=np.float64)
+        x /= np.sqrt((x * x).sum(axis=1))[:, None]
+        near = x @ x.T >= threshold
+        for a, b in zip(*np.nonzero(np.triu(near, 1))):
+            a, b = fit[a], fit[b]
+            links[a] += 1
+            links[b] += 1
+            root[max(find(a), find(b))] = min(find(a), find(b))
+    least = {}
+    for k in fit:
+        least[find(k)] = min(least.get(find(k), rows[k][0]), rows[k][0])
+    component = [least.get(find(k), i) for k, (i, _) in enumerate(rows)]
+    return [(i, n, c, c == i) for (i, _), n, c in zip(rows, links, component)]
+
+
+def usable(i, v):
+    return i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v) and any(v)
+
+
+def token_bytes():
+    """The bytes of each id of both tokenizers, and functions that give a text's ids."""
+    import sentencepiece
+
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    tokenizer.encode_special_tokens = True
+    pieces = sentencepiece.SentencePieceProcessor(model_file=public_tokenizers.path("piece_bpe_32k.model"))
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    letters = {chr(b): b for b in own} | {chr(256 + n): b for n, b in enumerate(b for b in range(256) if b not in own)}
+    first = {i: bytes(letters[c] for c in token) for token, i in tokenizer.get_vocab().items()}
+    second = {}
+    for i in range(pieces.get_piece_size()):
+        name = pieces.id_to_piece(i)
+        second[i] = bytes([int(name[3:5], 16)]) if pieces.is_byte(i) else name.replace("▁", " ").encode()
+    return first, second, lambda t: tokenizer.encode(t, add_special_tokens=False).ids, pieces.encode
+
+
+def alignments(docs):
+    """(doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups digest) of each (doc_id, text)."""
+    first, second, ids_a, ids_b = token_bytes()
+    groups = []
+    for _, text in docs:
+        groups.append([])
+        if not text:
+            continue
+        whole = " " + text
+        a, b = ids_a(whole), ids_b(text)
+        if b"".join(first[i] for i in a) != whole.encode() or b"".join(second[i] for i in b) != whole.encode():
+            continue
+        at = [0, 0]
+        run = [[], []]
+        a, b = a[::-1], b[::-1]
+        while a or b:
+            side = 0 if not b or (a and at[0] <= at[1]) else 1
+            i = (a, b)[side].pop()
+            at[side] += len((first, second)[side][i])
+            run[side].append(i)
+            if at[0] == at[1]:
+                groups[-1].append(run)
+                run = [[], []]
+    holders = Counter()
+    linked = [Counter((x, y) for a, b in g for x in a for y in b) for g in groups]
+    for links in linked:
+        holders.update(links.keys())
+    most = defaultdict(int)
+    for (x, _), n in holders.items():
+        most[x] = max(most[x], n)
+    out = []
+    for (i, _), g, links in zip(docs, groups, linked):
+        spelled = ";".join("|".join(",".join(map(str, side)) for side in run) for run in g)
+        out.append((
+            i, sum(len(a) for a, _ in g), sum(len(b) for _, b in g), len(g), sum(links.values()), sum(n for p, n in links.items() if holders[p] == most[p[0]]),
+            sum(n * holders[p] for p, n in links.items()), hashlib.sha256(spelled.encode()).hexdigest() if g else "",
+        ))
+    return out
