@@ -31,11 +31,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flowgauge.session import stage
-from llm.common import byte_array, chunks, give_back, ragged, squeeze, unsqueeze
-from llm.tokens import JOINED, TextEncoder
+from llm.common import buffer_of, byte_array, chunks, give_back, ragged, squeeze, unsqueeze
+from llm.tokens import AT_ONCE, JOINED, WIDE_SPACE, TextEncoder
 
 #: Text of a bundle, and of a slice of a longer document.
-BUNDLE_BYTES = 8 << 20
+BUNDLE_BYTES = 4 << 20
 #: Stretches that are followed at once start so many tokens apart.
 STRETCH = 512
 #: A group with more links than this counts its different pairs first.
@@ -43,6 +43,7 @@ WIDE_GROUP = 1 << 12
 #: Pieces of text whose tokens a worker remembers between tasks.
 REMEMBERED = 300_000
 SPACE_PIECE = "▁"
+MARK = SPACE_PIECE.encode()
 WHITE = b" \t\n\v\f\r"
 
 _READY: dict[int, PairEncoder] = {}
@@ -72,43 +73,58 @@ def without_added(definition: str) -> str:
     return json.dumps(json.loads(definition) | {"added_tokens": []})
 
 
+class Spelling:
+    """The bytes of each id of a vocabulary."""
+
+    def __init__(self, names: list[bytes]):
+        self.sizes = np.array([len(b) for b in names], dtype=np.int64)
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        self.flat = np.frombuffer(b"".join(names), dtype=np.uint8)
+
+    def of(self, ids: np.ndarray) -> bytes:
+        return self.flat[ragged(self.begin[ids], self.sizes[ids])].tobytes()
+
+
 class ByteLevel(TextEncoder):
-    """Ids by a byte-level vocabulary, and the bytes of each."""
+    """Ids by a byte-level vocabulary."""
 
     def __init__(self, definition: str):
         super().__init__(without_added(definition))
         if self.kind != "byte":
             raise ValueError("a byte-level vocabulary without normalizer is needed")
         letters = byte_letters()
-        self.bytes = [b""] * len(self.sizes)
+        names = [b""] * len(self.sizes)
         for token, i in self.tokenizer.get_vocab().items():
             # names of added tokens may use other letters; no text gives them
-            self.bytes[i] = bytes(letters.get(c, 0) for c in token)
+            names[i] = bytes(letters.get(c, 0) for c in token)
+        self.spelling = Spelling(names)
+
+    def ids_of(self, parts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch([p.decode() for p in parts], add_special_tokens=False)]
 
 
 class Pieces:
-    """Ids by a sentencepiece model that puts a space in front, and the bytes of each."""
+    """Ids by a sentencepiece model that puts a space in front."""
 
     def __init__(self, model: bytes):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         names = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
-        self.bytes = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE_PIECE, " ").encode() for i, p in enumerate(names)]
-        self.sizes = np.array([len(b) for b in self.bytes], dtype=np.int64)
+        spelled = [bytes([int(p[3:5], 16)]) if self.model.is_byte(i) else p.replace(SPACE_PIECE, " ").encode() for i, p in enumerate(names)]
+        self.spelling = Spelling(spelled)
         self.space = self.model.piece_to_id(SPACE_PIECE)
         # white space that a piece joins with what stands before it, so that no text may be cut there
-        joins = {c for b in self.bytes for before, c in zip(b, b[1:]) if c in WHITE and before not in WHITE}
-        joins |= {b[1] for b in self.bytes if len(b) > 1 and b[0] == 32 and b[1] in WHITE and b[1] != 32}
-        self.joins = joins
+        self.joins = {c for b in spelled for before, c in zip(b, b[1:]) if c in WHITE and before not in WHITE}
+        self.joins |= {b[1] for b in spelled if len(b) > 1 and b[0] == 32 and b[1] in WHITE and b[1] != 32}
 
-    def encode(self, pieces: list[bytes]) -> list[list[int]]:
+    def ids_of(self, parts: list[bytes]) -> list[list[int]]:
         """The ids of parts of a text that begin with white space, as they are within it."""
-        heads = [p[:1] == b" " for p in pieces]
-        found = self.model.encode([(p[1:] if head else p).decode() for p, head in zip(pieces, heads)], num_threads=1) if pieces else []
+        heads = [p[:1] == b" " for p in parts]
+        found = self.model.encode([(p[1:] if head else p).decode() for p, head in zip(parts, heads)], num_threads=1) if parts else []
         out = []
-        for piece, head, ids in zip(pieces, heads, found, strict=True):
-            if piece == b" ":
+        for part, head, ids in zip(parts, heads, found, strict=True):
+            if part == b" ":
                 ids = [self.space]
             elif not head:
                 # the space in front is not there: it is a piece of its own
@@ -117,6 +133,36 @@ class Pieces:
         return out
 
 
+def apart(part: bytes) -> bool:
+    """Whether a part must not be joined with others to one text for the tokenizers."""
+    return len(part) > 64 or part[0] not in WHITE or part[-1] in WHITE or (not part.isascii() and (MARK in part or WIDE_SPACE.search(part) is not None))
+
+
+def ids_by_part(side: ByteLevel | Pieces, parts: list[bytes], joined: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Ids of all parts in a row, how many each has, and whether they spell it; the first ``joined`` may be joined."""
+    spelling = side.spelling
+    groups = [parts[low : min(low + JOINED, joined)] for low in range(0, joined, JOINED)] + [[p] for p in parts[joined:]]
+    ids, counts, whole = [np.zeros(0, np.int32)], [np.zeros(0, np.int64)], [np.zeros(0, bool)]
+    for low in range(0, len(groups), AT_ONCE):
+        some = groups[low : low + AT_ONCE]
+        texts = [b"".join(g) for g in some]
+        for group, text, found in zip(some, texts, side.ids_of(texts), strict=True):
+            made = np.array(found, dtype=np.int32)
+            if spelling.of(made) == text:
+                ends = np.cumsum(np.fromiter(map(len, group), dtype=np.int64, count=len(group)))
+                cuts = np.searchsorted(np.cumsum(spelling.sizes[made]), ends) + 1
+                ids.append(made)
+                counts.append(np.diff(cuts, prepend=0))
+                whole.append(np.ones(len(group), dtype=bool))
+                continue
+            for part, own in zip(group, side.ids_of(group), strict=True):
+                own = np.array(own, dtype=np.int32)
+                ids.append(own)
+                counts.append(np.array([len(own)]))
+                whole.append(np.array([spelling.of(own) == part]))
+    return np.concatenate(ids), np.concatenate(counts), np.concatenate(whole)
+
+
 class PairEncoder:
     """Ids of texts by both tokenizers, run once per distinct part between white space."""
 
@@ -153,27 +199,30 @@ class PairEncoder:
             out.append(int(starts[k]))
         return [*out, len(data)]
 
-    def looked_up(self, pieces: list[bytes]) -> np.ndarray:
+    def looked_up(self, parts: list[bytes]) -> np.ndarray:
         """The row of each part; what is new is encoded."""
         if len(self.known) > REMEMBERED or len(self.ids[0]) > 8 * REMEMBERED:
             self.forget()
         get = self.known.get
-        rows = np.fromiter((get(p, -1) for p in pieces), dtype=np.int64, count=len(pieces))
+        rows = np.fromiter((get(p, -1) for p in parts), dtype=np.int64, count=len(parts))
         missing = np.flatnonzero(rows < 0)
         if len(missing):
-            new = [pieces[k] for k in missing]
-            first = self.first.fresh(new)
-            second = [ids for low in range(0, len(new), 4 * JOINED) for ids in self.second.encode(new[low : low + 4 * JOINED])]
-            whole = [b"".join(map(self.first.bytes.__getitem__, a.tolist())) == p == b"".join(map(self.second.bytes.__getitem__, b)) for a, b, p in zip(first, second, new, strict=True)]
-            rows[missing] = len(self.good) + np.arange(len(missing))
-            for k, row in zip(missing.tolist(), rows[missing].tolist()):
-                if len(pieces[k]) <= 64:
-                    self.known[pieces[k]] = row
-            self.good = np.concatenate([self.good, whole])
-            for n, found in enumerate((first, second)):
-                lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
-                self.bounds[n] = np.concatenate([self.bounds[n], self.bounds[n][-1] + np.cumsum(lengths)])
-                self.ids[n] = np.concatenate([self.ids[n], *[np.asarray(x, dtype=np.int32) for x in found]])
+            alone = np.fromiter((apart(parts[k]) for k in missing.tolist()), dtype=bool, count=len(missing))
+            missing = missing[np.argsort(alone, kind="stable")]
+            new = [parts[k] for k in missing.tolist()]
+            joined = int(len(alone) - alone.sum())
+            good = np.ones(len(new), dtype=bool)
+            first_row = len(self.good)
+            for n, side in enumerate((self.first, self.second)):
+                ids, counts, whole = ids_by_part(side, new, joined)
+                good &= whole
+                self.bounds[n] = np.concatenate([self.bounds[n], self.bounds[n][-1] + np.cumsum(counts)])
+                self.ids[n] = np.concatenate([self.ids[n], ids])
+            self.good = np.concatenate([self.good, good])
+            rows[missing] = first_row + np.arange(len(new))
+            # of the parts that stand alone the long ones are not remembered
+            self.known.update(zip(new[:joined], range(first_row, first_row + joined)))
+            self.known.update((p, first_row + k) for k, p in enumerate(new[joined:], joined) if len(p) <= 64)
         return rows
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -243,11 +292,9 @@ def common_ends(a: np.ndarray, b: np.ndarray, stretch: int = STRETCH) -> tuple[n
     return in_a, in_b
 
 
-def decimal_letters(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The digits of 0 to n - 1, eight bytes each, and how many."""
-    digits = [str(k).encode() for k in range(n)]
-    table = np.frombuffer(b"".join(d.ljust(8, b"\0") for d in digits), dtype=np.uint8).reshape(n, 8)
-    return table, np.array([len(d) for d in digits], dtype=np.int64)
+def decimals(n: int) -> pa.LargeBinaryArray:
+    """The numbers 0 to n - 1 in decimal, first all with a comma behind, then with a bar, then with a semicolon."""
+    return pa.array([b"%d%c" % (k, mark) for mark in b",|;" for k in range(n)], pa.large_binary())
 
 
 class Aligned:
@@ -255,7 +302,7 @@ class Aligned:
 
     def __init__(self, pair: PairEncoder, a: np.ndarray, counts_a: np.ndarray, b: np.ndarray, counts_b: np.ndarray):
         self.a, self.b, self.pair = a, b, pair
-        in_a, in_b = common_ends(np.cumsum(pair.first.sizes[a]), np.cumsum(pair.second.sizes[b]))
+        in_a, in_b = common_ends(np.cumsum(pair.first.spelling.sizes[a]), np.cumsum(pair.second.spelling.sizes[b]))
         ends_a, ends_b = np.flatnonzero(in_a) + 1, np.flatnonzero(in_b) + 1
         self.ends_a, self.ends_b = ends_a, ends_b
         self.size_a, self.size_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
@@ -264,57 +311,52 @@ class Aligned:
         self.doc = np.repeat(np.arange(len(counts_a)), self.groups)
         self.links = np.bincount(self.doc, weights=self.size_a * self.size_b, minlength=len(counts_a)).astype(np.int64)
 
-    def pairs(self, kinds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Texts, pairs of ids (first times ``kinds`` plus second), and how many links of the text each is, summed up in part."""
+    def pairs(self, kinds: int, span: int) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of ids linked in each text, as text times ``span`` plus first id times ``kinds`` plus second, and how often."""
         small = self.size_a * self.size_b <= WIDE_GROUP
         begin_a, begin_b = self.ends_a - self.size_a, self.ends_b - self.size_b
         of_group = np.repeat(np.flatnonzero(small), self.size_a[small])
-        own = ragged(begin_a[small], self.size_a[small])
         times = self.size_b[of_group]
-        keys = np.repeat(self.a[own].astype(np.int64) * kinds, times) + self.b[ragged(begin_b[of_group], times)]
-        docs, many = [np.repeat(self.doc[of_group], times)], [np.ones(len(keys), np.int64)]
-        found = [keys]
+        own = self.doc[of_group] * span + self.a[ragged(begin_a[small], self.size_a[small])].astype(np.int64) * kinds
+        found = np.repeat(own, times)
+        found += self.b[ragged(begin_b[of_group], times)]
+        found, many = np.unique(found, return_counts=True)
+        if small.all():
+            return found, many
+        parts = [(found, many)]
         for g in np.flatnonzero(~small).tolist():
             x, n = np.unique(self.a[begin_a[g] : self.ends_a[g]], return_counts=True)
             y, m = np.unique(self.b[begin_b[g] : self.ends_b[g]], return_counts=True)
-            found.append((x.astype(np.int64)[:, None] * kinds + y).ravel())
-            many.append((n[:, None] * m).ravel())
-            docs.append(np.full(len(found[-1]), self.doc[g]))
-        return np.concatenate(docs), np.concatenate(found), np.concatenate(many)
+            parts.append(((self.doc[g] * span + x.astype(np.int64)[:, None] * kinds + y).ravel(), (n[:, None] * m).ravel()))
+        return summed(parts)
 
-    def spelled(self, letters: tuple) -> list[bytes]:
+    def spelled(self, letters: pa.LargeBinaryArray) -> list[bytes]:
         """The groups of each text in decimal."""
-        table, digits = letters
+        if not len(self.size_a):
+            return [b""] * len(self.groups)
         size = self.size_a + self.size_b
         begin = np.cumsum(size) - size
         ids = np.zeros(int(size.sum()), dtype=np.int64)
         ids[ragged(begin, self.size_a)] = self.a
         ids[ragged(begin + self.size_a, self.size_b)] = self.b
-        marks = np.full(len(ids), ord(","), dtype=np.uint8)
-        marks[begin + self.size_a - 1] = ord("|")
-        marks[begin + size - 1] = ord(";")
-        n = digits[ids]
-        cells = table[ids]
-        cells[np.arange(len(ids)), n] = marks
-        raw = cells[np.arange(8) <= n[:, None]].tobytes()
-        lengths = np.concatenate([[0], np.cumsum(n + 1)])
-        ends = lengths[np.cumsum(size)[np.cumsum(self.groups) - 1]] if len(size) else np.zeros(len(self.groups), np.int64)
-        ends = np.where(np.cumsum(self.groups) > 0, ends, 0)
-        starts = np.append(0, ends[:-1])
-        # without the separator behind the last group
-        return [raw[s : max(e - 1, s)] for s, e in zip(starts.tolist(), ends.tolist())]
-
-
-def summed(docs: np.ndarray, keys: np.ndarray, many: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """One entry for each text and pair; pairs are numbers below ``span``."""
-    both = docs * span + keys
-    if (many == 1).all():
-        both, counts = np.unique(both, return_counts=True)
-        return both // span, both % span, counts
-    both, place = np.unique(both, return_inverse=True)
-    counts = np.zeros(len(both), np.int64)
-    np.add.at(counts, place, many)
-    return both // span, both % span, counts
+        kinds = len(letters) // 3
+        ids[begin + self.size_a - 1] += kinds
+        ids[begin + size - 1] += 2 * kinds
+        raw, lengths = buffer_of(letters.take(pa.array(ids)))
+        groups = np.cumsum(self.groups)
+        ends = np.where(groups > 0, lengths[np.cumsum(size)[groups - 1]], 0)
+        # without the mark behind the last group
+        return [raw[s : max(e - 1, s)].tobytes() for s, e in zip([0, *ends[:-1].tolist()], ends.tolist())]
+
+
+def summed(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers with how often each occurs, from parts of such."""
+    if len(parts) == 1:
+        return parts[0]
+    found, place = np.unique(np.concatenate([x for x, _ in parts]), return_inverse=True)
+    many = np.zeros(len(found), np.int64)
+    np.add.at(many, place, np.concatenate([n for _, n in parts]))
+    return found, many
 
 
 def spaced_texts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -328,10 +370,10 @@ def spaced_texts(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
     return out, np.append(0, ends)
 
 
-def aligned_texts(pair: PairEncoder, data: np.ndarray, offsets: np.ndarray, letters: tuple, limit: int) -> tuple:
+def aligned_texts(pair: PairEncoder, data: np.ndarray, offsets: np.ndarray, letters: pa.LargeBinaryArray, limit: int) -> tuple:
     """Counts and digest of each text, and its pairs of ids: n_a, n_b, n_groups, n_links, digests, docs, keys, many."""
-    kinds = len(pair.second.sizes)
-    span = len(pair.first.sizes) * kinds
+    kinds = len(pair.second.spelling.sizes)
+    span = len(pair.first.spelling.sizes) * kinds
     data, offsets = spaced_texts(data, offsets)
     if len(offsets) == 2 and len(data) > limit:
         cuts = pair.cuts(data, limit)
@@ -348,8 +390,9 @@ def aligned_texts(pair: PairEncoder, data: np.ndarray, offsets: np.ndarray, lett
         for digest, text in zip(digests, found.spelled(letters)):
             if text:
                 digest.update(text if low == 0 else b";" + text)
-        gathered.append(summed(*found.pairs(kinds), span))
-    docs, keys, many = gathered[0] if len(gathered) == 1 else summed(*(np.concatenate(x) for x in zip(*gathered)), span)
+        gathered.append(found.pairs(kinds, span))
+    both, many = summed(gathered)
+    docs, keys = both // span, both % span
     totals *= whole
     kept = whole[docs]
     spelled = [d.hexdigest() if n else "" for d, n in zip(digests, totals[0].tolist())]
@@ -371,8 +414,8 @@ def align(docs: DataFrame, tokenizer_json: str, piece_model: bytes, *columns: st
 
     def run(batches) -> Iterator[pa.RecordBatch]:
         pair = encoder(tokenizer_json, piece_model)
-        letters = decimal_letters(max(len(pair.first.sizes), len(pair.second.sizes)))
-        kinds = len(pair.second.sizes)
+        letters = decimals(max(len(pair.first.spelling.sizes), len(pair.second.spelling.sizes)))
+        kinds = len(pair.second.spelling.sizes)
         bundle = TaskContext.get().partitionId() << 32
         for rows, data, offsets in chunks(batches, limit=limit):
             totals, digests, own, keys, many = aligned_texts(pair, data, offsets, letters, limit)
