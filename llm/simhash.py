@@ -73,13 +73,13 @@ def embedding(fps: np.ndarray) -> np.ndarray:
     return fps - (fps >> np.uint64(1) & _ODD)
 
 
-def manhattan(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Distances of embeddings."""
-    out = np.zeros(len(x), dtype=np.int64)
-    for k in range(0, 64, 2):
-        a, b = x >> np.uint64(k) & np.uint64(3), y >> np.uint64(k) & np.uint64(3)
-        out += np.abs(a.astype(np.int8) - b.astype(np.int8))
-    return out
+def unary(fps: np.ndarray) -> np.ndarray:
+    """The embedding with each count in unary, one bit for one and two for two.
+
+    The Manhattan distance of two embeddings is the number of bits in which these differ.
+    """
+    other = fps >> np.uint64(1)
+    return (fps | other) & _ODD | (fps & other & _ODD) << np.uint64(1)
 
 
 def cells(fps: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
@@ -119,7 +119,7 @@ def forest(cell: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray
             i = root[i]
         return i
 
-    whole, left, right = embedding(fps), [], []
+    whole, left, right = unary(fps), [], []
     active = np.arange(n)
     step = 1
     while True:
@@ -128,8 +128,8 @@ def forest(cell: np.ndarray, fps: np.ndarray, max_bits: int) -> tuple[np.ndarray
         if not len(active):
             break
         other = active + step
-        near = np.bitwise_count(fps[active] ^ fps[other]) <= max_bits
-        near[near] = manhattan(whole[active[near]], whole[other[near]]) <= max_bits
+        near = np.flatnonzero(np.bitwise_count(whole[active] ^ whole[other]) <= max_bits)
+        near = near[np.bitwise_count(fps[active[near]] ^ fps[other[near]]) <= max_bits]
         for i, j in zip(active[near].tolist(), other[near].tolist()):
             a, b = find(i), find(j)
             if a != b:

@@ -6,7 +6,8 @@ other, so a text's ids are the ids of its pieces in a row:
 * byte-level vocabularies that keep white space: a piece is a run of white space and the
   word after it. Beside non-ASCII white space this does not hold, so such a text is one piece;
 * vocabularies that drop white space: a piece is a word, with A-Z lower-cased where the
-  tokenizer does so itself.
+  tokenizer does so itself. Only words of ASCII are lower-cased here: in others the tokenizer
+  composes letters and marks first, and an upper-case letter may compose otherwise.
 
 Any other tokenizer gets whole texts. Strings of added tokens in a text are these tokens, as
 the library has it by default; a piece that holds one goes to the tokenizer alone, and its
@@ -22,7 +23,7 @@ import re
 
 import numpy as np
 
-from llm.common import LOWER, SPACE, byte_array, ragged, words
+from llm.common import LOWER, SPACE, byte_array, covered, ragged, words
 
 REMEMBERED = 750_000
 #: Pieces joined to one text for the tokenizer, and such texts given to it at once.
@@ -81,6 +82,11 @@ class TextEncoder:
         if self.kind == "word":
             raw, data = data, LOWER[data]
             starts, ends, at = words(data, offsets, ~SPACE)
+            wide = np.concatenate([[0], np.cumsum(raw >= 128)])
+            mixed = wide[ends] > wide[starts]
+            if mixed.any():
+                kept = covered(starts[mixed], ends[mixed], len(raw))
+                data[kept] = raw[kept]
             for m in self.any_case.finditer(data.tobytes()) if self.any_case else ():
                 k = int(np.searchsorted(starts, m.start(), side="right")) - 1
                 data[starts[k] : ends[k]] = raw[starts[k] : ends[k]]

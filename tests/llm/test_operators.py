@@ -106,6 +106,9 @@ def test_step_groups_are_level():
 @pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_pieces_have_the_ids_of_whole_texts(file, documents):
     odd_texts = ["", " ", " a ", "x  y \n z  w", "\n\n a\n\nb  c ", "don't 'S I'll", "a   b  c\u0085\nd", "éa ́b ΣΑΣ Σ", "\x1c\x01 a\x01", "x" * 300, "ﬁ ǅ İ i̇", "​ a"]
+    # capitals that compose with a mark only in lower case, or not at all
+    marked = ["H\u0331ello", "T\u0308a W\u030a Y\u030a J\u030c", "aT\u0308 H\u0331H X", "ÀB CÉ İSTANBUL"]
+    odd_texts += [*marked, " plain Words ".join(marked) * 30]
     texts = odd_texts + [t for _, t in documents[:60]]
     encode = tokens.TextEncoder(tokenizer_json(file)).encode
     for _, data, offsets in chunks([pa.RecordBatch.from_pydict({"text": texts})], limit=5000):
@@ -202,6 +205,18 @@ def test_links_join_all_fingerprints_that_are_near(spark, bits):
     assert len({*zip(got, want)}) == len(set(got)) == len(set(want))
 
 
+def test_the_manhattan_distance_is_a_lower_bound():
+    rng = np.random.default_rng(2)
+    x, y = rng.integers(0, 1 << 63, (2, 2000), dtype=np.uint64)
+    y[:1000] = x[:1000] ^ (np.uint64(1) << rng.integers(0, 64, 1000, dtype=np.uint64)) ^ (np.uint64(1) << rng.integers(0, 64, 1000, dtype=np.uint64))
+    counts = lambda v: np.stack([np.bitwise_count(v >> np.uint64(k) & np.uint64(3)) for k in range(0, 64, 2)], axis=1).astype(int)
+    distance = np.abs(counts(x) - counts(y)).sum(axis=1)
+    assert (np.bitwise_count(simhash.unary(x) ^ simhash.unary(y)) == distance).all()
+    bits = np.bitwise_count(x ^ y)
+    # it rejects most of what the bits reject, and nothing that they do not
+    assert (distance <= bits).all() and ((distance > 4) & (bits > 4)).sum() > 900
+
+
 def test_components_of_a_chain_a_star_and_nulls(spark):
     links = [(k, k + 1) for k in range(40)] + [(100, 200 + k) for k in range(50)] + [(7, 7), (None, 3)]
     got = {r.node: r.root for r in components(spark.createDataFrame(links, "a long, b long")).collect()}

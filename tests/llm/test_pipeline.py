@@ -11,6 +11,8 @@ from flowgauge.session import new_folder
 import brute
 from test_operators import check_packing
 
+#: Names that the operators' results have.
+CLASH = ["fp", "row", "kept", "n_bytes", "n_removed", "n_spans", "kept_sha256", "clean", "n_words", "n_hit", "items", "spans", "lang_pred", "score", "letters"]
 COLUMNS = "doc_id long, text string, lang string, source string, n_chars long"
 
 
@@ -75,7 +77,7 @@ def test_packed(stages):
 def test_odd_rows(spark, small):
     rows = [(1, None, "en", "a", 0), (2, "", "en", "a", 0), (3, "...", None, "a", 3), (4, "plain words here", "en", None, None), (4, "plain words here", "en", None, None), (None, "other words there", None, None, 5), (5, "qzx" * 300, "en", "a", 900)]
     path = new_folder(spark, "odd-docs")
-    spark.createDataFrame(rows, COLUMNS).withColumn("fp", F.lit(1)).write.parquet(path)
+    spark.createDataFrame(rows, COLUMNS).withColumns({c: F.lit(1) for c in CLASH}).write.parquet(path)
     docs = spark.read.parquet(path)
     for n, (_, function) in enumerate(corpus_pipeline.STAGES):
         path = new_folder(spark, "odd-stage")
@@ -83,6 +85,7 @@ def test_odd_rows(spark, small):
         docs = spark.read.parquet(path)
         if n == 0:
             assert {r.text for r in docs.collect()} >= {"plain words here", "other words there"} and docs.where("text IS NULL OR text IN ('', '...')").count() == 0
+        assert n == 4 or docs.columns == [*(c.split()[0] for c in COLUMNS.split(", ")), *CLASH]
         if n == 1:
             assert docs.where("doc_id = 4").count() == 1
     assert docs.agg(F.sum("length")).first()[0] > 0
