@@ -40,24 +40,29 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return simhash.keep_one(docs)
 
 
+def carried(docs: DataFrame) -> DataFrame:
+    """doc_id, text, and the columns but the text as one, whatever they are called."""
+    return docs.select("doc_id", "text", F.struct(*[c for c in docs.columns if c != "text"]).alias("row"))
+
+
 def with_text(docs: DataFrame, made: DataFrame, text: str) -> DataFrame:
-    """The columns of ``docs`` from ``made``, with a new text and its length."""
-    lengths = {"n_chars": F.length(text).cast(docs.schema["n_chars"].dataType)} if "n_chars" in docs.columns else {}
-    return made.withColumns({"text": F.col(text)} | lengths).select(*docs.columns)
+    """The columns of ``docs`` from the row in ``made``, with a new text and its length."""
+    new = {"text": F.col(text)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return made.select(*[(new[c] if c in new else F.col("row")[c]).alias(c) for c in docs.columns])
 
 
 def earlier_strings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut what 50 bytes or more have in common with an earlier document. A null text becomes empty."""
     ship(spark)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return with_text(docs, suffixes.remove_earlier(docs, *others, with_text=True), "kept")
+    return with_text(docs, suffixes.remove_earlier(carried(docs), "row", with_text=True), "kept")
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut the passages of benchmark items."""
     ship(spark)
-    others = [c for c in docs.columns if c != "text"]
-    return with_text(docs, decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), *others), "clean")
+    return with_text(docs, decontaminate.decontaminate(carried(docs), table(spark, sf_dir, "benchmark"), "row"), "clean")
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
