@@ -189,7 +189,15 @@ STATUS_FAILED = "Failed One Or More Targets"
 # Seed rows of the performance snapshot and of the weights, and the figures shown without a measurement
 SEED_MAPE, SEED_RMSE = 8.5, 184.25
 DEFAULT_MAPE, DEFAULT_RMSE = 1.19, 13.92
-SCHOOL_BREAK_SEED = ("FRI-AC06", "academic", "School Break", "Semestral/Christmas/Summer Break", "0.85")
+SCHOOL_BREAK_SEED = (
+    "FRI-AC06",
+    "academic",
+    "School Break",
+    "Semestral/Christmas/Summer Break",
+    "0.85",
+    "Assessment of Class Suspension and School Break Impacts on Metro Manila Traffic (NCTS)",
+    "https://ncts.upd.edu.ph/tssp/wp-content/uploads/2018/08/Abad18.pdf",
+)
 
 # --- Fixed values: friction weights by trigger -------------------------------------
 FRICTION_WEIGHTS = [

@@ -45,15 +45,20 @@ def continuous_percentiles(df: DataFrame, keys: list[str], value: str, levels: d
     return edges.select(*keys, *out)
 
 
+def with_weekday(actuals: DataFrame) -> DataFrame:
+    """Actuals with their weekday, computed only where it is not stored."""
+    return actuals if "day_of_week" in actuals.columns else actuals.withColumn("day_of_week", iso_weekday(F.col("date")))
+
+
 def threshold_baselines(actuals: DataFrame, approximate: int | None = None) -> DataFrame:
     """P50 / P80 / P90 of volume per key; missing volumes count as zero.
 
     ``approximate`` (an accuracy such as 10000) trades exactness for one shuffle of
     fixed-size sketches; the default is exact.
     """
-    rows = actuals.select(
+    rows = with_weekday(actuals).select(
         "station_name",
-        iso_weekday(F.col("date")).alias("day_of_week"),
+        "day_of_week",
         "hour_period",
         "flow_type",
         F.coalesce(F.col("volume"), F.lit(0)).alias("_volume"),
@@ -66,9 +71,11 @@ def threshold_baselines(actuals: DataFrame, approximate: int | None = None) -> D
 
 
 def with_baselines(actuals: DataFrame, baselines: DataFrame, how: str = "left") -> DataFrame:
-    """Actuals beside the baseline of their station, weekday, hour and flow."""
-    keyed = actuals.withColumn("day_of_week", iso_weekday(F.col("date")))
-    return keyed.join(baselines, KEYS, how)
+    """Actuals beside the baseline of their station, weekday, hour and flow.
+
+    Actuals that are stored with their weekday keep it, and with it the buckets they lie in.
+    """
+    return with_weekday(actuals).join(baselines, KEYS, how)
 
 
 def congestion_levels(actuals: DataFrame, baselines: DataFrame) -> DataFrame:

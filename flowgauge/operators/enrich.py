@@ -18,7 +18,8 @@ class Rule:
 
     ``needs`` lists lower-case literals of which every match holds at least one. They
     are searched first, as plain substrings, so the pattern only runs on texts that
-    can match; with no ``needs`` it runs on all.
+    can match; with no ``needs`` it runs on all. ``linear`` is the same pattern for an
+    engine that goes back: one whose cost grows with the length of a text, not its square.
     """
 
     category: str
@@ -27,6 +28,7 @@ class Rule:
     pattern: str
     unless: str | None = None
     needs: tuple[str, ...] = ()
+    linear: str | None = None
 
 
 # The rule order, and the patterns of the suspension and online-shift rules, which are
@@ -85,6 +87,8 @@ RULES = [
         True,
         r"(?is)(class(es)?\s+.*suspend|work\s+.*suspend|suspen(d(ed|ing)?|sion)\s+.*(class|office|work|transaction|operation))",
         needs=("suspen",),
+        # of two words that may stand far apart, the first one's first place decides: no other is tried
+        linear=r"(?is)\A(?>.*?(?:class(?:es)?|work)\s).*suspend|\A(?>.*?suspen(?:d(?:ed|ing)?|sion)\s).*(?:class|office|work|transaction|operation)",
     ),
     Rule(
         "online_shift",
@@ -163,7 +167,7 @@ def classify(posts: DataFrame, text: str = "post_text", rules: list[Rule] = RULE
     body, lowered = F.col(text), F.col("_lowered")
     position = None
     for i, rule in enumerate(rules):
-        hit = body.rlike(rule.pattern)
+        hit = body.rlike(rule.linear or rule.pattern)
         if rule.needs:
             hit = holds_any(lowered, rule.needs) & hit
         if rule.unless:

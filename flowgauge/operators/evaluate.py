@@ -202,8 +202,12 @@ def record_evaluation(ledger: DataFrame, ledger_path: str, history_path: str, sn
 
 
 def prior_week_model(actuals: DataFrame) -> DataFrame:
-    """The simplest forecaster: last week's volume at the same station, hour and flow."""
+    """The simplest forecaster: last week's volume at the same station, hour and flow.
+
+    A stored weekday, which seven days do not change, stays.
+    """
     return actuals.select(
+        *[c for c in ("day_of_week",) if c in actuals.columns],
         "station_name",
         F.date_add("date", 7).alias("prediction_date"),
         "hour_period",

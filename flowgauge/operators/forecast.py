@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -28,8 +30,9 @@ def forecast(
     event_scores: DataFrame,
     as_of: str,
     days: int = 366,
+    only: list[dt.date] | None = None,
 ) -> DataFrame:
-    """One row per day, hour, station and flow from ``as_of`` (local time) on.
+    """One row per day, hour, station and flow from ``as_of`` (local time) on; ``only`` picks days of these.
 
     The base is the model's output where there is one, else the median. The calendar
     has ``days`` rows and joins on weekday; every score joins on equality.
@@ -39,6 +42,8 @@ def forecast(
     """
     spark = baselines.sparkSession
     spine = day_spine(spark, as_of[:10], days).withColumn("day_of_week", labels.iso_weekday(F.col("date")))
+    if only is not None:
+        spine = spine.filter(F.col("date").isin(only))
     cores = spark.sparkContext.defaultParallelism
     spread_out = baselines.repartition(cores, "station_name", "hour_period", "flow_type")
     rows = spread_out.join(F.broadcast(spine), "day_of_week")
@@ -168,15 +173,21 @@ def forecast_1y(metrics: DataFrame, as_of: str) -> DataFrame:
 
 
 def model_drift(model: DataFrame, actuals: DataFrame) -> DataFrame:
-    """Error and absolute percentage error of every prediction that has an actual."""
+    """Error and absolute percentage error of every prediction that has an actual.
+
+    If both sides are stored with their weekday it is a join key too, so that tables bucketed
+    by the baselines' keys meet where they lie.
+    """
+    weekday = [c for c in ("day_of_week",) if c in model.columns and c in actuals.columns]
     made = model.select(
+        *weekday,
         F.col("prediction_date").alias("date"),
         "hour_period",
         "station_name",
         "flow_type",
         F.col("baseline_mean_forecast").alias("predicted_volume"),
     )
-    both = made.join(actuals, ["date", "hour_period", "station_name", "flow_type"])
+    both = made.join(actuals, [*weekday, "date", "hour_period", "station_name", "flow_type"])
     error = F.col("volume") - F.col("predicted_volume")
     share = F.round(
         F.abs(error).cast("decimal(20,4)") / F.nullif(F.col("volume").cast("decimal(12,0)"), F.lit(0).cast("decimal(12,0)")) * 100, 2

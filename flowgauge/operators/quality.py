@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from flowgauge import fixed
@@ -24,8 +24,8 @@ def _union(frames: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
-def wide_checks(wide: DataFrame, hourly_source_year: int | None = 2023) -> DataFrame:
-    """Row sums against totals, negative counts, duplicate ids - sums and signs in one scan."""
+def wide_rules(wide: DataFrame, hourly_source_year: int | None = 2023) -> dict[str, Column]:
+    """Rows that break the sums or have negative counts, as counts of a wide table."""
     entry, exits = station_columns(wide, "entry"), station_columns(wide, "exit")
 
     def total(cols: list[str]) -> Column:
@@ -36,9 +36,31 @@ def wide_checks(wide: DataFrame, hourly_source_year: int | None = 2023) -> DataF
         exempt = exempt | ((F.year("date") == hourly_source_year) & labels.counted_hourly(F.col("date")))
     off = (total(entry) != F.col("total_entry")) | (total(exits) != F.col("total_exit"))
     negative = F.least(*[F.col(c) for c in [*entry, *exits, "total_entry", "total_exit"]]) < 0
-    sums = wide.agg(F.count_if(~exempt & off).alias("row_sums"), F.count_if(negative).alias("negative_counts"))
-    ids = duplicate_keys(wide, ["id"], "unique_ids")
-    return _report(sums, ["row_sums", "negative_counts"]).unionByName(ids)
+    return {"row_sums": F.count_if(~exempt & off), "negative_counts": F.count_if(negative)}
+
+
+def wide_checks(wide: DataFrame, hourly_source_year: int | None = 2023) -> DataFrame:
+    """Row sums against totals, negative counts, duplicate ids - sums and signs in one scan."""
+    rules = wide_rules(wide, hourly_source_year)
+    sums = wide.agg(*[rule.alias(name) for name, rule in rules.items()])
+    return _report(sums, list(rules)).unionByName(duplicate_keys(wide, ["id"], "unique_ids"))
+
+
+def checked_on_write(df: DataFrame, rules: dict[str, Column], name: str) -> tuple[DataFrame, Observation]:
+    """``df`` with counts of violations, and of its rows, taken by the job that writes it.
+
+    The observation has them once that one job is done; nothing is read again. It sits on the
+    rows as they are written, so a task that is tried again is counted once.
+    """
+    seen = Observation()
+    counts = [rule.alias(check) for check, rule in rules.items()]
+    return df.observe(seen, *counts, (1 - F.least(F.count(F.lit(1)), F.lit(1))).alias(f"not_empty_{name}")), seen
+
+
+def observed_checks(spark: SparkSession, *observations: Observation) -> DataFrame:
+    """The report rows of what was counted on write; waits until it is."""
+    found = [(check, int(count or 0), not count) for seen in observations for check, count in seen.get.items()]
+    return spark.createDataFrame(found, "check_name string, violations long, passed boolean")
 
 
 def duplicate_keys(df: DataFrame, keys: list[str], name: str) -> DataFrame:

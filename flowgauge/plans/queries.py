@@ -23,14 +23,17 @@ from flowgauge.operators import (
     models,
     prescribe,
     quality,
+    refresh,
     reshape,
     scenarios,
+    sketches,
     triggers,
 )
 from flowgauge.plans import settings, views
 from flowgauge.session import new_folder, spread, stage, stage_all
 from flowgauge.sources import adapters, sinks, tables
 from flowgauge.streaming import feeds as streams
+from flowgauge.streaming import progress
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -216,9 +219,79 @@ def transform_years(spark, folder):
     return hours.drop("year", "grain")
 
 
+@query
+def discovered_years(spark, folder):
+    """Banded facts found by a file stream and expanded, in two runs: the second finds only the years that came since."""
+    root = new_folder(spark, "discovered")
+    rows = stage(bands(spark, folder).withColumn("year", F.year("date")), "banded")
+    for test in (F.col("year") % 2 == 0, F.col("year") % 2 == 1):
+        rows.filter(test).write.mode("append").partitionBy("year").parquet(f"{root}/banded")
+        tables.discover_years(spark, f"{root}/banded", rows.schema, f"{root}/hourly", f"{root}/checkpoint").awaitTermination()
+    return tables.read_discovered(spark, f"{root}/hourly").drop("year", "grain")
+
+
 # --- allocation -----------------------------------------------------------------------
 
 
+BUCKETS = 16
+
+
+def bucketed_facts(spark: SparkSession, folder: str) -> DataFrame:
+    """The hourly facts in buckets by the keys of the baselines."""
+    tables.co_located(spark)
+    return tables.store_bucketed(baselines.with_weekday(adapters.flow(spark, folder)), "bucketed-facts", baselines.KEYS, BUCKETS)
+
+
+@query
+def bucketed_congestion(spark, folder):
+    """Actuals graded against baselines where they lie: both are stored in buckets by the same keys."""
+    actuals = bucketed_facts(spark, folder)
+    base = tables.store_bucketed(baselines.threshold_baselines(actuals), "bucketed-baselines", baselines.KEYS, BUCKETS)
+    return baselines.congestion_levels(actuals, base)
+
+
+@query
+def bucketed_drift(spark, folder):
+    """Drift of the prior-week model where the facts lie."""
+    actuals = bucketed_facts(spark, folder)
+    return forecast.model_drift(evaluate.prior_week_model(actuals), actuals)
+
+
+SKETCHED = {"median": 0.5, "warning": 0.8, "critical": 0.9}
+
+
+def price_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Single fares by station, flow and day, far more than one for each key and day."""
+    return adapters.table(spark, folder, "lineitem").select(
+        adapters.station_at(F.col("l_suppkey")).alias("station_name"),
+        F.when(F.col("l_linestatus") == "O", "entry").otherwise("exit").alias("flow_type"),
+        F.col("l_shipdate").cast("date").alias("date"),
+        F.round(F.col("l_extendedprice") * 100).cast("long").alias("cents"),
+    )
+
+
+@query
+def sketched_percentiles(spark, folder):
+    """Percentiles by station, flow and year from stored day sketches, beside the exact rank of each estimate."""
+    rows, keys, path = price_rows(spark, folder), ["station_name", "flow_type"], new_folder(spark, "day-sketches")
+    days = sketches.day_sketches(rows, keys, "date", value="cents").withColumn("year", F.year("date"))
+    days.repartition("year").write.partitionBy("year").parquet(path)
+    found = stage(sketches.merged_percentiles(spark.read.parquet(path), [*keys, "year"], SKETCHED), "estimates")
+    return sketches.rank_checks(rows.withColumn("year", F.year("date")), [*keys, "year"], "cents", found, SKETCHED)
+
+
+@query
+def sketched_distinct(spark, folder):
+    """Different users by month from stored day sketches, beside the exact count."""
+    rows = adapters.table(spark, folder, "events").select(F.col("ts").cast("date").alias("day"), "user_id")
+    path, month = new_folder(spark, "item-sketches"), F.date_format("day", "yyyy-MM").alias("month")
+    sketches.day_sketches(rows, [], "day", item="user_id").write.parquet(path)
+    found = sketches.merged_distinct(spark.read.parquet(path), [month], "estimate")
+    exact = rows.groupBy(month).agg(F.count_distinct("user_id").alias("users"))
+    near = F.abs(F.col("estimate") - F.col("users")) <= sketches.COUNT_ERROR * F.col("users")
+    return exact.join(found, "month").select("month", "users", near.alias("within_error"))
+
+
 @query
 def restore_bands(spark, folder):
     return bands(spark, folder)
@@ -344,6 +417,39 @@ def forecast_1y(spark, folder):
     return spark.read.parquet(path)
 
 
+def year_sources(spark: SparkSession, folder: str) -> refresh.Sources:
+    return refresh.Sources(
+        facts=lambda dates: adapters.flow(spark, folder, dates=dates),
+        weather=lambda dates: adapters.weather(spark, folder, dates),
+        events=lambda dates: adapters.calendar_events(spark, folder, dates),
+    )
+
+
+def year_sources_before(spark: SparkSession, folder: str, changes: refresh.Changes) -> refresh.Sources:
+    """The sources as they were before ``changes``: other volumes, calm weather, fewer events."""
+    now = year_sources(spark, folder)
+
+    def facts(dates):
+        rows = now.facts(dates)
+        return rows.withColumn("volume", F.when(F.col("date").isin(changes.facts), F.col("volume") * 5 + 900).otherwise(F.col("volume")))
+
+    def weather(dates):
+        rows = now.weather(dates)
+        calm = F.lit(0).cast(rows.schema["normalized_score"].dataType)
+        return rows.withColumn("normalized_score", F.when(F.col("weather_date").isin(changes.weather), calm).otherwise(F.col("normalized_score")))
+
+    return refresh.Sources(facts, weather, lambda dates: now.events(dates).filter(~F.col("event_date").isin(changes.events)))
+
+
+@query
+def refreshed_year(spark, folder):
+    """The stored year after one day of each source has changed: only what depends on these days is made again."""
+    store = refresh.YearStore(new_folder(spark, "year"), settings.AS_OF)
+    refresh.build_year(store, year_sources_before(spark, folder, settings.CHANGES))
+    refresh.refresh_year(store, year_sources(spark, folder), settings.CHANGES)
+    return refresh.stored_year(store)
+
+
 @query
 def model_drift(spark, folder):
     actuals = facts(spark, folder)
@@ -591,6 +697,27 @@ def train_forecaster(spark, folder):
     )
 
 
+@query
+def tuned_forecaster(spark, folder):
+    """Folds by time, the candidates measured on each, and the chosen one trained, stored and loaded again."""
+    actuals = facts(spark, folder)
+    features = stage(triggers.predictive_features(actuals, *stored(spark, folder, "weather", "scores")), "features")
+    folds = stage(models.rolling_folds(features, folds=2, days=56), "folds")
+    candidates = {
+        f"trees-{trees}-deep-{depth}": lambda rows, t=trees, d=depth: models.train_volume_model(rows, t, d) for trees, depth in ((3, 2), (6, 3))
+    }
+    errors = stage(models.fold_errors(actuals, features, folds, candidates), "fold-errors")
+    best = models.best_candidate(errors)
+    rows = stage(models.training_rows(features, stage(baselines.threshold_baselines(actuals), "baselines")), "training")
+    model, path = candidates[best](rows), new_folder(spark, "models")
+    models.save_model(model, path, settings.RUN_ID)
+    first, again = (m.transform(rows).select("date", *baselines.KEYS, "predicted") for m in (model, models.load_model(path, settings.RUN_ID)))
+    keys = ["date", *baselines.KEYS]
+    differ = first.join(again.withColumnRenamed("predicted", "_again"), keys).agg(F.count_if(F.col("predicted") == F.col("_again")) == F.count("*"))
+    measured = errors.groupBy("fold").agg(F.count("*").alias("candidates"), F.min("scored_rows").alias("scored_rows"), F.min(F.col("rmse") > 0).alias("measured"))
+    return folds.join(measured, "fold").withColumn("reloaded_equal", differ.scalar())
+
+
 @query
 def evaluation_history(spark, folder):
     """Two evaluations recorded one after the other; the history they leave."""
@@ -636,13 +763,15 @@ def weight_dim(spark, folder):
     rows = dims.weight_dim(adapters.weight_source(spark, folder))
     seed = spark.createDataFrame(
         [fixed.SCHOOL_BREAK_SEED],
-        "id string, friction_domain string, trigger_category string, specific_condition_api_input string, w string",
+        "id string, friction_domain string, trigger_category string, specific_condition_api_input string, w string, "
+        "ncr_literature_source_basis string, open_access_link string",
     ).select(
         "id", "friction_domain", "trigger_category", "specific_condition_api_input",
-        F.col("w").cast("decimal(3,2)").alias("friction_weight"),
+        F.col("w").cast("decimal(3,2)").alias("friction_weight"), "ncr_literature_source_basis", "open_access_link",
         F.lit("2024-01-01").cast("timestamp").alias("load_timestamp"),
     )
-    merged = sinks.upsert(rows, seed, ["id"], ["trigger_category", "specific_condition_api_input", "friction_weight"])
+    updated = ["trigger_category", "specific_condition_api_input", "friction_weight", "ncr_literature_source_basis", "open_access_link"]
+    merged = sinks.upsert(rows, seed, ["id"], updated)
     return dims.rename_category(merged, "trigger_category", "Mid-Day Class Suspension", "Class Suspension / Holiday")
 
 
@@ -761,9 +890,11 @@ def quality_report(spark, folder):
     filed = enrich.classify(spread(posts)).select(
         F.lit("academic_lgu_events").alias("source_table"), F.col("id").cast("string").alias("source_id"), "event_category"
     )
+    hours = allocate.expand_bands(allocate.restore_bands(with_totals(wide), settings.HOURLY_SOURCE_YEAR))
+    hours, on_write = quality.checked_on_write(hours, quality.wide_rules(hours, settings.HOURLY_SOURCE_YEAR), "hours")
     parts = stage_all(
         {
-            "hours": allocate.expand_bands(allocate.restore_bands(with_totals(wide), settings.HOURLY_SOURCE_YEAR)),
+            "hours": hours,
             "allocated": allocate_rows(spark, folder, wide),
             "filed": filed,
             **{name: PARTS[name](spark, folder) for name in ("baselines", "weather", "scores")},
@@ -772,7 +903,8 @@ def quality_report(spark, folder):
     hours, base = parts["hours"], parts["baselines"]
     scored = triggers.descriptive_metrics(adapters.flow(spark, folder), base, parts["weather"], parts["scores"])
     frames = [
-        quality.wide_checks(hours, settings.HOURLY_SOURCE_YEAR),
+        quality.observed_checks(spark, on_write),
+        quality.duplicate_keys(hours, ["id"], "unique_ids"),
         quality.event_checks(events, month_start()),
         quality.baseline_check(base, 13 * 7 * 17 * 2),
         quality.cfi_check(scored),
@@ -781,7 +913,9 @@ def quality_report(spark, folder):
         quality.rule_check(adapters.incidents(spark, folder), quality.incident_rules()),
         quality.rule_check(adapters.deployments(spark, folder), quality.deployment_rules()),
         quality.rule_check(adapters.weight_source(spark, folder), quality.weight_rules()),
-        quality.not_empty({"events": events, "posts": posts, "hours": hours}),
+        quality.rule_check(adapters.capacities(spark, folder), quality.capacity_rules()),
+        quality.rule_check(adapters.contacts(spark, folder), quality.contact_rules()),
+        quality.not_empty({"events": events, "posts": posts}),
     ]
     out = frames[0]
     for frame in frames[1:]:
@@ -830,10 +964,22 @@ def source_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 @query
 def stream_incident_sync(spark, folder):
-    """Incident stream to the event-calendar log; the live state of the log."""
+    """Incident stream to the event calendar, kept in buckets: its live rows."""
+    changes = adapters.incidents_of(source_stream(spark, folder, "events"))
+    weights = dims.friction_weights(spark)
+    schema = streams.incident_events(adapters.incidents(spark, folder), weights).schema
+    root = new_folder(spark, "incident-sync")
+    calendar = streams.calendar_table(f"{root}/calendar", schema)
+    streams.sync_calendar(changes, weights, calendar, f"{root}/checkpoint").awaitTermination()
+    return calendar.read(spark).filter("NOT removed").drop("updated_at", "change_id", "removed")
+
+
+@query
+def stream_incident_log(spark, folder):
+    """Incident stream to a log of event-calendar changes; the live state of the log."""
     changes = adapters.incidents_of(source_stream(spark, folder, "events"))
     weights = dims.friction_weights(spark)
-    path = run_log(lambda log, mark: streams.sync_incidents(changes, weights, log, mark), spark, "incident-sync")
+    path = run_log(lambda log, mark: streams.sync_incidents(changes, weights, log, mark), spark, "incident-log")
     schema = streams.incident_events(adapters.incidents(spark, folder), weights).schema
     log = sinks.read_log(spark, path, schema)
     live = sinks.current_rows(log, ["source_id"], ["updated_at", "change_id"], "removed")
@@ -856,6 +1002,26 @@ def stream_hour_windows(spark, folder):
     return streams.merged_windows(sinks.read_log(spark, path, schema), WINDOW_MEASURES, by)
 
 
+@query
+def stream_batch_ledger(spark, folder):
+    """The ledger of a stream's batches: how many, their rows, and whether all are stamped in order."""
+    root, events = new_folder(spark, "batch-ledger"), adapters.table(spark, folder, "events")
+    events.repartition(3, "event_id").write.parquet(f"{root}/in")
+    stream = streams.open_stream(spark, f"{root}/in", "*.parquet", events.schema, files_per_trigger=1)
+    stream = progress.watched(stream.withColumn("ingestion_timestamp", F.current_timestamp()))
+    ledger = progress.BatchLedger(spark, f"{root}/ledger")
+    spark.streams.addListener(ledger)
+    try:
+        progress.run_watched(streams.to_log(stream, f"{root}/log", f"{root}/checkpoint"), ledger)
+    finally:
+        spark.streams.removeListener(ledger)
+    rows = sinks.read_log(spark, f"{root}/ledger", progress.BATCH)
+    in_order = (F.col("first_received") <= F.col("last_received")) & (F.col("last_received") <= F.col("dispatched_at"))
+    return rows.agg(
+        F.count("*").alias("batches"), F.sum("rows").alias("rows"), F.count_if(in_order & (F.col("latency_seconds") >= 0)).alias("stamped")
+    )
+
+
 @query
 def stream_surge_density(spark, folder):
     """Density per month and station from the order stream."""
@@ -889,11 +1055,26 @@ def stream_post_sync(spark, folder):
 
 @query
 def stream_resolved_times(spark, folder):
-    """Resolution stamps kept by a stream: each batch updates the incidents it changes."""
+    """Resolution stamps kept by a stream: each batch rewrites the buckets of the incidents it changes."""
     changes = adapters.incidents_of(source_stream(spark, folder, "events")).select("id", "status", "changed_at", "change_id")
-    path = run_log(lambda log, mark: streams.sync_resolutions(changes, log, mark), spark, "resolved")
-    schema = streams.resolution_state(adapters.incidents(spark, folder)).schema
-    return streams.stamps_of(sinks.current_rows(sinks.read_log(spark, path, schema), ["id"], ["batch_id"]))
+    root = new_folder(spark, "resolved")
+    table = streams.resolution_table(f"{root}/changes", changes.schema)
+    streams.sync_resolutions(changes, table, f"{root}/checkpoint").awaitTermination()
+    return streams.resolved_times(table.read(spark))
+
+
+@query
+def stream_closed_windows(spark, folder):
+    """Hourly windows published once when they close, with corrections, from files in which every tenth row comes late."""
+    events, root = adapters.table(spark, folder, "events"), new_folder(spark, "closed-windows")
+    late = F.when(F.col("event_id") % 10 == 3, 3).otherwise(0)
+    # days in order, every tenth row with those three days later
+    arrival = F.datediff(F.col("ts"), F.lit("1970-01-01")) + late
+    events.repartitionByRange(5, arrival).write.parquet(f"{root}/in")
+    stream = streams.open_stream(spark, f"{root}/in", "*.parquet", events.schema, files_per_trigger=1)
+    store = streams.window_store(events, f"{root}/windows", "ts", WINDOW_MEASURES, ["event_type"])
+    streams.close_windows(stream, store, f"{root}/checkpoint", "ts").awaitTermination()
+    return store.windows(spark)
 
 
 @query

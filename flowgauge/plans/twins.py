@@ -74,9 +74,19 @@ twin(
     FROM flow f JOIN baselines b ON b.station_name = f.station_name AND b.day_of_week = isodow(f.date)
       AND b.hour_period = f.hour_period AND b.flow_type = f.flow_type""",
 )
+TWINS["bucketed_congestion"] = TWINS["congestion_levels"]
+twin(
+    "sketched_percentiles",
+    [],
+    f"""SELECT {station_at('l_suppkey')} AS station_name, CASE WHEN l_linestatus = 'O' THEN 'entry' ELSE 'exit' END AS flow_type,
+      CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS observations, TRUE AS median_within_error, TRUE AS warning_within_error, TRUE AS critical_within_error
+    FROM lineitem GROUP BY 1, 2, 3""",
+)
+twin("sketched_distinct", [], "SELECT strftime(ts, '%Y-%m') AS month, count(DISTINCT user_id) AS users, TRUE AS within_error FROM events GROUP BY 1")
 twin("restore_bands", ["bands"], f"SELECT id, {day('date')} AS date, time_period, grain, {WIDE_LIST} FROM bands")
 twin("expand_bands", ["expanded"], f"SELECT id, {day('date')} AS date, time_period, grain, {WIDE_LIST} FROM expanded")
 twin("transform_years", ["expanded"], f"SELECT id, {day('date')} AS date, time_period, {WIDE_LIST} FROM expanded")
+TWINS["discovered_years"] = TWINS["transform_years"]
 twin("roundtrip_bands", ["bands"], f"SELECT id, {day('date')} AS date, time_period, total_entry, total_exit FROM bands")
 twin("allocate_monthly", ["allocated"], f"SELECT id, {day('date')} AS date, time_period, {WIDE_LIST} FROM allocated")
 twin(
@@ -217,6 +227,8 @@ twin(
       FROM metrics WHERE prediction_date < {TODAY_SQL} + INTERVAL 2 DAY)""",
 )
 RANKING = "ORDER BY normalized_score DESC NULLS FIRST, event_name, source_name, time"
+TWINS["bucketed_drift"] = TWINS["model_drift"]
+TWINS["refreshed_year"] = TWINS["forecast_1y"]
 twin(
     "known_events",
     ["calendar_events"],
@@ -443,6 +455,25 @@ twin(
       {', '.join(f'round(CAST(sum({c}) AS DOUBLE), 4) AS sum_{c}' for c in [*FEATURES, 'hour', 'day_of_week', 'month', 'median_volume', 'warning_threshold', 'critical_threshold'])}
       FROM ({TRAINING}))""",
 )
+twin(
+    "tuned_forecaster",
+    ["flow"],
+    f"""SELECT fold, {day('train_last')} AS train_last, {day('test_first')} AS test_first, {day('test_last')} AS test_last,
+      CAST(train_rows AS BIGINT) AS train_rows, CAST(test_rows AS BIGINT) AS test_rows, CAST(2 AS BIGINT) AS candidates,
+      CAST(scored AS BIGINT) AS scored_rows, TRUE AS measured, TRUE AS reloaded_equal
+    FROM (SELECT CAST(2 - ((dates - at) // 56) AS INTEGER) AS fold, min(last) AS train_last, min(date) AS test_first, max(date) AS test_last, min(before) AS train_rows, sum(n) AS test_rows
+      FROM (SELECT date, count(*) AS n, row_number() OVER (ORDER BY date) AS at, count(*) OVER () AS dates, lag(date) OVER (ORDER BY date) AS last,
+          coalesce(sum(count(*)) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM flow GROUP BY date)
+      WHERE dates - at < 112 GROUP BY 1) f
+    JOIN (SELECT CAST(2 - ((dates - at) // 56) AS INTEGER) AS fold, sum(known) AS scored FROM (
+        SELECT date, count(*) OVER () AS dates, row_number() OVER (ORDER BY date) AS at FROM (SELECT DISTINCT date FROM flow)) JOIN (
+        SELECT f.date, count(*) AS known FROM flow f WHERE EXISTS (SELECT 1 FROM flow k WHERE k.station_name = f.station_name AND k.hour_period = f.hour_period
+          AND k.flow_type = f.flow_type AND isodow(k.date) = isodow(f.date) AND k.date < (SELECT CASE WHEN f.date >= b2 THEN b2 ELSE b1 END FROM (
+            SELECT max(date) FILTER (WHERE dates - at = 111) AS b1, max(date) FILTER (WHERE dates - at = 55) AS b2 FROM (
+              SELECT date, count(*) OVER () AS dates, row_number() OVER (ORDER BY date) AS at FROM (SELECT DISTINCT date FROM flow))))) GROUP BY f.date) USING (date)
+      WHERE dates - at < 112 GROUP BY 1) s USING (fold)
+    WHERE train_last IS NOT NULL""",
+)
 twin(
     "performance_snapshot",
     [],
@@ -493,14 +524,16 @@ twin(
     "weight_dim",
     [],
     f"""SELECT id, friction_domain, CASE WHEN trigger_category = 'Mid-Day Class Suspension' THEN 'Class Suspension / Holiday' ELSE trigger_category END AS trigger_category,
-      specific_condition_api_input, {doubles('friction_weight')}, {moment('loaded')} AS load_timestamp
+      specific_condition_api_input, {doubles('friction_weight')}, ncr_literature_source_basis, open_access_link, {moment('loaded')} AS load_timestamp
     FROM (SELECT id, friction_domain, loaded, CASE WHEN id = 'FRI-AC06' THEN 'School Break' ELSE trigger_category END AS trigger_category,
         CASE WHEN id = 'FRI-AC06' THEN 'Semestral/Christmas/Summer Break' ELSE c_name END AS specific_condition_api_input,
-        CASE WHEN id = 'FRI-AC06' THEN 0.85 ELSE w END AS friction_weight
+        CASE WHEN id = 'FRI-AC06' THEN 0.85 ELSE w END AS friction_weight,
+        CASE WHEN id = 'FRI-AC06' THEN {text(fixed.SCHOOL_BREAK_SEED[5])} ELSE c_mktsegment END AS ncr_literature_source_basis,
+        CASE WHEN id = 'FRI-AC06' THEN {text(fixed.SCHOOL_BREAK_SEED[6])} ELSE 'https://example.org/' || c_custkey END AS open_access_link
       FROM (SELECT 'FRI-' || CASE friction_domain WHEN 'academic' THEN 'AC' WHEN 'pagasa' THEN 'PA' WHEN 'operational' THEN 'OP' ELSE 'XX' END || {padded('n', 2)} AS id, *
         FROM (SELECT *, row_number() OVER (PARTITION BY friction_domain ORDER BY loaded, trigger_category) AS n FROM (
           SELECT ['academic', 'pagasa', 'operational', 'lgu'][CAST(c_custkey % 4 AS INTEGER) + 1] AS friction_domain,
-            CASE WHEN c_custkey % 10 = 0 THEN 'Mid-Day Class Suspension' ELSE c_name END AS trigger_category, c_name,
+            CASE WHEN c_custkey % 10 = 0 THEN 'Mid-Day Class Suspension' ELSE c_name END AS trigger_category, c_name, c_mktsegment, c_custkey,
             CAST({cents('c_custkey', 101)} AS DECIMAL(3,2)) AS w, {LOADED.format('c_custkey')} AS loaded FROM customer))))""",
 )
 twin(
@@ -514,6 +547,7 @@ CALENDAR_COLUMNS = f"""id, station, {day('event_date')} AS event_date, source_ta
   friction_domain, trigger_category, {doubles('normalized_score')}, CAST(normalized_score AS DOUBLE) AS friction_weight_ref, {moment('announcement_time')} AS announcement_time"""
 twin("delete_resolved", ["incident_calendar"], f"SELECT {CALENDAR_COLUMNS} FROM incident_calendar")
 TWINS["stream_incident_sync"] = TWINS["delete_resolved"]
+TWINS["stream_incident_log"] = TWINS["delete_resolved"]
 twin(
     "resolved_times",
     ["incidents"],
@@ -632,6 +666,8 @@ CHECKS = {
     "deployment_status": f"(SELECT count(*) FROM deployments WHERE status NOT IN {listing(fixed.DEPLOYMENT_STATUSES)})",
     "deployment_order": "(SELECT count(*) FROM deployments WHERE sent < received)",
     "weight_range": f"(SELECT count(*) FROM customer WHERE {cents('c_custkey', 101)} NOT BETWEEN 0 AND 1)",
+    "positive_capacity": "(SELECT count(*) FROM supplier WHERE floor(s_acctbal) <= 0)",
+    "mobile_format": "(SELECT count(*) FROM customer WHERE c_custkey % 97 = 0 OR c_custkey % 89 = 0)",
     "not_empty_events": "(SELECT CASE WHEN EXISTS (SELECT 1 FROM calendar_events) THEN 0 ELSE 1 END)",
     "not_empty_posts": "(SELECT CASE WHEN EXISTS (SELECT 1 FROM posts) THEN 0 ELSE 1 END)",
     "not_empty_hours": "(SELECT CASE WHEN EXISTS (SELECT 1 FROM expanded) THEN 0 ELSE 1 END)",
@@ -650,6 +686,15 @@ twin(
       CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents, max(event_id) AS last_event
     FROM (SELECT *, date_trunc('hour', ts + {LOCAL}) AS lt FROM events) GROUP BY lt, event_type""",
 )
+twin("stream_batch_ledger", [], "SELECT CAST(3 AS BIGINT) AS batches, count(*) AS rows, CAST(3 AS BIGINT) AS stamped FROM events")
+twin(
+    "stream_closed_windows",
+    [],
+    f"""SELECT {day('lt')} AS local_date, CAST(hour(lt) AS INTEGER) AS local_hour, event_type, count(*) AS events,
+      CAST(sum(CAST(round(value * 100) AS BIGINT)) AS BIGINT) AS value_cents, max(event_id) AS last_event,
+      any_value(date_trunc('hour', ts)) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOURS AS is_closed
+    FROM (SELECT *, date_trunc('hour', ts + {LOCAL}) AS lt FROM events) GROUP BY lt, event_type""",
+)
 twin(
     "stream_dispatches",
     ["recommended", "protocols"],

@@ -23,6 +23,8 @@ def build_session(app: str = "flowgauge", master: str | None = None, **conf: str
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # joins may use buckets by a part of their keys
+        "spark.sql.requireAllClusterKeysForCoPartition": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
         # call-site capture costs more than the calls on wide plans
         "spark.python.sql.dataFrameDebugging.enabled": "false",
@@ -55,14 +57,14 @@ def new_folder(spark: SparkSession, label: str) -> str:
     return f"{root}/flowgauge/{spark.sparkContext.applicationId}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def stage(df: DataFrame, label: str, spark: SparkSession | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, in another session if one is given.
 
     The copy cuts the lineage, survives lost executors, and carries file sizes, so
     Catalyst itself broadcasts it when it is below the broadcast threshold and uses a
     shuffled join when it is not.
     """
-    spark = df.sparkSession
+    spark = spark or df.sparkSession
     path = new_folder(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

@@ -6,6 +6,9 @@ order keys. All measures are whole numbers and all scores exact decimals.
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,6 +21,23 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(folder, name))
 
 
+def on_dates(rows: DataFrame, column: str, dates: Iterable[dt.date] | None) -> DataFrame:
+    """The rows of whole dates by a stored time column (all by default), as ranges that reach the scan."""
+    if dates is None:
+        return rows
+    runs: list[list[dt.date]] = []
+    for d in sorted(set(dates)):
+        if runs and (d - runs[-1][1]).days == 1:
+            runs[-1][1] = d
+        else:
+            runs.append([d, d])
+    kept = F.lit(False)
+    for first, last in runs:
+        low, high = (F.lit(x.isoformat()).cast("timestamp_ntz") for x in (first, last + dt.timedelta(days=1)))
+        kept = kept | ((F.col(column) >= low) & (F.col(column) < high))
+    return rows.filter(kept)
+
+
 def station_at(key: Column) -> Column:
     names = F.array(*[F.lit(s) for s in fixed.STATIONS])
     return F.get(names, (key % 13).cast("int"))
@@ -27,12 +47,12 @@ def hundredths(key: Column, modulus: int) -> Column:
     return ((key % modulus).cast("decimal(6,0)") * F.lit(fixed.dec("0.01"))).cast("decimal(6,5)")
 
 
-def flow(spark: SparkSession, folder: str, first: str | None = None, last: str | None = None) -> DataFrame:
-    """Long hourly actuals from line items, of all dates or those from ``first`` to ``last``.
+def flow(spark: SparkSession, folder: str, first: str | None = None, last: str | None = None, dates: Iterable[dt.date] | None = None) -> DataFrame:
+    """Long hourly actuals from line items, of all dates, those from ``first`` to ``last``, or the given ones.
 
     The period is a filter on the stored column, so the scan skips what lies outside.
     """
-    rows = table(spark, folder, "lineitem")
+    rows = on_dates(table(spark, folder, "lineitem"), "l_shipdate", dates)
     if first and last:
         shipped = F.col("l_shipdate")
         rows = rows.filter((shipped >= F.lit(first).cast("timestamp_ntz")) & (shipped < F.date_add(F.lit(last).cast("date"), 1).cast("timestamp_ntz")))
@@ -55,8 +75,8 @@ def order_time(hours: Column) -> Column:
     return F.timestamp_micros(F.unix_micros(F.col("o_orderdate").cast("timestamp")) + hours.cast("long") * 3_600_000_000)
 
 
-def calendar_events(spark: SparkSession, folder: str) -> DataFrame:
-    return calendar_events_of(table(spark, folder, "orders"))
+def calendar_events(spark: SparkSession, folder: str, dates: Iterable[dt.date] | None = None) -> DataFrame:
+    return calendar_events_of(on_dates(table(spark, folder, "orders"), "o_orderdate", dates))
 
 
 def calendar_events_of(orders: DataFrame) -> DataFrame:
@@ -126,9 +146,9 @@ def calendar_events_of(orders: DataFrame) -> DataFrame:
     )
 
 
-def weather(spark: SparkSession, folder: str) -> DataFrame:
+def weather(spark: SparkSession, folder: str, dates: Iterable[dt.date] | None = None) -> DataFrame:
     """Scored weather from orders; local hour = order key modulo 24."""
-    return table(spark, folder, "orders").select(
+    return on_dates(table(spark, folder, "orders"), "o_orderdate", dates).select(
         F.col("o_orderdate").cast("date").alias("weather_date"),
         order_time(F.col("o_orderkey") % 24 - 8).alias("observed_or_forecasted_at"),
         hundredths((F.col("o_custkey") % 11) * 10, 1000).alias("normalized_score"),
@@ -294,10 +314,26 @@ def weight_source(spark: SparkSession, folder: str) -> DataFrame:
         trigger.alias("trigger_category"),
         F.col("c_name").alias("specific_condition_api_input"),
         hundredths(key, 101).cast("decimal(3,2)").alias("friction_weight"),
+        F.col("c_mktsegment").alias("ncr_literature_source_basis"),
+        F.concat(F.lit("https://example.org/"), key.cast("string")).alias("open_access_link"),
         F.timestamp_seconds(F.lit(1_700_000_000) + key).alias("load_timestamp"),
     )
 
 
+def capacities(spark: SparkSession, folder: str) -> DataFrame:
+    """Platform capacities from suppliers' balances, some of them not positive."""
+    limit = F.floor("s_acctbal").cast("int")
+    return table(spark, folder, "supplier").select(F.col("s_name").alias("station_name"), limit.alias("max_safe_platform_capacity"))
+
+
+def contacts(spark: SparkSession, folder: str) -> DataFrame:
+    """Contact rows from customers: eleven digits, some of them with a digit too few or a sign."""
+    key = F.col("c_custkey")
+    digits = F.lpad(key.cast("string"), 11, "0")
+    mobile = F.when(key % 97 == 0, F.substring(digits, 2, 10)).when(key % 89 == 0, F.concat(F.lit("+"), digits)).otherwise(digits)
+    return table(spark, folder, "customer").select(F.col("c_name").alias("name"), mobile.alias("mobile"))
+
+
 def deployments(spark: SparkSession, folder: str) -> DataFrame:
     """Deployment log from the event stream: known and unknown protocols, some unsent."""
     key = F.col("event_id")

@@ -1,17 +1,21 @@
-"""Incident, weather, post and window streams into change logs.
+"""Incident, weather, post and window streams into change logs and bucket tables.
 
-Each job appends one log part per micro-batch, named by the batch id, so a replayed
+A log job appends one part per micro-batch, named by the batch id, so a replayed
 batch overwrites itself and the log is exactly-once. Readers take the last change per
-key. Per-batch cost follows the batch, not the table; ``compact_log`` shortens the log.
+key; ``compact_log`` shortens the log. What a batch has to know of earlier ones is kept as
+state it can find without reading them all: rows by key in a bucket table, of which a batch
+reads and rewrites the buckets of its keys, or a mark that the last batch left.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from flowgauge import fixed
@@ -19,8 +23,11 @@ from flowgauge.functions import indices, labels
 from flowgauge.operators import enrich, prescribe
 from flowgauge.operators.numbering import last_number
 from flowgauge.session import stage
-from flowgauge.sources.sinks import current_rows, latest_per_key, log_batch, read_ledger, read_log
+from flowgauge.sources.buckets import BUCKETS, BucketTable, read_mark, versions, write_mark
+from flowgauge.sources.sinks import latest_per_key, log_batch, read_ledger, read_log
 
+#: What a batch of dispatches leaves for the next: the last numbers used.
+NUMBERS = "deployments long, executions long"
 #: Order of weather readings of one place.
 LAST_READING = ["observed_or_forecasted_at", "reading_id"]
 
@@ -136,76 +143,75 @@ def resolved_times(changes: DataFrame) -> DataFrame:
     return bounds.join(stamps, "id", "left").select("id", "status", F.col("_first.changed_at").alias("resolved_at"))
 
 
-def _at() -> Column:
-    return F.struct("changed_at", "change_id")
+def calendar_table(path: str, schema: T.StructType, buckets: int = BUCKETS) -> BucketTable:
+    """The event calendar that `sync_calendar` keeps; ``schema`` is that of `incident_events`."""
+    return BucketTable(path, schema, ("source_id",), buckets)
 
 
-def _bounds(changes: DataFrame) -> DataFrame:
-    """Last change and last open change per incident; both merge by their maximum."""
-    return changes.groupBy("id").agg(
-        F.max(F.struct("changed_at", "change_id", "status")).alias("last_change"),
-        F.max(F.when(F.col("status") != "resolved", _at())).alias("last_open"),
-    )
+def to_buckets(
+    changes: DataFrame, table: BucketTable, fold: Callable[[DataFrame, DataFrame], DataFrame], checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Run a stream into a bucket table; ``fold(stored, changes)`` gives the new rows of the touched buckets."""
+    spark = changes.sparkSession
 
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.merge(batch, batch_id, fold, spark)
 
-def _resolved(changes: DataFrame) -> DataFrame:
-    return changes.filter(F.col("status") == "resolved").select("id", "changed_at", "change_id")
+    writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
 
 
-def _with_first(bounds: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Bounds with the first of the resolved changes after the last open one: an array of one or none.
+def sync_calendar(
+    incidents: DataFrame, weights: DataFrame | None, table: BucketTable, checkpoint: str, interval: str | None = None
+) -> StreamingQuery:
+    """Incident stream to the event calendar itself: one row an incident, the last change of each.
 
-    An incident that was never open has no stamp, so none of its rows are looked at.
+    Removed incidents stay as rows with ``removed`` set, as an older change may come late.
     """
-    opened = bounds.filter(F.col("last_open").isNotNull()).select("id", "last_open")
-    after = resolved.join(opened, "id").filter(_at() > F.col("last_open"))
-    first = after.groupBy("id").agg(F.min(_at()).alias("_first"))
-    return bounds.join(first, "id", "left").select("id", "last_change", "last_open", F.array_compact(F.array("_first")).alias("resolved"))
 
+    def fold(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+        return latest_per_key(stored.unionByName(fresh), ["source_id"], ["updated_at", "change_id"])
 
-def resolution_state(changes: DataFrame) -> DataFrame:
-    """What decides an incident's stamp: last change, last open change, first resolved change after it.
+    return to_buckets(incident_events(incidents, weights), table, fold, checkpoint, interval)
 
-    ``changes``: id, status, changed_at, change_id. Aggregates combined map-side; no row holds
-    more than one resolved change.
-    """
-    return _with_first(_bounds(changes), _resolved(changes))
+
+#: A change of an incident's status, as far as its resolution stamp needs it.
+CHANGE = "id string, status string, changed_at timestamp, change_id long"
 
 
-def stamps_of(states: DataFrame) -> DataFrame:
-    """Status and resolution time of each state, as `resolved_times` gives them."""
-    first = F.when(F.col("last_open").isNotNull(), F.array_min("resolved"))
-    return states.select("id", F.col("last_change.status").alias("status"), first["changed_at"].alias("resolved_at"))
+def resolution_table(path: str, schema: T.StructType, buckets: int = BUCKETS) -> BucketTable:
+    """The changes that `sync_resolutions` keeps; `resolved_times` of them are the stamps."""
+    return BucketTable(path, schema, ("id",), buckets)
 
 
-def sync_resolutions(changes: DataFrame, path: str, checkpoint: str, interval: str | None = None) -> StreamingQuery:
-    """Incident changes to a log of resolution states.
+def deciding_changes(changes: DataFrame) -> DataFrame:
+    """The changes that can still decide an incident's stamp, whatever comes later.
 
-    A batch reads the last state of the incidents it changes and writes their new ones; all
-    others stay as they are. Changes may come in any order: a late open change can make any
-    resolved one after it the first, so these are kept as rows, each written once, in a log
-    beside the states (``path`` and ``-resolved``), which belongs to them when a log is moved
-    or compacted. Parts are named by batch, and a replay reads only what earlier batches
-    wrote, so it writes the same again.
+    These are its last change, its last open change and the resolved ones after that: a late
+    open change can make any of these the first. Repeated changes count once. Two aggregates
+    combined map-side and a join with one row an incident; no row holds more than one change.
     """
+    at = F.struct("changed_at", "change_id")
+    changes = changes.distinct()
+    bounds = changes.groupBy("id").agg(
+        F.max(F.struct("changed_at", "change_id", "status")).alias("_last"), F.max(F.when(F.col("status") != "resolved", at)).alias("_open")
+    )
+    last = F.struct("changed_at", "change_id", "status") == F.col("_last")
+    return changes.join(bounds, "id").filter(F.col("_open").isNull() | (at >= F.col("_open")) | last).select(*changes.columns)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        fresh = _resolved(batch)
-        log_batch(fresh, f"{path}-resolved", batch_id)
-        bounds = _bounds(batch)
-        if batch_id:
-            log = read_log(spark, path, resolution_state(batch).schema).filter(F.col("batch_id") < batch_id)
-            known = log.join(bounds.select("id"), "id", "left_semi").select("id", "last_change", "last_open")
-            merged = bounds.unionByName(known).groupBy("id")
-            bounds = merged.agg(F.max("last_change").alias("last_change"), F.max("last_open").alias("last_open"))
-        resolved = read_log(spark, f"{path}-resolved", fresh.schema).filter(F.col("batch_id") <= batch_id).drop("batch_id")
-        new = _with_first(bounds, resolved)
-        log_batch(new, path, batch_id)
 
-    writer = changes.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
-    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
-    return writer.start()
+def sync_resolutions(changes: DataFrame, table: BucketTable, checkpoint: str, interval: str | None = None) -> StreamingQuery:
+    """Incident changes (id, status, changed_at, change_id) to the table of those that decide stamps.
+
+    Changes may come in any order. A batch reads and rewrites the buckets of the incidents it
+    changes; what can no longer decide anything is dropped there.
+    """
+
+    def fold(stored: DataFrame, fresh: DataFrame) -> DataFrame:
+        return deciding_changes(stored.unionByName(fresh))
+
+    return to_buckets(changes, table, fold, checkpoint, interval)
 
 
 #: Measures of a window: name to kind and SQL expression. All kinds add up from parts.
@@ -245,6 +251,112 @@ def merged_windows(log: DataFrame, measures: Measures, by: list[str] | None = No
     return log.groupBy(*keys).agg(*[_KINDS[k][1](n).alias(n) for n, (k, _) in measures.items()])
 
 
+def window_ends(delay: str, time: str = "_mark") -> Column:
+    """Whether a window (start ``window_start``) ended ``delay`` before the time in a column; never while that is null."""
+    return F.coalesce(F.col("window_start") + F.expr("INTERVAL 1 HOUR") <= F.col(time) - F.expr(f"INTERVAL {delay}"), F.lit(False))
+
+
+@dataclass(frozen=True)
+class WindowStore:
+    """Where `close_windows` keeps its windows.
+
+    ``closed``: a log in which every window stands once, as it was when it closed;
+    ``corrections``: a log of what came after that, as parts to add up; ``open``: a mark with the
+    windows still open and the latest time seen.
+    """
+
+    path: str
+    measures: Measures
+    by: tuple[str, ...]
+    rows: T.StructType
+
+    @property
+    def keys(self) -> list[str]:
+        return ["window_start", *self.by]
+
+    def schema(self) -> T.StructType:
+        return T.StructType([T.StructField("window_start", T.TimestampType()), *[f for f in self.rows.fields if f.name in (*self.by, *self.measures)]])
+
+    def _log(self, spark: SparkSession, name: str) -> DataFrame:
+        """A log up to the last batch that is complete."""
+        done = versions(spark, f"{self.path}/latest")
+        if not done:
+            return spark.createDataFrame([], self.schema()).withColumn("batch_id", F.lit(None).cast("long"))
+        return read_log(spark, f"{self.path}/{name}", self.schema()).filter(F.col("batch_id") <= done[-1])
+
+    def closed(self, spark: SparkSession) -> DataFrame:
+        return self._log(spark, "closed")
+
+    def corrections(self, spark: SparkSession) -> DataFrame:
+        return self._log(spark, "corrections")
+
+    def opened(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        done = versions(spark, f"{self.path}/latest")
+        before = before if before is not None else done[-1] + 1 if done else 0
+        mark = read_mark(spark, f"{self.path}/open", self.schema(), before)
+        return mark if mark is not None else spark.createDataFrame([], self.schema())
+
+    def latest(self, spark: SparkSession, before: int | None = None) -> DataFrame:
+        """The latest event time seen, in one row or none."""
+        mark = read_mark(spark, f"{self.path}/latest", "_mark timestamp", before)
+        return mark if mark is not None else spark.createDataFrame([], "_mark timestamp")
+
+    def added_up(self, parts: DataFrame) -> DataFrame:
+        return parts.groupBy(*self.keys).agg(*[_KINDS[k][1](n).alias(n) for n, (k, _) in self.measures.items()])
+
+    def windows(self, spark: SparkSession, zone: str = fixed.LOCAL_ZONE) -> DataFrame:
+        """All windows as they stand, in local time; ``is_closed`` says which were published."""
+        closed, late = self.closed(spark).drop("batch_id"), self.corrections(spark).drop("batch_id")
+        parts = self.added_up(closed.unionByName(late)).withColumn("is_closed", F.lit(True))
+        parts = parts.unionByName(self.opened(spark).withColumn("is_closed", F.lit(False)))
+        local = F.from_utc_timestamp(F.col("window_start"), zone)
+        return parts.select(F.to_date(local).alias("local_date"), F.hour(local).alias("local_hour"), *self.by, *self.measures, "is_closed")
+
+
+def window_store(rows: DataFrame, path: str, time: str, measures: Measures, by: list[str] | None = None) -> WindowStore:
+    """The store for windows of such rows."""
+    by = by or []
+    parts = hour_windows(rows, time, measures, by)
+    return WindowStore(path, measures, tuple(by), parts.select(*by, *measures).schema)
+
+
+def close_windows(
+    rows: DataFrame, store: WindowStore, checkpoint: str, time: str, delay: str = "2 HOURS", interval: str | None = None
+) -> StreamingQuery:
+    """Hourly windows of a stream, each published once when it closes.
+
+    A window closes when a row that is later than its end by ``delay`` has been seen. Rows of
+    a window that has closed are no longer added to it but written as corrections, so no row
+    is lost in any order of the input. The state is the windows still open: a batch reads
+    what the batch before left and writes its own, and a replay does so again. Rows without
+    a time belong to no window.
+    """
+    spark = rows.sparkSession
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        timed = batch.withColumn("_ts", F.col(time).cast("timestamp")).filter(F.col("_ts").isNotNull())
+        own = [_KINDS[k][0](F.expr(c)).alias(n) for n, (k, c) in store.measures.items()]
+        parts = timed.groupBy(F.window("_ts", "1 hour").alias("_window"), *store.by).agg(*own, F.max("_ts").alias("_seen"))
+        parts = stage(parts.withColumn("window_start", F.col("_window.start")).drop("_window"), "window-parts", spark)
+        # one row at most
+        before = store.latest(spark, batch_id)
+        after = stage(before.unionByName(parts.select(F.col("_seen").alias("_mark"))).agg(F.max("_mark").alias("_mark")), "latest")
+        gone = parts.withColumn("_mark", before.agg(F.max("_mark")).scalar())
+        gone = gone.withColumn("_late", window_ends(delay))
+        names = store.schema().names
+        log_batch(gone.filter("_late").select(*names), f"{store.path}/corrections", batch_id)
+        known = store.opened(spark, batch_id).select(*names).unionByName(gone.filter("NOT _late").select(*names))
+        windows = store.added_up(known).withColumn("_mark", after.scalar())
+        windows = stage(windows.withColumn("_ended", window_ends(delay)), "windows")
+        log_batch(windows.filter("_ended").select(*names), f"{store.path}/closed", batch_id)
+        write_mark(windows.filter("NOT _ended").select(*names), f"{store.path}/open", batch_id)
+        write_mark(after, f"{store.path}/latest", batch_id)
+
+    writer = rows.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)
+    return writer.start()
+
+
 def density_log(
     events: DataFrame, path: str, checkpoint: str, day: str | Column = "event_date", interval: str | None = None
 ) -> StreamingQuery:
@@ -285,24 +397,33 @@ def dispatch_on_cadence(
     """Evaluate and log recommendations as they come, one run for each batch.
 
     A row is received when its batch begins and sent out when its ledger part is written.
-    Numbers go on from the parts of earlier batches, and a replay overwrites its own part.
+    Numbers go on from those of the batch before, which it left as a mark beside the ledger;
+    only where there is no mark are the parts of earlier batches read. A replay overwrites
+    its own parts.
     """
+    marks = f"{ledger_path}-numbers"
 
     def now() -> str:
         return dt.datetime.now(dt.timezone.utc).strftime("%Y-%m-%d %H:%M:%S.%f+00:00")
 
+    def earlier(spark: SparkSession, path: str, schema: str, batch_id: int) -> DataFrame:
+        return read_ledger(spark, path, f"{schema}, batch_id long").filter(F.col("batch_id") < batch_id)
+
     def write(batch: DataFrame, batch_id: int) -> None:
         received, spark = now(), batch.sparkSession
         rows = stage(batch, "dispatches")
-
-        def earlier(path: str, schema: str) -> DataFrame:
-            log = read_log(spark, path, schema) if batch_id else read_ledger(spark, path, f"{schema}, batch_id long")
-            return log.filter(F.col("batch_id") < batch_id)
-
-        last = last_number(earlier(deployments_path, prescribe.DEPLOYMENT), "deployment_id", "DEP")
-        log_batch(prescribe.deployment_rows(rows, source, received, now(), last), deployments_path, batch_id)
-        logged = earlier(ledger_path, prescribe.EXECUTION).agg(F.coalesce(F.max("id"), F.lit(0).cast("long"))).scalar()
-        log_batch(prescribe.execution_rows(rows, protocols, f"{run_id}-{batch_id}", source, received, now(), logged), ledger_path, batch_id)
+        # one row: the last numbers used, and how many this batch adds
+        last = read_mark(spark, marks, NUMBERS, batch_id)
+        if last is None:
+            sent = last_number(earlier(spark, deployments_path, prescribe.DEPLOYMENT, batch_id), "deployment_id", "DEP")
+            logged = earlier(spark, ledger_path, prescribe.EXECUTION, batch_id).agg(F.coalesce(F.max("id"), F.lit(0).cast("long"))).scalar()
+            last = spark.range(1).select(sent.alias("deployments"), logged.alias("executions"))
+        last = stage(last.withColumn("added", rows.agg(F.count("*")).scalar()), "last-numbers")
+        dispatched = prescribe.deployment_rows(rows, source, received, now(), last.select("deployments").scalar())
+        log_batch(dispatched, deployments_path, batch_id)
+        executed = prescribe.execution_rows(rows, protocols, f"{run_id}-{batch_id}", source, received, now(), last.select("executions").scalar())
+        log_batch(executed, ledger_path, batch_id)
+        write_mark(last.select((F.col("deployments") + F.col("added")).alias("deployments"), (F.col("executions") + F.col("added")).alias("executions")), marks, batch_id)
 
     writer = recommended.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     writer = writer.trigger(processingTime=interval) if interval else writer.trigger(availableNow=True)

@@ -187,52 +187,6 @@ def test_windows_lose_no_late_row(spark, small, tmp_path):
     assert got.agg(F.sum("n")).first()[0] == raw.count()
 
 
-@pytest.mark.parametrize("late", [False, True])
-def test_resolutions_are_kept_over_batches(spark, small, tmp_path, late):
-    raw = adapters.table(spark, small, "events")
-    folder, path = str(tmp_path / "events"), str(tmp_path / "log")
-    reversed_files(raw, folder, "ts") if late else raw.repartition(4, "event_id").write.parquet(folder)
-    changes = adapters.incidents_of(streams.open_stream(spark, folder, "*.parquet", raw.schema, 1)).select("id", "status", "changed_at", "change_id")
-    streams.sync_resolutions(changes, path, str(tmp_path / "mark")).awaitTermination()
-    batch = adapters.incidents_of(raw)
-    log = sinks.read_log(spark, path, streams.resolution_state(batch).schema)
-    states = sinks.current_rows(log, ["id"], ["batch_id"])
-    got, want = streams.stamps_of(states), streams.resolved_times(batch)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    # a batch writes the incidents it changes and no others
-    first = log.filter("batch_id = 1")
-    assert first.count() < states.count()
-    assert states.agg(F.max(F.size("resolved"))).first()[0] < 10
-
-
-def test_resolutions_of_a_hot_incident_stay_rows(spark, tmp_path):
-    """One incident with most changes, all resolved, and its only open changes last: no state holds its changes in one row."""
-    start = F.lit("2026-01-05 00:00:00").cast("timestamp")
-    stamped = (F.unix_timestamp(start) + F.col("change_id")).cast("timestamp")
-    rest = spark.range(40).select((F.col("id") % 4).cast("string").alias("id"), F.when(F.col("id") % 8 < 4, "pending").otherwise("resolved").alias("status"), F.col("id").alias("change_id"))
-    hot = spark.range(3000).select(F.lit("hot").alias("id"), F.lit("resolved").alias("status"), F.col("id").alias("change_id"))
-    opens = spark.createDataFrame([("hot", "pending", 1200), ("hot", "pending", 2000)], "id string, status string, change_id long")
-    folder, path = str(tmp_path / "changes"), str(tmp_path / "log")
-    parts = [hot.filter("change_id % 2 = 0"), hot.filter("change_id % 2 = 1").unionByName(rest), opens.filter("change_id = 1200"), opens.filter("change_id = 2000")]
-    for k, part in enumerate(parts):
-        part.withColumn("changed_at", stamped).coalesce(1).write.parquet(f"{folder}-{k}")
-    batch = spark.read.parquet(*[f"{folder}-{k}" for k in range(4)])
-    # the batches arrive in this order
-    for k in range(4):
-        spark.read.parquet(f"{folder}-{k}").coalesce(1).write.mode("append").parquet(folder)
-        changes = streams.open_stream(spark, folder, "*.parquet", batch.schema, 1)
-        streams.sync_resolutions(changes, path, str(tmp_path / "mark")).awaitTermination()
-        if k == 1:
-            assert sinks.read_log(spark, path, streams.resolution_state(batch).schema).agg(F.max(F.size("resolved"))).first()[0] <= 1
-    log = sinks.read_log(spark, path, streams.resolution_state(batch).schema)
-    got, want = streams.stamps_of(sinks.current_rows(log, ["id"], ["batch_id"])), streams.resolved_times(batch)
-    assert log.select("batch_id").distinct().count() == 4
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
-    assert log.agg(F.max(F.size("resolved"))).first()[0] == 1
-    stamp = streams.stamps_of(streams.resolution_state(batch)).filter("id = 'hot'").first()
-    assert stamp.resolved_at == want.filter("id = 'hot'").first().resolved_at is not None
-
-
 def test_density_stream_over_batches(spark, small, tmp_path):
     orders = adapters.table(spark, small, "orders")
     folder, path = reversed_files(orders, str(tmp_path / "orders"), "o_orderdate"), str(tmp_path / "log")
