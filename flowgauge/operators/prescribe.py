@@ -9,7 +9,7 @@ from flowgauge import fixed
 from flowgauge.functions import indices, labels
 from flowgauge.operators.numbering import last_number, number_rows, sequential_ids
 from flowgauge.session import stage
-from flowgauge.sources.sinks import append_ledger, read_ledger
+from flowgauge.sources.sinks import other_runs, write_run
 
 
 # every id the protocol tree can recommend
@@ -199,13 +199,15 @@ def record_dispatches(
     """Log every recommendation to both ledgers in two set-based writes; returns how many.
 
     Meant to run on a cadence over the forecast rows of interest (filter them first).
-    Deployment ids go on from the last one in the ledger, so one run writes at a time.
+    Ids go on from the last ones of other runs, so one run writes at a time. Each ledger gets
+    a part named by the run: a run that died between the two is done again under its name.
     """
     rows = stage(recommended, "dispatches")
-    last = last_number(read_ledger(rows.sparkSession, deployments_path, DEPLOYMENT), "deployment_id", "DEP")
-    append_ledger(deployment_rows(rows, source, ingested_at, broadcast_at, last), deployments_path)
-    logged = read_ledger(rows.sparkSession, ledger_path, EXECUTION).agg(F.coalesce(F.max("id"), F.lit(0).cast("long"))).scalar()
-    append_ledger(execution_rows(rows, protocols, run_id, source, ingested_at, broadcast_at, logged), ledger_path)
+    spark = rows.sparkSession
+    last = last_number(other_runs(spark, deployments_path, DEPLOYMENT, run_id), "deployment_id", "DEP")
+    write_run(deployment_rows(rows, source, ingested_at, broadcast_at, last), deployments_path, run_id)
+    logged = other_runs(spark, ledger_path, EXECUTION, run_id).agg(F.coalesce(F.max("id"), F.lit(0).cast("long"))).scalar()
+    write_run(execution_rows(rows, protocols, run_id, source, ingested_at, broadcast_at, logged), ledger_path, run_id)
     return rows.count()
 
 

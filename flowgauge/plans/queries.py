@@ -282,14 +282,14 @@ def sketched_percentiles(spark, folder):
 
 @query
 def sketched_distinct(spark, folder):
-    """Different users by month from stored day sketches, beside the exact count."""
-    rows = adapters.table(spark, folder, "events").select(F.col("ts").cast("date").alias("day"), "user_id")
-    path, month = new_folder(spark, "item-sketches"), F.date_format("day", "yyyy-MM").alias("month")
-    sketches.day_sketches(rows, [], "day", item="user_id").write.parquet(path)
-    found = sketches.merged_distinct(spark.read.parquet(path), [month], "estimate")
-    exact = rows.groupBy(month).agg(F.count_distinct("user_id").alias("users"))
+    """Different users by month and kind of event from stored day sketches, beside the exact count."""
+    rows = adapters.table(spark, folder, "events").select(F.col("ts").cast("date").alias("day"), "event_type", "user_id")
+    path, by = new_folder(spark, "item-sketches"), [F.date_format("day", "yyyy-MM").alias("month"), "event_type"]
+    sketches.day_sketches(rows, ["event_type"], "day", item="user_id").write.parquet(path)
+    found = sketches.merged_distinct(spark.read.parquet(path), by, "estimate")
+    exact = rows.groupBy(*by).agg(F.count_distinct("user_id").alias("users"))
     near = F.abs(F.col("estimate") - F.col("users")) <= sketches.COUNT_ERROR * F.col("users")
-    return exact.join(found, "month").select("month", "users", near.alias("within_error"))
+    return exact.join(found, ["month", "event_type"]).select("month", "event_type", "users", near.alias("within_error"))
 
 
 @query
@@ -547,7 +547,7 @@ def log_deployments(spark, folder):
         prescribe.record_dispatches(
             rows, known, run, "validation_pipeline", settings.RECORDED_AT, "1998-06-15 00:00:02", f"{root}/deployments", f"{root}/ledger"
         )
-    return spark.read.parquet(f"{root}/deployments")
+    return spark.read.parquet(f"{root}/deployments").drop("run")
 
 
 @query
@@ -962,6 +962,10 @@ def source_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return streams.open_stream(spark, folder, f"{name}.parquet", schema)
 
 
+#: Buckets of the streams' state; a deployment takes as many as its state needs.
+STATE_BUCKETS = 16
+
+
 @query
 def stream_incident_sync(spark, folder):
     """Incident stream to the event calendar, kept in buckets: its live rows."""
@@ -969,7 +973,7 @@ def stream_incident_sync(spark, folder):
     weights = dims.friction_weights(spark)
     schema = streams.incident_events(adapters.incidents(spark, folder), weights).schema
     root = new_folder(spark, "incident-sync")
-    calendar = streams.calendar_table(f"{root}/calendar", schema)
+    calendar = streams.calendar_table(f"{root}/calendar", schema, STATE_BUCKETS)
     streams.sync_calendar(changes, weights, calendar, f"{root}/checkpoint").awaitTermination()
     return calendar.read(spark).filter("NOT removed").drop("updated_at", "change_id", "removed")
 
@@ -1058,7 +1062,7 @@ def stream_resolved_times(spark, folder):
     """Resolution stamps kept by a stream: each batch rewrites the buckets of the incidents it changes."""
     changes = adapters.incidents_of(source_stream(spark, folder, "events")).select("id", "status", "changed_at", "change_id")
     root = new_folder(spark, "resolved")
-    table = streams.resolution_table(f"{root}/changes", changes.schema)
+    table = streams.resolution_table(f"{root}/changes", changes.schema, STATE_BUCKETS)
     streams.sync_resolutions(changes, table, f"{root}/checkpoint").awaitTermination()
     return streams.resolved_times(table.read(spark))
 

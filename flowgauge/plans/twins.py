@@ -82,7 +82,7 @@ twin(
       CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS observations, TRUE AS median_within_error, TRUE AS warning_within_error, TRUE AS critical_within_error
     FROM lineitem GROUP BY 1, 2, 3""",
 )
-twin("sketched_distinct", [], "SELECT strftime(ts, '%Y-%m') AS month, count(DISTINCT user_id) AS users, TRUE AS within_error FROM events GROUP BY 1")
+twin("sketched_distinct", [], "SELECT strftime(ts, '%Y-%m') AS month, event_type, count(DISTINCT user_id) AS users, TRUE AS within_error FROM events GROUP BY 1, 2")
 twin("restore_bands", ["bands"], f"SELECT id, {day('date')} AS date, time_period, grain, {WIDE_LIST} FROM bands")
 twin("expand_bands", ["expanded"], f"SELECT id, {day('date')} AS date, time_period, grain, {WIDE_LIST} FROM expanded")
 twin("transform_years", ["expanded"], f"SELECT id, {day('date')} AS date, time_period, {WIDE_LIST} FROM expanded")
@@ -461,17 +461,17 @@ twin(
     f"""SELECT fold, {day('train_last')} AS train_last, {day('test_first')} AS test_first, {day('test_last')} AS test_last,
       CAST(train_rows AS BIGINT) AS train_rows, CAST(test_rows AS BIGINT) AS test_rows, CAST(2 AS BIGINT) AS candidates,
       CAST(scored AS BIGINT) AS scored_rows, TRUE AS measured, TRUE AS reloaded_equal
-    FROM (SELECT CAST(2 - ((dates - at) // 56) AS INTEGER) AS fold, min(last) AS train_last, min(date) AS test_first, max(date) AS test_last, min(before) AS train_rows, sum(n) AS test_rows
-      FROM (SELECT date, count(*) AS n, row_number() OVER (ORDER BY date) AS at, count(*) OVER () AS dates, lag(date) OVER (ORDER BY date) AS last,
+    FROM (SELECT CAST(2 - ((dates - pos) // 56) AS INTEGER) AS fold, min(last) AS train_last, min(date) AS test_first, max(date) AS test_last, min(before) AS train_rows, sum(n) AS test_rows
+      FROM (SELECT date, count(*) AS n, row_number() OVER (ORDER BY date) AS pos, count(*) OVER () AS dates, lag(date) OVER (ORDER BY date) AS last,
           coalesce(sum(count(*)) OVER (ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM flow GROUP BY date)
-      WHERE dates - at < 112 GROUP BY 1) f
-    JOIN (SELECT CAST(2 - ((dates - at) // 56) AS INTEGER) AS fold, sum(known) AS scored FROM (
-        SELECT date, count(*) OVER () AS dates, row_number() OVER (ORDER BY date) AS at FROM (SELECT DISTINCT date FROM flow)) JOIN (
+      WHERE dates - pos < 112 GROUP BY 1) f
+    JOIN (SELECT CAST(2 - ((dates - pos) // 56) AS INTEGER) AS fold, sum(known) AS scored FROM (
+        SELECT date, count(*) OVER () AS dates, row_number() OVER (ORDER BY date) AS pos FROM (SELECT DISTINCT date FROM flow)) JOIN (
         SELECT f.date, count(*) AS known FROM flow f WHERE EXISTS (SELECT 1 FROM flow k WHERE k.station_name = f.station_name AND k.hour_period = f.hour_period
           AND k.flow_type = f.flow_type AND isodow(k.date) = isodow(f.date) AND k.date < (SELECT CASE WHEN f.date >= b2 THEN b2 ELSE b1 END FROM (
-            SELECT max(date) FILTER (WHERE dates - at = 111) AS b1, max(date) FILTER (WHERE dates - at = 55) AS b2 FROM (
-              SELECT date, count(*) OVER () AS dates, row_number() OVER (ORDER BY date) AS at FROM (SELECT DISTINCT date FROM flow))))) GROUP BY f.date) USING (date)
-      WHERE dates - at < 112 GROUP BY 1) s USING (fold)
+            SELECT max(date) FILTER (WHERE dates - pos = 111) AS b1, max(date) FILTER (WHERE dates - pos = 55) AS b2 FROM (
+              SELECT date, count(*) OVER () AS dates, row_number() OVER (ORDER BY date) AS pos FROM (SELECT DISTINCT date FROM flow))))) GROUP BY f.date) USING (date)
+      WHERE dates - pos < 112 GROUP BY 1) s USING (fold)
     WHERE train_last IS NOT NULL""",
 )
 twin(

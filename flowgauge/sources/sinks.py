@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -56,6 +58,17 @@ def read_ledger(spark: SparkSession, path: str, schema) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def write_run(df: DataFrame, path: str, run_id: str) -> None:
+    """Write one run's part of a ledger; a run that is done again overwrites its own part."""
+    df.write.mode("overwrite").parquet(f"{path}/run={quote(run_id, safe='')}")
+
+
+def other_runs(spark: SparkSession, path: str, schema: str, run_id: str) -> DataFrame:
+    """What other runs have written to a ledger."""
+    # Spark gives a folder's name unquoted
+    return read_ledger(spark, path, f"{schema}, run string").filter(F.col("run") != run_id).drop("run")
+
+
 def replace_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
     """Truncate and reload a stored table; ``df`` must not read ``path``."""
     writer = df.write.mode("overwrite")

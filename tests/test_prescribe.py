@@ -161,6 +161,11 @@ def test_dispatches_and_evaluation_are_recorded(spark, protocols, tmp_path):
     for run in ("a", "b"):
         made = prescribe.record_dispatches(rec, protocols, run, "cadence", "2026-01-01 00:00:00", "2026-01-01 00:00:01", log, ledger)
         assert made == 3
+    # a run that died after its first part is done again, under the same ids
+    import shutil
+
+    shutil.rmtree(f"{ledger}/run=b")
+    assert prescribe.record_dispatches(rec, protocols, "b", "cadence", "2026-01-01 00:00:00", "2026-01-01 00:00:01", log, ledger) == 3
     stored = spark.read.parquet(ledger)
     assert stored.count() == 6 and stored.select("run_id").distinct().count() == 2
     assert sorted(r["id"] for r in rows(stored)) == [1, 2, 3, 4, 5, 6]
