@@ -592,4 +592,4 @@ def test_words_stop_at_documents():
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in spark_entry.queries() if n.startswith("op")) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in spark_entry.queries() if n.startswith("op")) == list(range(1, 14))
