@@ -11,8 +11,9 @@ after such bytes.
 
 The counts are exact and stay distributed: every context lies in the part of its last two
 bytes, or, where a sample of bundles shows that too many keys end in these (``SPLIT_KEYS``), of
-its last three, four or five. A bundle asks each part once for its distinct contexts with their
-next byte. Only the sums for contexts of one byte or none, 256 x 256 numbers, and for the split
+its last three, four or five. A bundle sends each part once its distinct contexts with their next
+byte and how often its training texts have them: the parts count by these, and later answer
+them. Only the sums for contexts of one byte or none, 256 x 256 numbers, and for the split
 contexts, at most 255 for each of some 3 x 1024, meet on the driver. The sample decides where a
 key is counted and nothing else. Word counts of the unigram model beside it are distributed by
 word in the same way.
@@ -95,9 +96,10 @@ class Shallow:
 
 @dataclass(frozen=True)
 class Model:
-    """Counts by part (a table in the shared folder), the shallow nodes, and the sizes of the unigram model."""
+    """Counts by part and what the bundles sent (tables in the shared folder), the shallow nodes, and the sizes of the unigram model."""
 
     counts: DataFrame
+    asked: DataFrame
     shallow: Shallow
     dealing: Dealing
     tokens: int
@@ -132,6 +134,14 @@ def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return found[order], place[code]
 
 
+def in_order(keys: np.ndarray, dealing: Dealing) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct keys with their part before them, ascending; of each key the number it was first seen with; and how these are ordered."""
+    code, found = pd.factorize(keys)
+    dealt = dealt_keys(found, dealing)
+    order = np.argsort(dealt)
+    return dealt[order], code, order
+
+
 def pair_parts(parts: int) -> np.ndarray:
     """The part of every two context bytes."""
     return part_of(mixed(np.arange(1 << 16, dtype=np.uint64), 3), parts).astype(np.uint64)
@@ -242,36 +252,37 @@ def train(bundled: DataFrame, parts: int, depth: int = DEPTH) -> Model:
     width = np.uint64(8 * depth + 8)
 
     def keys(bundle, docs, data, offsets):
-        learnt = docs.filter(docs.column(LEARN))
-        if not learnt.num_rows:
-            return
-        data, offsets = buffer_of(text_column(learnt))
-        key, count = np.unique(dealt_keys(stream(data, offsets, depth)[0], dealing), return_counts=True)
-        bounds = np.searchsorted(key >> width, np.arange(parts + 1))
+        learnt = docs.column(LEARN).to_numpy(zero_copy_only=False).astype(bool)
+        key, places = stream(data, offsets, depth)
+        every, code, order = in_order(key, dealing)
+        count = np.bincount(code[np.repeat(learnt, np.diff(places))], minlength=len(order)).astype(np.uint64)[order]
+        bounds = np.searchsorted(every >> width, np.arange(parts + 1))
         for part, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             if low < high:
-                yield part, squeeze(rising(key[low:high]), planes(count[low:high]))
-        kinds, at, _ = text_words(data, offsets)
-        count = np.bincount(at, minlength=len(kinds))
+                yield part, squeeze(rising(every[low:high]), planes(count[low:high]))
+        kinds, number, first = text_words(data, offsets)
+        count = np.bincount(number[np.repeat(learnt, np.diff(first))], minlength=len(kinds)).astype(np.uint64)
         order, bounds = dealt_words(kinds, parts)
         for part, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
             some = order[low:high]
             if low < high:
                 yield parts + part, squeeze(joined(kinds.take(pa.array(some))), planes(count[some]))
-        yield 2 * parts, squeeze(np.array([learnt.num_rows], dtype=np.int64))
+        if learnt.any():
+            yield 2 * parts, squeeze(np.array([learnt.sum()], dtype=np.int64))
 
     def run(key: tuple[pa.Scalar, ...], rows: pa.Table) -> pa.Table:
         part = key[0].as_py()
         payloads = rows.column("payload").to_pylist()
         tokens, kinds = 0, 0
         if part < parts:
-            got = (unsqueeze(p, "u1", "u1") for p in payloads)
-            key, count = merged_keys((unrising(g[0]), unplaned(g[1])) for g in got)
+            got = ((unrising(k), unplaned(n)) for k, n in (unsqueeze(p, "u1", "u1") for p in payloads))
+            key, count = merged_keys((k[n > 0], n[n > 0]) for k, n in got)
             payload = squeeze(rising(key), planes(count))
         elif part < 2 * parts:
             got = [unsqueeze(p, "u1", "u1") for p in payloads]
-            found = pa.concat_arrays([split(g[0]) for g in got]).dictionary_encode()
-            count = np.bincount(found.indices.to_numpy(zero_copy_only=False), np.concatenate([unplaned(g[1]) for g in got]).astype(float)).astype(np.uint64)
+            number = np.concatenate([unplaned(g[1]) for g in got])
+            found = pa.concat_arrays([split(g[0]) for g in got]).filter(pa.array(number > 0)).dictionary_encode()
+            count = np.bincount(found.indices.to_numpy(zero_copy_only=False), number[number > 0].astype(float), minlength=len(found.dictionary)).astype(np.uint64)
             tokens, kinds = int(count.sum()), len(count)
             payload = squeeze(joined(found.dictionary), planes(count))
         else:
@@ -279,10 +290,11 @@ def train(bundled: DataFrame, parts: int, depth: int = DEPTH) -> Model:
             kinds, payload = int(tokens > 0), squeeze(np.array([tokens], dtype=np.int64))
         return pa.table({"part": pa.array([part], pa.int32()), "tokens": pa.array([tokens], pa.int64()), "kinds": pa.array([kinds], pa.int64()), "payload": pa.array([payload], pa.binary())})
 
-    asked = ask(bundled, keys).select("part", "payload")
-    counts = stage(asked.repartition(2 * parts + 1, "part").groupBy("part").applyInArrow(run, "part int, tokens long, kinds long, payload binary"), "context-counts")
+    asked = stage(ask(bundled, keys), "context-keys")
+    by_part = asked.select("part", "payload").repartition(2 * parts + 1, "part").groupBy("part")
+    counts = stage(by_part.applyInArrow(run, "part int, tokens long, kinds long, payload binary"), "context-counts")
     sizes = counts.agg(F.sum("tokens"), F.sum("kinds"), F.sum(F.when(F.col("part") == 2 * parts, F.col("tokens")))).first()
-    return Model(counts, shallow_nodes(counts, dealing), dealing, int(sizes[0] or 0), int(sizes[1] or 0), int(sizes[2] or 0))
+    return Model(counts, asked, shallow_nodes(counts, dealing), dealing, int(sizes[0] or 0), int(sizes[1] or 0), int(sizes[2] or 0))
 
 
 def log_estimate(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
@@ -469,33 +481,19 @@ def score_texts(docs: DataFrame, learn: Column, *columns: str, depth: int = DEPT
 
 
 def score(bundled: DataFrame, model: Model, carried: T.StructType) -> DataFrame:
-    """Scores of the texts of bundles, with the columns they carry."""
+    """Scores of the texts of the bundles that the model was made with, with the columns they carry."""
     dealing = model.dealing
     parts, depth = dealing.parts, dealing.depth
-    width = np.uint64(8 * depth + 8)
     low_bits = np.uint64((1 << 8 * depth + 8) - 1)
     shallow, tokens, kinds_known, texts = model.shallow, model.tokens, model.kinds, model.texts
 
-    def keys(bundle, docs, data, offsets):
-        key = np.sort(dealt_keys(stream(data, offsets, depth)[0], dealing))
-        key = key[np.append(True, key[1:] != key[:-1])[: len(key)]]
-        bounds = np.searchsorted(key >> width, np.arange(parts + 1))
-        for part, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-            if low < high:
-                yield part, squeeze(rising(key[low:high]))
-        kinds, _, _ = text_words(data, offsets)
-        order, bounds = dealt_words(kinds, parts)
-        for part, (low, high) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist())):
-            if low < high:
-                yield parts + part, squeeze(joined(kinds.take(pa.array(order[low:high]))))
-
     def reply(asked: pa.Table, known: pa.Table) -> pa.Table:
         payloads = asked.column("payload").to_pylist()
         have = known.column("payload")[0].as_py() if known.num_rows else None
         out = []
         if payloads and asked.column("part")[0].as_py() < parts:
             key, count = part_counts(have, depth) if have else (np.zeros(0, np.uint64), np.zeros(0))
-            for wanted in together(unrising(unsqueeze(p, "u1")[0]) & low_bits for p in payloads):
+            for wanted in together(unrising(unsqueeze(p, "u1", "u1")[0]) & low_bits for p in payloads):
                 every, at = distinct(np.concatenate(wanted))
                 value = log_chances(every, key, count, dealing.owners(every)[0], shallow, depth).astype("<f4")[at]
                 out += [squeeze(v) for v in np.split(value, np.cumsum([len(w) for w in wanted])[:-1])]
@@ -503,15 +501,16 @@ def score(bundled: DataFrame, model: Model, carried: T.StructType) -> DataFrame:
             held, planed = unsqueeze(have, "u1", "u1") if have else (np.zeros(0, np.uint8),) * 2
             lookup, count = split(held), np.append(unplaned(planed), np.uint64(0))
             for payload in payloads:
-                at = pc.index_in(split(unsqueeze(payload, "u1")[0]), lookup).fill_null(len(lookup))
+                at = pc.index_in(split(unsqueeze(payload, "u1", "u1")[0]), lookup).fill_null(len(lookup))
                 out.append(squeeze(planes(count[at.to_numpy(zero_copy_only=False)])))
         return pa.table({"part": asked.column("part"), "bundle": asked.column("bundle"), "payload": pa.array(out, pa.binary())})
 
     def finish(bundle, docs, data, offsets, replies):
         key, places = stream(data, offsets, depth)
-        every, at = distinct(dealt_keys(key, dealing))
-        value = np.concatenate([np.zeros(0, "<f4"), *[unsqueeze(replies[p], "<f4")[0] for p in sorted(replies) if p < parts]]).astype(np.float64)
-        total = per_document(value[at], places)
+        _, code, order = in_order(key, dealing)
+        value = np.zeros(len(order))
+        value[order] = np.concatenate([np.zeros(0, "<f4"), *[unsqueeze(replies[p], "<f4")[0] for p in sorted(replies) if p < parts]])
+        total = per_document(value[code], places)
         kinds, number, first = text_words(data, offsets)
         order, _ = dealt_words(kinds, parts)
         count = np.zeros(len(kinds))
@@ -530,7 +529,7 @@ def score(bundled: DataFrame, model: Model, carried: T.StructType) -> DataFrame:
         }
         return pa.table(made)
 
-    asked = ask(bundled, keys).repartition(2 * parts, "part").groupBy("part")
+    asked = model.asked.where(F.col("part") < 2 * parts).repartition(2 * parts, "part").groupBy("part")
     replies = asked.cogroup(model.counts.select("part", "payload").groupBy("part")).applyInArrow(reply, "part int, bundle long, payload binary")
     schema = T.StructType(list(carried))
     for name, kind in SCORES.items():
