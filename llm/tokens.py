@@ -19,11 +19,14 @@ short pieces between tasks; this saves time only.
 from __future__ import annotations
 
 import json
+import os
 import re
+from itertools import repeat
 
 import numpy as np
+import pyarrow as pa
 
-from llm.common import LOWER, SPACE, byte_array, covered, ragged, words
+from llm.common import LOWER, SPACE, buffer_of, byte_array, ragged, words
 
 REMEMBERED = 750_000
 #: Pieces joined to one text for the tokenizer, and such texts given to it at once.
@@ -46,8 +49,26 @@ def encoder(definition: str) -> TextEncoder:
     return _READY[key]
 
 
+def holding(pattern: re.Pattern, data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Which of the pieces in a row hold a match; one across a border marks both, which does no harm."""
+    out = np.zeros(len(bounds) - 1, dtype=bool)
+    for m in pattern.finditer(data.tobytes()):
+        low, high = np.searchsorted(bounds, [m.start(), m.end() - 1], side="right") - 1
+        out[low : high + 1] = True
+    return out
+
+
+def sums_of(flags: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place, and in all."""
+    out = np.zeros(len(flags) + 1, dtype=np.int32)
+    np.cumsum(flags, out=out[1:])
+    return out
+
+
 class TextEncoder:
     def __init__(self, definition: str):
+        # a task has one core
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
@@ -61,12 +82,16 @@ class TextEncoder:
         # an added token that reaches beyond its piece needs the whole text
         plain = plain and not any(t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") or re.search(r"\s", t["content"]) for t in added)
         self.kind = "text"
+        vocabulary = self.tokenizer.get_vocab()
+        # bytes of each token of a byte-level vocabulary, and which tokens end a word
+        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, dtype=np.int64)
+        self.ends_word = np.ones(len(self.sizes), dtype=bool)
+        for token, i in vocabulary.items():
+            ends = bool(suffix) and token.endswith(suffix)
+            self.sizes[i] = len(token) - (len(suffix) if ends else 0)
+            self.ends_word[i] = ends or not suffix
         if plain and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not about.get("normalizer"):
             self.kind = "byte"
-            vocabulary = self.tokenizer.get_vocab()
-            self.sizes = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
-            for token, i in vocabulary.items():
-                self.sizes[i] = len(token)
         elif plain and suffix and before.get("type") == "Sequence" and "Lowercase" in json.dumps(about.get("normalizer")):
             split = before["pretokenizers"][0]
             if split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") and r"\s" in json.dumps(split["pattern"]):
@@ -82,22 +107,23 @@ class TextEncoder:
         if self.kind == "word":
             raw, data = data, LOWER[data]
             starts, ends, at = words(data, offsets, ~SPACE)
-            wide = np.concatenate([[0], np.cumsum(raw >= 128)])
+            wide = sums_of(raw >= 128)
             mixed = wide[ends] > wide[starts]
-            if mixed.any():
-                kept = covered(starts[mixed], ends[mixed], len(raw))
-                data[kept] = raw[kept]
+            kept = ragged(starts[mixed], (ends - starts)[mixed])
+            data[kept] = raw[kept]
             for m in self.any_case.finditer(data.tobytes()) if self.any_case else ():
                 k = int(np.searchsorted(starts, m.start(), side="right")) - 1
                 data[starts[k] : ends[k]] = raw[starts[k] : ends[k]]
-        elif self.kind == "byte":
-            starts, ends, at = self.spaced(data, offsets)
+            bounds = np.concatenate([[0], np.cumsum(ends - starts)])
+            packed = data[~SPACE[data]]
+            pieces = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(bounds), pa.py_buffer(packed)])
         else:
-            starts, ends, at = offsets[:-1], offsets[1:], np.arange(len(offsets))
-        pieces = byte_array(data, starts, ends).dictionary_encode()
+            starts, ends, at = self.spaced(data, offsets) if self.kind == "byte" else (offsets[:-1], offsets[1:], np.arange(len(offsets)))
+            pieces = byte_array(data, starts, ends)
+        pieces = pieces.dictionary_encode()
         if len(self.known) > REMEMBERED:
             self.forget()
-        first, count = self.looked_up(pieces.dictionary.to_pylist())
+        first, count = self.looked_up(pieces.dictionary)
         order = pieces.indices.to_numpy(zero_copy_only=False)
         lengths = count[order]
         ids = self.pool[ragged(first[order], lengths)]
@@ -120,51 +146,69 @@ class TextEncoder:
         starts = np.flatnonzero(begins)
         return starts, np.append(starts[1:], len(data)), np.searchsorted(starts, offsets)
 
-    def looked_up(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    def looked_up(self, distinct: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """Where the pool has each piece's ids, and how many; only short pieces are remembered."""
-        get = self.known.get
-        rows = np.fromiter((get(p, -1) for p in pieces), dtype=np.int64, count=len(pieces))
+        pieces = distinct.to_pylist()
+        rows = np.fromiter(map(self.known.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
         missing = np.flatnonzero(rows < 0)
-        missing = missing[np.argsort([len(pieces[i]) > 64 for i in missing], kind="stable")] if len(missing) else missing
-        found = self.fresh([pieces[i] for i in missing])
-        lengths = np.fromiter(map(len, found), dtype=np.int64, count=len(found))
+        rank = self.ranks(distinct.take(pa.array(missing)))
+        missing = missing[np.argsort(rank, kind="stable")]
+        joined, short = int((rank == 0).sum()), int((rank < 2).sum())
+        new = [pieces[i] for i in missing.tolist()]
+        ids, lengths = self.fresh(new, joined)
         bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(lengths)])
-        self.pool = np.concatenate([self.ids[: self.bounds[-1]], *found]) if found else self.ids
-        rows[missing] = len(self.bounds) - 1 + np.arange(len(missing))
-        short = sum(len(pieces[i]) <= 64 for i in missing)
-        for k, i in enumerate(missing[:short].tolist()):
-            self.known[pieces[i]] = len(self.bounds) - 1 + k
-        self.bounds = bounds[: len(self.bounds) + short]
+        self.pool = np.concatenate([self.ids, ids])
+        first = len(self.bounds) - 1
+        rows[missing] = first + np.arange(len(missing))
+        self.known.update(zip(new[:short], range(first, first + short)))
+        self.bounds = bounds[: first + 1 + short]
         self.ids = self.pool[: self.bounds[-1]]
         return bounds[rows], bounds[rows + 1] - bounds[rows]
 
-    def fresh(self, pieces: list[bytes]) -> list[np.ndarray]:
-        """Ids of pieces that are not known yet."""
-        out: list[np.ndarray | None] = [None] * len(pieces)
-        alone, joined = [], []
-        for k, piece in enumerate(pieces):
-            if self.kind == "byte":
-                apart = len(piece) > 64 or not SPACE[piece[0]] or SPACE[piece[-1]] or (not piece.isascii() and WIDE_SPACE.search(piece))
-            else:
-                apart = self.kind == "text" or len(piece) > 64 or max(piece) > 0xC9
-            apart = apart or (self.added and self.added.search(piece))
-            (alone if apart else joined).append(k)
-        for low in range(0, len(alone), JOINED):
-            some = alone[low : low + JOINED]
-            for k, e in zip(some, self.tokenizer.encode_batch([pieces[k].decode() for k in some], add_special_tokens=False), strict=True):
-                out[k] = np.array(e.ids, dtype=np.uint32)
-        groups = [joined[low : low + JOINED] for low in range(0, len(joined), JOINED)]
+    def ranks(self, pieces: pa.LargeBinaryArray) -> np.ndarray:
+        """0 for a piece that may be joined with others to one text, 1 and 2 for short and long ones that may not."""
+        data, bounds = buffer_of(pieces)
+        starts, ends = bounds[:-1], bounds[1:]
+        if self.kind == "text":
+            apart = np.ones(len(starts), dtype=bool)
+        elif self.kind == "byte":
+            some = ends > starts
+            apart = ~some
+            apart[some] = ~SPACE[data[starts[some]]] | SPACE[data[ends[some] - 1]]
+            apart |= holding(WIDE_SPACE, data, bounds) if LEADS[data].any() else False
+        else:
+            high = sums_of(data > 0xC9)
+            apart = high[ends] > high[starts]
+        if self.added is not None:
+            apart = apart | holding(self.added, data, bounds)
+        return np.where(ends - starts > 64, 2, apart.astype(np.int8))
+
+    def fresh(self, pieces: list[bytes], joined: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces that are not known yet, in a row, and how many each has; the first ``joined`` may be joined."""
+        between = b"" if self.kind == "byte" else b" "
+        groups = [pieces[low : min(low + JOINED, joined)] for low in range(0, joined, JOINED)]
+        ids, lengths = [np.zeros(0, dtype=np.uint32)], [np.zeros(0, dtype=np.int64)]
         for low in range(0, len(groups), AT_ONCE):
             some = groups[low : low + AT_ONCE]
-            texts = [("" if self.kind == "byte" else " ").join(pieces[k].decode() for k in g) for g in some]
-            for group, e in zip(some, self.tokenizer.encode_batch(texts, add_special_tokens=False), strict=True):
-                ids = np.array(e.ids, dtype=np.uint32)
-                if self.kind == "byte":
-                    ends = np.cumsum([len(pieces[k]) for k in group])
-                    cuts = np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1
+            for group, found in zip(some, self.ids_of([between.join(g) for g in some]), strict=True):
+                made = np.array(found, dtype=np.uint32)
+                ends = np.cumsum(np.fromiter(map(len, group), dtype=np.int64, count=len(group)))
+                sums = np.cumsum(self.sizes[made])
+                cuts = np.searchsorted(sums, ends)
+                # the tokens spell the pieces, and a token ends with each
+                if len(made) and sums[-1] == ends[-1] and (sums[cuts] == ends).all() and self.ends_word[made[cuts]].all():
+                    ids.append(made)
+                    lengths.append(np.diff(cuts + 1, prepend=0))
                 else:
-                    ends = np.cumsum([len(pieces[k].decode()) + 1 for k in group])
-                    cuts = np.searchsorted(np.fromiter((a for a, _ in e.offsets), dtype=np.int64, count=len(ids)), ends)
-                for k, ids_of in zip(group, np.split(ids, cuts[:-1]), strict=True):
-                    out[k] = ids_of
-        return out
+                    self.one_by_one(group, ids, lengths)
+        for low in range(joined, len(pieces), JOINED):
+            self.one_by_one(pieces[low : low + JOINED], ids, lengths)
+        return np.concatenate(ids), np.concatenate(lengths)
+
+    def ids_of(self, texts: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
+
+    def one_by_one(self, pieces: list[bytes], ids: list[np.ndarray], lengths: list[np.ndarray]) -> None:
+        found = self.ids_of(pieces)
+        ids.append(np.fromiter((i for own in found for i in own), dtype=np.uint32))
+        lengths.append(np.fromiter(map(len, found), dtype=np.int64, count=len(found)))
