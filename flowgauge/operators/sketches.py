@@ -17,6 +17,9 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from flowgauge.functions.labels import iso_weekday
+from flowgauge.operators.baselines import KEYS, LEVELS
+
 #: Size of a KLL sketch: its rank error at 99 % is about 0.36 %.
 KLL_SIZE = 800
 RANK_ERROR = 0.015
@@ -52,6 +55,16 @@ def merged_percentiles(sketches: DataFrame, by: list[str | Column], levels: dict
     return merged.select(*[c for c in merged.columns if c != "_ranks"], *marks)
 
 
+def sketched_baselines(days: DataFrame, first: dt.date | str | None = None, last: dt.date | str | None = None) -> DataFrame:
+    """Estimated thresholds per station, weekday, hour and flow from day sketches (station_name, hour_period, flow_type, date).
+
+    The same columns as the exact baselines, for any period; missing volumes are not counted.
+    """
+    keyed = of_period(days, "date", first, last).withColumn("day_of_week", iso_weekday(F.col("date")))
+    found = merged_percentiles(keyed, KEYS, LEVELS)
+    return found.select(*KEYS, *[F.col(c).cast("int").alias(c) for c in LEVELS])
+
+
 def merged_distinct(sketches: DataFrame, by: list[str | Column], name: str = "items") -> DataFrame:
     """Estimated number of different items of all days of a group."""
     return sketches.groupBy(*by).agg(F.hll_sketch_estimate(F.hll_union_agg("items")).alias(name))

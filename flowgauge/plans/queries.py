@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,7 @@ from flowgauge.operators import (
     sketches,
     triggers,
 )
-from flowgauge.plans import settings, views
+from flowgauge.plans import procedures, settings, views
 from flowgauge.session import new_folder, spread, stage, stage_all
 from flowgauge.sources import adapters, sinks, tables
 from flowgauge.streaming import feeds as streams
@@ -280,6 +280,16 @@ def sketched_percentiles(spark, folder):
     return sketches.rank_checks(rows.withColumn("year", F.year("date")), [*keys, "year"], "cents", found, SKETCHED)
 
 
+@query
+def sketched_baselines(spark, folder):
+    """Baselines from stored day sketches of the actuals, beside the exact rank of each estimate."""
+    actuals, path = adapters.flow(spark, folder), new_folder(spark, "volume-sketches")
+    days = sketches.day_sketches(actuals, ["station_name", "hour_period", "flow_type"], "date", value="volume").withColumn("year", F.year("date"))
+    days.repartition("year").write.partitionBy("year").parquet(path)
+    found = stage(sketches.sketched_baselines(spark.read.parquet(path)), "estimates")
+    return sketches.rank_checks(baselines.with_weekday(actuals), baselines.KEYS, "volume", found, baselines.LEVELS)
+
+
 @query
 def sketched_distinct(spark, folder):
     """Different users by month and kind of event from stored day sketches, beside the exact count."""
@@ -450,6 +460,29 @@ def refreshed_year(spark, folder):
     return refresh.stored_year(store)
 
 
+@query
+def ordered_views(spark, folder):
+    """The long horizons in their published order: the place of each period, and whether its rows stand together in it."""
+    rows = stage(metrics(spark, folder), "forecast")
+    horizons = {
+        "predictive_passenger_volume_forecast_1w": forecast.forecast_1w(rows, settings.AS_OF),
+        "predictive_passenger_volume_forecast_1m": forecast.forecast_1m(rows, settings.AS_OF),
+        "predictive_passenger_volume_forecast_quarterly": forecast.forecast_quarterly(rows, settings.AS_OF),
+        "predictive_passenger_volume_forecast_1y": forecast.forecast_1y(rows, settings.AS_OF),
+    }
+    out = []
+    for name in horizons:
+        # numbered as they come, a sort's parts one after the other
+        shown = stage(views.ordered(name, horizons).withColumn("_at", F.monotonically_increasing_id()), "shown")
+        keys = [F.col(c).cast("string") for c in views.VIEW_ORDER[name]]
+        periods = shown.groupBy(F.concat_ws(" ", *keys).alias("period"), *views.VIEW_ORDER[name]).agg(F.min("_at").alias("_first"), F.max("_at").alias("_last"))
+        # one row a period
+        order = Window.orderBy("_first")
+        apart = F.coalesce(F.lag("_last").over(order) < F.col("_first"), F.lit(True))
+        out.append(periods.select(F.lit(name).alias("view_name"), "period", F.row_number().over(order).alias("place"), apart.alias("together")))
+    return out[0].unionByName(out[1]).unionByName(out[2]).unionByName(out[3])
+
+
 @query
 def model_drift(spark, folder):
     actuals = facts(spark, folder)
@@ -485,6 +518,47 @@ def known_events(spark, folder):
     return forecast.known_events(adapters.calendar_events(spark, folder), settings.AS_OF)
 
 
+def published_scripts(spark: SparkSession, folder: str) -> procedures.Scripts:
+    """The SQL scripts, over tables of their own."""
+    actuals = facts(spark, folder)
+    base, split = stage(baselines.threshold_baselines(actuals), "baselines"), evaluate.split_date(actuals)
+    rows = stage(metrics(spark, folder), "forecast")
+    inputs = procedures.Inputs(
+        year=stage(forecast.forecast_1y(rows, settings.AS_OF), "forecast-1y"),
+        recommended=prescribe.recommendations(rows),
+        protocols=stage(protocols(spark, folder), "protocols"),
+        banded=stage(bands(spark, folder).withColumn("year", F.year("date")), "banded"),
+        evaluation=stage(evaluated(spark, folder, stage(pairs(actuals), "pairs"), base, split, actuals), "evaluation"),
+    )
+    path = new_folder(spark, "scripts")
+    return procedures.publish(spark, f"line_{path.rsplit('-', 1)[-1]}", path, inputs)
+
+
+@query
+def sql_procedures(spark, folder):
+    """Every script called in SQL, two runs each: what it gives back, and what its tables hold after it."""
+    scripts = published_scripts(spark, folder)
+    s, out = scripts.schema, []
+    for run in (1, 2):
+        calls = {
+            "refresh_predictive_forecast_1y": scripts.refresh_predictive_forecast_1y(),
+            "evaluate_and_log_prescriptive_deployments": scripts.evaluate_and_log_prescriptive_deployments(f"run {run}", "it's a script"),
+            "scan_and_transform_new_ridership_tables": scripts.scan_and_transform_new_ridership_tables(),
+            "train_and_validate_models": scripts.train_and_validate_models(),
+        }
+        # one number a call
+        out += [(run, name, spark.sql(script).first()[0]) for name, script in calls.items()]
+    given = spark.createDataFrame(out, "run int, procedure string, result long")
+    spark.sql(scripts.transform_ridership_table(settings.HOURLY_SOURCE_YEAR))
+    held = spark.sql(
+        f"""SELECT (SELECT count(DISTINCT deployment_id) FROM {s}.deployments) AS deployments, (SELECT max(id) FROM {s}.executions) AS last_execution,
+          (SELECT count(*) FROM {s}.executions WHERE scr_compliant AND latency_seconds >= 0 AND trigger_source = 'it\'s a script') AS compliant,
+          (SELECT count(*) FROM {s}.ridership_hourly) AS hours, (SELECT CAST(sum(total_entry) AS BIGINT) FROM {s}.ridership_hourly) AS entries,
+          (SELECT CAST(sum(predicted) AS DOUBLE) FROM {s}.predictive_passenger_volume_forecast_1y) AS predicted, (SELECT max(id) FROM {s}.evaluations) AS evaluations"""
+    )
+    return given.withColumn("_held", held.select(F.struct("*")).scalar()).select("run", "procedure", "result", "_held.*")
+
+
 # --- scenarios ------------------------------------------------------------------------
 
 

@@ -82,6 +82,12 @@ twin(
       CAST(year(l_shipdate) AS INTEGER) AS year, count(*) AS observations, TRUE AS median_within_error, TRUE AS warning_within_error, TRUE AS critical_within_error
     FROM lineitem GROUP BY 1, 2, 3""",
 )
+twin(
+    "sketched_baselines",
+    ["flow"],
+    f"""SELECT station_name, CAST(isodow(date) AS INTEGER) AS day_of_week, hour_period, flow_type, count(*) AS observations,
+      TRUE AS median_volume_within_error, TRUE AS warning_threshold_within_error, TRUE AS critical_threshold_within_error FROM flow GROUP BY 1, 2, 3, 4""",
+)
 twin("sketched_distinct", [], "SELECT strftime(ts, '%Y-%m') AS month, event_type, count(DISTINCT user_id) AS users, TRUE AS within_error FROM events GROUP BY 1, 2")
 twin("restore_bands", ["bands"], f"SELECT id, {day('date')} AS date, time_period, grain, {WIDE_LIST} FROM bands")
 twin("expand_bands", ["expanded"], f"SELECT id, {day('date')} AS date, time_period, grain, {WIDE_LIST} FROM expanded")
@@ -474,6 +480,34 @@ twin(
       WHERE dates - pos < 112 GROUP BY 1) s USING (fold)
     WHERE train_last IS NOT NULL""",
 )
+YEAR_ROWS = TWINS["forecast_1y"]
+SHOWN = {
+    "forecast_1w": "date",
+    "forecast_1m": "date",
+    "forecast_quarterly": "CAST(year AS VARCHAR) || ' ' || quarter",
+    "forecast_1y": "CAST(year AS VARCHAR) || ' ' || CAST(month_num AS VARCHAR)",
+}
+SHOWN_BY = {"forecast_1w": "date", "forecast_1m": "date", "forecast_quarterly": "year, quarter", "forecast_1y": "year, month_num"}
+TWINS["ordered_views"] = " UNION ALL ".join(
+    f"SELECT 'predictive_passenger_volume_{name}' AS view_name, {label} AS period, CAST(row_number() OVER (ORDER BY {SHOWN_BY[name]}) AS INTEGER) AS place, TRUE AS together "
+    f"FROM (SELECT DISTINCT {SHOWN_BY[name]} FROM ({TWINS[name]}))"
+    for name, label in SHOWN.items()
+)
+CALLS = {
+    "refresh_predictive_forecast_1y": f"(SELECT count(*) FROM ({YEAR_ROWS}))",
+    "evaluate_and_log_prescriptive_deployments": "(SELECT count(*) FROM recommended)",
+    "scan_and_transform_new_ridership_tables": "CASE WHEN run = 1 THEN (SELECT count(DISTINCT year(date)) FROM bands) ELSE 0 END",
+    "train_and_validate_models": "2 * run",
+}
+twin(
+    "sql_procedures",
+    ["recommended", "protocols", "expanded", "bands"],
+    f"""SELECT CAST(run AS INTEGER) AS run, procedure, CAST(result AS BIGINT) AS result, (SELECT 2 * count(*) FROM recommended) AS deployments,
+      (SELECT 2 * count(*) FROM recommended) AS last_execution, (SELECT 2 * count(*) FROM recommended WHERE decision_action IN (SELECT id FROM protocols)) AS compliant,
+      (SELECT count(*) FROM expanded) AS hours, (SELECT CAST(sum(total_entry) AS BIGINT) FROM expanded) AS entries,
+      (SELECT CAST(sum(predicted) AS DOUBLE) FROM ({YEAR_ROWS})) AS predicted, CAST(4 AS BIGINT) AS evaluations
+    FROM (SELECT unnest([1, 2]) AS run) r CROSS JOIN LATERAL ({' UNION ALL '.join(f"SELECT {text(n)} AS procedure, {sql} AS result" for n, sql in CALLS.items())})""",
+)
 twin(
     "performance_snapshot",
     [],

@@ -23,8 +23,6 @@ from pyspark.sql import types as T
 from flowgauge.session import stage
 
 BUCKETS = 64
-#: Files that a written bucket is split into, so that no task writes a hot key alone.
-SLICES = 4
 #: How many heads or marks stay: the last, and the one a replay starts from.
 KEPT = 2
 
@@ -109,8 +107,8 @@ class BucketTable:
         stored = self.read(spark, {b: heads[b] for b in touched if b in heads})
         rows = fold(stored, fresh.drop("_bucket")).select(*self.schema.names)
         target = f"{self.path}/data/batch={batch_id}"
-        cut = F.pmod(F.xxhash64(*self.schema.names), F.lit(SLICES))
-        dealt = rows.withColumn("bucket", self.bucket()).repartition(F.col("bucket"), cut)
+        # one file a bucket, more where adaptive execution splits a large one
+        dealt = rows.withColumn("bucket", self.bucket()).hint("rebalance", F.col("bucket"))
         dealt.write.mode("overwrite").partitionBy("bucket").parquet(target)
         written = {int(n.removeprefix("bucket=")) for n in children(spark, target) if n.startswith("bucket=")}
         # a touched bucket may have lost all its rows

@@ -88,7 +88,7 @@ def test_old_versions_go_and_files_per_batch_do_not_grow(spark, tmp_path, monkey
     monkeypatch.setattr(BucketTable, "read", counted)
     for n in range(12):
         table.merge(spark.createDataFrame([(f"k{i}", n, n) for i in range(20)], ROW), n, last)
-    assert max(read[2:]) <= max(read[1:3]) <= 4 * buckets.SLICES
+    assert max(read[2:]) <= max(read[1:3]) <= 4
     named = set(table.heads(spark).items()) | set(table.heads(spark, 11).items())
     left = {(int(b.removeprefix("bucket=")), int(f.removeprefix("batch="))) for f in buckets.children(spark, f"{table.path}/data") for b in buckets.children(spark, f"{table.path}/data/{f}") if b.startswith("bucket=")}
     assert left == named
@@ -135,7 +135,7 @@ def test_resolutions_in_buckets(spark, event_parts, tmp_path, monkeypatch):
         patch.setattr(BucketTable, "read", counted)
         streams.sync_resolutions(changes, table, str(tmp_path / "mark")).awaitTermination()
     # the files read by a batch are those of its buckets, however many batches there were
-    assert len(read) == 8 and all(files <= n * buckets.SLICES for n, files in read)
+    assert len(read) == 8 and all(files <= n for n, files in read)
     got, want = streams.resolved_times(table.read(spark)), streams.resolved_times(adapters.incidents_of(raw))
     assert same(got, want)
     assert table.read(spark).count() < raw.count()
