@@ -35,7 +35,7 @@ from llm.common import buffer_of, byte_array, chunks, give_back, ragged, squeeze
 from llm.tokens import AT_ONCE, JOINED, WIDE_SPACE, TextEncoder
 
 #: Text of a bundle, and of a slice of a longer document.
-BUNDLE_BYTES = 4 << 20
+BUNDLE_BYTES = 3 << 20
 #: Stretches that are followed at once start so many tokens apart.
 STRETCH = 512
 #: A group with more links than this counts its different pairs first.
@@ -99,9 +99,6 @@ class ByteLevel(TextEncoder):
             names[i] = bytes(letters.get(c, 0) for c in token)
         self.spelling = Spelling(names)
 
-    def ids_of(self, parts: list[bytes]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch([p.decode() for p in parts], add_special_tokens=False)]
-
 
 class Pieces:
     """Ids by a sentencepiece model that puts a space in front."""
@@ -428,6 +425,7 @@ def align(docs: DataFrame, tokenizer_json: str, piece_model: bytes, *columns: st
             ]
             yield pa.RecordBatch.from_arrays(cells, ["bundle", "rows", "digests", "blob", "firsts", "seconds", "holders"])
             bundle += 1
+            give_back()
 
     schema = T._parse_datatype_string("bundle long, digests array<string>, blob binary, firsts array<int>, seconds array<int>, holders array<int>")
     schema = T.StructType([schema["bundle"], T.StructField("rows", T.ArrayType(source.schema["row"].dataType)), *schema.fields[1:]])
