@@ -538,11 +538,11 @@ def published_scripts(spark: SparkSession, folder: str) -> procedures.Scripts:
 def sql_procedures(spark, folder):
     """Every script called in SQL, two runs each: what it gives back, and what its tables hold after it."""
     scripts = published_scripts(spark, folder)
-    s, out = scripts.schema, []
+    s, source, out = scripts.schema, "it's a script", []
     for run in (1, 2):
         calls = {
             "refresh_predictive_forecast_1y": scripts.refresh_predictive_forecast_1y(),
-            "evaluate_and_log_prescriptive_deployments": scripts.evaluate_and_log_prescriptive_deployments(f"run {run}", "it's a script"),
+            "evaluate_and_log_prescriptive_deployments": scripts.evaluate_and_log_prescriptive_deployments(f"run {run}", source),
             "scan_and_transform_new_ridership_tables": scripts.scan_and_transform_new_ridership_tables(),
             "train_and_validate_models": scripts.train_and_validate_models(),
         }
@@ -552,7 +552,7 @@ def sql_procedures(spark, folder):
     spark.sql(scripts.transform_ridership_table(settings.HOURLY_SOURCE_YEAR))
     held = spark.sql(
         f"""SELECT (SELECT count(DISTINCT deployment_id) FROM {s}.deployments) AS deployments, (SELECT max(id) FROM {s}.executions) AS last_execution,
-          (SELECT count(*) FROM {s}.executions WHERE scr_compliant AND latency_seconds >= 0 AND trigger_source = 'it\'s a script') AS compliant,
+          (SELECT count(*) FROM {s}.executions WHERE scr_compliant AND latency_seconds >= 0 AND trigger_source = {procedures.text(source)}) AS compliant,
           (SELECT count(*) FROM {s}.ridership_hourly) AS hours, (SELECT CAST(sum(total_entry) AS BIGINT) FROM {s}.ridership_hourly) AS entries,
           (SELECT CAST(sum(predicted) AS DOUBLE) FROM {s}.predictive_passenger_volume_forecast_1y) AS predicted, (SELECT max(id) FROM {s}.evaluations) AS evaluations"""
     )
