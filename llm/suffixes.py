@@ -1,7 +1,8 @@
 """Removal of byte strings that begin in an earlier document too, by sorting suffixes.
 
 Which suffixes can share ``length`` bytes with another is found with anchors: in every window
-of ``length`` bytes the 16 bytes with the least hash. Equal windows have equal anchors, so
+of ``length`` bytes the 16 bytes with the least hash (of places that tie, as in a run of one letter,
+the one whose number mixes to the least, so that few are chosen). Equal windows have equal anchors, so
 
 1. every bundle sends the hashes of its anchors, and learns which occur more than once;
 2. for these it sends the text around the anchor, that is the windows that have it, to
@@ -11,8 +12,8 @@ of ``length`` bytes the 16 bytes with the least hash. Equal windows have equal a
    reported to their bundles, which remove what these cover.
 
 Hashes only choose candidates; suffixes are compared byte by byte. Within a bundle the same
-text in several documents is sent for the first document only: the others have a smaller one
-at hand. So the inside of a passage in a third of all documents costs a suffix per bundle. Around
+text is sent once for all its places in a document, and of several documents for the first
+only: the others have a smaller one at hand. So the inside of a passage in a third of all documents costs a suffix per bundle. Around
 its first and last anchors texts differ from document to document: where an anchor occurs more
 than ``HOT_ANCHOR`` times, its windows go one by one to the tasks of a hash of all their bytes,
 where equal ones still meet. Anchors that differ and meet in their 40 bits only add candidates.
@@ -41,6 +42,10 @@ HOT_ANCHOR = 1 << 16
 #: Document of a row without doc_id: after all others.
 LAST = (1 << 63) - 1
 _LOW = np.uint64((1 << 32) - 1)
+#: Places are mixed by an odd factor modulo 2 ** 32, and found again by its inverse.
+_MIX = 0x9E3779B1
+_UNMIX = np.uint64(pow(_MIX, -1, 1 << 32))
+_MIX = np.uint64(_MIX)
 _KEY = np.uint64((1 << 40) - 1)
 
 
@@ -52,9 +57,13 @@ class Anchors:
         while doc < len(offsets) - 1:
             last = int(np.searchsorted(offsets, offsets[doc] + AT_ONCE, side="right")) - 1
             last = min(max(last, doc + 1), len(offsets) - 1)
-            low = offsets[doc]
-            place, own, hashed, first, end = anchors_of(data[low : offsets[last]], offsets[doc : last + 1] - low, length)
-            found.append((place + low, own + doc, hashed, first + low, end + low))
+            # a long document in steps that overlap by what a window needs
+            step = AT_ONCE if last == doc + 1 else int(offsets[last] - offsets[doc])
+            for low in range(int(offsets[doc]), max(int(offsets[last]) - length + 1, int(offsets[doc]) + 1), max(step, 1)):
+                high = min(low + step + length - 1, int(offsets[last]))
+                inside = np.array([0, high - low]) if last == doc + 1 else offsets[doc : last + 1] - low
+                place, own, hashed, first, end = anchors_of(data[low:high], inside, length)
+                found.append((place + low, own + doc, hashed, first + low, end + low))
             doc = last
         none = np.zeros(0, dtype=np.int64)
         columns = [np.concatenate(c) for c in zip(*found)] if found else [none, none, none.astype(np.uint64), none, none]
@@ -70,13 +79,13 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
     n = len(data) - ANCHOR + 1
     view = words64(data)
     hashed = mixed(mixed(view[:n], 5) ^ view[8 : n + 8], 6)
-    least = (hashed & ~_LOW) | np.arange(n, dtype=np.uint64)
+    least = (hashed & ~_LOW) | np.arange(n, dtype=np.uint64) * _MIX & _LOW
     width, span = 1, length - ANCHOR + 1
     while width < span:
         step = min(width, span - width)
         least = np.minimum(least[:-step], least[step:])
         width += step
-    chosen = (least[window] & _LOW).astype(np.int64)
+    chosen = ((least[window] & _LOW) * _UNMIX & _LOW).astype(np.int64)
     doc = np.repeat(np.arange(len(counts)), counts)
     heads = np.flatnonzero(np.append(True, (chosen[1:] != chosen[:-1]) | (doc[1:] != doc[:-1])))
     place = chosen[heads]
@@ -84,6 +93,35 @@ def anchors_of(data: np.ndarray, offsets: np.ndarray, length: int) -> tuple[np.n
     return place, doc[heads], mixed(hashed[place], 7), window[heads], window[np.append(heads[1:], len(window)) - 1]
 
 
+def places_of(data: np.ndarray, first: np.ndarray, size: np.ndarray, number: np.ndarray, texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One row for each text of a document: which rows these are, how many places each has, and the first bytes of all places in a row.
+
+    Hashes find them, and ``texts(first, size)`` gives the bytes that are compared.
+    """
+    mark = mixed(word_hashes(data, first, first + size, 13) ^ mixed(number.view(np.uint64), 14), 15)
+    _, example, kind = np.unique(mark, return_index=True, return_inverse=True)
+    to = example[kind]
+    other = np.flatnonzero(to != np.arange(len(first)))
+    differ = (number[other] != number[to[other]]) | (size[other] != size[to[other]])
+    for low in range(0, len(other), ROWS_AT_ONCE):
+        own, its = other[low : low + ROWS_AT_ONCE], to[other[low : low + ROWS_AT_ONCE]]
+        differ[low : low + ROWS_AT_ONCE] |= (texts(first[own], size[own]) != texts(first[its], size[its])).any(axis=1)
+    to[other[differ]] = other[differ]
+    order = np.argsort(to, kind="stable")
+    heads = np.flatnonzero(np.append(True, to[order][1:] != to[order][:-1])[: len(order)])
+    return to[order][heads], np.diff(heads, append=len(order)), first[order]
+
+
+def merged_spans(starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The spans in order, those that overlap or touch as one."""
+    if not len(starts):
+        return starts, ends
+    order = np.argsort(starts, kind="stable")
+    starts, reach = starts[order], np.maximum.accumulate(ends[order])
+    heads = np.flatnonzero(np.append(True, starts[1:] > reach[:-1]))
+    return starts[heads], reach[np.append(heads[1:], len(starts)) - 1]
+
+
 def doc_numbers(docs: pa.RecordBatch) -> np.ndarray:
     return docs.column("doc_id").cast(pa.int64()).fill_null(LAST).to_numpy(zero_copy_only=False)
 
@@ -160,22 +198,33 @@ def remove_earlier(docs: DataFrame, *columns: str, length: int = LENGTH, with_te
         repeated, hot = (np.repeat(np.concatenate([np.zeros(0, np.uint8), *[t[k] for t in told]]).astype(bool), np.diff(begins, append=len(order))) for k in (0, 1))
         some, hot = order[repeated], hot[repeated]
         first, last, number = anchors.first[some], anchors.last[some], doc_numbers(docs)[anchors.doc[some]]
-        part = part_of(anchors.hash[some], parts)
+        # one row for the same text in a document, with all its places
+        size, part = last - first + length, part_of(anchors.hash[some], parts)
+        rows, many, every = places_of(data, first, size, number, lambda x, n: texts_of(data, x, n))
+        begins = np.cumsum(many) - many
+        first, last, number, part, hot = first[rows], last[rows], number[rows], part[rows], hot[rows]
+        row, shift, size = np.arange(len(rows)), np.zeros(len(rows), np.int64), size[rows]
         if hot.any():
             # every window of a hot anchor for itself
             windows = (last - first + 1)[hot]
             single = ragged(first[hot], windows)
             apart = part_of(mixed(word_hashes(data, single, single + length, 11), 8), parts)
-            number = np.concatenate([number[~hot], np.repeat(number[hot], windows)])
+            row = np.concatenate([row[~hot], np.repeat(row[hot], windows)])
+            shift = np.concatenate([shift[~hot], single - np.repeat(first[hot], windows)])
             part = np.concatenate([part[~hot], apart])
-            first, last = np.concatenate([first[~hot], single]), np.concatenate([last[~hot], single])
-        size = last - first + length
-        text = texts_of(data, first, size)
+            size = np.concatenate([size[~hot], np.full(len(single), length)])
+        number = number[row]
+        text = texts_of(data, first[row] + shift, size)
         # the same text in this bundle: later documents have an earlier one at hand
-        kind = np.unique(np.concatenate([text, size[:, None].astype(np.uint8)], axis=1).view(f"V{width + 1}").reshape(-1), return_inverse=True)[1] if len(first) else first
+        kind = np.unique(np.concatenate([text, size[:, None].astype(np.uint8)], axis=1).view(f"V{width + 1}").reshape(-1), return_inverse=True)[1] if len(row) else row
         earliest = np.full(int(kind.max(initial=-1)) + 1, LAST)
         np.minimum.at(earliest, kind, number)
         later = number > earliest[kind]
+
+        def starts_of(chosen):
+            counts = many[row[chosen]]
+            return every[ragged(begins[row[chosen]], counts)] + np.repeat(shift[chosen], counts), counts
+
         here = bundle % parts
         out = []
         sent = np.flatnonzero(~later)
@@ -184,8 +233,11 @@ def remove_earlier(docs: DataFrame, *columns: str, length: int = LENGTH, with_te
         for p, (low, high) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())):
             known = np.flatnonzero(later) if p == here else np.zeros(0, dtype=np.int64)
             if low < high or len(known):
-                rows = sent[low:high]
-                out.append((p, squeeze(number[rows], first[rows].astype(np.uint32), size[rows].astype(np.uint8), text[rows], first[known].astype(np.uint32), (first + size)[known].astype(np.uint32))))
+                chosen = sent[low:high]
+                starts, counts = starts_of(chosen)
+                gone, times = starts_of(known)
+                gone = merged_spans(gone, gone + np.repeat(size[known], times))
+                out.append((p, squeeze(number[chosen], counts.astype(np.uint32), starts.astype(np.uint32), size[chosen].astype(np.uint8), text[chosen], *[x.astype(np.uint32) for x in gone])))
         return pa.table({"part": pa.array([p for p, _ in out], pa.int32()), "bundle": pa.array([bundle] * len(out), pa.int64()), "payload": pa.array([b for _, b in out], pa.binary())})
 
     def texts_of(data, first, size):
@@ -199,10 +251,11 @@ def remove_earlier(docs: DataFrame, *columns: str, length: int = LENGTH, with_te
         return out
 
     def sort_part(payloads):
-        got = [unsqueeze(p, "<i8", "<u4", "u1", "u1", "<u4", "<u4") for _, p in payloads]
+        got = [unsqueeze(p, "<i8", "<u4", "<u4", "u1", "u1", "<u4", "<u4") for _, p in payloads]
         sizes = [len(g[0]) for g in got]
-        number, first, size = (np.concatenate([g[k] for g in got]).astype(np.int64) for k in (0, 1, 2))
-        text = np.concatenate([g[3] for g in got]).reshape(-1, width)
+        number, many, first, size = (np.concatenate([g[k] for g in got]).astype(np.int64) for k in (0, 1, 2, 3))
+        begins = np.cumsum(many) - many
+        text = np.concatenate([g[4] for g in got]).reshape(-1, width)
         later = np.zeros(len(number), dtype=bool)
         flagged = [np.zeros(0, np.int64)] * 3
         if len(number):
@@ -228,18 +281,19 @@ def remove_earlier(docs: DataFrame, *columns: str, length: int = LENGTH, with_te
             at += n
             full = own[later[own]]
             part = own[~later[own]]
-            starts, ends = [g[4].astype(np.int64), first[full]], [g[5].astype(np.int64), first[full] + size[full]]
+            base = first[ragged(begins[full], many[full])]
+            starts, ends = [g[5].astype(np.int64), base], [g[6].astype(np.int64), base + np.repeat(size[full], many[full])]
             if len(flagged[0]) and len(part):
                 known = part[kind[part] < len(bounds) - 1]
                 low, high = bounds[kind[known]], bounds[kind[known] + 1]
-                runs = ragged(low, high - low)
-                base = np.repeat(first[known], high - low)
-                starts.append(base + flagged[1][runs])
-                ends.append(base + flagged[2][runs] + length)
-            starts, ends = np.concatenate(starts), np.concatenate(ends)
+                runs, known = ragged(low, high - low), np.repeat(known, high - low)
+                times = many[known]
+                base = first[ragged(begins[known], times)]
+                starts.append(base + np.repeat(flagged[1][runs], times))
+                ends.append(base + np.repeat(flagged[2][runs], times) + length)
+            starts, ends = merged_spans(np.concatenate(starts), np.concatenate(ends))
             if len(starts):
-                order = np.argsort(starts)
-                yield bundle, squeeze(starts[order].astype(np.uint32), ends[order].astype(np.uint32))
+                yield bundle, squeeze(starts.astype(np.uint32), ends.astype(np.uint32))
 
     def finish(bundle, docs, data, offsets, replies):
         spans = [unsqueeze(p, "<u4", "<u4") for _, p in sorted(replies.items())]

@@ -118,6 +118,18 @@ def test_pieces_have_the_ids_of_whole_texts(file, documents):
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
 
 
+@pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_ids_do_not_depend_on_what_is_remembered(file, documents, monkeypatch):
+    texts = [t for _, t in documents[:60]] * 2
+    monkeypatch.setattr(tokens, "REMEMBERED", 300)
+    encoder = tokens.TextEncoder(tokenizer_json(file))
+    want = [x[:-1].tolist() for x in brute.token_ids(texts, file)]
+    for n in range(0, len(texts), 10):
+        data = np.frombuffer("".join(texts[n : n + 10]).encode(), dtype=np.uint8)
+        ids, counts = encoder.encode(data, np.cumsum([0, *(len(t.encode()) for t in texts[n : n + 10])]))
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want[n : n + 10]
+
+
 @pytest.mark.parametrize("file", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_added_tokens_in_a_text_are_these_tokens(file):
     texts = ["<|endoftext|>", "a  <|endoftext|>b c", "one<|endoftext|><|startoftext|>two <|endoftext|> \n x", "<|ENDOFTEXT|> A<|EndOfText|>B", "Ab<|startoftext|>É <|endoftext|", "A<|ENDOFTEXT|>B<|endoftext|>C", "x\u3000 <|endoftext|>  y", "<|endof text|> é<|endoftext|>" + "y" * 70]
@@ -301,7 +313,7 @@ def test_windows_of_a_hot_anchor_are_dealt_apart(spark, monkeypatch):
     assert digests(rows, "n_bytes", "n_removed", "n_spans", "kept_sha256") == multiset((i, *x) for (i, _), x in zip(docs, brute.earlier(docs)))
     windows = defaultdict(int)
     for r in asked[1].collect():
-        windows[r.part] += int((suffixes.unsqueeze(r.payload, "<i8", "<u4", "u1", "u1", "<u4", "<u4")[2].astype(int) - suffixes.LENGTH + 1).sum())
+        windows[r.part] += int((suffixes.unsqueeze(r.payload, "<i8", "<u4", "<u4", "u1", "u1", "<u4", "<u4")[3].astype(int) - suffixes.LENGTH + 1).sum())
     assert max(windows.values()) < sum(windows.values()) / 3
 
 
@@ -562,6 +574,16 @@ def test_warc_repeated_and_no_rows(spark):
     assert read_back(spark, twice.limit(0))[1].count() == 0
 
 
+def test_many_equal_pages_are_captures_of_their_own(spark):
+    pages = spark.range(20000).select(F.lit(7).cast("long").alias("page_id"), F.lit("http://a.org/").alias("url"), F.lit("<p>same</p>").alias("html"))
+    pages = pages.unionByName(spark.createDataFrame([(9, "http://b.org/", "<p>same</p>")], pages.schema))
+    captures = read_back(spark, pages)[1]
+    found = captures.groupBy(F.size("requests").alias("requests"), F.size("metadata").alias("metadata"), "response.record_type").count().collect()
+    assert sorted(map(tuple, found)) == [(1, 1, "response", 1), (1, 1, "revisit", 20000)]
+    kept = captures.where("response.record_type = 'response'").first().capture_id
+    assert {r.refers_to for r in captures.where("response.record_type = 'revisit'").select("response.refers_to").distinct().collect()} == {kept}
+
+
 def test_records_without_a_response_stay(spark):
     records = T._parse_datatype_string(warc.RECORDS)
     row = lambda i, kind, to: (i, kind, to, None, None, None, None, None, None)
@@ -593,3 +615,25 @@ def test_words_stop_at_documents():
 
 def test_all_operators_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in spark_entry.queries() if n.startswith("op")) == list(range(1, 14))
+
+
+def test_earlier_in_long_repetitive_texts(spark, monkeypatch):
+    line = "the same line of some sixty bytes comes again and again and again\n"
+    docs = [(1, "y" * 3000), (2, "y" * 4000), (3, line * 60), (4, "x" + line * 70), (5, "ab" * 900), (6, "ba" * 1000 + "c"), (7, "y" * 49), (8, "y" * 50), (9, line * 60 + "z" * 120)]
+    want = multiset((i, *x) for (i, _), x in zip(docs, brute.earlier(docs)))
+    names = "n_bytes", "n_removed", "n_spans", "kept_sha256"
+    for at_once, hot in ((1 << 20, 1 << 16), (700, 50), (64, 5)):
+        monkeypatch.setattr(suffixes, "AT_ONCE", at_once)
+        monkeypatch.setattr(suffixes, "HOT_ANCHOR", hot)
+        rows = suffixes.remove_earlier(spark.createDataFrame(docs, DOCUMENT).repartition(3)).collect()
+        assert digests(rows, *names) == want
+
+
+def test_few_anchors_in_a_run_of_one_letter():
+    data = np.frombuffer(b"y" * 100_000 + b"ab" * 50_000 + b"abcdefg" * 20_000, dtype=np.uint8)
+    found = suffixes.Anchors(data, np.array([0, 100_000, 200_000, len(data)]), 50)
+    assert len(found.place) < len(data) / 8
+    # every window has its anchor
+    windows = np.concatenate([np.arange(a, b + 1) for a, b in zip(found.first, found.last)])
+    assert sorted(windows.tolist()) == [*range(0, 99_951), *range(100_000, 199_951), *range(200_000, len(data) - 49)]
+    assert ((found.place >= found.last) & (found.place + 16 <= found.first + 50)).all()
