@@ -49,6 +49,8 @@ SPARSE = 16
 #: Margin for the rounding of 32-bit sums; pairs are judged in double precision.
 SLACK = 1e-4
 _AT_ONCE = 1 << 16
+#: Copies of a tile for other groups that a task holds at a time.
+COPIES_AT_ONCE = 16
 TILE = "tile_group long, vectors binary, turned binary, nodes binary, copies binary"
 
 
@@ -360,9 +362,12 @@ def links_of(classes: DataFrame, dimensions: int, threshold: float = THRESHOLD,
             for row in range(batch.num_rows):
                 own = batch.column("tile_group")[row].as_py()
                 others = groups[np.isin(groups >> 24, in_reach(axes, own >> 24, threshold))]
-                n = len(others)
-                values = [pa.array(np.minimum(others, own)), pa.array(np.maximum(others, own))]
-                yield pa.RecordBatch.from_arrays([*values, *[pa.array([batch.column(c)[row].as_py()] * n, pa.int64() if c == "tile_group" else pa.binary()) for c in batch.schema.names]], ["first", "second", *batch.schema.names])
+                tile = [batch.column(c).slice(row, 1) for c in batch.schema.names]
+                for low in range(0, len(others), COPIES_AT_ONCE):
+                    some = others[low : low + COPIES_AT_ONCE]
+                    again = pa.array(np.zeros(len(some), dtype=np.int64))
+                    values = [pa.array(np.minimum(some, own)), pa.array(np.maximum(some, own)), *[c.take(again) for c in tile]]
+                    yield pa.RecordBatch.from_arrays(values, ["first", "second", *batch.schema.names])
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
         first, second = (k.as_py() for k in key)
