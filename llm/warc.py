@@ -41,18 +41,21 @@ def urn(*parts: Column | str) -> Column:
 
 
 def marked(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, url, payload, its size and digest, and for a copy the page that it revisits.
+    """page_id, url, payload, its size and digest, the response's record_id, and for a copy the page and record that it revisits.
 
-    Of pages with the same payload of at least ``least_bytes`` bytes the one with the largest
+    The record is named by the row's place in the table too, so repeated rows are transactions
+    of their own. Of pages with the same payload of at least ``least_bytes`` bytes the one with the largest
     page_id stays; smaller payloads all stay. Only digests are grouped, and the join is one
     that Spark splits where a payload is very frequent.
     """
-    read = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
+    read = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"), F.monotonically_increasing_id().alias("row"))
     read = read.withColumns({"size": F.octet_length("payload").cast("long"), "digest": F.sha1("payload")})
-    groups = read.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.max("page_id").alias("keeper"), F.count("*").alias("copies"))
+    read = read.withColumn("own", urn("response", F.col("page_id"), F.col("digest"), F.col("row"))).drop("row")
+    groups = read.where(F.col("size") >= least_bytes).groupBy("digest").agg(F.max(F.struct("page_id", "own")).alias("keeper"), F.count("*").alias("copies"))
     joined = read.join(groups.where("copies > 1").drop("copies"), "digest", "left")
-    keeper = F.when((F.col("size") >= least_bytes) & (F.col("keeper") != F.col("page_id")), F.col("keeper"))
-    return joined.withColumn("refers_to", keeper).drop("keeper")
+    copied = (F.col("size") >= least_bytes) & (F.col("keeper.page_id") != F.col("page_id"))
+    marks = {"refers_to": F.when(copied, F.col("keeper.page_id")), "revisited": F.when(copied, F.col("keeper.own"))}
+    return joined.withColumns(marks).drop("keeper")
 
 
 def records_of(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
@@ -62,8 +65,6 @@ def records_of(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         uri = F.replace(uri, F.lit(sign), F.lit(code))
     page = marked(pages, least_bytes).withColumns({"uri": uri, "digest32": base32_of_hex(F.col("digest"))})
     revisit = F.col("refers_to").isNotNull()
-    own = urn("response", F.col("page_id"), F.col("url"), F.col("digest"))
-    page = page.withColumn("own", own)
 
     def headers(kind: Column, record_id: Column, content: str, *more: Column) -> Column:
         return F.concat(F.lit("WARC/1.1\r\nWARC-Type: "), kind, F.lit("\r\nWARC-Record-ID: "), record_id, F.lit("\r\nWARC-Date: 2024-01-01T00:00:00Z\r\nWARC-Target-URI: "), F.col("uri"), F.lit(f"\r\nContent-Type: {content}\r\n"), *more)
@@ -79,7 +80,7 @@ def records_of(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
         headers(F.lit("request"), urn("request", F.col("own")), "application/http; msgtype=request", F.lit("WARC-Concurrent-To: "), F.col("own"), F.lit("\r\n")),
         F.concat(F.lit("GET "), path, F.lit(" HTTP/1.1\r\nHost: "), host, F.lit("\r\n\r\n")),
     )
-    profile = F.when(revisit, F.lit(f"WARC-Profile: {PROFILE}\r\n")).otherwise("")
+    profile = F.when(revisit, F.concat(F.lit(f"WARC-Profile: {PROFILE}\r\nWARC-Refers-To: "), F.col("revisited"), F.lit("\r\n"))).otherwise("")
     response = record(
         headers(F.when(revisit, "revisit").otherwise("response"), F.col("own"), "application/http; msgtype=response", F.lit("WARC-Payload-Digest: sha1:"), F.col("digest32"), F.lit("\r\n"), profile),
         F.concat(F.lit("HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: "), F.col("size").cast("string"), F.lit("\r\n\r\n")),
@@ -98,7 +99,7 @@ def write_warc(pages: DataFrame, path: str, least_bytes: int = 0) -> None:
 
     Null html is an empty payload, a null url an empty target. White space in a url is
     percent-encoded. A page without page_id is a response, or a revisit if another page with
-    its payload has one. Repeated rows are records with the same identifiers. An empty table
+    its payload has one. Repeated rows are transactions each for itself. An empty table
     gives files without records.
     """
     records_of(pages, least_bytes).write.option("maxRecordsPerFile", RECORDS_PER_FILE).option("compression", "gzip").text(path)
@@ -199,12 +200,13 @@ def read_warc(spark: SparkSession, path: str, payloads: bool = True) -> DataFram
 def assemble(records: DataFrame) -> DataFrame:
     """Join the records of each transaction: one nested row per response or revisit.
 
-    Columns: capture_id, response, requests, metadata (arrays). Records that name no known
+    Columns: capture_id, response, requests, metadata (arrays). A revisit's response names the
+    record it revisits in refers_to. Records that name no known
     response are rows whose response is null; records of other types are left out.
     """
     main = records.where("record_type IN ('response', 'revisit')")
     rest = records.where("record_type IN ('request', 'metadata')")
-    capture = main.select(F.col("record_id").alias("capture_id"), F.struct("record_id", "record_type", "target_uri", "payload_digest", "payload_bytes", "payload").alias("response"))
+    capture = main.select(F.col("record_id").alias("capture_id"), F.struct("record_id", "record_type", "target_uri", "refers_to", "payload_digest", "payload_bytes", "payload").alias("response"))
     request = F.when(F.col("record_type") == "request", F.struct("record_id", "target_uri"))
     metadata = F.when(F.col("record_type") == "metadata", F.struct("record_id", "fields"))
     beside = rest.groupBy(F.coalesce("concurrent_to", "record_id").alias("capture_id")).agg(F.collect_list(request).alias("requests"), F.collect_list(metadata).alias("metadata"))
