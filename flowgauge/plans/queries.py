@@ -30,7 +30,7 @@ from flowgauge.operators import (
     triggers,
 )
 from flowgauge.plans import procedures, settings, views
-from flowgauge.session import new_folder, spread, stage, stage_all
+from flowgauge.session import new_folder, spread, stage, stage_all, table_path
 from flowgauge.sources import adapters, sinks, tables
 from flowgauge.streaming import feeds as streams
 from flowgauge.streaming import progress
@@ -1032,8 +1032,7 @@ def run_log(query_start, spark: SparkSession, label: str) -> str:
 
 
 def source_stream(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    schema = adapters.table(spark, folder, name).schema
-    return streams.open_stream(spark, folder, f"{name}.parquet", schema)
+    return streams.open_table(spark, table_path(folder, name), adapters.table(spark, folder, name).schema)
 
 
 #: Buckets of the streams' state; a deployment takes as many as its state needs.

@@ -40,6 +40,16 @@ def open_stream(spark: SparkSession, folder: str, glob: str, schema, files_per_t
     return reader.parquet(folder)
 
 
+def open_table(spark: SparkSession, path: str, schema) -> DataFrame:
+    """A stored table as a stream, whether it is one file or a folder of them."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    status = place.getFileSystem(spark._jsc.hadoopConfiguration()).getFileStatus(place)
+    if status.isDirectory():
+        return spark.readStream.schema(schema).parquet(path)
+    # a file stream begins at a folder
+    return open_stream(spark, status.getPath().getParent().toString(), place.getName(), schema)
+
+
 def to_log(
     stream: DataFrame,
     path: str,

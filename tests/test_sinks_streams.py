@@ -7,9 +7,10 @@ from conftest import rows
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+import __spark_entry__ as spark_entry
 from flowgauge import fixed
 from flowgauge.operators import dims, enrich
-from flowgauge.session import stage, stage_all
+from flowgauge.session import new_folder, stage, stage_all
 from flowgauge.sources import adapters, sinks, tables
 from flowgauge.streaming import feeds as streams
 
@@ -249,6 +250,27 @@ def test_weather_and_post_streams(spark, small, tmp_path):
     assert sinks.read_log(spark, path, batch.schema).drop("batch_id").exceptAll(batch).count() == 0
 
 
+@pytest.mark.parametrize("by", [[], ["lang"]])
+def test_post_stream_of_a_table_in_parts(spark, small, tmp_path, by):
+    """A table stored as a folder of files, with or without partition columns, gives the rows of one stored as a file."""
+    documents = adapters.table(spark, small, "documents")
+    documents.repartition(3, "doc_id").write.partitionBy(*by).parquet(str(tmp_path / "documents.parquet"))
+    run = spark_entry.queries()["stream_post_sync"]
+    want, got = run(spark, small), run(spark, str(tmp_path))
+    assert want.count() and not want.exceptAll(got).count() and not got.exceptAll(want).count()
+
+
+def test_stream_of_a_table_reads_all_of_its_files(spark, small, tmp_path):
+    events = adapters.table(spark, small, "events")
+    events.repartition(3, "event_id").write.partitionBy("event_type").parquet(str(tmp_path / "events.parquet"))
+    for folder in (small, str(tmp_path)):
+        raw = adapters.table(spark, folder, "events")
+        log, mark = new_folder(spark, "log"), new_folder(spark, "mark")
+        streams.to_log(streams.open_table(spark, f"{folder}/events.parquet", raw.schema), log, mark).awaitTermination()
+        read = spark.read.parquet(log).select(*events.columns)
+        assert read.count() == events.count() and not events.exceptAll(read).count()
+
+
 def test_broadcast_stamp_and_latency(spark, small, tmp_path):
     raw = adapters.table(spark, small, "events")
     stream = streams.open_stream(spark, small, "events.parquet", raw.schema).select(
