@@ -13,7 +13,7 @@ Any other tokenizer gets whole texts. Strings of added tokens in a text are thes
 the library has it by default; a piece that holds one goes to the tokenizer alone, and its
 letters keep their case, as these strings are looked for before anything is lower-cased.
 A worker remembers the ids of up to ``REMEMBERED``
-short pieces between tasks; this saves time only.
+short pieces between tasks and then forgets those it met once; this saves time only.
 """
 
 from __future__ import annotations
@@ -21,7 +21,7 @@ from __future__ import annotations
 import json
 import os
 import re
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +34,8 @@ JOINED = 200
 AT_ONCE = 32
 #: UTF-8 of the white space beyond ASCII (fixed values of the Unicode property White_Space).
 WIDE_SPACE = re.compile(rb"\xc2[\x85\xa0]|\xe1\x9a\x80|\xe2\x80[\x80-\x8a\xa8\xa9\xaf]|\xe2\x81\x9f|\xe3\x80\x80")
+#: A normalizer that composes, makes white space one space, and lower-cases.
+COMPOSING = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
 LEADS = np.zeros(256, dtype=bool)
 LEADS[[0xC2, 0xE1, 0xE2, 0xE3]] = True
 
@@ -70,6 +72,7 @@ class TextEncoder:
         # a task has one core
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
+        from tokenizers.normalizers import Lowercase
 
         self.tokenizer = Tokenizer.from_str(definition)
         about = json.loads(definition)
@@ -90,17 +93,36 @@ class TextEncoder:
             ends = bool(suffix) and token.endswith(suffix)
             self.sizes[i] = len(token) - (len(suffix) if ends else 0)
             self.ends_word[i] = ends or not suffix
+        self.joiner = self.tokenizer
         if plain and before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space") and not about.get("normalizer"):
             self.kind = "byte"
         elif plain and suffix and before.get("type") == "Sequence" and "Lowercase" in json.dumps(about.get("normalizer")):
             split = before["pretokenizers"][0]
             if split.get("type") == "Split" and split.get("behavior") == "Removed" and split.get("invert") and r"\s" in json.dumps(split["pattern"]):
                 self.kind = "word"
+                if about["normalizer"] == COMPOSING:
+                    # pieces that may be joined hold nothing to compose, no added token, and white space only between them, which is dropped
+                    self.joiner = Tokenizer(self.tokenizer.model)
+                    self.joiner.normalizer, self.joiner.pre_tokenizer = Lowercase(), self.tokenizer.pre_tokenizer
         self.forget()
 
     def forget(self) -> None:
         self.known: dict[bytes, int] = {}
         self.ids, self.bounds = np.zeros(0, dtype=np.uint32), np.zeros(1, dtype=np.int64)
+        self.again = np.zeros(0, dtype=bool)
+
+    def forget_rare(self) -> None:
+        """Forget the pieces that did not occur again since the last time, or all if too many did."""
+        kept = np.flatnonzero(self.again)
+        if len(kept) > REMEMBERED // 2:
+            self.forget()
+            return
+        # pieces are known in the order of their rows
+        self.known = dict(zip(compress(self.known, self.again.tolist()), range(len(kept))))
+        lengths = np.diff(self.bounds)[kept]
+        self.ids = self.ids[ragged(self.bounds[kept], lengths)]
+        self.bounds = np.concatenate([[0], np.cumsum(lengths)])
+        self.again = np.zeros(len(kept), dtype=bool)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the documents in a row, and how many each has."""
@@ -122,7 +144,7 @@ class TextEncoder:
             pieces = byte_array(data, starts, ends)
         pieces = pieces.dictionary_encode()
         if len(self.known) > REMEMBERED:
-            self.forget()
+            self.forget_rare()
         first, count = self.looked_up(pieces.dictionary)
         order = pieces.indices.to_numpy(zero_copy_only=False)
         lengths = count[order]
@@ -148,8 +170,9 @@ class TextEncoder:
 
     def looked_up(self, distinct: pa.LargeBinaryArray) -> tuple[np.ndarray, np.ndarray]:
         """Where the pool has each piece's ids, and how many; only short pieces are remembered."""
-        pieces = distinct.to_pylist()
+        pieces = distinct.to_numpy(zero_copy_only=False).tolist()
         rows = np.fromiter(map(self.known.get, pieces, repeat(-1)), dtype=np.int64, count=len(pieces))
+        self.again[rows[rows >= 0]] = True
         missing = np.flatnonzero(rows < 0)
         rank = self.ranks(distinct.take(pa.array(missing)))
         missing = missing[np.argsort(rank, kind="stable")]
@@ -161,6 +184,7 @@ class TextEncoder:
         first = len(self.bounds) - 1
         rows[missing] = first + np.arange(len(missing))
         self.known.update(zip(new[:short], range(first, first + short)))
+        self.again = np.concatenate([self.again, np.zeros(short, dtype=bool)])
         self.bounds = bounds[: first + 1 + short]
         self.ids = self.pool[: self.bounds[-1]]
         return bounds[rows], bounds[rows + 1] - bounds[rows]
@@ -190,7 +214,7 @@ class TextEncoder:
         ids, lengths = [np.zeros(0, dtype=np.uint32)], [np.zeros(0, dtype=np.int64)]
         for low in range(0, len(groups), AT_ONCE):
             some = groups[low : low + AT_ONCE]
-            for group, found in zip(some, self.ids_of([between.join(g) for g in some]), strict=True):
+            for group, found in zip(some, self.ids_joined([between.join(g) for g in some]), strict=True):
                 made = np.array(found, dtype=np.uint32)
                 ends = np.cumsum(np.fromiter(map(len, group), dtype=np.int64, count=len(group)))
                 sums = np.cumsum(self.sizes[made])
@@ -208,6 +232,10 @@ class TextEncoder:
     def ids_of(self, texts: list[bytes]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch([t.decode() for t in texts], add_special_tokens=False)]
 
+    def ids_joined(self, texts: list[bytes]) -> list[list[int]]:
+        """Ids of texts of pieces that may be joined, without the offsets that nobody asks for."""
+        return [e.ids for e in self.joiner.encode_batch_fast([t.decode() for t in texts], add_special_tokens=False)]
+
     def one_by_one(self, pieces: list[bytes], ids: list[np.ndarray], lengths: list[np.ndarray]) -> None:
         found = self.ids_of(pieces)
         ids.append(np.fromiter((i for own in found for i in own), dtype=np.uint32))

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import base64
 import hashlib
-from collections import defaultdict
+import json
+from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
@@ -141,6 +142,36 @@ def test_added_tokens_in_a_text_are_these_tokens(file):
         assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
 
 
+def test_recurring_pieces_stay_known(monkeypatch):
+    """When the memory is full, words that came again are kept: the tokenizer sees each of them once."""
+    monkeypatch.setattr(tokens, "REMEMBERED", 100)
+    encoder, seen = tokens.TextEncoder(tokenizer_json("word_bpe_49k.json")), Counter()
+    fresh = encoder.fresh
+    monkeypatch.setattr(encoder, "fresh", lambda pieces, joined: seen.update(pieces) or fresh(pieces, joined))
+    usual, full = [f"usual{n}" for n in range(30)], Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    for n in range(20):
+        text = " ".join([*usual, *(f"once{n}x{k}" for k in range(40))])
+        ids, _ = encoder.encode(np.frombuffer(text.encode(), dtype=np.uint8), np.array([0, len(text)]))
+        assert ids.tolist() == full.encode(text, add_special_tokens=False).ids
+    assert {seen[w.encode()] for w in usual} == {1} and len(encoder.known) < 200
+
+
+@pytest.mark.parametrize("accents", ["kept", "stripped"])
+def test_joined_words_have_the_whole_tokenizers_ids(accents):
+    """Whatever letter, mark, control or white space a word holds, and whatever the normalizer does to it."""
+    definition = json.loads(tokenizer_json("word_bpe_49k.json"))
+    if accents == "stripped":
+        definition["normalizer"]["normalizers"] = [{"type": "NFD"}, {"type": "StripAccents"}, *definition["normalizer"]["normalizers"][1:]]
+    definition = json.dumps(definition)
+    signs = [chr(c) for c in range(1, 0x370)] + list("\u1e9e\u212b\u1100\u1161\u3000\u200b")
+    texts = [" ".join(f"{c}b a{c} A{c}B {c}{c}" for c in signs), *(f"word {c} A{c}\u0301 x{c}y" for c in signs)]
+    full, encoder = Tokenizer.from_str(definition), tokens.TextEncoder(definition)
+    assert encoder.kind == "word" and (encoder.joiner is encoder.tokenizer) == (accents == "stripped")
+    data = np.frombuffer("".join(texts).encode(), dtype=np.uint8)
+    ids, counts = encoder.encode(data, np.cumsum([0, *(len(t.encode()) for t in texts)]))
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == [full.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 # --- 2 substrings ---------------------------------------------------------------------
 
 
